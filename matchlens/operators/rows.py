@@ -51,7 +51,7 @@ def rank_first(
     v, o = F.col(value), F.col(ordinal)
     above = F.size(F.filter("value_cuts", lambda c: c > v))
     on_cut = F.coalesce(F.array_contains("value_cuts", v), F.lit(False))
-    place = F.when(v.isNull(), 2 * splits).otherwise(2 * above + F.when(on_cut, 0).otherwise(1))
+    place = F.when(v.isNull(), 2 * splits).otherwise(2 * above + F.when(on_cut, 1).otherwise(0))
     single = on_cut | v.isNull()
     below = F.when(single, F.size(F.filter("ordinal_cuts", lambda c: c < o))).otherwise(0)
     parts = marked.withColumns({"part": place, "subpart": below}).drop("value_cuts", "ordinal_cuts")

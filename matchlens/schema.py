@@ -42,66 +42,96 @@ _NUMBERS = (
 )
 _SHARES = ("teamDamagePercentage", "damageTakenOnTeamPercentage")
 
-PERKS = (
-    "struct<statPerks:struct<defense:bigint,flex:bigint,offense:bigint>,"
-    "styles:array<struct<description:string,"
-    "selections:array<struct<perk:bigint,var1:bigint,var2:bigint,var3:bigint>>,style:bigint>>>"
-)
+LONG, TEXT, FLAG, DOUBLE = T.LongType(), T.StringType(), T.BooleanType(), T.DoubleType()
 
-_SEQUENCES = (
-    "skillTree:array<bigint>,itemStart:array<string>,itemMiddle:array<string>,"
-    "itemBuild:array<string>,itemRarity:array<string>,itemBoots:string,itemMyth:string"
-)
+
+def struct(**fields: T.DataType) -> T.StructType:
+    return T.StructType([T.StructField(name, kind) for name, kind in fields.items()])
+
+
+def array(element: T.DataType) -> T.ArrayType:
+    return T.ArrayType(element)
 
 
-def _typed(names: tuple[str, ...], kind: str) -> str:
-    return ",".join(f"{name}:{kind}" for name in names)
+def each(names: tuple[str, ...], kind: T.DataType) -> dict[str, T.DataType]:
+    return dict.fromkeys(names, kind)
 
 
-PARTICIPANT = (
-    f"struct<{_typed(_NUMBERS, 'bigint')},teamPosition:string,{_typed(_FLAGS, 'boolean')},"
-    f"{_typed(_SHARES, 'double')},perks:{PERKS},{_SEQUENCES}>"
+PERKS = struct(
+    statPerks=struct(defense=LONG, flex=LONG, offense=LONG),
+    styles=array(
+        struct(
+            description=TEXT,
+            selections=array(struct(perk=LONG, var1=LONG, var2=LONG, var3=LONG)),
+            style=LONG,
+        )
+    ),
 )
-TEAM = (
-    "struct<teamId:bigint,win:boolean,bans:array<struct<championId:bigint,pickTurn:bigint>>,"
-    f"objectives:struct<{_typed(_OBJECTIVES, 'struct<first:boolean,kills:bigint>')}>>"
+_PLAYED = {**each(_NUMBERS, LONG), "teamPosition": TEXT, **each(_FLAGS, FLAG)}
+PARTICIPANT = struct(
+    **_PLAYED,
+    **each(_SHARES, DOUBLE),
+    perks=PERKS,
+    skillTree=array(LONG),
+    **each(("itemStart", "itemMiddle", "itemBuild", "itemRarity"), array(TEXT)),
+    itemBoots=TEXT,
+    itemMyth=TEXT,
+)
+TEAM = struct(
+    teamId=LONG,
+    win=FLAG,
+    bans=array(struct(championId=LONG, pickTurn=LONG)),
+    objectives=struct(**each(_OBJECTIVES, struct(first=FLAG, kills=LONG))),
 )
 
 # One nested match as the flatten job reads it.
-RAW_MATCH = T.StructType.fromDDL(
-    "metadata struct<tier:string,gameVersion:string,matchId:string,gameDuration:bigint,"
-    "gameStartTimestamp:bigint>,queueId bigint,"
-    f"participants array<{PARTICIPANT}>,teams array<{TEAM}>"
+RAW_MATCH = struct(
+    metadata=struct(
+        tier=TEXT, gameVersion=TEXT, matchId=TEXT, gameDuration=LONG, gameStartTimestamp=LONG
+    ),
+    queueId=LONG,
+    participants=array(PARTICIPANT),
+    teams=array(TEAM),
 )
 
 # The same match as it is fetched: everything below ``info``, shares below ``challenges``.
-_FETCHED_PARTICIPANT = (
-    f"struct<{_typed(_NUMBERS, 'bigint')},teamPosition:string,{_typed(_FLAGS, 'boolean')},"
-    f"challenges:struct<{_typed(_SHARES, 'double')}>,perks:{PERKS}>"
-)
-FETCHED_MATCH = T.StructType.fromDDL(
-    "metadata struct<tier:string,matchId:string>,"
-    "info struct<gameCreation:bigint,gameDuration:bigint,gameVersion:string,queueId:bigint,"
-    f"participants:array<{_FETCHED_PARTICIPANT}>,teams:array<{TEAM}>>"
+FETCHED_MATCH = struct(
+    metadata=struct(tier=TEXT, matchId=TEXT),
+    info=struct(
+        gameCreation=LONG,
+        gameDuration=LONG,
+        gameVersion=TEXT,
+        queueId=LONG,
+        participants=array(
+            struct(**_PLAYED, challenges=struct(**each(_SHARES, DOUBLE)), perks=PERKS)
+        ),
+        teams=array(TEAM),
+    ),
 )
 
 # Per-match event log; an event carries the fields of its type only.
-TIMELINE = T.StructType.fromDDL(
-    "matchId string,frames array<struct<events:array<struct<type:string,"
-    "participantId:bigint,skillSlot:bigint,itemId:bigint>>>>"
+TIMELINE = struct(
+    matchId=TEXT,
+    frames=array(
+        struct(events=array(struct(type=TEXT, participantId=LONG, skillSlot=LONG, itemId=LONG)))
+    ),
 )
 
 # Catalogue entries keyed by item id, and champions keyed by name.
-ITEM_MAP = T.StructType.fromDDL(
-    "data map<string,struct<tags:array<string>,`from`:array<string>,`into`:array<string>,"
-    "description:string,gold:struct<base:bigint>>>"
-)
-CHAMPION_MAP = T.StructType.fromDDL("data map<string,struct<key:string,id:string>>")
-
-USERS = T.StructType.fromDDL(
-    "summonerid string,puuid string,match_num smallint,update_num smallint,tier string"
+_ITEM = {
+    "tags": array(TEXT),
+    "from": array(TEXT),
+    "into": array(TEXT),
+    "description": TEXT,
+    "gold": struct(base=LONG),
+}
+ITEM_MAP = struct(data=T.MapType(TEXT, struct(**_ITEM)))
+CHAMPION_MAP = struct(data=T.MapType(TEXT, struct(key=TEXT, id=TEXT)))
+
+USERS = struct(
+    summonerid=TEXT, puuid=TEXT, match_num=T.ShortType(), update_num=T.ShortType(), tier=TEXT
 )
-MATCH_STATE = T.StructType.fromDDL("matchid string,tier string,status boolean")
+MATCH_STATE = struct(matchid=TEXT, tier=TEXT, status=FLAG)
 
 
 def save_schema(schema: T.StructType, path: str | Path) -> None:

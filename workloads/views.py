@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 EVENTS_PER_MATCH = 200
 EVENTS_PER_FRAME = 20
-PARTS_PER_POSITION = 200
+PARTS_PER_POSITION = 150
 CATALOGUE_SIZE = 40
 
 POSITIONS = "array('TOP','JUNGLE','MIDDLE','BOTTOM','UTILITY')"
@@ -260,7 +260,7 @@ def match_batch(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def rankings(spark: SparkSession, folder: str) -> DataFrame:
-    """Ranking texts: every block of 200 parts is a position, ten lines per part.
+    """Ranking texts: every block of parts is a position, ten lines per part.
 
     The number of parts of a position is fixed, so is the length of a text.
     """
