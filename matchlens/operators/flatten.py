@@ -1,8 +1,9 @@
 """Nested matches to one row per participant, without a shuffle.
 
-Everything a participant needs from its match (its ban, its lane opponent, its
-runes) is looked up inside the match row before the explode. Only the finished
-participant crosses the explode; the match arrays are not copied to every row.
+Lambdas over arrays are interpreted, so there is only one of them: the place of
+every participant's opponent, found once per match. All other lookups use array
+positions, which Spark compiles together with the explode; the match arrays are
+read in place there and not copied to the participants.
 """
 
 from __future__ import annotations
@@ -52,9 +53,9 @@ KEPT_NUMBERS_AND_FLAGS = (
 KEPT_SHARES = ("damageTakenOnTeamPercentage", "teamDamagePercentage")
 
 
-def first(array: Column) -> Column:
-    """First element, NULL where there is none."""
-    return F.get(array, F.lit(0))
+def where_equal(array: Column, field: str, value: Column) -> Column:
+    """First struct whose field has the value, NULL where there is none."""
+    return F.get(array, F.array_position(array[field], value).cast("int") - 1)
 
 
 def canonical_matches(fetched: DataFrame) -> DataFrame:
@@ -79,39 +80,39 @@ def canonical_matches(fetched: DataFrame) -> DataFrame:
     )
 
 
-def with_rune_lists(participant: Column) -> Column:
-    """Participant with its rune tree replaced by flat arrays and style ids."""
+def rune_columns(participant: Column, prefix: str) -> list[Column]:
+    """Flat arrays and style ids out of a participant's rune tree."""
     perks = participant["perks"]
     stats = perks["statPerks"]
-
-    def style(description: str) -> Column:
-        return first(F.filter(perks["styles"], lambda s: s["description"] == description))
-
-    return (
-        participant.withField("statPerks", F.array(stats["defense"], stats["flex"], stats["offense"]))
-        .withField("primaryStyle", style(PRIMARY)["style"])
-        .withField("subStyle", style(SUB)["style"])
-        .withField("primaryStyles", style(PRIMARY)["selections"]["perk"])
-        .withField("subStyles", style(SUB)["selections"]["perk"])
-        .dropFields("perks")
-    )
+    primary = where_equal(perks["styles"], "description", F.lit(PRIMARY))
+    sub = where_equal(perks["styles"], "description", F.lit(SUB))
+    listed = F.array(stats["defense"], stats["flex"], stats["offense"])
+    return [
+        F.when(participant.isNotNull(), listed).alias(f"{prefix}statPerks"),
+        primary["style"].alias(f"{prefix}primaryStyle"),
+        sub["style"].alias(f"{prefix}subStyle"),
+        primary["selections"]["perk"].alias(f"{prefix}primaryStyles"),
+        sub["selections"]["perk"].alias(f"{prefix}subStyles"),
+    ]
 
 
 def ban_of(participant: Column, ordinal: Column, teams: Column) -> Column:
     """Champion banned by the participant's own team in the participant's pick turn."""
-    own = first(F.filter(teams, lambda t: t["teamId"] == participant["teamId"]))
-    return first(F.filter(own["bans"], lambda b: b["pickTurn"] == ordinal + 1))["championId"]
+    own = where_equal(teams, "teamId", participant["teamId"])
+    return where_equal(own["bans"], "pickTurn", (ordinal + 1).cast("bigint"))["championId"]
+
 
+def rival_places(participants: Column) -> Column:
+    """For each participant the place of the first one in its position on another team."""
 
-def opponent_of(participant: Column, participants: Column) -> Column:
-    """First participant in the same position on another team."""
-    return first(
-        F.filter(
+    def place(p: Column) -> Column:
+        faces = F.transform(
             participants,
-            lambda q: (q["teamPosition"] == participant["teamPosition"])
-            & (q["teamId"] != participant["teamId"]),
+            lambda q: (q["teamPosition"] == p["teamPosition"]) & (q["teamId"] != p["teamId"]),
         )
-    )
+        return F.array_position(faces, F.lit(True)).cast("int") - 1
+
+    return F.transform(participants, place)
 
 
 def match_columns() -> list[Column]:
@@ -125,18 +126,19 @@ def match_columns() -> list[Column]:
     ]
 
 
-def unnest_structs(df: DataFrame) -> DataFrame:
-    """Every struct column one level up, named by its first letter; the rest as it is."""
+def unnested(df: DataFrame, drop: tuple[str, ...] = ()) -> list[Column]:
+    """Columns with every struct one level up, named by its first letter; the rest as it is."""
     columns = []
     for field in df.schema.fields:
         if isinstance(field.dataType, T.StructType):
             columns += [
                 F.col(f"{field.name}.{inner.name}").alias(f"{field.name[0]}_{inner.name}")
                 for inner in field.dataType.fields
+                if inner.name not in drop
             ]
         else:
             columns.append(F.col(field.name))
-    return df.select(*columns)
+    return columns
 
 
 def flatten_matches(raw: DataFrame, with_opponent: bool = True) -> DataFrame:
@@ -145,22 +147,28 @@ def flatten_matches(raw: DataFrame, with_opponent: bool = True) -> DataFrame:
     Lane queues keep a match without participants as one row of NULLs; without
     opponents such a match gives no row.
     """
-    prepared = raw.select(
-        *match_columns(), "teams", F.transform("participants", with_rune_lists).alias("participants")
-    )
-    scalars = [name for name in prepared.columns if name not in ("teams", "participants")]
     if not with_opponent:
-        exploded = prepared.select(*scalars, F.explode("participants").alias("participant"))
-        return unnest_structs(exploded)
-
-    def looked_up(p: Column, i: Column) -> Column:
-        return F.struct(
-            p.alias("participant"),
-            ban_of(p, i, F.col("teams")).alias("ban"),
-            opponent_of(p, F.col("participants")).alias("opponent"),
+        seats = raw.select(*match_columns(), F.explode("participants").alias("participant"))
+        return seats.select(
+            *unnested(seats, ("perks",)), *rune_columns(F.col("participant"), "p_")
         )
 
+    prepared = raw.select(
+        *match_columns(), "teams", "participants", rival_places(F.col("participants")).alias("rivals")
+    )
+    arrays = ("teams", "participants", "rivals")
+    scalars = [name for name in prepared.columns if name not in arrays]
     exploded = prepared.select(
-        *scalars, F.explode_outer(F.transform("participants", looked_up)).alias("slot")
+        *scalars, *arrays, F.posexplode_outer("participants").alias("ordinal", "participant")
+    )
+    seats = exploded.select(
+        *scalars,
+        "participant",
+        ban_of(F.col("participant"), F.col("ordinal"), F.col("teams")).alias("ban"),
+        F.get("participants", F.get("rivals", F.col("ordinal"))).alias("opponent"),
+    )
+    return seats.select(
+        *unnested(seats, ("perks",)),
+        *rune_columns(F.col("participant"), "p_"),
+        *rune_columns(F.col("opponent"), "o_"),
     )
-    return unnest_structs(exploded.select(*scalars, "slot.participant", "slot.ban", "slot.opponent"))

@@ -39,30 +39,34 @@ SELECT 'M_' || l_orderkey AS "matchId", {TIER} AS tier, {VERSION} AS "gameVersio
 FROM lineitem JOIN orders ON l_orderkey = o_orderkey)"""
 
 RAW_PARTICIPANTS = f"""
-base AS (SELECT *, 'R_' || o_orderkey AS "matchId", {TIER} AS tier, {VERSION} AS "gameVersion",
-  600 + (o_orderkey * 37) % 2000 AS "gameDuration",
-  CAST(date_trunc('day', CAST(o_orderdate AS DATE) + INTERVAL 3 HOUR
-    + to_seconds((o_orderkey * 7919) % 86400)) AS DATE) AS date FROM orders),
-seats AS (SELECT b.*, i, o_orderkey % 50 IN (7, 8) AS empty_match FROM base b, range(10) r(i)),
-players AS (SELECT *, (o_custkey * 3 + i * 7 + o_orderkey) % 20 AS champ,
+base AS (SELECT *, 'R_' || c_custkey AS "matchId",
+  CASE c_mktsegment WHEN 'AUTOMOBILE' THEN 'challenger' WHEN 'BUILDING' THEN 'master'
+    WHEN 'FURNITURE' THEN 'diamond' WHEN 'HOUSEHOLD' THEN 'emerald'
+    ELSE CASE WHEN c_custkey % 11 = 0 THEN 'gold' ELSE 'platinum' END END AS tier,
+  (9 + c_custkey % 5) || '.' || (8 + c_nationkey % 3) || '.1' AS "gameVersion",
+  600 + (c_custkey * 37) % 2000 AS "gameDuration",
+  CAST(date_trunc('day', DATE '1970-01-01' + INTERVAL 3 HOUR + to_days(CAST(9500 + c_custkey % 2000 AS INT))
+    + to_seconds((c_custkey * 7919) % 86400)) AS DATE) AS date FROM customer),
+seats AS (SELECT b.*, i, c_custkey % 50 IN (7, 8) AS empty_match FROM base b, range(10) r(i)),
+players AS (SELECT *, (c_nationkey * 3 + i * 7 + c_custkey) % 20 AS champ,
   CAST(CASE WHEN i < 5 THEN 100 ELSE 200 END AS BIGINT) AS team,
-  CASE WHEN o_orderkey % 9 = 4 AND i = 7 THEN ''
-    ELSE {POSITION}[CAST((i + o_orderkey) % 5 AS INT) + 1] END AS pos,
-  (o_custkey % 2 = 0) = (i < 5) AS win,
-  [CAST(5001 + i % 2 AS BIGINT), 5001 + o_custkey % 3, 5005] AS st,
-  8000 + 100 * (o_orderkey % 4) AS pstyle,
-  CASE WHEN o_orderkey % 17 = 3 THEN NULL ELSE 8300 END AS sstyle,
-  [8000 + (o_custkey + i) % 5, 9100 + i % 3] AS ps,
-  CASE WHEN o_orderkey % 17 = 3 THEN NULL ELSE [8400 + o_orderkey % 3] END AS ss,
-  CAST(4 + i % 3 AS BIGINT) AS s1, 10 + o_orderkey % 2 AS s2,
-  [CAST(o_custkey % 2 AS VARCHAR), CAST(i % 2 AS VARCHAR)] AS istart,
-  [CAST(o_orderkey % 3 AS VARCHAR)] AS imid,
-  ['1', CAST(o_custkey % 2 AS VARCHAR), CAST(i % 2 AS VARCHAR), '4'][1:2 + o_orderkey % 3] AS ibuild,
-  list_transform(range(1, 12 + o_orderkey % 4), lambda k: 1 + (k + i % 2) % 3) AS skill,
-  CAST(floor(o_totalprice) AS BIGINT) % (1000 + i) AS dp, o_custkey % (100 + i) AS dm, i * 10 AS dt,
-  i / 16 AS shd, (o_orderkey % 8) / 8 AS sht,
-  CASE WHEN i = 9 AND o_orderkey % 13 = 0 THEN NULL
-    ELSE (o_custkey + (i + 1) * 3) % 21 - 1 END AS ban
+  CASE WHEN c_custkey % 9 = 4 AND i = 7 THEN ''
+    ELSE {POSITION}[CAST((i + c_custkey) % 5 AS INT) + 1] END AS pos,
+  (c_nationkey % 2 = 0) = (i < 5) AS win,
+  [CAST(5001 + i % 2 AS BIGINT), 5001 + c_nationkey % 3, 5005] AS st,
+  8000 + 100 * (c_custkey % 4) AS pstyle,
+  CASE WHEN c_custkey % 17 = 3 THEN NULL ELSE 8300 END AS sstyle,
+  [8000 + (c_nationkey + i) % 5, 9100 + i % 3] AS ps,
+  CASE WHEN c_custkey % 17 = 3 THEN NULL ELSE [8400 + c_custkey % 3] END AS ss,
+  CAST(4 + i % 3 AS BIGINT) AS s1, 10 + c_custkey % 2 AS s2,
+  [CAST(c_nationkey % 2 AS VARCHAR), CAST(i % 2 AS VARCHAR)] AS istart,
+  [CAST(c_custkey % 3 AS VARCHAR)] AS imid,
+  ['1', CAST(c_nationkey % 2 AS VARCHAR), CAST(i % 2 AS VARCHAR), '4'][1:2 + c_custkey % 3] AS ibuild,
+  list_transform(range(1, 12 + c_custkey % 4), lambda k: 1 + (k + i % 2) % 3) AS skill,
+  CAST(floor(abs(c_acctbal)) AS BIGINT) % (1000 + i) AS dp, c_nationkey % (100 + i) AS dm, i * 10 AS dt,
+  i / 16 AS shd, (c_custkey % 8) / 8 AS sht,
+  CASE WHEN i = 9 AND c_custkey % 13 = 0 THEN NULL
+    ELSE (c_nationkey + (i + 1) * 3) % 21 - 1 END AS ban
   FROM seats WHERE NOT empty_match),
 paired AS (SELECT p.*, q.i AS o_i, q.champ AS o_champ, q.win AS o_win, q.skill AS o_skill, q.pos AS o_pos,
   q.st AS o_st, q.pstyle AS o_pstyle, q.sstyle AS o_sstyle, q.ps AS o_ps, q.ss AS o_ss
@@ -73,7 +77,7 @@ paired AS (SELECT p.*, q.i AS o_i, q.champ AS o_champ, q.win AS o_win, q.skill A
 RAW_FACTS = f"""{RAW_PARTICIPANTS},
 facts AS (
 SELECT "matchId", tier, "gameVersion", date, "gameDuration", ban, champ AS "p_championId",
-  pos AS "p_teamPosition", team AS "p_teamId", win AS p_win, o_orderkey % 20 = 0 AS early,
+  pos AS "p_teamPosition", team AS "p_teamId", win AS p_win, c_custkey % 20 = 0 AS early,
   o_champ AS "o_championId", st, ps, ss, s1, s2, istart, imid, ibuild, skill, dp, dm, dt, shd, sht
 FROM paired)"""
 
@@ -410,8 +414,6 @@ def raw(final: str) -> str:
     return query(RAW_PARTICIPANTS, final)
 
 
-EMPTY_MATCHES = "SELECT *, {} FROM base WHERE o_orderkey % 50 IN (7, 8)"
-
 ORACLE: dict[str, str] = {
     "pick_win": stats(
         FACTS, ALL_ROWS, picked(), f"SELECT {SHOWN_KEYS}, pick_cnt, win_cnt, total_cnt FROM picked"
@@ -507,19 +509,19 @@ ORACLE: dict[str, str] = {
   {as_text("skill")} AS "p_skillTree", ban, o_champ AS "o_championId", o_win,
   {as_text("o_skill")} AS "o_skillTree" FROM paired
   UNION ALL SELECT "matchId", tier, "gameVersion", date, "gameDuration", 420,
-  NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL FROM base WHERE o_orderkey % 50 IN (7, 8)"""
+  NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL FROM base WHERE c_custkey % 50 IN (7, 8)"""
     ),
     "flatten_aram": raw(
         """SELECT "matchId", champ AS "p_championId", team AS "p_teamId", win AS p_win FROM players"""
     ),
     "ban_lookup": raw(
         """SELECT ban, count(*) AS rows FROM (SELECT ban FROM players
-  UNION ALL SELECT NULL FROM base WHERE o_orderkey % 50 IN (7, 8)) GROUP BY ban"""
+  UNION ALL SELECT NULL FROM base WHERE c_custkey % 50 IN (7, 8)) GROUP BY ban"""
     ),
     "opponent_lookup": raw(
         """SELECT champ AS "p_championId", pos AS "p_teamPosition", o_champ AS "o_championId",
   o_pos AS "o_teamPosition", count(*) AS rows FROM (SELECT champ, pos, o_champ, o_pos FROM paired
-  UNION ALL SELECT NULL, NULL, NULL, NULL FROM base WHERE o_orderkey % 50 IN (7, 8)) GROUP BY ALL"""
+  UNION ALL SELECT NULL, NULL, NULL, NULL FROM base WHERE c_custkey % 50 IN (7, 8)) GROUP BY ALL"""
     ),
     "rune_lists": raw(
         f"""SELECT "matchId", champ AS "p_championId", team AS "p_teamId", {as_text("st")} AS "p_statPerks",
@@ -527,7 +529,7 @@ ORACLE: dict[str, str] = {
   {as_text("ss")} AS "p_subStyles", {as_text("o_st")} AS "o_statPerks", o_pstyle AS "o_primaryStyle",
   o_sstyle AS "o_subStyle", {as_text("o_ps")} AS "o_primaryStyles", {as_text("o_ss")} AS "o_subStyles"
   FROM paired UNION ALL SELECT "matchId", NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL,
-  NULL FROM base WHERE o_orderkey % 50 IN (7, 8)"""
+  NULL FROM base WHERE c_custkey % 50 IN (7, 8)"""
     ),
     "game_day": raw('SELECT "matchId", date FROM base'),
     "timeline_events": query(
@@ -564,7 +566,7 @@ ORACLE: dict[str, str] = {
 {RAW_PARTICIPANTS}
 SELECT f."matchId", champ AS "p_championId", team AS "p_teamId", skills AS "p_skillTree",
   build AS "p_itemBuild", boots AS "p_itemBoots" FROM players p JOIN folded f
-  ON 'T_' || o_orderkey = f."matchId" AND p.i + 1 = f.who""",
+  ON 'T_' || c_custkey = f."matchId" AND p.i + 1 = f.who""",
     "item_classes": """WITH parts AS (SELECT *, CAST(p_partkey * 97 AS VARCHAR) AS id FROM part),
 marked AS (SELECT *, length(id) < 6 AND p_size % 6 = 0 AS boots, length(id) < 6 AND p_size % 6 <> 0 AS usual
   FROM parts)

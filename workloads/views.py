@@ -1,7 +1,7 @@
 """The engine's inputs as views of the test tables.
 
 Every view reads whole tables. ``facts`` is one row per line item, ``raw_matches``
-one document per order, ``timelines`` one log per block of 200 events. Documents
+one document per customer, ``timelines`` one log per block of 200 events. Documents
 and logs are of bounded size however the keys of the tables are distributed.
 """
 
@@ -92,66 +92,80 @@ def facts(spark: SparkSession, folder: str) -> DataFrame:
     ).drop("l_orderkey", "o_orderkey", "o_custkey", "slot")
 
 
-# One participant out of an order and an ordinal i; some rows lack a position,
-# a rune style or a ban on purpose.
-PARTICIPANT = f"""
-    named_struct(
-        'championId', (o_custkey * 3 + i * 7 + o_orderkey) % 20,
-        'teamId', cast(if(i < 5, 100, 200) as bigint),
-        'summoner1Id', cast(4 + i % 3 as bigint),
-        'summoner2Id', 10 + o_orderkey % 2,
-        'teamPosition', if(o_orderkey % 9 = 4 and i = 7, '',
-            {POSITIONS}[cast((i + o_orderkey) % 5 as int)]),
-        'win', (o_custkey % 2 = 0) = (i < 5),
-        'gameEndedInEarlySurrender', o_orderkey % 20 = 0,
-        'physicalDamageDealtToChampions', cast(floor(o_totalprice) as bigint) % (1000 + i),
-        'magicDamageDealtToChampions', o_custkey % (100 + i),
-        'trueDamageDealtToChampions', cast(i * 10 as bigint),
-        'teamDamagePercentage', i / 16,
-        'damageTakenOnTeamPercentage', (o_orderkey % 8) / 8,
+SEGMENT_TIER = """
+    CASE c_mktsegment WHEN 'AUTOMOBILE' THEN 'challenger' WHEN 'BUILDING' THEN 'master'
+    WHEN 'FURNITURE' THEN 'diamond' WHEN 'HOUSEHOLD' THEN 'emerald'
+    ELSE if(c_custkey % 11 = 0, 'gold', 'platinum') END
+"""
+
+
+def participant(i: int) -> str:
+    """The i-th participant of a customer's match.
+
+    Some matches lack a position or a rune style on purpose.
+    """
+    position = f"{POSITIONS}[cast(({i} + c_custkey) % 5 as int)]"
+    if i == 7:
+        position = f"if(c_custkey % 9 = 4, '', {position})"
+    skills = ", ".join(f"{1 + (k + i % 2) % 3}L" for k in range(1, 15))
+    selection = "named_struct('perk', {perk}, 'var1', 0L, 'var2', 0L, 'var3', 0L)"
+    primary = ", ".join(
+        selection.format(perk=perk) for perk in (f"8000 + (c_nationkey + {i}) % 5", f"{9100 + i % 3}L")
+    )
+    sub = selection.format(perk="8400 + c_custkey % 3")
+    return f"""named_struct(
+        'championId', (c_nationkey * 3 + {i * 7} + c_custkey) % 20,
+        'teamId', {100 if i < 5 else 200}L,
+        'summoner1Id', {4 + i % 3}L,
+        'summoner2Id', 10 + c_custkey % 2,
+        'teamPosition', {position},
+        'win', c_nationkey % 2 = {0 if i < 5 else 1},
+        'gameEndedInEarlySurrender', c_custkey % 20 = 0,
+        'physicalDamageDealtToChampions', cast(floor(abs(c_acctbal)) as bigint) % {1000 + i},
+        'magicDamageDealtToChampions', c_nationkey % {100 + i},
+        'trueDamageDealtToChampions', {i * 10}L,
+        'teamDamagePercentage', {i / 16}D,
+        'damageTakenOnTeamPercentage', (c_custkey % 8) / 8,
         'perks', named_struct(
-            'statPerks', named_struct('defense', cast(5001 + i % 2 as bigint),
-                'flex', 5001 + o_custkey % 3, 'offense', 5005L),
+            'statPerks', named_struct('defense', {5001 + i % 2}L, 'flex', 5001 + c_nationkey % 3,
+                'offense', 5005L),
             'styles', slice(array(
-                named_struct('description', 'primaryStyle', 'selections', array(
-                    named_struct('perk', 8000 + (o_custkey + i) % 5, 'var1', 0L, 'var2', 0L, 'var3', 0L),
-                    named_struct('perk', cast(9100 + i % 3 as bigint), 'var1', 0L, 'var2', 0L, 'var3', 0L)),
-                    'style', 8000 + 100 * (o_orderkey % 4)),
-                named_struct('description', 'subStyle', 'selections', array(
-                    named_struct('perk', 8400 + o_orderkey % 3, 'var1', 0L, 'var2', 0L, 'var3', 0L)),
-                    'style', 8300L)),
-                1, if(o_orderkey % 17 = 3, 1, 2))),
-        'skillTree', transform(sequence(1, 11 + cast(o_orderkey % 4 as int)), k -> cast(1 + (k + i % 2) % 3 as bigint)),
-        'itemStart', array(cast(o_custkey % 2 as string), cast(i % 2 as string)),
-        'itemMiddle', array(cast(o_orderkey % 3 as string)),
-        'itemBuild', slice(array('1', cast(o_custkey % 2 as string), cast(i % 2 as string), '4'),
-            1, 2 + cast(o_orderkey % 3 as int))
-    )
-"""
+                named_struct('description', 'primaryStyle', 'selections', array({primary}),
+                    'style', 8000 + 100 * (c_custkey % 4)),
+                named_struct('description', 'subStyle', 'selections', array({sub}), 'style', 8300L)),
+                1, if(c_custkey % 17 = 3, 1, 2))),
+        'skillTree', slice(array({skills}), 1, 11 + cast(c_custkey % 4 as int)),
+        'itemStart', array(cast(c_nationkey % 2 as string), '{i % 2}'),
+        'itemMiddle', array(cast(c_custkey % 3 as string)),
+        'itemBuild', slice(array('1', cast(c_nationkey % 2 as string), '{i % 2}', '4'),
+            1, 2 + cast(c_custkey % 3 as int)))"""
 
 
 def raw_matches(spark: SparkSession, folder: str) -> DataFrame:
-    """Nested matches: every order is a match of ten participants, without a shuffle."""
-    orders = table(spark, folder, "orders")
-    team = (
-        "named_struct('teamId', {team}L, 'win', o_custkey % 2 = {parity}, "
-        "'bans', transform(sequence({first}, {last}), t -> named_struct("
-        "'championId', (o_custkey + t * 3) % 21 - 1, 'pickTurn', cast(t as bigint))))"
+    """Nested matches: every customer is a match of ten participants, without a shuffle."""
+    customers = table(spark, folder, "customer")
+    ban = "named_struct('championId', (c_nationkey + {shift}) % 21 - 1, 'pickTurn', {turn}L)"
+    bans = [ban.format(shift=turn * 3, turn=turn) for turn in range(1, 11)]
+    team = "named_struct('teamId', {team}L, 'win', c_nationkey % 2 = {parity}, 'bans', {bans})"
+    blue = team.format(team=100, parity=0, bans=f"array({', '.join(bans[:5])})")
+    red = team.format(
+        team=200,
+        parity=1,
+        bans=f"slice(array({', '.join(bans[5:])}), 1, if(c_custkey % 13 = 0, 4, 5))",
     )
-    blue = team.format(team=100, parity=0, first=1, last=5)
-    red = team.format(team=200, parity=1, first=6, last="if(o_orderkey % 13 = 0, 9, 10)")
-    return orders.select(
+    seats = ", ".join(participant(i) for i in range(10))
+    return customers.select(
         F.expr(
-            f"""named_struct('tier', {TIER}, 'gameVersion', {VERSION},
-            'matchId', concat('R_', o_orderkey), 'gameDuration', 600 + (o_orderkey * 37) % 2000,
-            'gameStartTimestamp', (unix_date(cast(o_orderdate as date)) * 86400L
-                + (o_orderkey * 7919) % 86400) * 1000)"""
+            f"""named_struct('tier', {SEGMENT_TIER},
+            'gameVersion', concat(9 + c_custkey % 5, '.', 8 + c_nationkey % 3, '.1'),
+            'matchId', concat('R_', c_custkey), 'gameDuration', 600 + (c_custkey * 37) % 2000,
+            'gameStartTimestamp', ((9500L + c_custkey % 2000) * 86400L
+                + (c_custkey * 7919) % 86400) * 1000)"""
         ).alias("metadata"),
         F.expr("420L").alias("queueId"),
         F.expr(
-            f"""CASE WHEN o_orderkey % 50 = 8 THEN null
-            ELSE transform(slice(sequence(0, 9), 1, if(o_orderkey % 50 = 7, 0, 10)),
-                i -> {PARTICIPANT}) END"""
+            f"""CASE WHEN c_custkey % 50 = 8 THEN null
+            ELSE slice(array({seats}), 1, if(c_custkey % 50 = 7, 0, 10)) END"""
         ).alias("participants"),
         F.expr(f"array({blue}, {red})").alias("teams"),
     )
