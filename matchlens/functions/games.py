@@ -12,7 +12,7 @@ DAY_MS = 86_400_000
 
 def major_minor(version: Column) -> Column:
     """``13.14.522.7601`` to ``13.14``."""
-    return F.array_join(F.slice(F.split(version, "[.]", 3), 1, 2), ".")
+    return F.substring_index(version, ".", 2)
 
 
 def version_order(version: Column) -> Column:

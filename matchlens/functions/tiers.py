@@ -21,8 +21,12 @@ def canonical_tier(tier: Column) -> Column:
 
 def tier_rank(tier: Column, ladder: tuple[str, ...] = LADDER) -> Column:
     """1-based position on the ladder; NULL for a tier below it."""
-    position = F.array_position(F.array(*map(F.lit, ladder)), canonical_tier(tier))
-    return F.nullif(position, F.lit(0).cast("bigint")).cast("int")
+    lowered = F.lower(tier)
+    rank = F.when(F.lit(False), F.lit(0))
+    for place, name in enumerate(ladder, 1):
+        names = APEX if name == "master" else (name,)
+        rank = rank.when(lowered.isin(*names), F.lit(place))
+    return rank
 
 
 def tier_priority(tier: Column) -> Column:

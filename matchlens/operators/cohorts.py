@@ -92,9 +92,13 @@ def with_canonical_values(facts: DataFrame) -> DataFrame:
 
 
 def latest_version(facts: DataFrame) -> DataFrame:
-    """The greatest version, compared by number, as one row."""
+    """The greatest version, compared by number, as one row.
+
+    Versions are few, so they are made distinct before they are taken apart.
+    """
+    versions = facts.select("gameVersion").distinct()
     newest = F.max_by("gameVersion", version_order(F.col("gameVersion")))
-    return facts.agg(newest.alias("gameVersion"))
+    return versions.agg(newest.alias("gameVersion"))
 
 
 def finished_games(facts: DataFrame) -> DataFrame:

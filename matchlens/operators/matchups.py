@@ -85,21 +85,14 @@ def pair_counts(
     one small group. Both members' games are in a cohort when the lower of
     their ranks is.
     """
-    apart_name = "apart"
     members = (
         cohorts.member_rows(facts)
-        .where(F.col(within[0]).isNotNull())
-        .groupBy(*within, *key_columns(keys), F.col(apart).alias(apart_name), "p_win", RANK)
+        .groupBy(*within, *key_columns(keys), F.col(apart).alias("apart"), "p_win", RANK)
         .agg(F.count("*").alias("n"))
     )
-    fields = [*keys, apart_name, "p_win", RANK, "n"]
-    groups = members.groupBy(*within).agg(F.collect_list(F.struct(*fields)).alias("members"))
-    pairs = (
-        groups.select(F.explode("members").alias("a"), "members")
-        .select("a", F.explode("members").alias("b"))
-        .where(F.col(f"a.{apart_name}") != F.col(f"b.{apart_name}"))
-    )
-    met = pairs.select(
+    a, b = members.alias("a"), members.alias("b")
+    same = [F.col(f"a.{name}") == F.col(f"b.{name}") for name in within]
+    met = a.join(b, [*same, F.col("a.apart") != F.col("b.apart")]).select(
         *[F.col(f"a.{key}").alias(key) for key in keys],
         *[F.col(f"b.{key}").alias(name) for name, key in partner.items()],
         F.least(f"a.{RANK}", f"b.{RANK}").alias(RANK),
