@@ -36,8 +36,8 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 AS_OF = datetime.date(2001, 8, 2)
 ALL_DAYS = 3000
-COUNTER_GAMES = 20
-SYNERGY_GAMES = 5
+COUNTER_GAMES = 3
+SYNERGY_GAMES = 3
 
 
 def text(array: Column | str) -> Column:

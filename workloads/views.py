@@ -94,6 +94,13 @@ def facts(spark: SparkSession, folder: str) -> DataFrame:
     ).drop("o_custkey", "slot")
 
 
+SEGMENT_TIER = """
+    CASE c_mktsegment WHEN 'AUTOMOBILE' THEN 'challenger' WHEN 'BUILDING' THEN 'master'
+    WHEN 'FURNITURE' THEN 'diamond' WHEN 'HOUSEHOLD' THEN 'emerald'
+    ELSE if(c_custkey % 11 = 0, 'gold', 'platinum') END
+"""
+
+
 def participant(i: int) -> str:
     """The i-th participant of a customer's match.
 
