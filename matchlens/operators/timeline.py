@@ -17,6 +17,9 @@ from matchlens.functions.items import ALWAYS_COMPLETED
 SLOTS = 10
 START_GOLD = 500
 
+# A catalogue holds a few hundred items; a larger table is not one.
+MAX_ITEMS = 20_000
+
 PURCHASED = "ITEM_PURCHASED"
 SOLD = "ITEM_SOLD"
 UNDO = "ITEM_UNDO"
@@ -34,8 +37,13 @@ def classify_items(items: DataFrame) -> DataFrame:
 
 
 def catalogue_row(items: DataFrame) -> DataFrame:
-    """The classified catalogue as one row: prices by id and the ids of each class."""
-    classified = classify_items(items)
+    """The classified catalogue as one row: prices by id and the ids of each class.
+
+    The row goes to every task, so its size is checked: only the first
+    ``MAX_ITEMS + 1`` items are ever gathered, and more than ``MAX_ITEMS`` fail.
+    """
+    classified = classify_items(items.limit(MAX_ITEMS + 1))
+    small = F.assert_true(F.count("*") <= MAX_ITEMS, F.lit("too many items for a catalogue"))
 
     def ids(flag: str) -> Column:
         return F.collect_set(F.when(F.col(flag), F.col("itemId")))
@@ -47,6 +55,7 @@ def catalogue_row(items: DataFrame) -> DataFrame:
             F.array_union(ids("is_completed"), F.array(F.lit(ALWAYS_COMPLETED))).alias("completed"),
             ids("is_mythic").alias("mythic"),
             ids("is_boots").alias("boots"),
+            small.alias("checked"),
         ).alias("catalogue")
     )
 

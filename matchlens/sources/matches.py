@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -11,6 +12,7 @@ from pyspark.sql.utils import AnalysisException
 
 from matchlens.operators.state import mark_done
 from matchlens.schema import FETCHED_MATCH, RAW_MATCH
+from matchlens.session import work_folder
 
 RUN_DATE = "run_date"
 
@@ -78,6 +80,19 @@ def read_recent(
     return chosen if with_today else chosen.where(F.col(RUN_DATE) < F.lit(as_of))
 
 
+def stored_facts(facts: DataFrame) -> DataFrame:
+    """Facts written to the shared work folder and read back, as between the two daily jobs.
+
+    The statistics read facts once per relation, each time only its own columns.
+    Rebalancing keeps the rows of a match together, so that they are combined
+    before they are shuffled, and splits the part of a match that is too large.
+    """
+    spark = facts.sparkSession
+    target = f"{work_folder(spark)}/facts-{uuid.uuid4()}"
+    facts.hint("rebalance", "matchId").write.parquet(target)
+    return spark.read.schema(facts.schema).parquet(target)
+
+
 def read_json_values(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
     """Rows from a file of JSON values, one per line."""
     reader = spark.read.schema(schema) if schema else spark.read

@@ -1,6 +1,7 @@
 import pytest
 from pyspark.sql import functions as F
 
+from matchlens.operators import timeline
 from matchlens.operators.timeline import (
     classify_items,
     fold_timelines,
@@ -8,9 +9,8 @@ from matchlens.operators.timeline import (
     ordered_events,
     slot_rows,
 )
-from matchlens.schema import RAW_MATCH, TIMELINE
+from matchlens.schema import ITEM_MAP, RAW_MATCH, TIMELINE
 from matchlens.sources.catalogues import items_of
-from matchlens.schema import ITEM_MAP
 
 ITEMS = {
     "1001": {"tags": ["Boots"], "description": "", "gold": {"base": 300}},
@@ -139,3 +139,9 @@ def test_fold_does_not_shuffle_the_matches(spark, items):
     rows = spark.createDataFrame([{"matchId": "m", "frames": []}], TIMELINE)
     plan = fold_timelines(rows, items)._jdf.queryExecution().optimizedPlan().toString()
     assert "Join" not in plan and "scalar-subquery" in plan
+
+
+def test_catalogue_size_is_checked(spark, items, monkeypatch):
+    monkeypatch.setattr(timeline, "MAX_ITEMS", 3)
+    with pytest.raises(Exception, match="too many items"):
+        folded(spark, items, [buy(1055)]).collect()

@@ -28,6 +28,7 @@ from matchlens.operators.cohorts import COHORT, LADDER_COHORTS
 from matchlens.schema import CHAMPION_MAP, ITEM_MAP
 from matchlens.session import work_folder
 from matchlens.sources.catalogues import champions_of, items_of
+from matchlens.sources.matches import stored_facts
 from matchlens.sources.warehouse import create_recent_view, read_dates
 from matchlens.streaming import decode_messages, land_messages
 from workloads import views
@@ -55,18 +56,6 @@ def finished(spark: SparkSession, folder: str) -> DataFrame:
     return cohorts.finished_games(cohorts.with_canonical_values(views.facts(spark, folder)))
 
 
-def stored(facts: DataFrame) -> DataFrame:
-    """Facts written to the shared work folder and read back, as between the two daily jobs.
-
-    The statistics read them once per relation, each time only its own columns.
-    Rebalancing keeps the rows of a match together, so that they are combined
-    before they are shuffled, and splits the part of a match that is too large.
-    """
-    target = f"{work_folder(facts.sparkSession)}/facts-{uuid.uuid4()}"
-    facts.hint("rebalance", "matchId").write.parquet(target)
-    return facts.sparkSession.read.schema(facts.schema).parquet(target)
-
-
 # --- champion statistics ---------------------------------------------------
 
 
@@ -207,20 +196,20 @@ LANE_ARRAYS = [
 
 
 def champion_document(spark, folder):
-    facts = stored(views.facts(spark, folder))
+    facts = stored_facts(views.facts(spark, folder))
     made = document.champion_documents(facts, AS_OF, ALL_DAYS, min_games=SYNERGY_GAMES)
     return _document_rows(made, LANE_ARRAYS)
 
 
 def nested_document(spark, folder):
     """Documents from nested matches: flatten, store, statistics."""
-    facts = stored(flatten.flatten_matches(views.raw_matches(spark, folder)))
+    facts = stored_facts(flatten.flatten_matches(views.raw_matches(spark, folder)))
     made = document.champion_documents(facts, AS_OF, ALL_DAYS, min_games=SYNERGY_GAMES)
     return _document_rows(made, LANE_ARRAYS)
 
 
 def aram_document(spark, folder):
-    made = document.aram_documents(stored(views.facts(spark, folder)), AS_OF, ALL_DAYS)
+    made = document.aram_documents(stored_facts(views.facts(spark, folder)), AS_OF, ALL_DAYS)
     return _document_rows(made, LANE_ARRAYS)
 
 
