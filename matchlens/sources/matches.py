@@ -5,10 +5,10 @@ from __future__ import annotations
 import datetime
 import uuid
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.utils import AnalysisException
 
 from matchlens.operators.state import mark_done
 from matchlens.schema import FETCHED_MATCH, RAW_MATCH
