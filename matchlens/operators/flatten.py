@@ -14,10 +14,11 @@ from pyspark.sql import types as T
 
 from matchlens.functions import game_day
 
+# Descriptions of the two rune styles.
 PRIMARY = "primaryStyle"
 SUB = "subStyle"
 
-# Fields kept from a fetched match.
+# Fields kept from a fetched match.
 KEPT_NUMBERS_AND_FLAGS = (
     "perks",
     "summoner1Id",

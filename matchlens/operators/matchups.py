@@ -15,6 +15,7 @@ from matchlens.operators.joins import join_null_safe
 from matchlens.operators.options import without_place
 from matchlens.operators.picks import ARAM_KEYS, LANE_KEYS, champion_base, key_columns
 
+# Thresholds of a matchup, and lengths of the lists.
 MIN_SHARE = 0.01
 EVEN = 0.5
 MIN_GAMES = 50

@@ -21,6 +21,7 @@ from matchlens.operators.cohorts import ALL, COHORT, Cohorts, win_weight
 from matchlens.operators.joins import join_null_safe
 from matchlens.operators.picks import LANE_KEYS, champion_base, key_columns
 
+# Smallest share of an option, and lengths of the compared sequences.
 MIN_OPTION_SHARE = 0.01
 BUILD_LENGTH = 3
 SKILL_LENGTH = 13

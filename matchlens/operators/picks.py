@@ -11,6 +11,7 @@ from matchlens.operators.cohorts import ALL, COHORT, RANK, Cohorts, match_totals
 LANE_KEYS = {"championId": "p_championId", "teamPosition": "p_teamPosition"}
 ARAM_KEYS = {"championId": "p_championId"}
 
+# Pick threshold, and the marker of an unused ban.
 MIN_PICK_SHARE = 0.005
 NO_BAN = -1
 

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from matchlens.functions import tier_priority
 
+# Fixed value: games one request lists.
 PAGE = 100
 
 

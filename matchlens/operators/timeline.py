@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from matchlens.functions import item_flags
 from matchlens.functions.items import ALWAYS_COMPLETED
 
+# Slots of a match, starting gold, event types.
 SLOTS = 10
 START_GOLD = 500
 

@@ -7,6 +7,7 @@ from pathlib import Path
 
 from pyspark.sql import types as T
 
+# Field names of the match documents.
 _OBJECTIVES = ("baron", "champion", "dragon", "inhibitor", "riftHerald", "tower")
 _FLAGS = (
     "win",

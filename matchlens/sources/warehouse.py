@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from matchlens.operators.cohorts import recent_days_in_zone
 
+# Partition expiry of the tables, and days the landing folders are kept.
 EXPIRY_DAYS = 60
 RETENTION_DAYS = 14
 
@@ -47,7 +48,7 @@ def _sided(names: tuple[str, ...]) -> str:
     return ", ".join(f"{side}_{name} INT" for side in ("BLUE", "RED") for name in names)
 
 
-# Columns of each warehouse table; all are partitioned by date.
+# Columns of each warehouse table; all are partitioned by date.
 TABLES = {
     "match": "matchId STRING, tier STRING, gameDuration INT, gameVersion STRING, date DATE, "
     f"BLUE_WIN BOOLEAN, {_sided(_LANES)}, BANS ARRAY<INT>, {_sided(_GOALS)}, execution_date DATE",
