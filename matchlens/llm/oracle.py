@@ -2,4 +2,71 @@
 
 from __future__ import annotations
 
-ORACLE: dict[str, str] = {}
+_RULES = """(VALUES ('com', '/', 'allow'), ('example.com', '/en/', 'block'), ('www.example.com', '/en/', 'allow'),
+ ('net', '/es/', 'block'), ('net', '/fr/', 'block')) AS rules(rule_host, rule_path, rule_verdict)"""
+
+_UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+
+OP6 = f"""
+WITH parted AS (
+  SELECT page_id,
+    CASE WHEN contains(url, '://') THEN translate(regexp_extract(url, '(?s)^.*?://([^/?#]*)', 1), '{_UPPER}', '{_LOWER}') ELSE '' END AS host,
+    CASE WHEN contains(url, '://') THEN regexp_extract(url, '(?s)^.*?://[^/?#]*([^?#]*)', 1) ELSE '' END AS path
+  FROM pages
+), fitting AS (
+  SELECT page_id, host, path, rule_host || rule_path AS rule, rule_verdict AS verdict
+  FROM parted LEFT JOIN {_RULES}
+    ON (host = rule_host OR ends_with(host, '.' || rule_host)) AND starts_with(path, rule_path)
+)
+SELECT page_id, host, path, max_by(rule, length(rule)) AS rule, coalesce(max_by(verdict, length(rule)), 'allow') AS verdict
+FROM fitting GROUP BY page_id, host, path
+"""
+
+OP10 = f"""
+WITH made AS (
+  SELECT page_id AS p, j, url, html, ((j = 0 AND page_id % 11 <> 0) OR j = 3) AS response,
+    epoch_us(TIMESTAMP '2024-01-01 00:00:00') + 1000000 * ((page_id % 97) * 3600 + j * ((1 + page_id % 3) * 86400 + 7)) AS "at",
+    coalesce(html, '') || CASE WHEN j = 3 THEN '<!-- changed -->' ELSE '' END AS body
+  FROM pages, LATERAL (SELECT unnest(range(CAST(page_id % 4 + 2 AS BIGINT))) AS j)
+), tagged AS (
+  SELECT *, '<urn:page:' || p || ':' || j || '>' AS record_id,
+    CASE WHEN NOT response AND p % 7 = 3 THEN NULL
+         WHEN NOT response AND p % 13 = 5 THEN '"other"'
+         ELSE '"' || p || '-' || CASE WHEN j >= 3 THEN 1 ELSE 0 END || '"' END AS etag,
+    CASE WHEN j % 2 = 1 AND (response OR p % 13 <> 5) THEN 'W/' ELSE '' END AS weak,
+    regexp_replace(regexp_replace(url, '(?s)#.*$', ''), '(?i)^[a-z][a-z0-9+.-]*://', '') AS bare
+  FROM made
+), keyed AS (
+  SELECT *, strftime(make_timestamp("at"), '%Y-%m-%dT%H:%M:%SZ') AS shown,
+    list_sort(list_filter(string_split(regexp_extract(bare, '(?s)\\?(.*)$', 1), '&'),
+      lambda x: x <> '' AND NOT regexp_matches(x, '^(utm_[^=]*|fbclid|gclid|ref)(=|$)'))) AS query
+  FROM tagged
+), named AS (
+  SELECT *, regexp_replace(regexp_replace(translate(regexp_extract(bare, '(?s)^([^/?]*)', 1), '{_UPPER}', '{_LOWER}'), '^www\\.', ''), ':(80|443)$', '')
+    || regexp_replace(regexp_extract(bare, '(?s)^[^/?]*([^?]*)', 1), '/+$', '')
+    || CASE WHEN len(query) > 0 THEN '?' || array_to_string(query, '&') ELSE '' END AS url_key
+  FROM keyed
+), latest AS (
+  SELECT url_key, "at", max(record_id) AS record_id FROM named WHERE response GROUP BY url_key, "at"
+), joined AS (
+  SELECT r.*, s.record_id AS source_id
+  FROM (SELECT * FROM named WHERE NOT response) r ASOF LEFT JOIN latest s ON r.url_key = s.url_key AND r."at" > s."at"
+), sourced AS (
+  SELECT j.*, s.etag AS source_etag, s.weak AS source_weak, s.body AS source_body, s.j AS source_j,
+    CASE WHEN j.source_id IS NULL THEN 'missing' WHEN j.etag IS NULL THEN 'unverified'
+         WHEN j.etag = s.etag THEN 'resolved' ELSE 'mismatch' END AS outcome
+  FROM joined j LEFT JOIN (SELECT DISTINCT record_id, etag, weak, body, j FROM named WHERE response) s ON j.source_id = s.record_id
+), merged AS (
+  SELECT *, CASE WHEN outcome IN ('resolved', 'unverified') THEN list_sort([
+      'cache-control: max-age=' || j, 'content-type: text/html; charset=utf-8', 'date: ' || shown,
+      'etag: ' || CASE WHEN etag IS NULL THEN source_weak || source_etag ELSE weak || etag END, 'server: origin']) END AS headers
+  FROM sourced
+)
+SELECT record_id, url_key, "at", outcome, source_id, CAST(len(headers) AS INTEGER) AS n_headers,
+  sha256(array_to_string(headers, chr(10))) AS headers_sha256,
+  CASE WHEN headers IS NOT NULL THEN 'sha256:' || sha256(source_body) END AS payload_digest,
+  CASE WHEN headers IS NOT NULL THEN CAST(length(source_body) AS BIGINT) END AS n_chars
+FROM merged
+"""
+
+ORACLE: dict[str, str] = {"op6_url_filter": OP6, "op10_warc": OP10}
