@@ -57,7 +57,9 @@ def _fingerprints(texts: DataFrame, lengths: list[int]) -> DataFrame:
     """Adds ``found``: structs of a hash, its length of window, and the windows (from, until) that it stands for.
 
     ``texts`` has ``words``. Every function below refers to its array twice or
-    more, which keeps the optimizer from computing the array inside the loop.
+    more, which keeps the optimizer from computing the array inside the loop;
+    for the same reason callers explode with ``explode_outer``, for which no
+    filter on the whole expression is derived and pushed down.
     """
     hashed = texts.withColumn("hashes", F.transform("words", lambda w: F.xxhash64(w))).withColumn("grams", _grams("hashes", GRAM))
     g = F.col("grams")
@@ -94,11 +96,11 @@ def leaks_by_text(docs: DataFrame, items: DataFrame, text: str = "text", item_ke
     windows = benchmark.select("item_id", "words", n.alias("n"), at.alias("at")).select("item_id", "n", _window(F.col("words"), F.col("at"), F.col("n")).alias("window"))
     windows = windows.distinct()
     known = windows.select("n", "window").distinct().withColumn("words", F.split("window", " "))
-    prints = _fingerprints(known, sizes).select(F.explode("found").alias("f"), F.col("n").alias("item_n")).select("f.h", "f.n", "item_n").filter("n = item_n").select("h", "n").distinct()
+    prints = _fingerprints(known, sizes).select(F.explode_outer("found").alias("f"), F.col("n").alias("item_n")).select("f.h", "f.n", "item_n").filter("n = item_n").select("h", "n").distinct()
 
     source = docs.select(F.col(f"`{text}`").cast("string").alias("text"))
     texts = source.select(F.md5("text").alias("digest"), words_of(F.col("text")).alias("words"))
-    found = _fingerprints(texts, sizes).select("digest", F.explode("found").alias("f")).select("digest", "f.h", "f.n", "f.a", "f.b")
+    found = _fingerprints(texts, sizes).select("digest", F.explode_outer("found").alias("f")).select("digest", "f.h", "f.n", "f.a", "f.b")
     hits = found.join(prints, ["h", "n"]).select("digest", "n", "a", "b").distinct()
     seeds = hits.groupBy("digest").agg(F.collect_list(F.struct("n", "a", "b")).alias("seeds"))
     seeds.write.parquet(f"{folder}/seeds")
@@ -106,9 +108,11 @@ def leaks_by_text(docs: DataFrame, items: DataFrame, text: str = "text", item_ke
 
     # Texts with a hit, one of each group of copies.
     again = source.select(F.md5("text").alias("digest"), "text").join(seeds, "digest").groupBy("digest").agg(F.first("text").alias("text"), F.first("seeds").alias("seeds"))
-    places = F.explode(F.flatten(F.transform("seeds", lambda s: F.transform(F.sequence(s["a"], s["b"] - 1), lambda i: F.struct(s["n"].alias("n"), i.alias("at"))))))
-    candidates = again.select("digest", words_of(F.col("text")).alias("words"), "seeds").select("digest", "words", places.alias("p"))
-    candidates = candidates.select("digest", F.col("p.n").alias("n"), F.col("p.at").alias("at"), _window(F.col("words"), F.col("p.at"), F.col("p.n")).alias("window"))
+    again = again.select("digest", words_of(F.col("text")).alias("words"), "seeds")
+    words = F.col("words")
+    places = F.flatten(F.transform("seeds", lambda s: F.transform(F.sequence(s["a"], s["b"] - 1), lambda i: F.struct(s["n"].alias("n"), i.alias("at")))))
+    whole = F.transform(places, lambda p: F.struct(p["n"].alias("n"), p["at"].alias("at"), F.when(F.size(words) > 0, _window(words, p["at"], p["n"])).alias("window")))
+    candidates = again.select("digest", F.explode_outer(whole).alias("p")).select("digest", "p.n", "p.at", "p.window")
     confirmed = candidates.join(known.select("n", "window"), ["n", "window"])
     confirmed.write.parquet(f"{folder}/windows")
     confirmed = spark.read.parquet(f"{folder}/windows")
