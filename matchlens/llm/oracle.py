@@ -69,4 +69,32 @@ SELECT record_id, url_key, "at", outcome, source_id, CAST(len(headers) AS INTEGE
 FROM merged
 """
 
-ORACLE: dict[str, str] = {"op6_url_filter": OP6, "op10_warc": OP10}
+OP2 = f"""
+WITH doc AS (
+  SELECT row_number() OVER () AS r, doc_id,
+    list_filter(string_split_regex(translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'), '[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+'), lambda x: x <> '') AS words
+  FROM documents
+), item AS (
+  SELECT CAST(item_id AS VARCHAR) AS item_id,
+    list_filter(string_split_regex(translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'), '[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+'), lambda x: x <> '') AS words
+  FROM benchmark
+), item_window AS (
+  SELECT DISTINCT item_id, n, array_to_string(words[i + 1 : i + n], ' ') AS gram
+  FROM (SELECT item_id, words, least(10, len(words)) AS n, unnest(range(len(words) - least(10, len(words)) + 1)) AS i FROM item WHERE len(words) > 0)
+), doc_window AS (
+  SELECT r, n, i, array_to_string(words[i + 1 : i + n], ' ') AS gram
+  FROM (SELECT r, words, n, unnest(range(len(words) - n + 1)) AS i FROM doc, (SELECT DISTINCT n FROM item_window) WHERE len(words) >= n)
+), hit AS (
+  SELECT r, n, i, gram FROM doc_window WHERE (n, gram) IN (SELECT (n, gram) FROM item_window)
+), covered AS (
+  SELECT r, count(DISTINCT place) AS n_hit FROM (SELECT r, unnest(range(i, i + n)) AS place FROM hit) GROUP BY r
+), named AS (
+  SELECT r, count(DISTINCT item_id) AS n_items, string_agg(DISTINCT item_id, ',' ORDER BY item_id) AS ids
+  FROM (SELECT DISTINCT r, n, gram FROM hit) JOIN item_window USING (n, gram) GROUP BY r
+)
+SELECT doc_id, CAST(len(words) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+  sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM doc LEFT JOIN covered USING (r) LEFT JOIN named USING (r)
+"""
+
+ORACLE: dict[str, str] = {"op2_decontaminate": OP2, "op6_url_filter": OP6, "op10_warc": OP10}
