@@ -28,10 +28,13 @@ give empty results; other columns are not read.
 
 from __future__ import annotations
 
+from uuid import uuid4
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from matchlens.llm.text_columns import lower_ascii
+from matchlens.session import work_folder
 
 #: Bits of a time in microseconds that one level of the as-of tree resolves, and its levels.
 BITS = 17
@@ -110,6 +113,12 @@ def _previous(times: DataFrame, level: int) -> DataFrame:
 
 def resolve(captures: DataFrame) -> DataFrame:
     """Every revisit of ``captures`` (rows of ``parse``) with its outcome, source and merged headers."""
+    meta = ["record_id", "headers", "etag", "last_modified", "payload_digest"]
+    folder = f"{work_folder(captures.sparkSession)}/captures-{uuid4().hex}"
+    # Everything but the bodies, parsed once and read by each branch below.
+    light = captures.select("type", "url", "url_key", "at", "status", *meta, F.length("body").alias("length"))
+    light.write.parquet(folder)
+    captures = captures.sparkSession.read.parquet(folder)
     kept = captures.filter(F.col("type").isin("response", "revisit") & F.col("at").isNotNull() & F.col("url_key").isNotNull() & F.col("record_id").isNotNull())
     full = (F.col("type") == "response") & F.col("status").between(200, 299)
     events = kept.filter(full | (F.col("type") == "revisit"))
@@ -117,8 +126,7 @@ def resolve(captures: DataFrame) -> DataFrame:
     times = events.groupBy("url_key", F.col("at").alias("node")).agg(F.max(found).alias("found"))
     previous = _previous(times, 0).select("url_key", F.col("node").alias("at"), F.col("previous.record_id").alias("source_id"))
 
-    meta = ["record_id", "headers", "etag", "last_modified", "payload_digest"]
-    sources = kept.filter(full).select(F.col("url_key").alias("source_key"), *(F.col(c).alias(f"source_{c}") for c in meta), F.length("body").alias("source_length"))
+    sources = kept.filter(full).select(F.col("url_key").alias("source_key"), *(F.col(c).alias(f"source_{c}") for c in meta), F.col("length").alias("source_length"))
     # Responses may repeat; one row per id is enough to merge from.
     sources = sources.groupBy("source_key", "source_record_id").agg(*(F.first(c).alias(c) for c in sources.columns[2:]))
     revisits = kept.filter("type = 'revisit'").select("url", "url_key", "at", *meta)
