@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
+from uuid import uuid4
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
 from matchlens.operators.joins import join_null_safe
+from matchlens.session import work_folder
 
-ACCURACY = 10_000
-SPLITS = 200
+# Rows that a part of a ranked frame holds about.
+PART_ROWS = 1_000_000
 
 
 def top_rows(df: DataFrame, by: str, k: int = 5, ties: tuple[str, ...] = ()) -> DataFrame:
@@ -23,49 +27,39 @@ def mask_rows(df: DataFrame, condition: Column, keep: tuple[str, ...] = ()) -> D
     )
 
 
-def rank_first(
-    df: DataFrame, value: str, ordinal: str, name: str, by: list[str] | None = None, splits: int = 0
-) -> DataFrame:
-    """Rank by descending value, equal values in order of the unique ``ordinal``.
+def rank_first(df: DataFrame, value: str, ordinal: str, name: str, by: list[str] | None = None) -> DataFrame:
+    """Rank by descending value, nulls last, equal values in order of the unique ``ordinal``.
 
-    Small groups are ranked by a window. ``splits`` is for groups of any size,
-    and always used to rank a whole frame:
-    each group is cut at approximate quantiles of the value, a value frequent
-    enough to be a quantile gets a part of its own that is cut further by
-    ordinal, rows are ranked within their part and shifted by the size of the
-    parts before it. The cuts only balance the work; the rank is exact.
+    One plan for groups of any size and any orderable types. The rows are
+    written once, range-partitioned and sorted by group, value and ordinal, with
+    their place in their part; the number of parts follows the number of rows.
+    A row's place in the whole is its place in its part and the rows of the
+    parts before; its rank, the places since its group began. The ordinal cuts
+    ties and frequent values like all others.
     """
-    if not by:
-        whole = df.withColumn("whole", F.lit(0))
-        return rank_first(whole, value, ordinal, name, ["whole"], splits or SPLITS).drop("whole")
-    order = [F.desc_nulls_last(value), F.asc(ordinal)]
-    if not splits:
-        return df.withColumn(name, F.row_number().over(Window.partitionBy(*by).orderBy(*order)))
-
-    shares = [i / splits for i in range(1, splits)]
-    cuts = df.groupBy(*by).agg(
-        F.array_distinct(F.percentile_approx(value, shares, ACCURACY)).alias("value_cuts"),
-        F.percentile_approx(ordinal, shares, ACCURACY).alias("ordinal_cuts"),
-    )
-    marked = join_null_safe(df, cuts, by)
-    v, o = F.col(value), F.col(ordinal)
-    above = F.size(F.filter("value_cuts", lambda c: c > v))
-    on_cut = F.coalesce(F.array_contains("value_cuts", v), F.lit(False))
-    place = F.when(v.isNull(), 2 * splits).otherwise(2 * above + F.when(on_cut, 1).otherwise(0))
-    single = on_cut | v.isNull()
-    below = F.when(single, F.size(F.filter("ordinal_cuts", lambda c: c < o))).otherwise(0)
-    parts = marked.withColumns({"part": place, "subpart": below}).drop("value_cuts", "ordinal_cuts")
+    by = by or []
+    order = [*map(F.asc_nulls_first, by), F.desc_nulls_last(value), F.asc_nulls_first(ordinal)]
+    least = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    parts = max(least, -(-df.count() // PART_ROWS))
+    # The id of a row is its partition's number, shifted by 33 bits, and its place there.
+    place = F.monotonically_increasing_id()
+    folder = f"{work_folder(df.sparkSession)}/ranks-{uuid4().hex}"
+    df.repartitionByRange(parts, *order).sortWithinPartitions(*order).withColumn("rank_place", place).write.parquet(folder)
+    placed = df.sparkSession.read.schema(StructType([*df.schema.fields, StructField("rank_place", LongType())])).parquet(folder)
 
-    sizes = parts.groupBy(*by, "part", "subpart").agg(F.count("*").alias("rows"))
-    before = Window.partitionBy(*by).orderBy("part", "subpart").rowsBetween(
-        Window.unboundedPreceding, -1
-    )
-    shifts = sizes.withColumn("shift", F.coalesce(F.sum("rows").over(before), F.lit(0))).drop("rows")
-    inside = F.row_number().over(Window.partitionBy(*by, "part", "subpart").orderBy(*order))
-    ranked = join_null_safe(parts.withColumn("inside", inside), shifts, [*by, "part", "subpart"])
-    return ranked.withColumn(name, (F.col("inside") + F.col("shift")).cast("bigint")).drop(
-        "inside", "shift", "part", "subpart"
-    )
+    part = F.shiftright("rank_place", 33)
+    sizes = placed.groupBy(part.alias("part")).agg(F.count("*").alias("rows"))
+    before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)  # one row per part
+    offsets = sizes.select("part", F.coalesce(F.sum("rows").over(before), F.lit(0)).alias("offset"))
+    inside = F.col("rank_place").bitwiseAND(F.lit((1 << 33) - 1))
+    spread = placed.withColumn("part", part).join(offsets, "part").withColumn("rank_place", F.col("offset") + inside).drop("part", "offset")
+    if not by:
+        return spread.withColumn(name, F.col("rank_place") + 1).drop("rank_place")
+    starts = placed.groupBy(*by).agg(F.min("rank_place").alias("rank_start"))
+    starts = starts.withColumn("part", F.shiftright("rank_start", 33)).join(offsets, "part")
+    starts = starts.select(*by, (F.col("offset") + F.col("rank_start").bitwiseAND(F.lit((1 << 33) - 1))).alias("rank_start"))
+    ranked = join_null_safe(spread, starts, by)
+    return ranked.withColumn(name, F.col("rank_place") - F.col("rank_start") + 1).drop("rank_place", "rank_start")
 
 
 def element_means(df: DataFrame, vector: str, by: list[str] | None = None) -> DataFrame:

@@ -15,17 +15,30 @@ from matchlens.functions import tier_priority
 PAGE = 100
 
 
+def last_changes(changes: DataFrame, key: str, order: list[str]) -> DataFrame:
+    """Of the changes of a key the last by ``order``, of equal ones the greatest.
+
+    Combined before the shuffle, so a key with very many changes is no hot key.
+    """
+    brought = [name for name in changes.columns if name != key]
+    last = F.max(F.struct(F.struct(*order).alias("order"), F.struct(*brought).alias("change"))).alias("last")
+    return changes.groupBy(key).agg(last).select(key, "last.change.*")
+
+
 def upsert(
     table: DataFrame,
     batch: DataFrame,
     key: str,
     columns: list[str],
     defaults: dict[str, Column] | None = None,
+    order: list[str] | None = None,
 ) -> DataFrame:
     """Insert new keys; overwrite ``columns`` of known keys and keep their rest.
 
-    A batch holds a key once. Columns it does not bring get ``defaults`` or NULL.
+    Of a key that the batch repeats the last row by ``order`` counts, without
+    ``order`` the greatest. Columns a batch does not bring get ``defaults`` or NULL.
     """
+    batch = last_changes(batch, key, order or [c for c in batch.columns if c != key])
     joined = table.alias("t").join(batch.alias("b"), F.col(f"t.{key}") == F.col(f"b.{key}"), "full")
     arrived = F.col(f"b.{key}").isNotNull()
     known = F.col(f"t.{key}").isNotNull()
@@ -64,8 +77,13 @@ def insert_if_absent(
     return table.unionByName(new.withColumns(missing).select(*table.columns))
 
 
-def keyed_update(table: DataFrame, changes: DataFrame, key: str) -> DataFrame:
-    """Set the columns a change brings on the rows with its key; a key changes once."""
+def keyed_update(table: DataFrame, changes: DataFrame, key: str, order: list[str] | None = None) -> DataFrame:
+    """Set the columns a change brings on the rows with its key.
+
+    Of a key that changes more than once the last change by ``order`` counts,
+    without ``order`` the greatest. The columns of ``order`` are set as well if the table has them.
+    """
+    changes = last_changes(changes, key, order or [c for c in changes.columns if c != key])
     joined = table.alias("t").join(changes.alias("c"), F.col(f"t.{key}") == F.col(f"c.{key}"), "left")
     changed = F.col(f"c.{key}").isNotNull()
     selected = []
@@ -99,6 +117,12 @@ def mark_in_flight(matches: DataFrame, batch: DataFrame) -> DataFrame:
     return keyed_update(matches, marked, "matchid")
 
 
+def take_batch(matches: DataFrame, batch_size: int) -> tuple[DataFrame, DataFrame]:
+    """The next matches to fetch, and the state in which they are in flight."""
+    batch = backlog(matches, batch_size)
+    return batch, mark_in_flight(matches, batch)
+
+
 def mark_done(matches: DataFrame, landed: DataFrame) -> DataFrame:
     done = landed.select("matchid").distinct().withColumn("status", F.lit(True))
     return keyed_update(matches, done, "matchid")

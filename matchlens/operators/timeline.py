@@ -1,9 +1,9 @@
 """Event logs of matches folded into skill and item sequences.
 
-A match's log is one row, so everything here is an expression on that row: no
-shuffle, and the output order is the order of the log. The item catalogue is a
-few hundred entries; it enters as one row of lookup arrays through a scalar
-subquery.
+A match's log is one row, and undo, skills and sequences are expressions on that
+row. What the catalogue knows of an item comes by an equi-join on its id, for
+catalogues of any size: the purchases that are left are exploded, looked up and
+gathered by match again, a bounded number for each match.
 """
 
 from __future__ import annotations
@@ -18,14 +18,13 @@ from matchlens.functions.items import ALWAYS_COMPLETED
 SLOTS = 10
 START_GOLD = 500
 
-# A catalogue holds a few hundred items; a larger table is not one.
-MAX_ITEMS = 20_000
-
 PURCHASED = "ITEM_PURCHASED"
 SOLD = "ITEM_SOLD"
 UNDO = "ITEM_UNDO"
 SKILL_UP = "SKILL_LEVEL_UP"
 
+ITEM_FLAGS = ("is_completed", "is_mythic", "is_boots")
+
 LOG = "struct<valid:boolean,entries:array<struct<itemId:string,bought:boolean>>>"
 
 
@@ -37,28 +36,15 @@ def classify_items(items: DataFrame) -> DataFrame:
     return items.withColumns({**flags, "price": F.col("gold.base")})
 
 
-def catalogue_row(items: DataFrame) -> DataFrame:
-    """The classified catalogue as one row: prices by id and the ids of each class.
+def item_facts(items: DataFrame) -> DataFrame:
+    """Per item id its price and classes.
 
-    The row goes to every task, so its size is checked: only the first
-    ``MAX_ITEMS + 1`` items are ever gathered, and more than ``MAX_ITEMS`` fail.
+    Of an id listed more than once the greatest price counts, and a class that
+    any of its entries is in. Entries without an id are left out.
     """
-    classified = classify_items(items.limit(MAX_ITEMS + 1))
-    small = F.assert_true(F.count("*") <= MAX_ITEMS, F.lit("too many items for a catalogue"))
-
-    def ids(flag: str) -> Column:
-        return F.collect_set(F.when(F.col(flag), F.col("itemId")))
-
-    priced = F.when(F.col("price").isNotNull(), F.struct("itemId", "price"))
-    return classified.agg(
-        F.struct(
-            F.map_from_entries(F.collect_set(priced)).alias("prices"),
-            F.array_union(ids("is_completed"), F.array(F.lit(ALWAYS_COMPLETED))).alias("completed"),
-            ids("is_mythic").alias("mythic"),
-            ids("is_boots").alias("boots"),
-            small.alias("checked"),
-        ).alias("catalogue")
-    )
+    classified = classify_items(items).where(F.col("itemId").isNotNull())
+    flags = [F.coalesce(F.bool_or(f), F.lit(False)).alias(f) for f in ITEM_FLAGS]
+    return classified.groupBy("itemId").agg(F.max(F.col("price").cast("bigint")).alias("price"), *flags)
 
 
 def ordered_events(timelines: DataFrame) -> DataFrame:
@@ -137,7 +123,7 @@ def slot_logs(timelines: DataFrame) -> DataFrame:
     )
 
 
-def start_length(bought: Column, prices: Column, gold: int) -> Column:
+def start_length(bought: Column, gold: int) -> Column:
     """Number of leading purchases the starting gold pays for; NULL for an unknown price.
 
     The first purchase beyond the gold ends the set, whatever is sold.
@@ -146,7 +132,7 @@ def start_length(bought: Column, prices: Column, gold: int) -> Column:
     start = F.struct(F.lit(gold).alias("left"), F.lit(0).alias("count")).cast(kind)
 
     def step(state: Column, item: Column) -> Column:
-        left = state["left"] - F.try_element_at(prices, item)
+        left = state["left"] - item["price"]
         paid = F.struct(left.alias("left"), (state["count"] + F.when(left >= 0, 1).otherwise(0)).alias("count"))
         return F.when(state["left"] < 0, state).otherwise(paid.cast(kind))
 
@@ -155,9 +141,41 @@ def start_length(bought: Column, prices: Column, gold: int) -> Column:
     )
 
 
-def last_of(items: Column, wanted: Column) -> Column:
-    """Last item that is in a list, NULL without one."""
-    return F.try_element_at(F.filter(items, lambda i: F.array_contains(wanted, i)), F.lit(-1))
+def known_purchases(logs: DataFrame, items: DataFrame) -> DataFrame:
+    """Logs with every purchase as a struct of its item id and the item's facts, in order.
+
+    Each match gives one row without purchase, which keeps its slots, and one
+    for every purchase; both meet again in one aggregation.
+    """
+
+    def bought(slot: Column) -> Column:
+        kept = F.filter(slot["log"]["entries"], lambda e: e["bought"])
+        return F.transform(kept, lambda e, i: F.struct(slot["participantId"].alias("slot"), i.alias("place"), e["itemId"].alias("itemId")))
+
+    none = F.array(F.struct(F.lit(None).cast("bigint").alias("slot"), F.lit(None).cast("int").alias("place"), F.lit(None).cast("string").alias("itemId")))
+    slots = F.transform(
+        "slots",
+        lambda s: F.struct(s["participantId"].alias("participantId"), s["skillTree"].alias("skillTree"), s["log"]["valid"].alias("valid")),
+    )
+    purchases = logs.select("matchId", slots.alias("slots"), F.explode(F.concat(none, F.flatten(F.transform("slots", bought)))).alias("purchase"))
+    rows = purchases.select(
+        "matchId", F.when(F.col("purchase.slot").isNull(), F.col("slots")).alias("slots"), "purchase.*"
+    )
+    facts = item_facts(items)
+    looked_up = rows.join(facts, "itemId", "left")
+    flags = [F.coalesce(F.col(f), F.lit(f == "is_completed") & (F.col("itemId") == ALWAYS_COMPLETED)).alias(f) for f in ITEM_FLAGS]
+    entry = F.struct("slot", "place", "itemId", "price", *flags)
+    gathered = looked_up.groupBy("matchId").agg(
+        F.first("slots", ignorenulls=True).alias("slots"),
+        F.sort_array(F.collect_list(F.when(F.col("slot").isNotNull(), entry))).alias("purchases"),
+    )
+    own = F.transform("slots", lambda s: s.withField("bought", F.filter("purchases", lambda e: e["slot"] == s["participantId"])))
+    return gathered.select("matchId", own.alias("slots"))
+
+
+def last_of(items: Column, flag: str) -> Column:
+    """Last item of a class, NULL without one."""
+    return F.try_element_at(F.filter(items, lambda i: i[flag]), F.lit(-1))["itemId"]
 
 
 def fold_timelines(
@@ -168,39 +186,31 @@ def fold_timelines(
     Starting items are sorted only when a further purchase closed the set.
     Completed items are in purchase order with repeats and leave out the
     starting ones. A match with an undo on an empty log, or with a starting
-    purchase the catalogue does not know, is not valid and is dropped.
+    purchase the catalogue does not know, is not valid and is dropped;
+    ``keep_invalid`` keeps it, marked, to be fetched again.
     """
-    logs = slot_logs(timelines).withColumn("catalogue", catalogue_row(items).scalar())
-
-    def purchases(slot: Column) -> Column:
-        bought = F.filter(slot["log"]["entries"], lambda e: e["bought"])
-        return F.struct(
-            slot["participantId"].alias("participantId"),
-            slot["skillTree"].alias("skillTree"),
-            slot["log"]["valid"].alias("valid"),
-            F.transform(bought, lambda e: e["itemId"]).alias("bought"),
-        )
+    staged = known_purchases(slot_logs(timelines), items)
 
     def with_start(slot: Column) -> Column:
-        return slot.withField(
-            "startCount", start_length(slot["bought"], F.col("catalogue.prices"), gold)
-        )
+        return slot.withField("startCount", start_length(slot["bought"], gold))
+
+    def ids(entries: Column) -> Column:
+        return F.transform(entries, lambda e: e["itemId"])
 
     def result(slot: Column) -> Column:
         bought, count = slot["bought"], slot["startCount"]
-        start = F.slice(bought, F.lit(1), count)
+        start = ids(F.slice(bought, F.lit(1), count))
         later = F.slice(bought, count + 1, F.size(bought))
-        completed = F.filter(later, lambda i: F.array_contains(F.col("catalogue.completed"), i))
+        completed = F.filter(later, lambda i: i["is_completed"])
         return F.struct(
             slot["participantId"].alias("participantId"),
             slot["skillTree"].alias("skillTree"),
             F.when(count < F.size(bought), F.array_sort(start)).otherwise(start).alias("itemStart"),
-            completed.alias("itemRarity"),
-            last_of(later, F.col("catalogue.boots")).alias("itemBoots"),
-            last_of(completed, F.col("catalogue.mythic")).alias("itemMyth"),
+            ids(completed).alias("itemRarity"),
+            last_of(later, "is_boots").alias("itemBoots"),
+            last_of(completed, "is_mythic").alias("itemMyth"),
         )
 
-    staged = logs.withColumn("slots", F.transform("slots", purchases))
     staged = staged.withColumn("slots", F.transform("slots", with_start))
     valid = F.forall("slots", lambda s: s["valid"] & s["startCount"].isNotNull())
     folded = staged.select(
@@ -214,12 +224,15 @@ def slot_rows(folded: DataFrame) -> DataFrame:
     return folded.select("matchId", F.inline("slots"))
 
 
-def merge_slots(matches: DataFrame, folded: DataFrame) -> DataFrame:
+def merge_slots(matches: DataFrame, folded: DataFrame, seats: int | None = SLOTS) -> DataFrame:
     """Matches whose i-th participant carries the i-th slot's sequences.
 
-    Both sides have one row per match; matches without a valid log are dropped.
-    ``itemBuild`` is the list of completed items.
+    Both sides have one row per match; matches without a valid log, or with
+    other than ``seats`` participants, are dropped; with None any number up to
+    ten is merged. ``itemBuild`` is the list of completed items.
     """
+    if seats is not None:
+        matches = matches.where(F.size("participants") == seats)
     slots = folded.select(F.col("matchId").alias("foldedId"), "slots")
     joined = matches.join(slots, F.col("metadata.matchId") == F.col("foldedId"))
 

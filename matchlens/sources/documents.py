@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+from uuid import uuid4
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from matchlens.operators.cohorts import COHORT
+from matchlens.session import work_folder
 
 
 def write_documents(documents: DataFrame, path: str, queue: str, form: str = "parquet") -> None:
@@ -24,18 +27,27 @@ def write_documents(documents: DataFrame, path: str, queue: str, form: str = "pa
 
 
 def write_collections(
-    documents: DataFrame, database: str, prefix: str, cohorts: tuple[str, ...], options: dict[str, str]
+    documents: DataFrame,
+    database: str,
+    prefix: str,
+    cohorts: tuple[str, ...],
+    options: dict[str, str],
+    form: str = "mongodb",
 ) -> None:
-    """Replace one collection per cohort; needs the document store's Spark connector."""
+    """Replace one collection per cohort; ``mongodb`` needs the store's Spark connector.
+
+    The documents are computed once, into a folder per cohort of the shared
+    work folder; each collection is filled from its own.
+    """
+    folder = f"{work_folder(documents.sparkSession)}/collections-{uuid4().hex}"
+    documents.write.partitionBy(COHORT).parquet(folder)
+    stored = documents.sparkSession.read.schema(documents.schema).parquet(folder)
     for cohort in cohorts:
-        (
-            documents.where(F.col(COHORT) == cohort)
-            .drop(COHORT)
-            .write.format("mongodb")
-            .mode("overwrite")
-            .options(database=database, collection=f"{prefix}_{cohort}", **options)
-            .save()
-        )
+        one = stored.where(F.col(COHORT) == cohort).drop(COHORT)
+        named = {"database": database, "collection": f"{prefix}_{cohort}", **options}
+        if "path" in named:
+            named["path"] = f"{named['path']}/{database}/{prefix}_{cohort}"
+        one.write.format(form).mode("overwrite").options(**named).save()
 
 
 def write_table_json(df: DataFrame, path: str) -> None:

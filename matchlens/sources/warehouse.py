@@ -70,15 +70,29 @@ def create_table(spark: SparkSession, kind: str, name: str) -> None:
     spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({TABLES[kind]}) USING parquet PARTITIONED BY (date)")
 
 
+def _stored(facts: DataFrame, table: str) -> bool:
+    """Make the table, partitioned by date, with these rows if there is none yet."""
+    if facts.sparkSession.catalog.tableExists(table):
+        return False
+    facts.write.format("parquet").partitionBy("date").saveAsTable(table)
+    return True
+
+
 def append_facts(facts: DataFrame, table: str) -> None:
-    facts.write.mode("append").format("parquet").saveAsTable(table)
+    """Add rows to a table, by column name; a table that is missing is made."""
+    if not _stored(facts, table):
+        facts.select(facts.sparkSession.table(table).columns).write.insertInto(table)
 
 
 def full_refresh(facts: DataFrame, table: str) -> bool:
-    """Replace a table by a selection; an empty selection leaves it alone."""
+    """Replace the rows of a table by a selection; an empty selection leaves it alone.
+
+    The table stays, with its columns and its partitioning.
+    """
     if facts.isEmpty():
         return False
-    facts.write.mode("overwrite").format("parquet").saveAsTable(table)
+    if not _stored(facts, table):
+        facts.select(facts.sparkSession.table(table).columns).write.insertInto(table, overwrite=True)
     return True
 
 

@@ -4,6 +4,7 @@ import numpy as np
 import pytest
 
 from matchlens.operators import calibrate
+from matchlens.operators import rows as rows_module
 from matchlens.operators.rows import element_means, mask_rows, rank_first, top_rows
 
 
@@ -71,15 +72,16 @@ def test_ranks_side_by_side(records):
     assert [r.score for r in by_score] == sorted((r.score for r in rows), reverse=True)
 
 
-@pytest.mark.parametrize("splits", [0, 2, 7])
-def test_rank_first_with_ties_and_nulls(spark, splits):
+@pytest.mark.parametrize("part_rows", [50, 1_000_000])
+def test_rank_first_with_ties_and_nulls(spark, monkeypatch, part_rows):
+    monkeypatch.setattr(rows_module, "PART_ROWS", part_rows)
     rng = random.Random(5)
     rows = [
         (rng.choice("ab"), None if rng.random() < 0.05 else float(rng.choice([1, 1, 1, rng.randrange(50)])), i)
         for i in range(600)
     ]
     frame = spark.createDataFrame(rows, "g string, v double, i bigint")
-    found = {r.i: r.place for r in rank_first(frame, "v", "i", "place", ["g"], splits).collect()}
+    found = {r.i: r.place for r in rank_first(frame, "v", "i", "place", ["g"]).collect()}
     for group in "ab":
         ordered = sorted(
             (r for r in rows if r[0] == group), key=lambda r: (r[1] is None, -(r[1] or 0), r[2])
@@ -93,6 +95,16 @@ def test_rank_of_a_whole_frame(spark):
     assert [(r.v, r.id) for r in rows] == sorted(((i % 7, i) for i in range(100)), key=lambda p: (-p[0], p[1]))
 
 
+def test_rank_of_text_values_without_a_nested_loop(spark):
+    frame = spark.createDataFrame([("a", "x", "2"), ("a", "y", "1"), (None, "x", "3"), ("a", "x", "1"), (None, None, "1")], "g string, v string, o string")
+    ranked = rank_first(frame, "v", "o", "place", ["g"])
+    assert {(r.g, r.v, r.o): r.place for r in ranked.collect()} == {
+        ("a", "y", "1"): 1, ("a", "x", "1"): 2, ("a", "x", "2"): 3, (None, "x", "3"): 1, (None, None, "1"): 2,
+    }
+    plan = rank_first(frame, "v", "o", "place")._jdf.queryExecution().executedPlan().toString()
+    assert "NestedLoop" not in plan and "Cartesian" not in plan
+
+
 def test_mask_and_top(spark):
     frame = spark.createDataFrame([("x", 1), ("y", 5), ("x", 3)], "k string, v int")
     masked = sorted(map(tuple, mask_rows(frame, frame.k == "x").collect()), key=str)

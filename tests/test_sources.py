@@ -111,24 +111,43 @@ def test_warehouse_tables(spark, kind):
     spark.sql(f"DROP TABLE made_{kind}")
 
 
-def test_refresh_append_and_retention(spark):
+def test_one_table_from_creation_to_retention(spark):
+    warehouse.create_table(spark, "pick", "life_t")
     facts = spark.sql(
-        "SELECT explode(sequence(DATE '2024-01-01', DATE '2024-01-10')) AS date, 1 AS n"
+        "SELECT 'GOLD' AS tier, explode(sequence(DATE '2024-01-01', DATE '2024-01-10')) AS date, 1 AS championId, "
+        "1 AS win, 2 AS pick, 2 AS total, DATE '2024-01-11' AS execution_date"
     )
-    assert warehouse.full_refresh(facts, "facts_t")
-    warehouse.append_facts(facts, "facts_t")
-    assert spark.table("facts_t").count() == 20
-    assert not warehouse.full_refresh(facts.where("n = 2"), "facts_t")
-    assert spark.table("facts_t").count() == 20
-
-    facts.write.partitionBy("date").saveAsTable("days_t")
-    dropped = warehouse.drop_expired(spark, "days_t", datetime.date(2024, 1, 12), 5)
-    assert dropped == [datetime.date(2024, 1, d) for d in range(1, 8)]
-    assert spark.table("days_t").count() == 3
+    assert warehouse.full_refresh(facts, "life_t")
+    warehouse.append_facts(facts.select(*reversed(facts.columns)), "life_t")
+    assert spark.table("life_t").count() == 20
+    assert spark.table("life_t").select("pick", "championId").distinct().collect() == [(2, 1)]
+    assert not warehouse.full_refresh(facts.where("pick = 9"), "life_t")
+    assert spark.table("life_t").count() == 20
+    assert warehouse.full_refresh(facts.where("date > '2024-01-03'"), "life_t")
+
+    days = warehouse.read_dates(spark.table("life_t"), datetime.date(2024, 1, 5), datetime.date(2024, 1, 6))
+    assert days.count() == 2
+    assert "PartitionFilters: [isnotnull(date" in days._jdf.queryExecution().toString()
+    dropped = warehouse.drop_expired(spark, "life_t", datetime.date(2024, 1, 12), 5)
+    assert dropped == [datetime.date(2024, 1, d) for d in range(4, 8)]
+    assert spark.table("life_t").count() == 3
     with pytest.raises(ValueError):
-        warehouse.read_dates(spark.table("days_t"), None, None)
-    for name in ("facts_t", "days_t"):
-        spark.sql(f"DROP TABLE {name}")
+        warehouse.read_dates(spark.table("life_t"), None, None)
+    spark.sql("DROP TABLE life_t")
+
+
+def test_a_missing_table_is_made_partitioned(spark):
+    facts = spark.sql("SELECT DATE '2024-01-01' AS date, 1 AS n")
+    warehouse.append_facts(facts, "made_t")
+    assert warehouse.drop_expired(spark, "made_t", datetime.date(2024, 3, 12)) == [datetime.date(2024, 1, 1)]
+    spark.sql("DROP TABLE made_t")
+
+
+def test_one_collection_per_cohort(spark, tmp_path):
+    frame = spark.createDataFrame([("master", 1, 50.0), ("diamond", 1, None)], "cohort string, championId int, score double")
+    documents.write_collections(frame, "db", "solo", ("master", "diamond"), {"path": str(tmp_path)}, form="json")
+    assert spark.read.json(f"{tmp_path}/db/solo_master").select("championId", "score").collect() == [(1, 50.0)]
+    assert spark.read.json(f"{tmp_path}/db/solo_diamond").count() == 1
 
 
 def test_recent_view_uses_the_day_of_the_zone(spark):

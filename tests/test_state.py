@@ -76,3 +76,19 @@ def test_fetch_priority(spark):
         "full",
         "one page",
     ]
+
+
+def test_of_repeated_changes_the_last_counts(spark):
+    table = spark.createDataFrame([("a", 1), ("b", 2)], "k string, v int")
+    changes = spark.createDataFrame([("a", 5, 1), ("a", 4, 2), ("c", 7, 1), ("c", 6, 3)], "k string, v int, at int")
+    updated = state.keyed_update(table, changes, "k", order=["at"])
+    assert sorted(map(tuple, updated.collect())) == [("a", 4), ("b", 2)]
+    merged = state.upsert(table, changes, "k", ["v"], order=["at"])
+    assert sorted(map(tuple, merged.collect())) == [("a", 4), ("b", 2), ("c", 6)]
+
+
+def test_taking_a_batch_marks_it(spark):
+    matches = spark.createDataFrame([("m1", "t", False), ("m2", "t", False), ("m3", "t", True)], "matchid string, tier string, status boolean")
+    batch, marked = state.take_batch(matches, 1)
+    assert [r.matchid for r in batch.collect()] == ["m1"]
+    assert sorted(map(tuple, marked.collect())) == [("m1", "t", None), ("m2", "t", False), ("m3", "t", True)]

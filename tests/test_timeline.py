@@ -1,7 +1,6 @@
 import pytest
 from pyspark.sql import functions as F
 
-from matchlens.operators import timeline
 from matchlens.operators.timeline import (
     classify_items,
     fold_timelines,
@@ -129,19 +128,31 @@ def test_slots_merge_by_place(spark, items):
         "teams": [],
     }
     made = folded(spark, items, [skill(4, who=2), buy(3031, who=2)])
-    merged = merge_slots(spark.createDataFrame([match], RAW_MATCH), made)
+    merged = merge_slots(spark.createDataFrame([match], RAW_MATCH), made, seats=None)
     players = merged.select(F.inline("participants")).collect()
     assert [p.skillTree for p in players] == [[], [4]]
     assert players[1].itemBuild == ["3031"]
 
 
-def test_fold_does_not_shuffle_the_matches(spark, items):
-    rows = spark.createDataFrame([{"matchId": "m", "frames": []}], TIMELINE)
-    plan = fold_timelines(rows, items)._jdf.queryExecution().optimizedPlan().toString()
-    assert "Join" not in plan and "scalar-subquery" in plan
+def test_matches_without_ten_seats_are_dropped(spark, items):
+    made = folded(spark, items, [skill(4)])
+    matches = [{"metadata": {"matchId": "m"}, "participants": [{"championId": i} for i in range(n)], "teams": []} for n in (9, 10, 11)]
+    frame = spark.createDataFrame(matches, RAW_MATCH)
+    assert [len(r.participants) for r in merge_slots(frame, made).collect()] == [10]
+
 
+def test_a_large_catalogue_with_a_repeated_item(spark):
+    ids = spark.range(30_000).selectExpr(
+        "CAST(id AS STRING) AS itemId", "CAST(array() AS array<string>) AS tags", "CAST(NULL AS array<string>) AS `from`",
+        "CAST(NULL AS array<string>) AS `into`", "'' AS description", "named_struct('base', CAST(100 AS BIGINT)) AS gold",
+    )
+    twice = ids.where("itemId = '29999'").withColumn("gold", F.expr("named_struct('base', CAST(450 AS BIGINT))"))
+    slot = first_slot(folded(spark, ids.unionByName(twice), [buy(29999), buy(7)]))
+    # The greatest price counts: after 450 the gold does not pay for 100 more.
+    assert slot.itemStart == ["29999"]
 
-def test_catalogue_size_is_checked(spark, items, monkeypatch):
-    monkeypatch.setattr(timeline, "MAX_ITEMS", 3)
-    with pytest.raises(Exception, match="too many items"):
-        folded(spark, items, [buy(1055)]).collect()
+
+def test_one_fold_moves_the_log_once(spark, items):
+    rows = spark.createDataFrame([{"matchId": "m", "frames": []}], TIMELINE)
+    plan = fold_timelines(rows, items)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Join") == 1 and "Limit" not in plan

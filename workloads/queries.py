@@ -509,7 +509,7 @@ def mask_rows(spark, folder):
 
 def rank_first(spark, folder):
     lines = views.table(spark, folder, "orders").select("o_orderkey", "o_orderpriority", "o_totalprice")
-    return rows.rank_first(lines, "o_totalprice", "o_orderkey", "place", ["o_orderpriority"], 64)
+    return rows.rank_first(lines, "o_totalprice", "o_orderkey", "place", ["o_orderpriority"])
 
 
 def rank_ties(spark, folder):
