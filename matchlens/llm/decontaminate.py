@@ -7,13 +7,16 @@ one of the item's fingerprints. A hit is extended to the document's windows of
 ``SPAN`` words around it, and these are compared as text. An item of fewer
 words is one window of its length, and its own fingerprint.
 
-Plan: fingerprints are computed inside the row, without exploding words, and
-joined with the distinct fingerprints of the benchmark. Only texts with a hit
-are read again; equal texts are one from there on (by digest), so a group of
-copies costs as much as one. Windows are joined to the distinct windows of the
-benchmark, so a passage that many items share is not multiplied by them; a
-passage that many documents share is a skewed join key that adaptive
-execution splits.
+Plan: fingerprints are computed inside the row, without exploding words. A
+bitmap of the benchmark's fingerprint hashes, of ``MOST_BITS`` bits at the
+most, drops those that the benchmark cannot have before anything is exploded;
+with more fingerprints than it has bits it drops fewer, and nothing else
+changes. What is left carries the words of its windows, is joined with the
+distinct fingerprints, and its windows with the distinct windows of the
+benchmark. Texts themselves are never moved. Equal texts are one from
+there on (by digest), so a group of copies costs as much as one; a passage that many
+items share is one window, and one that many documents share is a skewed join
+key that adaptive execution splits.
 
 Words are ``[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+`` after A-Z are put in lower case.
 Defined cases: a null or empty text has no words, no hits and is not
@@ -25,6 +28,7 @@ other columns are not read.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from uuid import uuid4
 
 from pyspark.sql import Column, DataFrame
@@ -36,6 +40,8 @@ from matchlens.session import work_folder
 SPAN = 10
 GRAM = 5
 WINDOW = SPAN - GRAM + 1
+#: Bits of the bitmap for each fingerprint of the benchmark, and in all (8 MB).
+BITS_EACH, MOST_BITS = 16, 1 << 26
 
 _BREAK = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 _WORD_ANY_CASE = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
@@ -53,13 +59,14 @@ def _grams(hashes: str, n: int) -> Column:
     return F.slice(whole, 1, F.greatest(F.size(h) - (n - 1), F.lit(0)))
 
 
-def _fingerprints(texts: DataFrame, lengths: list[int]) -> DataFrame:
-    """Adds ``found``: structs of a hash, its length of window, and the windows (from, until) that it stands for.
+def _fingerprints(texts: DataFrame, lengths: list[int], maybe: Callable[[Column], Column] | None = None) -> DataFrame:
+    """Adds ``found``: structs of a hash, its length of window, the windows (from, until) that it stands for, and their words.
 
-    ``texts`` has ``words``. Every function below refers to its array twice or
-    more, which keeps the optimizer from computing the array inside the loop;
-    for the same reason callers explode with ``explode_outer``, for which no
-    filter on the whole expression is derived and pushed down.
+    ``texts`` has ``words``; only hashes that ``maybe`` holds for are kept.
+    Every function below refers to its array twice or more, which keeps the
+    optimizer from computing the array inside the loop; for the same reason
+    callers explode with ``explode_outer``, for which no filter on the whole
+    expression is derived and pushed down.
     """
     hashed = texts.withColumn("hashes", F.transform("words", lambda w: F.xxhash64(w))).withColumn("grams", _grams("hashes", GRAM))
     g = F.col("grams")
@@ -71,8 +78,33 @@ def _fingerprints(texts: DataFrame, lengths: list[int]) -> DataFrame:
     kept = kept.withColumn("starts", starts)
     s = F.col("starts")
     runs = F.transform(s, lambda a, i: F.struct(F.get(m, a).alias("h"), F.lit(SPAN).alias("n"), a.alias("a"), F.coalesce(F.get(s, i + 1), F.size(m)).alias("b")))
-    short = [_short(n) for n in lengths]
-    return kept.withColumn("found", F.concat(runs, *short) if short else runs)
+    every = F.concat(runs, *map(_short, lengths)) if lengths else runs
+    words = F.col("words")
+
+    def with_words(r: Column) -> Column:
+        around = F.when(F.size(words) > 0, F.slice(words, r["a"] + 1, r["b"] - r["a"] + r["n"] - 1))
+        return F.struct(r["h"].alias("h"), r["n"].alias("n"), r["a"].alias("a"), r["b"].alias("b"), around.alias("around"))
+
+    return kept.withColumn("found", F.transform(F.filter(every, lambda r: maybe(r["h"])) if maybe else every, with_words))
+
+
+def _bitmap(hashes: DataFrame) -> Callable[[Column], Column]:
+    """Whether a hash may be among the ``h`` of a frame: false only if it is not."""
+    bits = 64
+    while bits < min(MOST_BITS, BITS_EACH * hashes.count()):
+        bits *= 2
+
+    def place(h: Column) -> Column:
+        return F.pmod(h, F.lit(bits).cast("long"))
+
+    words = hashes.select(place(F.col("h")).alias("at")).groupBy(F.shiftright("at", 6).alias("word"))
+    flags = words.agg(F.bit_or(F.expr("shiftleft(1L, cast(at & 63 as int))")).alias("flags"))
+    filled = [0] * (bits // 64)
+    for row in flags.collect():  # MOST_BITS / 64 rows at the most
+        filled[row["word"]] = row["flags"]
+    # A constant that the optimizer folds into one array.
+    table = F.split(F.lit(",".join(map(str, filled))), ",").cast("array<long>")
+    return lambda h: F.getbit(F.get(table, F.shiftright(place(h), 6).cast("int")), place(h).bitwiseAND(F.lit(63)).cast("int")) == 1
 
 
 def _short(n: int) -> Column:
@@ -96,24 +128,18 @@ def leaks_by_text(docs: DataFrame, items: DataFrame, text: str = "text", item_ke
     windows = benchmark.select("item_id", "words", n.alias("n"), at.alias("at")).select("item_id", "n", _window(F.col("words"), F.col("at"), F.col("n")).alias("window"))
     windows = windows.distinct()
     known = windows.select("n", "window").distinct().withColumn("words", F.split("window", " "))
-    prints = _fingerprints(known, sizes).select(F.explode_outer("found").alias("f"), F.col("n").alias("item_n")).select("f.h", "f.n", "item_n").filter("n = item_n").select("h", "n").distinct()
-
-    source = docs.select(F.col(f"`{text}`").cast("string").alias("text"))
-    texts = source.select(F.md5("text").alias("digest"), words_of(F.col("text")).alias("words"))
-    found = _fingerprints(texts, sizes).select("digest", F.explode_outer("found").alias("f")).select("digest", "f.h", "f.n", "f.a", "f.b")
-    hits = found.join(prints, ["h", "n"]).select("digest", "n", "a", "b").distinct()
-    seeds = hits.groupBy("digest").agg(F.collect_list(F.struct("n", "a", "b")).alias("seeds"))
-    seeds.write.parquet(f"{folder}/seeds")
-    seeds = spark.read.parquet(f"{folder}/seeds")
-
-    # Texts with a hit, one of each group of copies.
-    again = source.select(F.md5("text").alias("digest"), "text").join(seeds, "digest").groupBy("digest").agg(F.first("text").alias("text"), F.first("seeds").alias("seeds"))
-    again = again.select("digest", words_of(F.col("text")).alias("words"), "seeds")
-    words = F.col("words")
-    places = F.flatten(F.transform("seeds", lambda s: F.transform(F.sequence(s["a"], s["b"] - 1), lambda i: F.struct(s["n"].alias("n"), i.alias("at")))))
-    whole = F.transform(places, lambda p: F.struct(p["n"].alias("n"), p["at"].alias("at"), F.when(F.size(words) > 0, _window(words, p["at"], p["n"])).alias("window")))
-    candidates = again.select("digest", F.explode_outer(whole).alias("p")).select("digest", "p.n", "p.at", "p.window")
-    confirmed = candidates.join(known.select("n", "window"), ["n", "window"])
+    prints = _fingerprints(known, sizes).select(F.explode_outer("found").alias("f"), F.col("n").alias("item_n")).filter("f.n = item_n").select("f.h", "f.n").distinct()
+    prints.write.parquet(f"{folder}/prints")
+    prints = spark.read.parquet(f"{folder}/prints")
+
+    texts = docs.select(F.md5(F.col(f"`{text}`").cast("string")).alias("digest"), words_of(F.col(f"`{text}`").cast("string")).alias("words"))
+    found = _fingerprints(texts, sizes, _bitmap(prints)).select("digest", F.explode_outer("found").alias("f")).select("digest", "f.*").filter("h is not null")
+    hits = found.join(prints, ["h", "n"])
+    at = F.sequence(F.lit(0), F.col("b") - F.col("a") - 1)
+    around = F.col("around")
+    places = F.transform(at, lambda i: F.struct((F.col("a") + i).alias("at"), F.when(F.size(around) > 0, _window(around, i, F.col("n"))).alias("window")))
+    candidates = hits.select("digest", "n", F.explode_outer(places).alias("p")).select("digest", "n", "p.*")
+    confirmed = candidates.join(known.select("n", "window"), ["n", "window"]).distinct()
     confirmed.write.parquet(f"{folder}/windows")
     confirmed = spark.read.parquet(f"{folder}/windows")
 
@@ -150,5 +176,5 @@ def find_leaks(docs: DataFrame, items: DataFrame, key: str = "doc_id", text: str
 
 def clean(docs: DataFrame, items: DataFrame, text: str = "text", item_key: str = "item_id", item_text: str = "text") -> DataFrame:
     """The rows of ``docs`` without any hit, with all their columns."""
-    hit = leaks_by_text(docs, items, text, item_key, item_text).select(F.col("digest").alias("hit_digest"))
-    return docs.join(hit, F.md5(docs[text].cast("string")) == F.col("hit_digest"), "left_anti")
+    hit = leaks_by_text(docs, items, text, item_key, item_text).select("digest")
+    return docs.join(hit, F.md5(docs[text].cast("string")) == hit["digest"], "left_anti")

@@ -9,7 +9,8 @@ too coarse to judge, so each comparison needs a number of words; without it
 the distance is null and the text is not rejected for it.
 
 Defined cases: a null or empty text has no words, so ``base_failed`` is true;
-an unknown or null language takes the shared reference; repeated ids and rows
+an unknown or null language takes the shared reference; without a reference
+no distance is taken; repeated ids and rows
 each give a row; a null id stays null; an empty table gives an empty one.
 """
 
@@ -163,8 +164,8 @@ def judged(text: str | None, value: str | None, known: dict[str, np.ndarray]) ->
     failed = n < MIN_WORDS or 100 * counts[4] > MAX_REPEAT_PERCENT * n
     language, split = language_of(value), len(CLASSES)
     own, reference = histogram(raw, words, language), known.get(language_of(value))
-    characters = distance(own[:split], reference[:split]) if n >= MIN_WORDS_CHARACTERS else None
-    most = next((limit for least, limit in MAX_SUMS if n >= least), None)
+    characters = distance(own[:split], reference[:split]) if reference is not None and n >= MIN_WORDS_CHARACTERS else None
+    most = next((limit for least, limit in MAX_SUMS if n >= least), None) if reference is not None else None
     common = None if most is None else distance(own[split:], reference[split:])
     far = characters is not None and (characters > MAX_CHARACTERS or (common is not None and characters + common > most))
     return *counts, failed, not failed and not far, characters, common

@@ -254,9 +254,11 @@ def first_of_each(df: DataFrame, key: str = "doc_id", text: str = "text", width:
     order = F.struct(F.col("key").isNull().alias("none"), "key", "digest", "n_rows")
     first = by_text.groupBy("fp").agg(F.min(order).alias("first"))
     winners = classes.join(first, "fp").groupBy("component").agg(F.min("first").alias("first")).select("first.key", "first.digest", "first.n_rows")
-    winners = _kept(winners.toDF("winner", "winner_digest", "winner_rows"))
+    names = [f"{name}_{uuid4().hex}" for name in ("winner", "digest", "rows")]  # cannot clash with the columns of df
+    winner, digest, n_rows = names
+    winners = _kept(winners.toDF(*names))
     own = F.md5(F.col(f"`{text}`").cast("string"))
-    joined = df.join(winners, df[key].eqNullSafe(F.col("winner")) & own.eqNullSafe(F.col("winner_digest")))
-    single = joined.filter("winner_rows = 1").select(df.columns)
-    repeated = joined.filter("winner_rows > 1").dropDuplicates(["winner", "winner_digest"]).select(df.columns)
+    joined = df.join(winners, df[key].eqNullSafe(winners[winner]) & own.eqNullSafe(winners[digest]))
+    single = joined.filter(F.col(n_rows) == 1).select(df.columns)
+    repeated = joined.filter(F.col(n_rows) > 1).dropDuplicates([winner, digest]).select(df.columns)
     return single.unionByName(repeated)
