@@ -24,10 +24,6 @@ def main(names: list[str]) -> None:
         "spark.ui.enabled": "false",
         "spark.log.level": "ERROR",
         "spark.ui.showConsoleProgress": "false",
-        # Joins are planned as for large tables; adaptive execution may still
-        # broadcast a side it has measured.
-        "spark.sql.autoBroadcastJoinThreshold": "-1",
-        "spark.sql.adaptive.autoBroadcastJoinThreshold": "10MB",
     }
     spark = build_session("bench", f"local[{cpus}]", conf)
     QUERIES["pick_win"](spark, folder).write.format("noop").mode("overwrite").save()

@@ -6,6 +6,8 @@ so the windows over a champion's partners are small whatever the data size.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -79,21 +81,26 @@ def pair_counts(
 ) -> DataFrame:
     """Games and wins of every (key, partner) pair that met in the same group.
 
-    The self-join is on ``within``; two rows pair up when ``apart`` differs.
-    Equal rows of a group are counted before they are joined, on the map side
-    first. A group is then no larger than the number of different champions,
-    positions and outcomes, so one match holding a large part of all rows costs
-    one small group. Both members' games are in a cohort when the lower of
-    their ranks is.
+    A group is the rows that agree in ``within``; two of them pair up when
+    ``apart`` differs. Equal rows of a group are counted first, on the map side
+    already. What is then gathered is no larger than the number of different
+    champions, positions and outcomes, so one match holding a large part of all
+    rows costs one small group. Pairs are made inside the gathered row: facts
+    are read once and move twice, and nothing is joined. Both members' games
+    are in a cohort when the lower of their ranks is.
     """
-    members = (
+    known = reduce(lambda x, y: x & y, [F.col(name).isNotNull() for name in within])
+    counted = (
         cohorts.member_rows(facts)
+        .where(known)
         .groupBy(*within, *key_columns(keys), F.col(apart).alias("apart"), "p_win", RANK)
         .agg(F.count("*").alias("n"))
     )
-    a, b = members.alias("a"), members.alias("b")
-    same = [F.col(f"a.{name}") == F.col(f"b.{name}") for name in within]
-    met = a.join(b, [*same, F.col("a.apart") != F.col("b.apart")]).select(
+    member = F.struct(*keys, "apart", "p_win", RANK, "n")
+    groups = counted.groupBy(*within).agg(F.collect_list(member).alias("members"))
+    firsts = groups.select(F.explode("members").alias("a"), "members")
+    others = F.filter("members", lambda b: b["apart"] != F.col("a.apart"))
+    met = firsts.select("a", F.explode(others).alias("b")).select(
         *[F.col(f"a.{key}").alias(key) for key in keys],
         *[F.col(f"b.{key}").alias(name) for name, key in partner.items()],
         F.least(f"a.{RANK}", f"b.{RANK}").alias(RANK),

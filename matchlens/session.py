@@ -20,6 +20,10 @@ def build_session(app: str, master: str | None = None, conf: dict[str, str] | No
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
+        # Joins are planned as for large tables; adaptive execution may still
+        # broadcast a side it has measured.
+        .config("spark.sql.autoBroadcastJoinThreshold", "-1")
+        .config("spark.sql.adaptive.autoBroadcastJoinThreshold", "10MB")
     )
     if master:
         builder = builder.master(master)

@@ -16,6 +16,14 @@ from matchlens.session import work_folder
 
 RUN_DATE = "run_date"
 
+# Columns of facts that the documents of any queue read.
+DOCUMENT_COLUMNS = (
+    "matchId", "tier", "gameVersion", "gameDuration", "date", "ban", "o_championId", "p_championId", "p_teamPosition",
+    "p_teamId", "p_win", "p_gameEndedInEarlySurrender", "p_physicalDamageDealtToChampions", "p_magicDamageDealtToChampions",
+    "p_trueDamageDealtToChampions", "p_teamDamagePercentage", "p_damageTakenOnTeamPercentage", "p_summoner1Id", "p_summoner2Id",
+    "p_statPerks", "p_primaryStyles", "p_subStyles", "p_itemStart", "p_itemMiddle", "p_itemBuild", "p_skillTree",
+)
+
 
 def day_folder(root: str, queue: str, day: datetime.date) -> str:
     return f"{root}/queue={queue}/{RUN_DATE}={day.isoformat()}"
@@ -80,17 +88,18 @@ def read_recent(
     return chosen if with_today else chosen.where(F.col(RUN_DATE) < F.lit(as_of))
 
 
-def stored_facts(facts: DataFrame) -> DataFrame:
-    """Facts written to the shared work folder and read back, as between the two daily jobs.
+def stored_facts(facts: DataFrame, columns: tuple[str, ...] = DOCUMENT_COLUMNS) -> DataFrame:
+    """The columns that documents read, written to the shared work folder and read back.
 
-    The statistics read facts once per relation, each time only its own columns.
-    Rebalancing keeps the rows of a match together, so that they are combined
-    before they are shuffled, and splits the part of a match that is too large.
+    The daily jobs read the facts of the flatten job instead. This is for facts
+    that are still to be computed, since a document reads them once per relation.
+    Nothing is shuffled; the folder goes with the work folder.
     """
     spark = facts.sparkSession
     target = f"{work_folder(spark)}/facts-{uuid.uuid4()}"
-    facts.hint("rebalance", "matchId").write.parquet(target)
-    return spark.read.schema(facts.schema).parquet(target)
+    kept = facts.select(*[c for c in columns if c in facts.columns])
+    kept.write.parquet(target)
+    return spark.read.schema(kept.schema).parquet(target)
 
 
 def read_json_values(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
