@@ -13,10 +13,11 @@ from pyspark.sql import DataFrame, SparkSession
 
 from matchlens.operators.document import aram_documents, champion_documents
 from matchlens.operators.flatten import flatten_matches
-from matchlens.schema import RAW_MATCH
+from matchlens.schema import ITEM_MAP, MATCH_STATE, RAW_MATCH, TIMELINE
 from matchlens.session import build_session
+from matchlens.sources.catalogues import items_of
 from matchlens.sources.documents import write_documents
-from matchlens.sources.matches import RUN_DATE, read_raw, read_recent, write_facts
+from matchlens.sources.matches import RUN_DATE, land_day, read_landed, read_raw, read_recent, write_facts
 from matchlens.sources.warehouse import full_refresh
 
 LANE_QUEUES = ("solo", "flex")
@@ -30,6 +31,23 @@ def fact_schema(spark: SparkSession, queue: str):
     return flatten_matches(empty, queue != ARAM).schema
 
 
+def land(
+    spark: SparkSession, fetched: str, timelines: str, items: str, state: str, raw_root: str, out: str, queue: str, day: datetime.date
+) -> None:
+    """Fetched matches and timelines to a raw day; new state and rejected matches under ``out``."""
+    land_day(
+        read_landed(spark, fetched),
+        spark.read.schema(TIMELINE).json(timelines),
+        items_of(spark.read.schema(ITEM_MAP).json(items)),
+        spark.read.schema(MATCH_STATE).parquet(state),
+        raw_root,
+        queue,
+        day,
+        f"{out}/state/{RUN_DATE}={day.isoformat()}",
+        f"{out}/rejected/{RUN_DATE}={day.isoformat()}",
+    )
+
+
 def flatten_day(
     spark: SparkSession, raw_root: str, facts_root: str, queue: str, day: datetime.date
 ) -> None:
@@ -63,16 +81,22 @@ def refresh(
 
 def main(arguments: list[str] | None = None) -> None:
     parser = argparse.ArgumentParser()
-    parser.add_argument("job", choices=("flatten", "statistics", "refresh"))
+    parser.add_argument("job", choices=("land", "flatten", "statistics", "refresh"))
     parser.add_argument("--queue", choices=QUEUES, required=True)
     parser.add_argument("--execution-date", type=datetime.date.fromisoformat, required=True)
     parser.add_argument("--raw")
-    parser.add_argument("--facts", required=True)
-    parser.add_argument("--out", help="document folder, or warehouse table")
+    parser.add_argument("--facts")
+    parser.add_argument("--fetched")
+    parser.add_argument("--timelines")
+    parser.add_argument("--items")
+    parser.add_argument("--state")
+    parser.add_argument("--out", help="document folder, warehouse table, or folder of state and rejected matches")
     args = parser.parse_args(arguments)
 
     spark = build_session(f"{args.queue}_{args.job}")
-    if args.job == "flatten":
+    if args.job == "land":
+        land(spark, args.fetched, args.timelines, args.items, args.state, args.raw, args.out, args.queue, args.execution_date)
+    elif args.job == "flatten":
         flatten_day(spark, args.raw, args.facts, args.queue, args.execution_date)
     elif args.job == "statistics":
         statistics(spark, args.facts, args.out, args.queue, args.execution_date)

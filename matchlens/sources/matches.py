@@ -10,7 +10,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from matchlens.operators.state import mark_done
+from matchlens.operators.flatten import canonical_matches
+from matchlens.operators.state import keyed_update, mark_done
+from matchlens.operators.timeline import fold_timelines, merge_slots
 from matchlens.schema import FETCHED_MATCH, RAW_MATCH
 from matchlens.session import work_folder
 
@@ -53,6 +55,26 @@ def land_matches(documents: DataFrame, state: DataFrame, folder: str, state_fold
     mark_done(state, landed).write.mode("overwrite").parquet(state_folder)
 
 
+def land_day(
+    fetched: DataFrame, timelines: DataFrame, items: DataFrame, state: DataFrame, root: str, queue: str, day: datetime.date, state_folder: str, rejected_folder: str
+) -> None:
+    """A day's fetched matches with their timelines as raw matches, the new state, and what was rejected.
+
+    Matches whose log is missing, invalid, or short of ten seats are not
+    written; ``rejected_folder`` lists them, and in the state they are to be
+    fetched again. The state is written last, to a folder of its own.
+    """
+    folded = fold_timelines(timelines, items, keep_invalid=True)
+    canonical = canonical_matches(fetched)
+    write_raw(merge_slots(canonical, folded.where("valid")), root, queue, day)
+    landed = read_raw(fetched.sparkSession, root, queue, day).select(F.col("metadata.matchId").alias("matchid"))
+    asked = canonical.select(F.col("metadata.matchId").alias("matchid")).distinct()
+    asked.join(landed, "matchid", "left_anti").write.mode("overwrite").parquet(rejected_folder)
+    rejected = fetched.sparkSession.read.schema("matchid string").parquet(rejected_folder)
+    again = keyed_update(mark_done(state, landed), rejected.withColumn("status", F.lit(False)), "matchid")
+    again.write.mode("overwrite").parquet(state_folder)
+
+
 def read_landed(spark: SparkSession, folder: str, schema: T.StructType = FETCHED_MATCH) -> DataFrame:
     return spark.read.schema(schema).json(folder)
 

@@ -180,3 +180,26 @@ def test_documents_by_cohort(spark, tmp_path):
     frame = spark.createDataFrame(rows, "cohort string, championId int, score double")
     documents.write_documents(frame, str(tmp_path), "solo", "json")
     assert spark.read.json(f"{tmp_path}/queue=solo").where(F.col("cohort") == "master").count() == 2
+
+
+def test_landing_job_from_fetched_to_raw(spark, tmp_path):
+    from tests.test_timeline import ITEMS, buy, undo
+
+    def fetched(name, seats):
+        return {"metadata": {"matchId": name, "tier": "MASTER"}, "info": {"participants": [{"championId": i} for i in range(seats)], "teams": [], "queueId": 420}}
+
+    names = {key: str(tmp_path / key) for key in ("fetched", "timelines", "items", "state", "raw", "out")}
+    documents_ = [fetched("m1", 10), fetched("m2", 9), fetched("m3", 10), fetched("m4", 10)]
+    spark.createDataFrame(documents_, FETCHED_MATCH).write.json(names["fetched"])
+    logs = [{"matchId": m, "frames": [{"events": e}]} for m, e in (("m1", [buy(1055)]), ("m2", []), ("m3", [undo()]))]
+    spark.createDataFrame(logs, jobs.TIMELINE).write.json(names["timelines"])
+    spark.createDataFrame([{"data": ITEMS}], jobs.ITEM_MAP).write.json(names["items"])
+    spark.createDataFrame([(m, "MASTER", None) for m in ("m1", "m2", "m3", "m4", "m5")], MATCH_STATE).write.parquet(names["state"])
+    jobs.land(spark, names["fetched"], names["timelines"], names["items"], names["state"], names["raw"], names["out"], "solo", DAY)
+
+    raw = matches.read_raw(spark, names["raw"], "solo", DAY).collect()
+    assert [(r.metadata.matchId, r.participants[0].itemStart) for r in raw] == [("m1", ["1055"])]
+    rejected = spark.read.parquet(f"{names['out']}/rejected/run_date={DAY}").collect()
+    assert sorted(r.matchid for r in rejected) == ["m2", "m3", "m4"]
+    state = spark.read.parquet(f"{names['out']}/state/run_date={DAY}").collect()
+    assert {r.matchid: r.status for r in state} == {"m1": True, "m2": False, "m3": False, "m4": False, "m5": None}

@@ -370,6 +370,11 @@ state AS (SELECT CAST(o_orderkey AS VARCHAR) AS matchid, upper(o_orderpriority)
   CASE o_orderstatus WHEN 'F' THEN TRUE WHEN 'O' THEN FALSE END AS status FROM orders),
 listed AS (SELECT CAST(l_orderkey * 2 AS VARCHAR) AS matchid, l_returnflag || l_linestatus AS tier,
   l_shipdate AS seen FROM lineitem)"""
+LAST_LISTED = """last_listed AS (SELECT matchid, tier FROM listed
+  QUALIFY row_number() OVER (PARTITION BY matchid ORDER BY seen DESC, tier DESC) = 1)"""
+ORDER_ROWS = """SELECT CAST(date_trunc('year', o_orderdate) AS DATE) AS date, o_orderkey, o_orderpriority, o_orderstatus
+  FROM orders"""
+
 RECORDS = f"""
 records AS (SELECT 'POS_' || (p_partkey // {PARTS_PER_POSITION}) AS position,
   row_number() OVER (PARTITION BY p_partkey // {PARTS_PER_POSITION} ORDER BY p_partkey) AS ordinal,
@@ -594,6 +599,25 @@ SELECT id AS "itemId", boots AS is_boots, (usual AND (p_size % 5 = 0 OR (p_partk
         """SELECT u.summonerid, CASE WHEN b.summonerid IS NULL THEN puuid ELSE 'Q_' || b.summonerid END AS puuid,
   u.match_num, update_num, u.tier FROM users u LEFT JOIN user_batch b ON u.summonerid = b.summonerid""",
     ),
+    "repeated_update": query(
+        STATE,
+        LAST_LISTED,
+        """SELECT s.matchid, coalesce(l.tier, s.tier) AS tier, s.status
+  FROM state s LEFT JOIN last_listed l ON s.matchid = l.matchid""",
+    ),
+    "repeated_upsert": query(
+        STATE,
+        LAST_LISTED,
+        """SELECT coalesce(s.matchid, l.matchid) AS matchid, coalesce(l.tier, s.tier) AS tier,
+  CASE WHEN s.matchid IS NULL THEN FALSE ELSE s.status END AS status
+  FROM state s FULL JOIN last_listed l ON s.matchid = l.matchid""",
+    ),
+    "table_append": f"""SELECT * FROM ({ORDER_ROWS}) WHERE date BETWEEN DATE '1996-01-01' AND DATE '1999-12-31'""",
+    "table_refresh": f"""SELECT * FROM (SELECT * FROM ({ORDER_ROWS}) WHERE o_orderpriority <> '5-LOW'
+  UNION ALL SELECT * FROM ({ORDER_ROWS}) WHERE o_orderpriority = '1-URGENT')
+  WHERE date > DATE '2001-01-01' - INTERVAL 1500 DAY""",
+    "raw_day_round_trip": raw('SELECT "matchId", date FROM base'),
+    "json_table_round_trip": "SELECT c_custkey, '소환사 ' || c_name AS name, c_acctbal FROM customer",
     "mark_done": query(
         STATE,
         """SELECT matchid, tier, CASE WHEN matchid IN (SELECT matchid FROM listed) THEN TRUE ELSE status END

@@ -28,8 +28,9 @@ from matchlens.operators.cohorts import COHORT, LADDER_COHORTS
 from matchlens.schema import CHAMPION_MAP, ITEM_MAP
 from matchlens.session import work_folder
 from matchlens.sources.catalogues import champions_of, items_of
-from matchlens.sources.matches import stored_facts
-from matchlens.sources.warehouse import create_recent_view, read_dates
+from matchlens.sources.documents import write_table_json
+from matchlens.sources.matches import read_json_values, read_raw, stored_facts, write_raw
+from matchlens.sources.warehouse import append_facts, create_recent_view, drop_expired, full_refresh, read_dates
 from matchlens.streaming import decode_messages, land_messages
 from workloads import views
 
@@ -429,6 +430,52 @@ def item_catalogue(spark, folder):
     )
 
 
+# --- tables and files -----------------------------------------------------------
+
+
+def _order_rows(spark, folder) -> DataFrame:
+    """Orders with the first day of their year, so that a table has few partitions."""
+    orders = views.table(spark, folder, "orders")
+    return orders.select(F.trunc("o_orderdate", "year").alias("date"), "o_orderkey", "o_orderpriority", "o_orderstatus")
+
+
+def table_append(spark, folder):
+    """A table made by its first rows, added to in another column order, read by date."""
+    name = f"orders_{uuid.uuid4().hex}"
+    found = _order_rows(spark, folder)
+    append_facts(found.where("o_orderstatus = 'O'"), name)
+    append_facts(found.where("o_orderstatus <> 'O'").select(*reversed(found.columns)), name)
+    return read_dates(spark.table(name), datetime.date(1996, 1, 1), datetime.date(1999, 12, 31))
+
+
+def table_refresh(spark, folder):
+    """One table refreshed, added to and rid of its oldest dates."""
+    name = f"orders_{uuid.uuid4().hex}"
+    found = _order_rows(spark, folder)
+    append_facts(found, name)
+    full_refresh(found.where("o_orderpriority <> '5-LOW'"), name)
+    append_facts(found.where("o_orderpriority = '1-URGENT'"), name)
+    drop_expired(spark, name, datetime.date(2001, 1, 1), 1500)
+    return spark.table(name)
+
+
+def raw_day_round_trip(spark, folder):
+    """Nested matches written as two days, the second one replaced, and one day read."""
+    root = f"{work_folder(spark)}/raw-{uuid.uuid4().hex}"
+    raw = views.raw_matches(spark, folder)
+    for day, rows_of_day in ((1, raw), (2, raw.limit(0)), (2, raw)):
+        write_raw(rows_of_day, root, "solo", datetime.date(2024, 1, day))
+    kept = read_raw(spark, root, "solo", datetime.date(2024, 1, 2), raw.schema)
+    return kept.select(F.col("metadata.matchId").alias("matchId"), game_day(F.col("metadata.gameStartTimestamp")).alias("date"))
+
+
+def json_table_round_trip(spark, folder):
+    path = f"{work_folder(spark)}/table-{uuid.uuid4().hex}"
+    customers = views.table(spark, folder, "customer").select("c_custkey", F.concat(F.lit("소환사 "), "c_name").alias("name"), "c_acctbal")
+    write_table_json(customers, path)
+    return read_json_values(spark, path, customers.schema)
+
+
 # --- fetch state ---------------------------------------------------------------
 
 
@@ -456,6 +503,23 @@ def keyed_update(spark, folder):
     return state.keyed_update(views.users(spark, folder), found, "summonerid")
 
 
+def repeated_update(spark, folder):
+    """Line items as changes of matches; most matches change many times."""
+    changes = views.match_batch(spark, folder)
+    return state.keyed_update(views.match_state(spark, folder), changes, "matchid", ["seen", "tier"])
+
+
+def repeated_upsert(spark, folder):
+    return state.upsert(
+        views.match_state(spark, folder),
+        views.match_batch(spark, folder),
+        "matchid",
+        ["tier"],
+        {"status": F.lit(False)},
+        ["seen", "tier"],
+    )
+
+
 def mark_done(spark, folder):
     landed = views.match_batch(spark, folder).select("matchid")
     return state.mark_done(views.match_state(spark, folder), landed)
@@ -640,6 +704,12 @@ QUERIES: dict[str, Query] = {
     "upsert_users": upsert_users,
     "insert_if_absent": insert_if_absent,
     "keyed_update": keyed_update,
+    "repeated_update": repeated_update,
+    "repeated_upsert": repeated_upsert,
+    "table_append": table_append,
+    "table_refresh": table_refresh,
+    "raw_day_round_trip": raw_day_round_trip,
+    "json_table_round_trip": json_table_round_trip,
     "mark_done": mark_done,
     "mark_in_flight": mark_in_flight,
     "settle_update_numbers": settle_update_numbers,
