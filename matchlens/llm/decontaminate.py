@@ -153,9 +153,8 @@ def leaks_by_text(docs: DataFrame, items: DataFrame, text: str = "text", item_ke
     covers = confirmed.groupBy("digest").agg(spans.alias("spans")).select("digest", covered.cast("long").alias("n_hit"))
     named = confirmed.select("digest", "n", "window").distinct().join(windows, ["n", "window"]).filter("item_id is not null")
     listed = named.groupBy("digest").agg(F.sort_array(F.collect_set("item_id")).alias("item_ids"))
-    results = covers.join(listed, "digest", "left")
-
-    return results
+    covers.join(listed, "digest", "left").write.parquet(f"{folder}/texts")
+    return spark.read.parquet(f"{folder}/texts")
 
 
 def find_leaks(docs: DataFrame, items: DataFrame, key: str = "doc_id", text: str = "text", item_key: str = "item_id", item_text: str = "text") -> DataFrame:
@@ -175,6 +174,12 @@ def find_leaks(docs: DataFrame, items: DataFrame, key: str = "doc_id", text: str
 
 
 def clean(docs: DataFrame, items: DataFrame, text: str = "text", item_key: str = "item_id", item_text: str = "text") -> DataFrame:
-    """The rows of ``docs`` without any hit, with all their columns."""
+    """The rows of ``docs`` without any hit, with all their columns.
+
+    A bitmap of the hit texts' digests lets most rows pass where they are; only
+    rows that it cannot tell are moved to an anti-join.
+    """
     hit = leaks_by_text(docs, items, text, item_key, item_text).select("digest")
-    return docs.join(hit, F.md5(docs[text].cast("string")) == hit["digest"], "left_anti")
+    own = F.md5(docs[text].cast("string"))
+    maybe = F.coalesce(_bitmap(hit.select(F.xxhash64("digest").alias("h")))(F.xxhash64(own)), F.lit(False))
+    return docs.filter(~maybe).unionByName(docs.filter(maybe).join(hit, own == hit["digest"], "left_anti"))

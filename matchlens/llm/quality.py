@@ -192,11 +192,11 @@ def judge(df: DataFrame, key: str = "doc_id", text: str = "text", lang: str = "l
     return source.mapInArrow(partial(_judge_rows, known, [f.name for f in schema.fields], types), schema)
 
 
-def _kept(known: dict[str, list[int]], texts: pd.Series, values: pd.Series) -> pd.Series:
-    vectors = {language: np.array(cells) for language, cells in known.items()}
-    return pd.Series([judged(t, v, vectors)[6] for t, v in zip(texts, values)], dtype=bool)
-
-
 def kept(known: dict[str, list[int]], text: Column | str = "text", lang: Column | str = "lang") -> Column:
     """The verdict as a column, for filters that keep whole rows."""
-    return F.pandas_udf(partial(_kept, known), BooleanType())(text, lang)
+
+    def verdicts(texts: pd.Series, values: pd.Series) -> pd.Series:
+        vectors = {language: np.array(cells) for language, cells in known.items()}
+        return pd.Series([judged(t, v, vectors)[6] for t, v in zip(texts, values)], dtype=bool)
+
+    return F.pandas_udf(verdicts, BooleanType())(text, lang)
