@@ -13,45 +13,14 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from matchlens.functions import game_day
+from matchlens.schema import COUNTS, EVENT_FLAGS, IDENTITY, SHARES
 
 # Descriptions of the two rune styles.
 PRIMARY = "primaryStyle"
 SUB = "subStyle"
 
-# Fields kept from a fetched match.
-KEPT_NUMBERS_AND_FLAGS = (
-    "perks",
-    "summoner1Id",
-    "summoner2Id",
-    "championId",
-    "teamPosition",
-    "teamId",
-    "win",
-    "champExperience",
-    "goldEarned",
-    "totalMinionsKilled",
-    "magicDamageDealtToChampions",
-    "physicalDamageDealtToChampions",
-    "trueDamageDealtToChampions",
-    "damageDealtToBuildings",
-    "damageDealtToObjectives",
-    "totalDamageTaken",
-    "totalHeal",
-    "totalHealsOnTeammates",
-    "timeCCingOthers",
-    "kills",
-    "deaths",
-    "assists",
-    "wardsKilled",
-    "wardsPlaced",
-    "detectorWardsPlaced",
-    "visionScore",
-    "firstBloodKill",
-    "firstTowerKill",
-    "gameEndedInSurrender",
-    "gameEndedInEarlySurrender",
-)
-KEPT_SHARES = ("damageTakenOnTeamPercentage", "teamDamagePercentage")
+# Fields kept from a fetched match.
+KEPT_FIELDS = ("perks", *IDENTITY, "teamPosition", "win", *COUNTS, *EVENT_FLAGS)
 
 
 def where_equal(array: Column, field: str, value: Column) -> Column:
@@ -63,8 +32,8 @@ def canonical_matches(fetched: DataFrame) -> DataFrame:
     """Fetched documents in the flatten job's shape, reduced to the fields in use."""
 
     def kept(p: Column) -> Column:
-        fields = [p[name].alias(name) for name in KEPT_NUMBERS_AND_FLAGS]
-        fields += [p["challenges"][name].alias(name) for name in KEPT_SHARES]
+        fields = [p[name].alias(name) for name in KEPT_FIELDS]
+        fields += [p["challenges"][name].alias(name) for name in SHARES]
         return F.struct(*fields)
 
     return fetched.select(

@@ -9,18 +9,8 @@ from pyspark.sql import types as T
 
 # Field names of the match documents.
 _OBJECTIVES = ("baron", "champion", "dragon", "inhibitor", "riftHerald", "tower")
-_FLAGS = (
-    "win",
-    "firstBloodKill",
-    "firstTowerKill",
-    "gameEndedInSurrender",
-    "gameEndedInEarlySurrender",
-)
-_NUMBERS = (
-    "championId",
-    "teamId",
-    "summoner1Id",
-    "summoner2Id",
+IDENTITY = ("championId", "teamId", "summoner1Id", "summoner2Id")
+COUNTS = (
     "kills",
     "deaths",
     "assists",
@@ -41,7 +31,10 @@ _NUMBERS = (
     "totalHeal",
     "totalHealsOnTeammates",
 )
-_SHARES = ("teamDamagePercentage", "damageTakenOnTeamPercentage")
+EVENT_FLAGS = ("firstBloodKill", "firstTowerKill", "gameEndedInSurrender", "gameEndedInEarlySurrender")
+SHARES = ("teamDamagePercentage", "damageTakenOnTeamPercentage")
+_FLAGS = ("win", *EVENT_FLAGS)
+_NUMBERS = (*IDENTITY, *COUNTS)
 
 LONG, TEXT, FLAG, DOUBLE = T.LongType(), T.StringType(), T.BooleanType(), T.DoubleType()
 
@@ -71,7 +64,7 @@ PERKS = struct(
 _PLAYED = {**each(_NUMBERS, LONG), "teamPosition": TEXT, **each(_FLAGS, FLAG)}
 PARTICIPANT = struct(
     **_PLAYED,
-    **each(_SHARES, DOUBLE),
+    **each(SHARES, DOUBLE),
     perks=PERKS,
     skillTree=array(LONG),
     **each(("itemStart", "itemMiddle", "itemBuild", "itemRarity"), array(TEXT)),
@@ -104,7 +97,7 @@ FETCHED_MATCH = struct(
         gameVersion=TEXT,
         queueId=LONG,
         participants=array(
-            struct(**_PLAYED, challenges=struct(**each(_SHARES, DOUBLE)), perks=PERKS)
+            struct(**_PLAYED, challenges=struct(**each(SHARES, DOUBLE)), perks=PERKS)
         ),
         teams=array(TEAM),
     ),

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from matchlens.operators.cohorts import recent_days_in_zone
+from matchlens.schema import COUNTS, EVENT_FLAGS
 
 # Partition expiry of the tables, and days the landing folders are kept.
 EXPIRY_DAYS = 60
@@ -15,33 +16,6 @@ RETENTION_DAYS = 14
 
 _LANES = ("TOP", "JUG", "MID", "ADC", "SUP")
 _GOALS = ("BARON", "DRAGON", "RIFT_HERALD")
-_COUNTS = (
-    "champExperience",
-    "goldEarned",
-    "totalMinionsKilled",
-    "magicDamageDealtToChampions",
-    "physicalDamageDealtToChampions",
-    "trueDamageDealtToChampions",
-    "damageDealtToBuildings",
-    "damageDealtToObjectives",
-    "totalDamageTaken",
-    "totalHeal",
-    "totalHealsOnTeammates",
-    "timeCCingOthers",
-    "kills",
-    "deaths",
-    "assists",
-    "wardsKilled",
-    "wardsPlaced",
-    "detectorWardsPlaced",
-    "visionScore",
-)
-_FLAGS = (
-    "firstBloodKill",
-    "firstTowerKill",
-    "gameEndedInSurrender",
-    "gameEndedInEarlySurrender",
-)
 
 
 def _sided(names: tuple[str, ...]) -> str:
@@ -58,9 +32,9 @@ TABLES = {
     "champion": "tier STRING, date DATE, gameVersion STRING, gameDuration INT, matchId STRING, "
     "championId INT, teamPosition STRING, win BOOLEAN, damageTakenOnTeamPercentage DOUBLE, "
     "teamDamagePercentage DOUBLE, "
-    + ", ".join(f"{name} INT" for name in _COUNTS)
+    + ", ".join(f"{name} INT" for name in COUNTS)
     + ", "
-    + ", ".join(f"{name} BOOLEAN" for name in _FLAGS)
+    + ", ".join(f"{name} BOOLEAN" for name in EVENT_FLAGS)
     + ", execution_date DATE",
 }
 

@@ -11,8 +11,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-# Fixed value: line shown per message, with key and value padded to 12.
-LINE = "Consumed event from topic %s: key = %-12s value = %-12s"
+# Line shown per message, with the key padded to 12.
+LINE = "[%s] %-12s -> %s"
 
 
 def kafka_options(

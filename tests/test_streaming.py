@@ -16,14 +16,14 @@ def run(spark, source, target, checkpoint):
 
 def test_stream_equals_batch_and_resumes(spark, tmp_path):
     source, target, checkpoint = (str(tmp_path / n) for n in ("in", "out", "check"))
-    write(spark, source, [("topic_0", "book", "jsmith"), ("topic_0", "bätteries", "eabara")])
+    write(spark, source, [("orders", "k-17", "three pears"), ("orders", "k-ü", "plums")])
     lines = run(spark, source, target, checkpoint)
     batch = decode_messages(spark.read.schema(SCHEMA).parquet(source))
     assert lines == sorted(r.line for r in batch.collect())
-    assert lines[0] == "Consumed event from topic topic_0: key = book         value = jsmith      "
+    assert lines[0] == "[orders] k-17         -> three pears"
 
     assert run(spark, source, target, checkpoint) == lines
-    write(spark, source, [("topic_0", "gift card", "htanaka")])
+    write(spark, source, [("orders", "k-99", "")])
     assert len(run(spark, source, target, checkpoint)) == 3
     fresh = run(spark, source, str(tmp_path / "again"), str(tmp_path / "new"))
     assert len(fresh) == 3

@@ -676,6 +676,5 @@ SELECT id AS "itemId", boots AS is_boots, (usual AND (p_size % 5 = 0 OR (p_partk
   GROUP BY position""",
     ),
     "stream_decode": """SELECT event_type AS topic, CAST(user_id AS VARCHAR) AS key, props AS value,
-  'Consumed event from topic ' || event_type || ': key = ' || rpad(CAST(user_id AS VARCHAR), 12, ' ')
-  || ' value = ' || rpad(props, CAST(greatest(12, length(props)) AS INT), ' ') AS line FROM events""",
+  '[' || event_type || '] ' || rpad(CAST(user_id AS VARCHAR), 12, ' ') || ' -> ' || props AS line FROM events""",
 }
