@@ -309,6 +309,36 @@ LEFT JOIN statPerks_top USING ({keys}) LEFT JOIN itemStart_top USING ({keys})"""
     )
 
 
+def document_arrays() -> str:
+    """Every entry of the arrays of the lane documents, with its place."""
+    names = [name for name in FAMILIES if name != "itemStartMerged"]
+    branches = []
+    for name in names:
+        grouped, _, _, shown = FAMILIES[name]
+        values = ["list_sort(g1)"] if name == "itemStart" else [f"g{i}" for i in range(1, len(grouped) + 1)]
+        order = ", ".join(values if name == "powerCurve" else ["select_cnt DESC", *values, "win_rate", "pick_rate"])
+        option = " || ';' || ".join(f"CAST({s} AS VARCHAR)" for s in shown)
+        branches.append(
+            f"SELECT {KEYS}, '{name}' AS \"array\", row_number() OVER (PARTITION BY {KEYS} ORDER BY {order}) AS place, "
+            f"{option} AS option, win_rate, pick_rate, select_cnt FROM {name}"
+        )
+    for name, option in (("counter", '"o_championId"'), ("synergy", "\"s_championId\" || ';' || \"s_teamPosition\"")):
+        branches.append(
+            f"SELECT {KEYS}, '{name}', row_num, CAST({option} AS VARCHAR), win_rate, pick_rate, select_cnt FROM {name}"
+        )
+    return stats(
+        FACTS,
+        LATEST_LADDER,
+        picked(KEYS),
+        *map(family, names),
+        COUNTER.format(keys=KEYS, games=SYNERGY_GAMES),
+        synergy(SYNERGY_GAMES),
+        f"entries AS ({' UNION ALL '.join(branches)})",
+        f"""SELECT cohort, {SHOWN_KEYS}, "array", CAST(place AS BIGINT) AS place, option, win_rate, pick_rate, select_cnt
+FROM entries JOIN (SELECT {KEYS} FROM picked) USING ({KEYS})""",
+    )
+
+
 # --- timelines -------------------------------------------------------------------------
 
 TIMELINE = f"""
@@ -483,6 +513,7 @@ ORACLE: dict[str, str] = {
         f'SELECT "p_championId" AS "championId", "c_championId", {MATCHUP} FROM counter',
     ),
     "champion_document": documents(FACTS, lane=True),
+    "document_arrays": document_arrays(),
     "nested_document": documents(RAW_FACTS, lane=True),
     "aram_document": documents(FACTS, lane=False),
     "latest_version": query(FACTS, RULES, 'SELECT v AS "gameVersion" FROM newest'),

@@ -202,6 +202,27 @@ def champion_document(spark, folder):
     return _document_rows(made, LANE_ARRAYS)
 
 
+def document_arrays(spark, folder):
+    """Every entry of every array of the documents, with its place."""
+    facts = stored_facts(views.facts(spark, folder))
+    made = document.champion_documents(facts, AS_OF, ALL_DAYS, min_games=SYNERGY_GAMES)
+    measures = ("win_rate", "pick_rate", "select_cnt")
+
+    def entries(name: str) -> Column:
+        kinds = {f.name: f.dataType for f in made.schema[name].dataType.elementType.fields if f.name not in measures}
+
+        def entry(e: Column, i: Column) -> Column:
+            parts = [text(e[f]) if isinstance(kind, T.ArrayType) else e[f].cast("string") for f, kind in kinds.items()]
+            return F.struct(
+                F.lit(name).alias("array"), (i + 1).cast("bigint").alias("place"), F.concat_ws(";", *parts).alias("option"), *[e[m].alias(m) for m in measures]
+            )
+
+        return F.coalesce(F.transform(name, entry), F.array())
+
+    shown = made.select(COHORT, "championId", "teamPosition", F.flatten(F.array(*map(entries, LANE_ARRAYS))).alias("entries"))
+    return shown.select(COHORT, "championId", "teamPosition", F.inline("entries"))
+
+
 def nested_document(spark, folder):
     """Documents from nested matches: flatten, store, statistics."""
     facts = stored_facts(flatten.flatten_matches(views.raw_matches(spark, folder)))
@@ -674,6 +695,7 @@ QUERIES: dict[str, Query] = {
     "aram_synergy": aram_synergy,
     "aram_counter": aram_counter,
     "champion_document": champion_document,
+    "document_arrays": document_arrays,
     "nested_document": nested_document,
     "aram_document": aram_document,
     "latest_version": latest_version,
