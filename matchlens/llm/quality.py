@@ -46,15 +46,16 @@ COMMON_WORDS = {
 }
 SHARED = "other"
 
-#: The character classes. A character outside ASCII counts once, by its first byte.
-CLASSES = ("lower", "upper", "digit", "space", "newline", "stop", "mark", "bar", "symbol", "control", "other")
+#: The character classes. A character outside ASCII counts once, by its first byte, as a small
+#: letter: a passage in another language is no reason to reject a text.
+CLASSES = ("lower", "upper", "digit", "space", "newline", "stop", "mark", "bar", "symbol", "control")
 SYMBOLS = "#*$%&|<>"
 
 
 def _class_of(byte: int) -> int:
     char = chr(byte)
     if byte > 127:
-        return CLASSES.index("other") if byte >= 192 else len(CLASSES)
+        return CLASSES.index("lower") if byte >= 192 else len(CLASSES)
     tests = (char.islower(), char.isupper(), char.isdigit(), char == " ", char == "\n", char in ".,", char in "!?;:'\"()-/", char in "|<>", char in SYMBOLS + "@+=^~_`\\[]{}")
     return next((i for i, hit in enumerate(tests) if hit), CLASSES.index("control"))
 
