@@ -289,3 +289,20 @@ def test_major_minor(spark):
     versions = ["13.14.522.7601", "13.14", "13", ""]
     rows = spark.createDataFrame([(v,) for v in versions], "v string").select(major_minor(F.col("v")))
     assert [r[0] for r in rows.collect()] == ["13.14", "13.14", "13", ""]
+
+
+def test_pairs_read_the_facts_once_and_move_them_twice(spark, tmp_path):
+    from matchlens.operators.matchups import LANE_PARTNER, pair_counts
+    from matchlens.operators.picks import LANE_KEYS
+
+    rows = [("m", 100, c, p, True) for c, p in enumerate(["TOP", "JUNGLE", None, "MIDDLE", "TOP"])] + [(None, 100, 9, "TOP", False)] * 2
+    schema = "matchId string, p_teamId bigint, p_championId bigint, p_teamPosition string, p_win boolean"
+    spark.createDataFrame(rows, schema).write.parquet(str(tmp_path / "facts"))
+    pairs = pair_counts(spark.read.parquet(str(tmp_path / "facts")), LANE_KEYS, LANE_PARTNER, ["matchId", "p_teamId"], "p_teamPosition")
+    found = {(r.championId, r.s_championId): (r.select_cnt, r.win_cnt) for r in pairs.collect()}
+    assert found == {(a, b): (1, 1) for a, b in ((0, 1), (0, 3), (1, 0), (1, 3), (1, 4), (3, 0), (3, 1), (3, 4), (4, 1), (4, 3))}
+    plan = pairs._jdf.queryExecution().sparkPlan().toString()
+    assert plan.count("FileScan") == 1 and "Join" not in plan
+    executed = pairs._jdf.queryExecution().executedPlan().toString()
+    # By member, by group, and the counts by pair.
+    assert executed.split("Initial Plan")[-1].count("Exchange hashpartitioning") == 3
