@@ -81,6 +81,39 @@ SELECT "matchId", tier, "gameVersion", date, "gameDuration", ban, champ AS "p_ch
   o_champ AS "o_championId", st, ps, ss, s1, s2, istart, imid, ibuild, skill, dp, dm, dt, shd, sht
 FROM paired)"""
 
+# Columns of a flat participant by their names in the views; lists are shown as text.
+FLAT = {
+    "championId": "champ", "teamId": "team", "summoner1Id": "s1", "summoner2Id": "s2", "teamPosition": "pos", "win": "win",
+    "gameEndedInEarlySurrender": "early", "physicalDamageDealtToChampions": "dp", "magicDamageDealtToChampions": "dm",
+    "trueDamageDealtToChampions": "dt", "teamDamagePercentage": "shd", "damageTakenOnTeamPercentage": "sht",
+    "primaryStyle": "pstyle", "subStyle": "sstyle",
+}
+FLAT_LISTS = {
+    "skillTree": "skill", "itemStart": "istart", "itemMiddle": "imid", "itemBuild": "ibuild", "statPerks": "st",
+    "primaryStyles": "ps", "subStyles": "ss",
+}
+
+
+def flat_columns(side: str, alias: str) -> str:
+    shown = {n: f"{alias}.{c}" for n, c in FLAT.items()} | {n: as_text(f"{alias}.{c}") for n, c in FLAT_LISTS.items()}
+    return ", ".join(f'{value} AS "{side}_{name}"' for name, value in shown.items())
+
+
+def flat_rows(lane: bool) -> str:
+    """Every flattened column; a match without participants keeps one row in the lane queues."""
+    with_early = "(SELECT *, c_custkey % 20 = 0 AS early FROM players)"
+    match = ["tier", '"gameVersion"', '"matchId"', '"gameDuration"', "date", 'CAST(420 AS BIGINT) AS "queueId"']
+    own = f"SELECT {', '.join(match)}, {flat_columns('p', 'p')}"
+    if not lane:
+        return f"{own} FROM {with_early} p"
+    named = [c if " AS " in c else f"p.{c}" for c in match]
+    empty = ", ".join("NULL" for _ in range(2 * (len(FLAT) + len(FLAT_LISTS)) + 1))
+    return f"""SELECT {', '.join(named)}, {flat_columns('p', 'p')}, p.ban, {flat_columns('o', 'q')}
+FROM {with_early} p JOIN paired r ON p."matchId" = r."matchId" AND p.i = r.i
+LEFT JOIN {with_early} q ON q."matchId" = r."matchId" AND q.i = r.o_i
+UNION ALL SELECT {', '.join(match)}, {empty} FROM base WHERE c_custkey % 50 IN (7, 8)"""
+
+
 MINUTE = """(CASE WHEN ceil("gameDuration" / 300) <= 3 THEN '15'
   WHEN ceil("gameDuration" / 300) > 7 THEN '35+'
   ELSE CAST(CAST(ceil("gameDuration" / 300) * 5 AS INT) AS VARCHAR) END)"""
@@ -547,9 +580,8 @@ ORACLE: dict[str, str] = {
   UNION ALL SELECT "matchId", tier, "gameVersion", date, "gameDuration", 420,
   NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL FROM base WHERE c_custkey % 50 IN (7, 8)"""
     ),
-    "flatten_aram": raw(
-        """SELECT "matchId", champ AS "p_championId", team AS "p_teamId", win AS p_win FROM players"""
-    ),
+    "flatten_every_column": raw(flat_rows(lane=True)),
+    "flatten_aram": raw(flat_rows(lane=False)),
     "ban_lookup": raw(
         """SELECT ban, count(*) AS rows FROM (SELECT ban FROM players
   UNION ALL SELECT NULL FROM base WHERE c_custkey % 50 IN (7, 8)) GROUP BY ban"""

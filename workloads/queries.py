@@ -307,9 +307,14 @@ def flatten_participants(spark, folder):
     return with_text(flat.select(*shown))
 
 
+def flatten_every_column(spark, folder):
+    """All columns of the flat rows, the opponent's included."""
+    return with_text(flatten.flatten_matches(views.raw_matches(spark, folder)))
+
+
 def flatten_aram(spark, folder):
-    flat = flatten.flatten_matches(views.raw_matches(spark, folder), with_opponent=False)
-    return flat.select("matchId", "p_championId", "p_teamId", "p_win")
+    """All columns of the flat rows without opponents and bans."""
+    return with_text(flatten.flatten_matches(views.raw_matches(spark, folder), with_opponent=False))
 
 
 def ban_lookup(spark, folder):
@@ -707,6 +712,7 @@ QUERIES: dict[str, Query] = {
     "daily_picks": daily_picks,
     "daily_bans": daily_bans,
     "flatten_participants": flatten_participants,
+    "flatten_every_column": flatten_every_column,
     "flatten_aram": flatten_aram,
     "ban_lookup": ban_lookup,
     "opponent_lookup": opponent_lookup,
