@@ -45,7 +45,7 @@ PARTS = re.compile(r" (?=\S)")
 #: Up to here the library and this module's pattern agree on what is a letter or a number.
 AGREED = re.compile("[^\x00-՗ՙ-֊֍-ࢎ࢐-౛ౝ-೛ೝ-₎ₐ-ₜ₠-ꟍ]")
 #: Entries that each of a worker's memories may hold before it starts anew.
-REMEMBERED = 500_000
+REMEMBERED = 350_000
 #: Texts that are encoded together: more of them share more prefixes.
 TOGETHER = 1024
 
@@ -164,7 +164,7 @@ class Trie:
         """Whether ``b`` can stand after ``a`` in an encoding."""
         answer = self.fits.get((a, b))
         if answer is None:
-            if len(self.fits) >= REMEMBERED:
+            if len(self.fits) >= REMEMBERED // 2:
                 self.fits.clear()
             answer = self.fits[a, b] = self._undisturbed(a, b, float("inf"))
         return answer
