@@ -249,7 +249,11 @@ def first_of_each(df: DataFrame, key: str = "doc_id", text: str = "text", width:
     the least digest of its text. Only rows that agree in both are compared
     further, and one of them stays.
     """
-    rows, classes = grouped(df, key, text, width)
+    return keep_first(df, *grouped(df, key, text, width), key, text)
+
+
+def keep_first(df: DataFrame, rows: DataFrame, classes: DataFrame, key: str, text: str) -> DataFrame:
+    """The first row of each component, given rows (key, digest, fp) and classes (fp, component)."""
     by_text = _kept(rows.groupBy("fp", "key", "digest").agg(F.count("*").alias("n_rows")))
     order = F.struct(F.col("key").isNull().alias("none"), "key", "digest", "n_rows")
     first = by_text.groupBy("fp").agg(F.min(order).alias("first"))
