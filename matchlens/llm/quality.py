@@ -1,7 +1,11 @@
 """Quality rules: repetition counts, and the distance of a text's histograms to its language's.
 
-A language's references are histograms over all texts that carry it: of
+A language's references are mean histograms over all texts that carry it: of
 character classes, and of its commonest words (the rest is one more cell).
+Every text counts once, whatever its length, and a source counts as the mean
+source of its language at most. The median of each class comes first, and only texts within
+``MAX_CHARACTERS`` of the medians make the means, so a hot source, few very
+long texts, or a third of rows of numbers do not move them.
 Texts in no listed language, or in none, share one reference. A text's
 verdict compares its own histograms with them by the Jensen-Shannon distance
 (square root of the divergence in bits, 0 to 1). Short texts have histograms
@@ -17,8 +21,10 @@ each give a row; a null id stays null; an empty table gives an empty one.
 from __future__ import annotations
 
 from collections import Counter
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from functools import partial
+from unicodedata import category
+from uuid import uuid4
 
 import numpy as np
 import pandas as pd
@@ -29,6 +35,7 @@ from pyspark.sql.pandas.types import to_arrow_type
 from pyspark.sql.types import BooleanType, DoubleType, LongType, StructField, StructType
 
 from matchlens.llm.rowwise import STEP
+from matchlens.session import work_folder
 
 MIN_WORDS = 10
 MAX_REPEAT_PERCENT = 20
@@ -36,7 +43,6 @@ MAX_REPEAT_PERCENT = 20
 MIN_WORDS_CHARACTERS, MAX_CHARACTERS = 30, 0.32
 #: From so many words on, the greatest sum of both distances kept.
 MAX_SUMS = ((100, 0.46), (50, 0.58))
-
 #: Common words by language.
 COMMON_WORDS = {
     "en": "the of and to in a is that for it as was with be by on not he i this are or his from at which but have an had".split(),
@@ -45,22 +51,34 @@ COMMON_WORDS = {
     "es": "de la que el en y a los se del las un por con no una su para es al lo como más o pero sus le ha me si".split(),
 }
 SHARED = "other"
+#: Bins of a class's share, the whole number that stands for 1, and the (language, source) groups that a task adds up at a time.
+BINS, UNIT, GROUPS = 256, 1 << 20, 512
 
-#: The character classes. A character outside ASCII counts once, by its first byte, as a small
-#: letter: a passage in another language is no reason to reject a text.
+#: The character classes. A letter outside ASCII counts as a small one: a passage in another
+#: language is no reason to reject a text. Other characters outside ASCII count by their kind.
 CLASSES = ("lower", "upper", "digit", "space", "newline", "stop", "mark", "bar", "symbol", "control")
 SYMBOLS = "#*$%&|<>"
 
 
-def _class_of(byte: int) -> int:
-    char = chr(byte)
-    if byte > 127:
-        return CLASSES.index("lower") if byte >= 192 else len(CLASSES)
+#: Classes of characters outside ASCII by the first letter of their Unicode category.
+_KINDS = {"L": "lower", "M": "lower", "N": "digit", "P": "mark", "Z": "space", "S": "symbol"}
+
+
+def _class_of(code: int) -> int:
+    char = chr(code)
+    if code > 127:
+        return CLASSES.index(_KINDS.get(category(char)[0], "control"))
     tests = (char.islower(), char.isupper(), char.isdigit(), char == " ", char == "\n", char in ".,", char in "!?;:'\"()-/", char in "|<>", char in SYMBOLS + "@+=^~_`\\[]{}")
     return next((i for i, hit in enumerate(tests) if hit), CLASSES.index("control"))
 
 
-_CLASS = np.array([_class_of(b) for b in range(256)], dtype=np.uint8)
+_CLASS = np.array([_class_of(c) for c in range(0x110000)], dtype=np.uint8)
+
+
+def classes_of(raw: bytes) -> np.ndarray:
+    """Counts of the character classes of a text in UTF-8."""
+    codes = np.frombuffer(raw, np.uint8) if raw.isascii() else np.frombuffer(raw.decode().encode("utf-32-le"), "<u4")
+    return np.bincount(_CLASS[codes], minlength=len(CLASSES))
 
 
 def _cells(language: str) -> list[tuple[bytes, bytes]]:
@@ -79,7 +97,7 @@ def language_of(value: str | None) -> str:
 
 def histogram(raw: bytes, words: list[bytes], language: str) -> np.ndarray:
     """Counts of the character classes, then of the language's common words and of all other words."""
-    classes = np.bincount(_CLASS[np.frombuffer(raw, np.uint8)], minlength=len(CLASSES) + 1)[: len(CLASSES)]
+    classes = classes_of(raw)
     seen = Counter(words)
     common = [seen[small] + (seen[big] if big != small else 0) for small, big in _CELLS[language]]
     return np.concatenate([classes, common, [len(words) - sum(common)]]).astype(np.int64)
@@ -117,35 +135,94 @@ def counts_of(text: str, raw: bytes, words: list[bytes]) -> tuple[int, int, int,
     return len(words), len(text) - blanks, sum(text.count(c) for c in SYMBOLS), len(lines) - len(set(lines)), repeated_words(words)
 
 
-def _reference_rows(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    totals: dict[str, np.ndarray] = {}
+def _texts(batches: Iterable[pa.RecordBatch]) -> Iterator[tuple[str, str | None, bytes]]:
+    """Language, source and bytes of the texts with words enough to be learned from."""
     for batch in batches:
         for at in range(0, batch.num_rows, STEP):
-            part = batch.slice(at, STEP)
-            for text, value in zip(part.column(0).to_pylist(), part.column(1).to_pylist()):
-                language = language_of(value)
+            for text, value, source in zip(*(column.to_pylist() for column in batch.slice(at, STEP).columns)):
                 raw = (text or "").encode()
-                got = histogram(raw, raw.split(), language)
-                totals[language] = totals[language] + got if language in totals else got
-    rows = [(language, cell, int(n)) for language, total in totals.items() for cell, n in enumerate(total)]
-    yield pa.RecordBatch.from_arrays(
-        [pa.array([r[0] for r in rows], pa.string()), pa.array([r[1] for r in rows], pa.int32()), pa.array([r[2] for r in rows], pa.int64())],
-        names=["language", "cell", "n"],
-    )
+                if len(raw.split(None, MIN_WORDS)) >= MIN_WORDS:
+                    yield language_of(value), source, raw
+
+
+def _rows_of(totals: dict[tuple[str, str | None], np.ndarray]) -> pa.RecordBatch:
+    rows = [(*group, cell, int(n)) for group, total in totals.items() for cell, n in enumerate(total.tolist()) if n]
+    kinds = (pa.string(), pa.string(), pa.int32(), pa.int64())
+    return pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], kind) for i, kind in enumerate(kinds)], names=["language", "source", "cell", "n"])
+
+
+def _summed(add: Callable, batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """What ``add`` makes of each text, summed by language and source, for some groups at a time."""
+    totals: dict[tuple[str, str | None], np.ndarray] = {}
+    for language, source, raw in _texts(batches):
+        got = add(language, raw)
+        if got is None:
+            continue
+        group = (language, source)
+        totals[group] = totals[group] + got if group in totals else got
+        if len(totals) >= GROUPS:
+            yield _rows_of(totals)
+            totals = {}
+    yield _rows_of(totals)
+
+
+def _class_bins(language: str, raw: bytes) -> np.ndarray:
+    """One for the bin of the text's share of each class, then one for the text."""
+    share = classes_of(raw) / max(1, len(raw.decode()))
+    out = np.zeros(len(CLASSES) * BINS + 1, dtype=np.int64)
+    out[np.arange(len(CLASSES)) * BINS + np.minimum((share * BINS).astype(int), BINS - 1)] = 1
+    out[-1] = 1
+    return out
+
+
+def _shares(medians: dict[str, np.ndarray], language: str, raw: bytes) -> np.ndarray | None:
+    """Shares of classes and words in ``UNIT``, then one for the text; None for a text far from its language's classes."""
+    got, split = histogram(raw, raw.split(), language), len(CLASSES)
+    if distance(got[:split], medians[language]) > MAX_CHARACTERS:
+        return None
+    return np.concatenate([np.rint(part / max(1, part.sum()) * UNIT) for part in (got[:split], got[split:])] + [[1]]).astype(np.int64)
+
+
+def _by_language(source: DataFrame, add: Callable, last: dict[str, int]) -> dict[str, dict[int, int]]:
+    """Sums by language and cell, where no source weighs more than the mean source; cell ``last`` counts texts."""
+    sums = source.mapInArrow(partial(_summed, add), "language string, source string, cell int, n long").groupBy("language", "source", "cell").agg(F.sum("n").alias("n"))
+    sums = kept_rows(sums)
+    of_texts = F.create_map(*(F.lit(x) for pair in last.items() for x in pair))[F.col("language")]
+    sizes = sums.filter(F.col("cell") == of_texts).select("language", "source", F.col("n").alias("size"))
+    mean = sizes.groupBy("language").agg(F.avg("size").alias("mean"))
+    weights = sizes.join(mean, "language").select(F.col("language").alias("l"), F.col("source").alias("s"), F.least(F.lit(1.0), F.col("mean") / F.col("size")).alias("weight"))
+    weighed = sums.join(weights, (F.col("language") == F.col("l")) & F.col("source").eqNullSafe(F.col("s")))
+    # Whole numbers, so that the sum does not depend on its order.
+    found: dict[str, dict[int, int]] = {}
+    for row in weighed.groupBy("language", "cell").agg(F.sum((F.col("n") * F.col("weight") * 1024).cast("long")).alias("n")).collect():
+        found.setdefault(row["language"], {})[row["cell"]] = row["n"]
+    return found
+
 
+def kept_rows(df: DataFrame) -> DataFrame:
+    """``df`` written to the work folder and read again."""
+    folder = f"{work_folder(df.sparkSession)}/quality-{uuid4().hex}"
+    df.write.parquet(folder)
+    return df.sparkSession.read.parquet(folder)
 
-def references(df: DataFrame, text: str = "text", lang: str = "lang") -> dict[str, list[int]]:
-    """Histogram of each language over all rows of ``df``.
 
-    Every task adds up its rows; what reaches the driver is one number for each
-    cell of the listed languages, a few hundred however large the table.
+def references(df: DataFrame, text: str = "text", lang: str = "lang", source: str = "source") -> dict[str, list[int]]:
+    """Histogram of each language over all rows of ``df``; without a column ``source`` all rows are of one.
+
+    Every task adds up its rows; what reaches the driver is some thousand
+    counts for each listed language, however large the table.
     """
-    source = df.select(F.col(f"`{text}`").cast("string").alias("text"), F.col(f"`{lang}`").cast("string").alias("lang"))
-    sums = source.mapInArrow(_reference_rows, "language string, cell int, n long").groupBy("language", "cell").agg(F.sum("n").alias("n"))
-    found: dict[str, list[int]] = {}
-    for row in sums.collect():
-        found.setdefault(row["language"], [0] * WIDTH[row["language"]])[row["cell"]] = row["n"]
-    return found
+    origin = F.col(f"`{source}`").cast("string") if source in df.columns else F.lit(None).cast("string")
+    rows = df.select(F.col(f"`{text}`").cast("string").alias("text"), F.col(f"`{lang}`").cast("string").alias("lang"), origin.alias("source"))
+    binned = _by_language(rows, _class_bins, dict.fromkeys(WIDTH, len(CLASSES) * BINS))
+    medians = {}
+    for language, cells in binned.items():
+        counts = np.array([cells.get(i, 0) for i in range(len(CLASSES) * BINS)]).reshape(len(CLASSES), BINS).cumsum(axis=1)
+        medians[language] = (2 * counts >= counts[:, -1:]).argmax(axis=1) + 0.5 * (counts[:, 0] * 2 < counts[:, -1])
+    if not medians:
+        return {}
+    means = _by_language(rows, partial(_shares, medians), WIDTH)
+    return {language: [cells.get(i, 0) for i in range(WIDTH[language])] for language, cells in means.items()}
 
 
 RESULT = StructType(
