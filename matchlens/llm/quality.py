@@ -10,7 +10,8 @@ Texts in no listed language, or in none, share one reference. A text's
 verdict compares its own histograms with them by the Jensen-Shannon distance
 (square root of the divergence in bits, 0 to 1). Short texts have histograms
 too coarse to judge, so each comparison needs a number of words; without it
-the distance is null and the text is not rejected for it.
+the distance is null and the text is not rejected for it. Bars and symbols
+against all other characters is a comparison that few words suffice for.
 
 Defined cases: a null or empty text has no words, so ``base_failed`` is true;
 an unknown or null language takes the shared reference; without a reference
@@ -43,6 +44,9 @@ MAX_REPEAT_PERCENT = 20
 MIN_WORDS_CHARACTERS, MAX_CHARACTERS = 30, 0.32
 #: From so many words on, the greatest sum of both distances kept.
 MAX_SUMS = ((100, 0.46), (50, 0.58))
+#: From so many words on, the greatest distance kept of bars and symbols against all other characters that are not blank.
+MAX_SYMBOLS = ((30, 0.10), (10, 0.13))
+
 #: Common words by language.
 COMMON_WORDS = {
     "en": "the of and to in a is that for it as was with be by on not he i this are or his from at which but have an had".split(),
@@ -114,6 +118,12 @@ def distance(p: np.ndarray, q: np.ndarray) -> float:
     return float(np.sqrt(max(0.0, terms.sum() / 2)))
 
 
+def _marked(classes: np.ndarray) -> np.ndarray:
+    """Bars and symbols, and all other characters that are not blank."""
+    marked = classes[CLASSES.index("bar")] + classes[CLASSES.index("symbol")]
+    return np.array([marked, classes.sum() - marked - classes[CLASSES.index("space")] - classes[CLASSES.index("newline")]])
+
+
 def repeated_words(words: list[bytes], width: int = 5) -> int:
     """Words inside windows that the text holds twice or more, the first one included."""
     windows = list(zip(*(words[i:] for i in range(width))))
@@ -246,6 +256,8 @@ def judged(text: str | None, value: str | None, known: dict[str, np.ndarray]) ->
     most = next((limit for least, limit in MAX_SUMS if n >= least), None) if reference is not None else None
     common = None if most is None else distance(own[split:], reference[split:])
     far = characters is not None and (characters > MAX_CHARACTERS or (common is not None and characters + common > most))
+    symbols = next((limit for least, limit in MAX_SYMBOLS if n >= least), None) if reference is not None else None
+    far = far or (symbols is not None and distance(_marked(own[:split]), _marked(reference[:split])) > symbols)
     return *counts, failed, not failed and not far, characters, common
 
 
