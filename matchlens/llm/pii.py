@@ -7,7 +7,8 @@ without overlap inside their kind, and are reported whenever their check holds
 further kinds are reported from a score of ``MIN_SCORE`` on:
 
 * ``iban``: country, two check digits and 11 to 30 letters or digits, also in
-  groups of four; mod-97 must give 1;
+  groups of four; mod-97 must give 1. Words after a grouped account look like
+  groups, so the end at the length of its country is tried before the whole;
 * ``ssn``: ``ddd-dd-dddd``, which has no checksum, so only near a context word.
 
 Defined cases: a null or empty text has no spans; rows are independent, so
@@ -50,6 +51,17 @@ CONTEXT_WORDS = {
     "ssn": ("ssn", "social security", "security number"),
 }
 
+#: Characters of an account by country.
+IBAN_LENGTHS = {
+    country: length
+    for length, countries in {
+        15: "NO", 16: "BE", 18: "DK FI FK FO GL NL SD", 19: "MK SI", 20: "AT BA EE KZ LT LU MN XK", 21: "CH HR LI LV", 22: "BG BH CR DE GB GE IE ME RS VA",
+        23: "AE GI IL IQ OM SO TL", 24: "AD CZ ES MD PK RO SA SE SK TN VG", 25: "LY PT ST", 26: "IS TR", 27: "BI DJ FR GR IT MC MR SM", 28: "AL AZ BY CY DO GT HN HU LB NI PL SV",
+        29: "BR EG PS QA UA", 30: "JO KW MU", 31: "MT SC", 32: "LC", 33: "RU",
+    }.items()
+    for country in countries.split()
+}
+
 _LOCAL = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-"
 _DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
 _DOTTED = re.compile(r"[0-9]+(?:\.[0-9]+)+")
@@ -109,10 +121,21 @@ def _digits(pattern: re.Pattern, text: str, least: int, most: int, check: Callab
             yield found.span()
 
 
+def _account_end(account: str) -> int | None:
+    """Where in a proposed account it ends, None if no end passes the check."""
+    ends = [i for i, c in enumerate(account) if c == " "]
+    own = [end for end in ends if end - account.count(" ", 0, end) == IBAN_LENGTHS.get(account[:2])]
+    return next((end for end in [*own, len(account)] if mod97(account[:end].replace(" ", ""))), None)
+
+
 def _accounts(text: str) -> Iterator[tuple[int, int]]:
-    for found in _IBAN.finditer(text):
-        if mod97(found[0].replace(" ", "")):
-            yield found.span()
+    # A proposal has a bounded length, so starting again inside it keeps the scan linear.
+    at = 0
+    while found := _IBAN.search(text, at):
+        end = _account_end(found[0])
+        at = found.start() + (1 if end is None else end)
+        if end is not None:
+            yield found.start(), at
 
 
 def score_of(kind: str, text: str, start: int, end: int) -> float:
