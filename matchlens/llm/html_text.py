@@ -1,9 +1,12 @@
 """Main text of web pages by the distribution of text over line blocks.
 
-Markup is stripped to lines, one for each stretch between block-level tags. A
-line weighs its text outside links; it weighs nothing inside boilerplate
-(menus, headers, footers, sidebars, notices, adverts, forms, comments, scripts
-and the like, told by tag, role, class and id). The weights of ``WINDOW``
+Markup is stripped to lines, one for each stretch between block-level tags.
+Boilerplate (menus, headers, footers, sidebars, notices, adverts, forms,
+comments, scripts and the like, told by tag, role, class and id) gives no
+lines. A form, class or id is only a hint: an element that holds most of the
+text outside links, or the only article with as much text as the rest of the page, is no boilerplate,
+and readers' comments are not counted as text for that. A
+line weighs its text outside links. The weights of ``WINDOW``
 lines from each line on are summed: the text starts where the sum surges to
 ``SURGE`` and ends where it dives to nothing. Where a page names its article
 (``article`` or ``main``), only lines inside it weigh, and all of them do, so
@@ -21,6 +24,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Callable
+from dataclasses import dataclass
 from functools import partial
 from html import unescape
 
@@ -47,7 +51,7 @@ INLINE = frozenset(
     "a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q rp rt ruby s samp small span strike strong sub sup time tt u var wbr img".split()
 )
 BOILERPLATE = frozenset(
-    "head nav footer aside form script style noscript template iframe object canvas svg button select option textarea title dialog menu audio video map".split()
+    "head nav footer aside script style noscript template iframe object canvas svg button select option textarea title dialog menu audio video map".split()
 )
 ARTICLE = frozenset(("article", "main"))
 HEADING = frozenset(("h1", "h2", "h3", "h4", "h5", "h6"))
@@ -63,57 +67,84 @@ COMMENTS = frozenset("comment comments commentlist commentary disqus respond rep
 _OPEN_ALWAYS = frozenset(("html", "body", "main"))
 
 
-def _hinted(name: str, rest: str) -> bool:
-    """Whether the attributes of a tag mark it as boilerplate."""
+#: What marks a tag as boilerplate: nothing, a hint, a hint of readers' comments, or a certain sign.
+NONE, HINT, COMMENT, CERTAIN = range(4)
+
+
+def _marked(name: str, rest: str) -> int:
+    """How a tag or its attributes mark it as boilerplate."""
+    if name in BOILERPLATE or name == "header":
+        return CERTAIN
+    found = HINT if name == "form" else NONE
+    if name in _OPEN_ALWAYS or not rest:
+        return found
     for key, *values in _ATTRIBUTE.findall(rest):
         key, value = key.lower(), "".join(values)
         if key == "role" and value.lower() in ROLES:
-            return True
+            return CERTAIN
         if key == "hidden" or (key == "style" and "display:none" in value.replace(" ", "").lower()) or (key == "aria-hidden" and value.lower() == "true"):
-            return True
+            return CERTAIN
         if key in ("class", "id"):
             words = {w.lower() for w in _WORD.findall(value)}
-            if words & COMMENTS or (name not in ARTICLE and (words & HINTS or (words and words <= {"header", "site", "page", "top", "head"} and "header" in words))):
-                return True
-    return False
+            if words & COMMENTS:
+                found = COMMENT
+            elif name not in ARTICLE and (words & HINTS or (words and words <= {"header", "site", "page", "top", "head"} and "header" in words)):
+                found = max(found, HINT)
+    return found
+
+
+@dataclass(eq=False)
+class _Hinted:
+    """An element that may be boilerplate, inside another such element or none."""
+
+    outer: "_Hinted | None"
+    comment: bool  # it or one around it holds readers' comments
+    plain: int = 0  # characters outside links and comments
+    article: int = 0  # those of them inside an article
+    holds_article: bool = False
+    dropped: bool = True
+
+
+@dataclass
+class _Line:
+    parts: list[tuple[str, int, "_Hinted | None"]]  # text, characters outside links, the innermost hint
+    inside: bool  # an article
+    joins: bool  # a heading or paragraph
+    container: int
 
 
 class _Page:
     """Lines of one page, and where in the page the reader stands."""
 
     def __init__(self) -> None:
-        self.lines: list[tuple[str, int, bool]] = []  # text, characters outside links, inside the article
-        self.open: list[tuple[str, bool]] = []  # names, and whether they are boilerplate
+        self.lines: list[_Line] = []
+        self.open: list[tuple[str, bool, _Hinted | None, int]] = []  # names, whether they are boilerplate, the hint before, numbers
         self.counts: dict[str, int] = {}
         self.blocks: list[int] = []  # where in ``open`` the block-level ones are
-        self.hidden = self.articles = self.links = 0
-        self.article_seen = False
-        self.parts: list[str] = []
-        self.plain = self.boiler = 0
+        self.hidden = self.articles = self.links = self.made = 0
+        self.hint: _Hinted | None = None
+        self.hints: list[_Hinted] = []  # outer ones first
+        self.article_hints: list[_Hinted | None] = []  # of each article that is not certainly hidden
+        self.parts: list[tuple[str, int, _Hinted | None]] = []
 
     def text(self, raw: str) -> None:
-        if not raw:
-            return
-        if self.hidden and not self._headed():
-            self.boiler += 1
+        if not raw or (self.hidden and not self._headed()):
             return
         part = unescape(raw) if "&" in raw else raw
-        self.parts.append(part)
-        if not self.links:
-            self.plain += len(part.strip())
+        self.parts.append((part, 0 if self.links else len(part.strip()), self.hint))
 
     def _headed(self) -> bool:
         """A heading in an article's own header belongs to the article."""
         return self.articles > 0 and self.hidden == 1 and self.counts.get("header", 0) == 1 and any(self.counts.get(h) for h in HEADING)
 
     def line(self) -> None:
-        if self.parts:
-            joined = " ".join("".join(self.parts).split())
-            if joined:
-                self.lines.append((joined, self.plain, self.articles > 0))
-        elif self.boiler:
-            self.lines.append(("", 0, False))
-        self.parts, self.plain, self.boiler = [], 0, 0
+        if any(not part.isspace() for part, _, _ in self.parts):
+            name, _, _, number = self.open[self.blocks[-1]] if self.blocks else ("", False, None, 0)
+            joins = name == "p" or name in HEADING
+            if joins:
+                number = self.open[self.blocks[-2]][3] if len(self.blocks) > 1 else 0
+            self.lines.append(_Line(self.parts, self.articles > 0, joins, number))
+        self.parts = []
 
     def start(self, name: str, rest: str) -> None:
         if name not in INLINE:
@@ -122,16 +153,21 @@ class _Page:
                 self._cut(self.blocks[-1])
         if name in VOID:
             return
-        marked = name in BOILERPLATE or (name == "header") or (name not in _OPEN_ALWAYS and bool(rest) and _hinted(name, rest))
+        mark = _marked(name, rest)
         if name not in INLINE:
             self.blocks.append(len(self.open))
-        self.open.append((name, marked))
+        self.made += 1
+        self.open.append((name, mark == CERTAIN, self.hint, self.made))
         self.counts[name] = self.counts.get(name, 0) + 1
-        self.hidden += marked
+        self.hidden += mark == CERTAIN
+        if mark in (HINT, COMMENT):
+            self.hint = _Hinted(self.hint, mark == COMMENT or (self.hint is not None and self.hint.comment))
+            self.hints.append(self.hint)
         self.links += name == "a"
         if name in ARTICLE:
             self.articles += 1
-            self.article_seen = self.article_seen or not self.hidden
+            if not self.hidden:
+                self.article_hints.append(self.hint)
 
     def end(self, name: str) -> None:
         if name not in INLINE:
@@ -145,7 +181,8 @@ class _Page:
             self._cut(at)
 
     def _cut(self, at: int) -> None:
-        for name, marked in self.open[at:]:
+        self.hint = self.open[at][2]
+        for name, marked, _, _ in self.open[at:]:
             self.counts[name] -= 1
             self.hidden -= marked
             self.links -= name == "a"
@@ -155,8 +192,33 @@ class _Page:
             self.blocks.pop()
 
 
-def lines_of(html: str) -> tuple[list[tuple[str, int, bool]], bool]:
-    """Lines of a page, and whether it names its article."""
+def _decide(page: _Page) -> bool:
+    """Say which hinted elements are boilerplate, and whether the page names its article."""
+    named = any(hint is None for hint in page.article_hints)
+    total = 0
+    for line in page.lines:
+        for _, plain, hint in line.parts if line.inside or not named else ():
+            if hint is None or not hint.comment:
+                total += plain
+                if hint is not None:
+                    hint.plain += plain
+                    hint.article += plain if line.inside else 0
+    for hint in page.article_hints:
+        if hint is not None:
+            hint.holds_article = not named
+    for hint in reversed(page.hints):
+        if hint.outer is not None:
+            hint.outer.plain += hint.plain
+            hint.outer.article += hint.article
+            hint.outer.holds_article |= hint.holds_article
+    for hint in page.hints:
+        main = 2 * hint.plain > total or (hint.holds_article and hint.article and hint.article >= total - hint.plain)
+        hint.dropped = hint.comment or not main or (hint.outer is not None and hint.outer.dropped)
+    return any(hint is None or not hint.dropped for hint in page.article_hints)
+
+
+def lines_of(html: str) -> tuple[list[tuple[str, int, bool, bool, int]], bool]:
+    """Lines of a page (text, characters outside links, inside an article, joins, container), and whether it names its article."""
     page, at, lower = _Page(), 0, None
     while found := _TAG.search(html, at):
         page.text(html[at : found.start()])
@@ -176,7 +238,13 @@ def lines_of(html: str) -> tuple[list[tuple[str, int, bool]], bool]:
                 break
     page.text(html[at:])
     page.line()
-    return page.lines, page.article_seen
+    article = _decide(page)
+    lines = []
+    for line in page.lines:
+        parts = [(part, plain) for part, plain, hint in line.parts if hint is None or not hint.dropped]
+        if joined := " ".join("".join(part for part, _ in parts).split()):
+            lines.append((joined, sum(plain for _, plain in parts), line.inside, line.joins, line.container))
+    return lines, article
 
 
 def between_surge_and_dive(weights: list[int], surge: int) -> list[tuple[int, int]]:
@@ -207,13 +275,10 @@ def main_text(html: str | None) -> str:
     """The lines between surge and dive, joined by one space."""
     lines, article = lines_of(html or "")
     if article:
-        weights = [len(text) if inside else 0 for text, _, inside in lines]
-        surge = 1
-    else:
-        weights = [plain for _, plain, _ in lines]
-        most = max((sum(weights[i : i + WINDOW]) for i in range(len(weights))), default=0)
-        surge = max(1, min(SURGE, most))
-    return " ".join(text for a, b in between_surge_and_dive(weights, surge) for text, _, _ in lines[a:b] if text)
+        return " ".join(text for text, _, inside, _, _ in lines if inside)
+    weights = [plain for _, plain, _, _, _ in lines]
+    most = max((sum(weights[i : i + WINDOW]) for i in range(len(weights))), default=0)
+    return " ".join(line[0] for a, b in between_surge_and_dive(weights, max(1, min(SURGE, most))) for line in lines[a:b])
 
 
 FIELDS = StructType([StructField("text", StringType()), StructField("n_chars", LongType())])
