@@ -8,7 +8,10 @@ text outside links, or the only article with as much text as the rest of the pag
 and readers' comments are not counted as text for that. A
 line weighs its text outside links. The weights of ``WINDOW``
 lines from each line on are summed: the text starts where the sum surges to
-``SURGE`` and ends where it dives to nothing. Where a page names its article
+``SURGE`` and ends where it dives to nothing. Headings and paragraphs of links
+next to the text belong to it, and so do all headings, paragraphs and lines with
+weight in the elements that hold the text's lines, however short and far from it.
+Where a page names its article
 (``article`` or ``main``), only lines inside it weigh, and all of them do, so
 the surge is at its first line and the dive after its last. Boilerplate is
 never part of the result; nothing else between surge and dive is left out.
@@ -278,7 +281,15 @@ def main_text(html: str | None) -> str:
         return " ".join(text for text, _, inside, _, _ in lines if inside)
     weights = [plain for _, plain, _, _, _ in lines]
     most = max((sum(weights[i : i + WINDOW]) for i in range(len(weights))), default=0)
-    return " ".join(line[0] for a, b in between_surge_and_dive(weights, max(1, min(SURGE, most))) for line in lines[a:b])
+    chosen = [False] * len(lines)
+    for a, b in between_surge_and_dive(weights, max(1, min(SURGE, most))):
+        while a and lines[a - 1][3]:
+            a -= 1
+        while b < len(lines) and lines[b][3] and not chosen[b]:
+            b += 1
+        chosen[a:b] = [True] * (b - a)
+    homes = {line[4] for line, own in zip(lines, chosen) if own and line[1]}
+    return " ".join(line[0] for line, own in zip(lines, chosen) if own or (line[4] in homes and (line[1] or line[3])))
 
 
 FIELDS = StructType([StructField("text", StringType()), StructField("n_chars", LongType())])

@@ -20,3 +20,11 @@ def test_hints_inside_an_article_and_comments():
     assert main_text(f"<article><div class='body share-enabled'><p>{LONG}</p><div class=share>Share</div></div></article>{comments}") == LONG
     assert main_text(f"<div class='page with-ads'><p>{LONG}</p>{comments}</div>") == LONG
     assert main_text(f"<div class=story><p>{LONG}</p></div><div class=related><article><p>Teaser</p></article></div>") == LONG
+
+
+def test_headings_and_short_paragraphs():
+    adverts = "<div class=advert>Buy</div>" * 3
+    page = f"<div><h2><a href=/1>Headline</a></h2><p>{LONG}</p>{adverts}<p>Short end.</p><p><a href=/2>Source</a></p></div><footer>(c)</footer>"
+    assert main_text(page) == f"Headline {LONG} Short end. Source"
+    links = "<ul><li><a href=/1>One</a><li><a href=/2>Two</a><li><a href=/3>Three</a></ul>"
+    assert main_text(f"{links}<div><p>{LONG}</p>{links}<p>Short end.</p></div>{links}") == f"{LONG} Short end."
