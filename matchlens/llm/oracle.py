@@ -97,4 +97,100 @@ SELECT doc_id, CAST(len(words) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hi
 FROM doc LEFT JOIN covered USING (r) LEFT JOIN named USING (r)
 """
 
-ORACLE: dict[str, str] = {"op2_decontaminate": OP2, "op6_url_filter": OP6, "op10_warc": OP10}
+OP11 = f"""
+WITH piece AS (
+  SELECT row_number() OVER () AS p, lang, words FROM (
+    SELECT lang, list_filter(string_split_regex(piece, '[\\x20\\x09]+'), lambda x: x <> '') AS words
+    FROM (SELECT coalesce(lang, 'und') AS lang,
+      unnest(string_split_regex(translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'), '[.,;:!?\\x0A-\\x0D]')) AS piece FROM documents)
+  ) WHERE len(words) > 0
+), language AS (
+  SELECT lang, CAST(sum(len(words)) AS HUGEINT) AS n FROM piece GROUP BY lang
+), gram AS (
+  SELECT lang, size, array_to_string(words[i : i + size - 1], ' ') AS phrase
+  FROM (SELECT lang, words, size, unnest(range(1, len(words) - size + 2)) AS i
+    FROM piece, (SELECT unnest(range(1, 6)) AS size) WHERE len(words) >= size)
+), frequent AS (
+  SELECT lang, size, phrase, CAST(count(*) AS HUGEINT) AS f FROM gram GROUP BY lang, size, phrase HAVING count(*) >= 100
+), cut AS (
+  SELECT lang, size, phrase, f AS a, string_split(phrase, ' ') AS words, unnest(range(1, size)) AS k FROM frequent WHERE size > 1
+), valued AS (
+  SELECT c.lang, c.phrase, c.a, c.k, x.f AS l, y.f AS r, n, (1000 * c.a * n) // (x.f * y.f) AS score
+  FROM cut c JOIN language g ON c.lang = g.lang
+  JOIN frequent x ON x.lang = c.lang AND x.phrase = array_to_string(c.words[1 : k], ' ')
+  JOIN frequent y ON y.lang = c.lang AND y.phrase = array_to_string(c.words[k + 1 :], ' ')
+), lowest AS (
+  SELECT * FROM valued QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1
+), kept AS (
+  SELECT * FROM lowest s WHERE NOT EXISTS (
+    SELECT 1 FROM frequent t WHERE t.lang = s.lang AND t.size > len(string_split(s.phrase, ' '))
+      AND contains(' ' || t.phrase || ' ', ' ' || s.phrase || ' ') AND 100 * t.f >= 100 * s.a)
+), ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM kept
+)
+SELECT lang, rank, phrase, CAST(a AS BIGINT) AS a, CAST(l AS BIGINT) AS l, CAST(r AS BIGINT) AS r, CAST(n AS BIGINT) AS n, CAST(score AS BIGINT) AS score
+FROM ranked WHERE rank <= 2000
+"""
+
+_WHOLE = """whole AS (
+  SELECT row_number() OVER () AS id, vec_id, list_transform(embedding, lambda v: CAST(floor(1024 * CAST(v AS DOUBLE)) AS BIGINT)) AS x
+  FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda v: v IS NULL OR NOT isfinite(v))) = 0{more}
+)"""
+
+
+def _rounds(rounds: int) -> str:
+    """Every round as its assignment (a) and its centroids (c)."""
+    out = []
+    for r in range(1, rounds + 2):
+        assigned = f"""a{r} AS MATERIALIZED (
+  SELECT id, arg_min(cluster, struct_pack(d := d, c := cluster)) AS cluster, min(d) AS distance
+  FROM (SELECT id, cluster, sum((v - w) * (v - w)) AS d FROM part JOIN c{r} USING (dim) GROUP BY id, cluster) GROUP BY id
+)"""
+        moved = f"""c{r + 1} AS MATERIALIZED (
+  SELECT cluster, dim, coalesce(m, w) AS w FROM c{r} LEFT JOIN (
+    SELECT cluster, dim, (s - ((s % n) + n) % n) // n AS m
+    FROM (SELECT cluster, dim, CAST(sum(v) AS HUGEINT) AS s, count(*) AS n FROM part JOIN a{r} USING (id) GROUP BY cluster, dim)
+  ) USING (cluster, dim)
+)"""
+        out += [assigned, moved] if r <= rounds else [assigned]
+    return ", ".join(out)
+
+
+OP12 = f"""
+WITH {_WHOLE.format(more=" AND len(embedding) = 64")}, part AS MATERIALIZED (
+  SELECT id, unnest(range(1, 65)) AS dim, CAST(unnest(x) AS HUGEINT) AS v FROM whole
+), c1 AS MATERIALIZED (
+  SELECT cluster, dim, v AS w FROM part JOIN (
+    SELECT id, CAST(row_number() OVER (ORDER BY sha256('3:' || vec_id) NULLS LAST, x) - 1 AS INTEGER) AS cluster
+    FROM whole QUALIFY cluster < 8) USING (id)
+), {_rounds(10)}, inertia AS (
+  SELECT cluster, sum(distance) AS cluster_inertia, sum(sum(distance)) OVER () AS inertia FROM a11 GROUP BY cluster
+), digest AS (
+  SELECT cluster, sha256(string_agg(CAST(w AS VARCHAR), ',' ORDER BY dim)) AS centroid_sha256 FROM c11 GROUP BY cluster
+)
+SELECT vec_id, cluster, CAST(distance AS BIGINT) AS distance, CAST(cluster_inertia AS BIGINT) AS cluster_inertia,
+  CAST(inertia AS BIGINT) AS inertia, centroid_sha256
+FROM whole JOIN a11 USING (id) JOIN inertia USING (cluster) JOIN digest USING (cluster)
+"""
+
+OP13 = f"""
+WITH {_WHOLE.format(more="")}, pair AS (
+  SELECT q.id AS query, q.vec_id AS query_id, c.vec_id, c.id,
+    CAST(coalesce(list_sum(list_transform(list_zip(q.x, c.x, true), lambda z: z[1] * z[2])), 0) AS BIGINT) AS score
+  FROM whole q JOIN whole c ON q.id <> c.id WHERE q.vec_id % 100 = 0
+), ranked AS (
+  SELECT query_id, CAST(row_number() OVER (PARTITION BY query ORDER BY score DESC, vec_id NULLS LAST, id) AS INTEGER) AS rank, vec_id, score
+  FROM pair
+)
+SELECT * FROM ranked WHERE rank <= 10
+"""
+
+ORACLE: dict[str, str] = {
+    "op2_decontaminate": OP2,
+    "op6_url_filter": OP6,
+    "op10_warc": OP10,
+    "op11_collocations": OP11,
+    "op12_clusters": OP12,
+    "op13_top_k": OP13,
+}

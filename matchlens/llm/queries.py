@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from matchlens.llm import archives, bpe, decontaminate, html_text, pii, quality, sharding, simhash, token_counts, url_filter, warc
+from matchlens.llm import archives, bpe, decontaminate, html_text, phrases, pii, quality, sharding, simhash, threshold_search, token_counts, url_filter, va_file, warc
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -101,6 +101,21 @@ def op10_warc(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op11_collocations(spark: SparkSession, folder: str) -> DataFrame:
+    """Best phrases of every language of the documents."""
+    return phrases.collocations(_table(spark, folder, "documents"))
+
+
+def op12_clusters(spark: SparkSession, folder: str) -> DataFrame:
+    """Cluster of every embedding."""
+    return va_file.cluster(_table(spark, folder, "embeddings"))
+
+
+def op13_top_k(spark: SparkSession, folder: str) -> DataFrame:
+    """Ten best partners of every hundredth embedding."""
+    return threshold_search.search(_table(spark, folder, "embeddings"), F.col("vec_id") % 100 == 0)
+
+
 QUERIES = {
     "op1_simhash": op1_simhash,
     "op2_decontaminate": op2_decontaminate,
@@ -112,4 +127,7 @@ QUERIES = {
     "op8_sharding": op8_sharding,
     "op9_token_counts": op9_token_counts,
     "op10_warc": op10_warc,
+    "op11_collocations": op11_collocations,
+    "op12_clusters": op12_clusters,
+    "op13_top_k": op13_top_k,
 }
