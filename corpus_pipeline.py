@@ -7,7 +7,7 @@ from uuid import uuid4
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from matchlens.llm import bpe, decontaminate, near_copies, pii, quality
+from matchlens.llm import bpe, decontaminate, pii, quality, simhash
 from matchlens.session import work_folder
 
 
@@ -17,8 +17,8 @@ def good_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def without_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep one document of each group of near copies: 5-word shingles, Jaccard similarity of 0.8 or more."""
-    return near_copies.first_of_each(docs)
+    """Keep one document of each group of near copies: fingerprints of 3-word shingles within 3 bits."""
+    return simhash.first_of_each(docs)
 
 
 def without_benchmarks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
