@@ -44,8 +44,10 @@ PIECES = regex.compile(r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}
 PARTS = re.compile(r" (?=\S)")
 #: Up to here the library and this module's pattern agree on what is a letter or a number.
 AGREED = re.compile("[^\x00-՗ՙ-֊֍-ࢎ࢐-౛ౝ-೛ೝ-₎ₐ-ₜ₠-ꟍ]")
-#: Entries that each of a worker's memories may hold before it starts anew.
-REMEMBERED = 500_000
+#: Entries, and characters and bytes of ids in them, that each of a worker's memories may hold before it starts anew.
+REMEMBERED, REMEMBERED_SIZE = 500_000, 32_000_000
+#: Parts and pieces of more characters are not remembered: a text without spaces is one part.
+SHORT = 64
 #: Texts that are encoded together: more of them share more prefixes.
 TOGETHER = 1024
 
@@ -132,20 +134,33 @@ class Trie:
     def __init__(self, known: Vocabulary) -> None:
         self.known = known
         self.fits: dict[tuple[int, int], bool] = {}
+        self.spines: tuple[dict[int, list], dict[int, list]] = {}, {}  # by side, as far as asked for
         whole: set[int] = set(known.byte_ids)
         for token, (rank, a, b) in sorted(known.parts.items(), key=lambda x: x[1][0]):
             if a in whole and b in whole and self._undisturbed(a, b, rank):
                 whole.add(token)
-        self.by_spelling = {known.spelled[t]: t for t in whole}
-        self.longest = max(map(len, self.by_spelling))
+        # A trie of the spellings read from their ends: child of (node, byte), and the token whose spelling ends at a node.
+        self.children: dict[int, int] = {}
+        self.token_at = [-1]
+        for token in whole:
+            node = 0
+            for byte in reversed(known.spelled[token]):
+                child = self.children.setdefault(node << 8 | byte, len(self.token_at))
+                if child == len(self.token_at):
+                    self.token_at.append(-1)
+                node = child
+            self.token_at[node] = token
 
     def _spine(self, token: int, side: int) -> list[tuple[int, float]]:
         """The tokens at one end of a token, outermost first, each with the rank of the merge that takes it up."""
-        out, until = [(token, float("inf"))], None
-        while (made := self.known.parts.get(token)) is not None:
-            until, token = made[0], made[side]
-            out.append((token, until))
-        return out
+        known = self.spines[side - 1].get(token)
+        if known is None:
+            known, inner = [(token, float("inf"))], token
+            while (made := self.known.parts.get(inner)) is not None:
+                inner = made[side]
+                known.append((inner, made[0]))
+            self.spines[side - 1][token] = known
+        return known
 
     def _undisturbed(self, a: int, b: int, before: float) -> bool:
         """Whether no merge across the border of ``a`` and ``b`` comes before their own ends are taken up.
@@ -153,9 +168,10 @@ class Trie:
         Of equal ranks the left one is merged first: a merge across the border
         loses to the one that takes up its left part, and wins over its right part's.
         """
+        merges, rights = self.known.merges, self._spine(b, 1)
         for left, left_until in self._spine(a, 2):
-            for right, right_until in self._spine(b, 1):
-                across = self.known.merges.get((left, right))
+            for right, right_until in rights:
+                across = merges.get((left, right))
                 if across and across[0] < before and across[0] < left_until and across[0] <= right_until:
                     return False
         return True
@@ -178,7 +194,7 @@ class Trie:
             while depth < most and raw[depth] == path[depth]:
                 depth += 1
             del lasts[depth:]
-            for end in range(depth + 1, len(raw) + 1):
+            for end in range(depth, len(raw)):
                 lasts.append(self._last(raw, end, lasts))
             path = raw
             tokens, end = [], len(raw)
@@ -189,10 +205,21 @@ class Trie:
         return out
 
     def _last(self, raw: bytes, end: int, lasts: list[int]) -> int:
-        spelling, fits = self.by_spelling, self.may_follow
-        for start in range(max(0, end - self.longest), end):
-            token = spelling.get(raw[start:end])
-            if token is not None and (not start or fits(lasts[start - 1], token)):
+        """The token that ends at byte ``end``; only spellings that end like the text are looked at, the longest first."""
+        child, token_at, fits = self.children.get, self.token_at, self.fits
+        node, found = 0, []
+        for start in range(end, -1, -1):
+            node = child(node << 8 | raw[start])
+            if node is None:
+                break
+            if token_at[node] >= 0:
+                found.append((start, token_at[node]))
+        for start, token in reversed(found):
+            if not start:
+                return token
+            before = lasts[start - 1]
+            answer = fits.get((before, token))
+            if answer or answer is None and self.may_follow(before, token):
                 return token
         raise ValueError("the vocabulary lacks a byte")
 
@@ -210,6 +237,7 @@ class Encoder:
         self.known, self.trie = vocabulary(path), trie(path)
         self.memory: dict[str, bytes] = {}
         self.pieces: dict[str, bytes] = {}
+        self.sizes = [0, 0]
         top = max(self.known.spelled) + 1
         spelled = [self.known.spelled.get(i, b"") for i in range(top)]
         self.lengths = np.array([len(s) for s in spelled], dtype=np.int64)
@@ -219,9 +247,10 @@ class Encoder:
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """Ids of each text as little-endian unsigned 32-bit integers."""
         memory, known_pieces, added = self.memory, self.pieces, self.known.added
-        for kept in (memory, known_pieces):
-            if len(kept) >= REMEMBERED:
+        for which, kept in enumerate((memory, known_pieces)):
+            if len(kept) >= REMEMBERED or self.sizes[which] >= REMEMBERED_SIZE:
                 kept.clear()
+                self.sizes[which] = 0
         cut = [[(special, [s] if special else parts_of(s)) for special, s in self.known.split(text or "")] for text in texts]
         new = {p for stretches in cut for special, parts in stretches if not special for p in parts} - memory.keys()
         pieces = {part: self.known.pieces(part) for part in new}
@@ -234,6 +263,12 @@ class Encoder:
         for stretches in cut:
             ids = [int(added[parts[0]]).to_bytes(4, "little") if special else b"".join(map(memory.__getitem__, parts)) for special, parts in stretches]
             out.append(b"".join(ids))
+        for which, (kept, keys) in enumerate(((memory, new), (known_pieces, unknown))):
+            for key in keys:
+                if len(key) > SHORT:
+                    del kept[key]
+                else:
+                    self.sizes[which] += len(key) + len(kept[key])
         return out
 
     def decode(self, ids: np.ndarray) -> str:

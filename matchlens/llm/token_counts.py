@@ -23,8 +23,9 @@ from pyspark.sql.types import BooleanType, LongType, StructField, StructType
 from matchlens.llm.bpe import Vocabulary, default_path, parts_of, vocabulary
 from matchlens.llm.rowwise import map_texts
 
-#: Entries that each of a worker's memories may hold before it starts anew.
-REMEMBERED = 700_000
+#: Entries that each of a worker's memories may hold before it starts anew, and characters of a part or piece
+#: that is remembered: a text without spaces is one part.
+REMEMBERED, SHORT = 700_000, 64
 
 
 def merged_length(raw: bytes, known: Vocabulary) -> int:
@@ -64,15 +65,19 @@ class Counter:
     def _piece(self, piece: str) -> int:
         n = self.pieces.get(piece)
         if n is None:
-            if len(self.pieces) >= REMEMBERED:
-                self.pieces.clear()
-            n = self.pieces[piece] = merged_length(piece.encode(), self.known)
+            n = merged_length(piece.encode(), self.known)
+            if len(piece) <= SHORT:
+                if len(self.pieces) >= REMEMBERED:
+                    self.pieces.clear()
+                self.pieces[piece] = n
         return n
 
     def _part(self, part: str) -> int:
-        if len(self.memory) >= REMEMBERED:
-            self.memory.clear()
-        n = self.memory[part] = sum(map(self._piece, self.known.pieces(part)))
+        n = sum(map(self._piece, self.known.pieces(part)))
+        if len(part) <= SHORT:
+            if len(self.memory) >= REMEMBERED:
+                self.memory.clear()
+            self.memory[part] = n
         return n
 
     def count(self, text: str | None) -> int:

@@ -169,6 +169,43 @@ def test_encoding_equals_the_library(spark):
     assert back == dict(enumerate(texts[:50]))
 
 
+def test_unbroken_texts_equal_the_library_in_like_time():
+    library = Tokenizer.from_file(bpe.default_path())
+    rng = random.Random(6)
+    unbroken = {
+        "cjk": "".join(chr(rng.randrange(0x4E00, 0x9FFF)) for _ in range(40_000)),
+        "thai": "".join(chr(rng.randrange(0xE01, 0xE3A)) for _ in range(40_000)),
+        "base64": "".join(rng.choice("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/") for _ in range(100_000)),
+        "letters": "".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(100_000)),
+    }
+    own, count = bpe.encoder(bpe.default_path()), token_counts.counter(bpe.default_path())
+    for text in unbroken.values():
+        ids = library.encode(text, add_special_tokens=False).ids
+        assert np.frombuffer(own.encode([text])[0], "<u4").tolist() == ids and count.count(text) == len(ids)
+    looked = own.trie.children
+    steps = 0
+    for raw in (unbroken["letters"].encode(), unbroken["cjk"].encode()):
+        for end in range(2000):
+            node = 0
+            for start in range(end, -1, -1):
+                node = looked.get(node << 8 | raw[start])
+                steps += 1
+                if node is None:
+                    break
+    assert steps / 4000 < 8  # bytes looked at for each byte of the text
+
+
+def test_memories_are_bounded_by_size(monkeypatch):
+    own, count = bpe.Encoder(bpe.default_path()), token_counts.Counter(bpe.default_path())
+    own.encode(["長" * 500, "b" * 5000, "short words stay"])
+    count.count("長" * 500 + " short")
+    assert own.memory and count.memory and max(map(len, [*own.memory, *own.pieces, *count.memory, *count.pieces])) <= bpe.SHORT
+    assert own.sizes[0] == sum(len(k) + len(v) for k, v in own.memory.items())
+    monkeypatch.setattr(bpe, "REMEMBERED_SIZE", 10)
+    own.encode(["other words"])
+    assert set(own.memory) == {"other", " words"}
+
+
 def test_shards_of_one_source_and_of_copies(spark):
     rows = [(i, "same text" if i % 3 == 0 else "t" * (i % 50), "en", "hot", i % 50) for i in range(3000)]
     made = sharding.shard(spark.createDataFrame(rows, DOCS), target_bytes=12_000).collect()
