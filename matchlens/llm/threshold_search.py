@@ -58,10 +58,10 @@ def _padded(column: pa.ListArray) -> np.ndarray:
     return out
 
 
-def _block_rows(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _block_rows(size: int, batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        for at in range(0, batch.num_rows, ROWS):
-            part = batch.slice(at, ROWS)
+        for at in range(0, batch.num_rows, size):
+            part = batch.slice(at, size)
             x = _padded(part.column(1))
             columns = [pa.array([part.column(0).to_pylist()], pa.list_(pa.int64())), pa.array([part.column(2).to_pylist()]), pa.array([x.shape[1]], pa.int32()), pa.array([x.tobytes()], pa.binary())]
             yield pa.RecordBatch.from_arrays(columns, names=["ids", "asks", "width", "m"])
@@ -81,10 +81,10 @@ def _query_rows(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays(columns, names=["block", "place", "id", "x"])
 
 
-def _packed_rows(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _packed_rows(size: int, batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        for at in range(0, batch.num_rows, QUERIES):
-            part = batch.slice(at, QUERIES)
+        for at in range(0, batch.num_rows, size):
+            part = batch.slice(at, size)
             x = _padded(part.column(3))
             lists = [pa.array([part.column(i).to_pylist()], pa.list_(pa.int64())) for i in range(3)]
             yield pa.RecordBatch.from_arrays([*lists, pa.array([x.shape[1]], pa.int32()), pa.array([x.tobytes()], pa.binary())], names=["q_blocks", "q_places", "q_ids", "q_width", "q_m"])
@@ -174,17 +174,22 @@ def _resolved_rows(k: int, batches: Iterable[pa.RecordBatch]) -> Iterator[pa.Rec
         yield pa.RecordBatch.from_arrays(columns, names=["pack", "number", "query_id", "id", "block", "place", "score"])
 
 
-def search(df: DataFrame, queries: Column, key: str = "vec_id", vector: str = "embedding", k: int = 10, scale: int = 1024) -> DataFrame:
-    """``query_id``, ``rank``, ``key`` and ``score``: the ``k`` best other rows of every row that ``queries`` is true for."""
+def search(
+    df: DataFrame, queries: Column, key: str = "vec_id", vector: str = "embedding", k: int = 10, scale: int = 1024, block_rows: int = ROWS, pack_rows: int = QUERIES
+) -> DataFrame:
+    """``query_id``, ``rank``, ``key`` and ``score``: the ``k`` best other rows of every row that ``queries`` is true for.
+
+    Blocks hold ``block_rows`` candidates or ``pack_rows`` queries, each with its matrix.
+    """
     spark = df.sparkSession
     folder = f"{work_folder(spark)}/search-{uuid4().hex}"
     whole = scaled(df, key, vector, scale, more={"asks": F.coalesce(queries & F.col(f"`{key}`").isNotNull(), F.lit(False))})
-    made = whole.select(F.col("key").cast("long"), "x", "asks").mapInArrow(_block_rows, BLOCK)
+    made = whole.select(F.col("key").cast("long"), "x", "asks").mapInArrow(partial(_block_rows, block_rows), BLOCK)
     made.withColumn("block", F.monotonically_increasing_id()).write.parquet(f"{folder}/blocks")
     blocks = spark.read.schema(f"{BLOCK}, block long").parquet(f"{folder}/blocks")
     sizes = blocks.agg(F.count("*").alias("blocks"), F.coalesce(F.sum(F.size(F.filter("asks", lambda a: a))), F.lit(0)).alias("queries")).first()
     asking = blocks.where(F.exists("asks", lambda a: a)).mapInArrow(_query_rows, "block long, place long, id long, x array<int>")
-    packed = asking.repartition(max(1, -(-sizes["queries"] // QUERIES))).mapInArrow(_packed_rows, "q_blocks array<long>, q_places array<long>, q_ids array<long>, q_width int, q_m binary")
+    packed = asking.repartition(max(1, -(-sizes["queries"] // pack_rows))).mapInArrow(partial(_packed_rows, pack_rows), "q_blocks array<long>, q_places array<long>, q_ids array<long>, q_width int, q_m binary")
     packed.withColumn("pack", F.monotonically_increasing_id()).write.parquet(f"{folder}/queries")
     packs = spark.read.schema("q_blocks array<long>, q_places array<long>, q_ids array<long>, q_width int, q_m binary, pack long").parquet(f"{folder}/queries")
 
@@ -200,7 +205,7 @@ def search(df: DataFrame, queries: Column, key: str = "vec_id", vector: str = "e
     gathered = pairs(packs).mapInArrow(partial(_gathered_rows, k), "pack long, number int, total long")
     best = gathered.withColumn("rank", F.row_number().over(own.orderBy(F.desc("total")))).where(F.col("rank") <= k)
     cutoffs = best.groupBy("pack", "number").agg(F.min("total").alias("cutoff"), F.count("*").alias("n")).where(F.col("n") == k)
-    cutoffs = cutoffs.groupBy("pack").agg(F.collect_list(F.struct("number", "cutoff")).alias("cutoffs"))  # at most QUERIES
+    cutoffs = cutoffs.groupBy("pack").agg(F.collect_list(F.struct("number", "cutoff")).alias("cutoffs"))  # at most pack_rows
     cutoffs.write.parquet(f"{folder}/cutoffs")
     known = packs.join(spark.read.schema(cutoffs.schema).parquet(f"{folder}/cutoffs"), "pack", "left")
     resolved = pairs(known).mapInArrow(partial(_resolved_rows, k), "pack long, number int, query_id long, id long, block long, place long, score long")

@@ -108,10 +108,8 @@ def brute_top(rows, k=10):
 
 
 @pytest.mark.parametrize("block,queries", [(4096, 256), (7, 2)])
-def test_top_k(frame, rows, monkeypatch, block, queries):
-    monkeypatch.setattr(threshold_search, "ROWS", block)
-    monkeypatch.setattr(threshold_search, "QUERIES", queries)
-    found = threshold_search.search(frame, F.col("vec_id") % 100 == 0)
+def test_top_k(frame, rows, block, queries):
+    found = threshold_search.search(frame, F.col("vec_id") % 100 == 0, block_rows=block, pack_rows=queries)
     assert found.columns == ["query_id", "rank", "vec_id", "score"]
     assert sorted((tuple(r) for r in found.collect()), key=str) == brute_top(rows)
 
