@@ -22,9 +22,14 @@ RANK = "tierRank"
 
 @dataclass(frozen=True)
 class Cohorts:
-    """Cohorts to compute; without a ladder there is one, of all rows."""
+    """Cohorts to compute; without a ladder there is one, of all rows.
+
+    ``canonical`` says that facts hold canonical tiers, as stored facts do; the
+    tiers of the ladder are then a filter that reaches the files.
+    """
 
     ladder: tuple[str, ...] = ()
+    canonical: bool = False
 
     @property
     def names(self) -> tuple[str, ...]:
@@ -34,6 +39,9 @@ class Cohorts:
         """Rows that belong to a cohort, with their rank on the ladder."""
         if not self.ladder:
             return facts.withColumn(RANK, F.lit(1))
+        if self.canonical:
+            rank = F.array_position(F.array(*map(F.lit, self.ladder)), F.col("tier"))
+            return facts.where(F.col("tier").isin(*self.ladder)).withColumn(RANK, rank.cast("int"))
         return facts.withColumn(RANK, tier_rank(F.col("tier"), self.ladder)).where(
             F.col(RANK).isNotNull()
         )
@@ -75,6 +83,7 @@ class Cohorts:
 
 ALL = Cohorts()
 LADDER_COHORTS = Cohorts(LADDER)
+STORED_COHORTS = Cohorts(LADDER, canonical=True)
 
 
 def win_weight() -> Column:

@@ -94,8 +94,9 @@ def champion_documents(
     """Documents of the lane queues per cohort, champion and position, best score first.
 
     Picks and options are of the latest version; matchups are of the last days.
+    Cohorts that are ``canonical`` take the tiers and versions of the facts as they are stored.
     """
-    known = with_canonical_values(facts)
+    known = facts if cohorts.canonical else with_canonical_values(facts)
     current = current_version(known)
     recent = recent_days(known, as_of, days)
     keys = list(LANE_KEYS)

@@ -39,13 +39,14 @@ def rank_first(df: DataFrame, value: str, ordinal: str, name: str, by: list[str]
     """
     by = by or []
     order = [*map(F.asc_nulls_first, by), F.desc_nulls_last(value), F.asc_nulls_first(ordinal)]
-    least = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    parts = max(least, -(-df.count() // PART_ROWS))
+    folder = f"{work_folder(df.sparkSession)}/ranks-{uuid4().hex}"
+    df.write.parquet(f"{folder}/rows")
+    df = df.sparkSession.read.schema(df.schema).parquet(f"{folder}/rows")
+    parts = max(1, -(-df.count() // PART_ROWS))
     # The id of a row is its partition's number, shifted by 33 bits, and its place there.
     place = F.monotonically_increasing_id()
-    folder = f"{work_folder(df.sparkSession)}/ranks-{uuid4().hex}"
-    df.repartitionByRange(parts, *order).sortWithinPartitions(*order).withColumn("rank_place", place).write.parquet(folder)
-    placed = df.sparkSession.read.schema(StructType([*df.schema.fields, StructField("rank_place", LongType())])).parquet(folder)
+    df.repartitionByRange(parts, *order).sortWithinPartitions(*order).withColumn("rank_place", place).write.parquet(f"{folder}/placed")
+    placed = df.sparkSession.read.schema(StructType([*df.schema.fields, StructField("rank_place", LongType())])).parquet(f"{folder}/placed")
 
     part = F.shiftright("rank_place", 33)
     sizes = placed.groupBy(part.alias("part")).agg(F.count("*").alias("rows"))

@@ -12,7 +12,8 @@ def build_session(app: str, master: str | None = None, conf: dict[str, str] | No
 
     The zone is pinned so that dates do not depend on the machine. AQE stays on:
     it picks broadcast joins from measured sizes, splits skewed join partitions
-    and sizes shuffle partitions at run time, so no operator hints a broadcast.
+    and sizes shuffle partitions at run time, so no operator hints a broadcast. A
+    small catalogue is broadcast from the size of its files, before the other side moves.
     """
     builder = (
         SparkSession.builder.appName(app)
@@ -20,9 +21,8 @@ def build_session(app: str, master: str | None = None, conf: dict[str, str] | No
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
-        # Joins are planned as for large tables; adaptive execution may still
-        # broadcast a side it has measured.
-        .config("spark.sql.autoBroadcastJoinThreshold", "-1")
+        # A side is broadcast if its files, or what adaptive execution has measured, are this small.
+        .config("spark.sql.autoBroadcastJoinThreshold", "10MB")
         .config("spark.sql.adaptive.autoBroadcastJoinThreshold", "10MB")
     )
     if master:

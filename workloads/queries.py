@@ -24,12 +24,13 @@ from matchlens.operators import (
     state,
     timeline,
 )
-from matchlens.operators.cohorts import COHORT, LADDER_COHORTS
+from matchlens.operators.cohorts import COHORT, LADDER_COHORTS, STORED_COHORTS
 from matchlens.schema import CHAMPION_MAP, ITEM_MAP
 from matchlens.session import work_folder
 from matchlens.sources.catalogues import champions_of, items_of
 from matchlens.sources.documents import write_table_json
-from matchlens.sources.matches import read_json_values, read_raw, stored_facts, write_raw
+from matchlens.sources.fact_tables import bucketed_facts
+from matchlens.sources.matches import DOCUMENT_COLUMNS, read_json_values, read_raw, stored_facts, write_raw
 from matchlens.sources.warehouse import append_facts, create_recent_view, drop_expired, full_refresh, read_dates
 from matchlens.streaming import decode_messages, land_messages
 from workloads import views
@@ -197,15 +198,16 @@ LANE_ARRAYS = [
 
 
 def champion_document(spark, folder):
-    facts = stored_facts(views.facts(spark, folder))
-    made = document.champion_documents(facts, AS_OF, ALL_DAYS, min_games=SYNERGY_GAMES)
+    """Documents from a table of facts with versions, tiers and matches stored apart."""
+    facts = bucketed_facts(views.facts(spark, folder), DOCUMENT_COLUMNS)
+    made = document.champion_documents(facts, AS_OF, ALL_DAYS, STORED_COHORTS, SYNERGY_GAMES)
     return _document_rows(made, LANE_ARRAYS)
 
 
 def document_arrays(spark, folder):
     """Every entry of every array of the documents, with its place."""
-    facts = stored_facts(views.facts(spark, folder))
-    made = document.champion_documents(facts, AS_OF, ALL_DAYS, min_games=SYNERGY_GAMES)
+    facts = bucketed_facts(views.facts(spark, folder), DOCUMENT_COLUMNS)
+    made = document.champion_documents(facts, AS_OF, ALL_DAYS, STORED_COHORTS, SYNERGY_GAMES)
     measures = ("win_rate", "pick_rate", "select_cnt")
 
     def entries(name: str) -> Column:
