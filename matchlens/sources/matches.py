@@ -6,15 +6,16 @@ import datetime
 import uuid
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from matchlens.operators.flatten import canonical_matches
 from matchlens.operators.state import keyed_update, mark_done
 from matchlens.operators.timeline import fold_timelines, merge_slots
-from matchlens.schema import FETCHED_MATCH, RAW_MATCH
+from matchlens.schema import FETCHED_MATCH, MATCH_STATE, RAW_MATCH
 from matchlens.session import work_folder
+from matchlens.sources.committed import PARTS, Batch
 
 RUN_DATE = "run_date"
 
@@ -75,6 +76,22 @@ def land_day(
     again.write.mode("overwrite").parquet(state_folder)
 
 
+def land_batch(spark: SparkSession, root: str, documents: DataFrame, number: int, match_id: Column, parts: int = PARTS) -> bool:
+    """Land a batch and mark its matches done, visible together; False if it had been landed.
+
+    ``matches`` is the keyed state below ``root``, ``documents`` what is landed, one part for each batch.
+    A run that fails before the marker leaves both as they were, and can be repeated.
+    """
+    batch = Batch(spark, root)
+    if number <= batch.done("landing"):
+        return False
+    landed = batch.land("documents", documents, number).select(match_id.alias("matchid"))
+    batch.change("matches", MATCH_STATE, landed, "matchid", mark_done, parts)
+    batch.record("landing", number)
+    batch.commit()
+    return True
+
+
 def read_landed(spark: SparkSession, folder: str, schema: T.StructType = FETCHED_MATCH) -> DataFrame:
     return spark.read.schema(schema).json(folder)
 

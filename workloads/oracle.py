@@ -740,4 +740,29 @@ SELECT id AS "itemId", boots AS is_boots, (usual AND (p_size % 5 = 0 OR (p_partk
     ),
     "stream_decode": """SELECT event_type AS topic, CAST(user_id AS VARCHAR) AS key, props AS value,
   '[' || event_type || '] ' || rpad(CAST(user_id AS VARCHAR), 12, ' ') || ' -> ' || props AS line FROM events""",
+    "stream_state": """SELECT CAST(user_id AS VARCHAR) AS "user", ts, event_id, event_type, props FROM events
+  QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) = 1""",
+    "keyed_files": """SELECT event_type AS topic, CAST(user_id AS VARCHAR) AS key, props AS value, event_id,
+  row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS place FROM events""",
+    "keyed_parts": query(
+        STATE,
+        """dealt AS (SELECT *, CAST(CAST('0x' || substr(md5(matchid), 1, 7) AS BIGINT) % 16 AS INT) AS part FROM state)""",
+        "done AS (SELECT matchid, part FROM dealt WHERE status = FALSE ORDER BY matchid LIMIT 5)",
+        """SELECT matchid, tier, CASE WHEN matchid IN (SELECT matchid FROM done) THEN TRUE ELSE status END AS status, part,
+  CAST(CASE WHEN part IN (SELECT part FROM done) THEN 2 ELSE 1 END AS BIGINT) AS version FROM dealt""",
+    ),
+    "landed_batches": query(
+        STATE,
+        """SELECT matchid, tier, CASE WHEN tier IN ('1-URGENT', '2-HIGH') THEN TRUE ELSE status END AS status,
+  CASE tier WHEN '1-URGENT' THEN 0 WHEN '2-HIGH' THEN 1 END AS batch FROM state""",
+    ),
+    "daily_facts_with_gaps": query(
+        FACTS,
+        """days(y, run_date) AS (VALUES (1996, DATE '2024-01-02'), (1997, DATE '2024-01-03'), (1998, DATE '2024-01-05'),
+  (2000, DATE '2024-01-06'), (2001, DATE '2024-01-07'))""",
+        """SELECT run_date, "p_championId", count(*) AS rows, count(*) FILTER (p_win) AS wins
+  FROM facts JOIN days ON year(date) = y GROUP BY run_date, "p_championId\"""",
+    ),
+    "document_sinks": f"""SELECT cohort, row_number() OVER (PARTITION BY cohort ORDER BY score DESC NULLS LAST) AS place, score
+  FROM ({documents(FACTS, lane=True)})""",
 }

@@ -6,7 +6,7 @@ import datetime
 import uuid
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -28,11 +28,12 @@ from matchlens.operators.cohorts import COHORT, LADDER_COHORTS, STORED_COHORTS
 from matchlens.schema import CHAMPION_MAP, ITEM_MAP
 from matchlens.session import work_folder
 from matchlens.sources.catalogues import champions_of, items_of
-from matchlens.sources.documents import write_table_json
+from matchlens.sources.committed import Batch, Committed
+from matchlens.sources.documents import write_documents, write_table_json
 from matchlens.sources.fact_tables import bucketed_facts
-from matchlens.sources.matches import DOCUMENT_COLUMNS, read_json_values, read_raw, stored_facts, write_raw
+from matchlens.sources.matches import DOCUMENT_COLUMNS, land_batch, read_json_values, read_raw, read_recent, stored_facts, write_facts, write_raw
 from matchlens.sources.warehouse import append_facts, create_recent_view, drop_expired, full_refresh, read_dates
-from matchlens.streaming import decode_messages, land_messages
+from matchlens.streaming import KeyedState, decode_messages, land_messages, write_keyed_files
 from workloads import views
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -504,6 +505,27 @@ def json_table_round_trip(spark, folder):
     return read_json_values(spark, path, customers.schema)
 
 
+def daily_facts_with_gaps(spark, folder):
+    """Facts of each year stored as a day, one day missing and one written twice, and the last six days read."""
+    root = f"{work_folder(spark)}/daily-{uuid.uuid4().hex}"
+    facts = stored_facts(views.facts(spark, folder), ("matchId", "date", "p_championId", "p_win"))
+    for year, day in ((1995, 1), (1996, 2), (1997, 3), (1999, 5), (1998, 5), (2000, 6), (2001, 7), (1999, 8)):
+        write_facts(facts.where(F.year("date") == year), root, "solo", datetime.date(2024, 1, day))
+    found = read_recent(spark, root, "solo", datetime.date(2024, 1, 8), facts.schema, days=6)
+    return found.groupBy("run_date", "p_championId").agg(F.count("*").alias("rows"), F.count_if("p_win").alias("wins"))
+
+
+def document_sinks(spark, folder):
+    """Documents written per queue and cohort, and read again in the order of their score."""
+    root = f"{work_folder(spark)}/documents-{uuid.uuid4().hex}"
+    facts = bucketed_facts(views.facts(spark, folder), DOCUMENT_COLUMNS)
+    made = document.champion_documents(facts, AS_OF, ALL_DAYS, STORED_COHORTS, SYNERGY_GAMES).select(COHORT, "championId", "teamPosition", "score", "tier")
+    write_documents(made, root, "solo")
+    stored = spark.read.schema(made.schema).parquet(f"{root}/queue=solo").withColumn("place", F.monotonically_increasing_id())
+    place = F.row_number().over(Window.partitionBy(COHORT).orderBy("place"))
+    return stored.select(COHORT, place.cast("bigint").alias("place"), F.round("score", 6).alias("score"))
+
+
 # --- fetch state ---------------------------------------------------------------
 
 
@@ -548,6 +570,40 @@ def repeated_upsert(spark, folder):
     )
 
 
+STATE_PARTS = 16
+
+
+def keyed_parts(spark, folder):
+    """State dealt into parts, of which a change replaces those that its keys are in; each row with its part's version."""
+    root = f"{work_folder(spark)}/state-{uuid.uuid4().hex}"
+    matches = views.match_state(spark, folder)
+    first = Batch(spark, root)
+    first.replace("matches", matches, "matchid", STATE_PARTS)
+    first.commit()
+    second = Batch(spark, root)
+    done = state.backlog(matches, 5).select("matchid")
+    second.change("matches", matches.schema, done, "matchid", state.mark_done, STATE_PARTS)
+    second.commit()
+    return Committed(spark, root).read("matches", matches.schema)
+
+
+def landed_batches(spark, folder):
+    """Two batches landed with their state; the second one fails half-way and is run again."""
+    root = f"{work_folder(spark)}/landing-{uuid.uuid4().hex}"
+    first = Batch(spark, root)
+    first.replace("matches", views.match_state(spark, folder), "matchid", STATE_PARTS)
+    first.commit()
+    orders = views.table(spark, folder, "orders").select(F.col("o_orderkey").cast("string").alias("id"), "o_orderpriority")
+    batches = [orders.where(F.col("o_orderpriority") == p) for p in ("1-URGENT", "2-HIGH")]
+    for number, documents in enumerate(batches):
+        Batch(spark, root).land("documents", documents.unionAll(documents), number)  # written, never committed
+        land_batch(spark, root, documents, number, F.col("id"), STATE_PARTS)
+        land_batch(spark, root, documents, number, F.col("id"), STATE_PARTS)  # a repeat
+    tables = Committed(spark, root)
+    landed = tables.read("documents", orders.schema).select(F.col("id").alias("matchid"), F.col("part").alias("batch"))
+    return tables.read("matches", views.match_state(spark, folder).schema).drop("part", "version").join(landed, "matchid", "left")
+
+
 def mark_done(spark, folder):
     landed = views.match_batch(spark, folder).select("matchid")
     return state.mark_done(views.match_state(spark, folder), landed)
@@ -678,6 +734,46 @@ def stream_decode(spark, folder):
     return spark.read.schema(decoded.schema).parquet(f"{target}/rows")
 
 
+LAST_EVENT = T.StructType().add("user", "string").add("ts", "timestamp_ntz").add("event_id", "long").add("event_type", "string").add("props", "string")
+
+
+def stream_state(spark, folder):
+    """Last event of each user, kept from a stream in two drains with a restart, a repeated batch and a reset."""
+    root = f"{work_folder(spark)}/keyed-{uuid.uuid4().hex}"
+    events = views.table(spark, folder, "events")
+    event_schema = events.schema
+    split = events.agg(F.expr("percentile_approx(event_id, 0.5)")).scalar()
+
+    def users(messages: DataFrame) -> DataFrame:
+        return messages.select(F.col("user_id").cast("string").alias("user"), F.col("ts").cast("timestamp_ntz").alias("ts"), "event_id", "event_type", "props")
+
+    def drain() -> KeyedState:
+        kept = KeyedState(spark, f"{root}/table", LAST_EVENT, "user", ["ts", "event_id"], STATE_PARTS)
+        kept.start(spark.readStream.schema(event_schema).parquet(f"{root}/in"), users, once=True).awaitTermination()
+        return kept
+
+    events.where(F.col("event_id") > split).write.mode("append").parquet(f"{root}/in")
+    drain()
+    events.where(F.col("event_id") <= split).write.mode("append").parquet(f"{root}/in")  # late ones
+    kept = drain()
+    late = users(events).withColumn("event_type", F.lit("repeat")).withColumn("ts", F.col("ts") + F.expr("interval 1 day"))
+    kept.apply(late, 1)  # a batch that is recorded already
+    kept.reset()
+    return drain().rows()
+
+
+def keyed_files(spark, folder):
+    """Messages sent to files by key and decoded again, with the place of each among its key's."""
+    path = f"{work_folder(spark)}/topic-{uuid.uuid4().hex}"
+    events = views.table(spark, folder, "events")
+    ordered = views.to_messages(events, "ts", "event_id")
+    write_keyed_files(ordered, path, STATE_PARTS, ["ts", "event_id"])
+    # A part is one file, read by as many tasks as it has splits; file and row group order is that of the rows.
+    sent = spark.read.schema(ordered.schema).parquet(path).withColumn("at", F.struct("_metadata.file_path", "_metadata.file_block_start", F.monotonically_increasing_id().alias("id")))
+    place = F.row_number().over(Window.partitionBy("key").orderBy("at")).cast("bigint")
+    return decode_messages(sent.withColumn("place", place), "event_id", "place").drop("line")
+
+
 QUERIES: dict[str, Query] = {
     "pick_win": pick_win,
     "ban_count": ban_count,
@@ -761,4 +857,10 @@ QUERIES: dict[str, Query] = {
     "predict_rank_v2": _predict(2),
     "mean_pick_rate": mean_pick_rate,
     "stream_decode": stream_decode,
+    "stream_state": stream_state,
+    "keyed_files": keyed_files,
+    "keyed_parts": keyed_parts,
+    "landed_batches": landed_batches,
+    "daily_facts_with_gaps": daily_facts_with_gaps,
+    "document_sinks": document_sinks,
 }

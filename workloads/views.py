@@ -302,9 +302,10 @@ def messages(spark: SparkSession, folder: str) -> DataFrame:
     return to_messages(table(spark, folder, "events"))
 
 
-def to_messages(events: DataFrame) -> DataFrame:
+def to_messages(events: DataFrame, *more: str) -> DataFrame:
     return events.select(
         F.col("event_type").alias("topic"),
         F.col("user_id").cast("string").cast("binary").alias("key"),
         F.col("props").cast("binary").alias("value"),
+        *more,
     )
