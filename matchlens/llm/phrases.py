@@ -1,7 +1,7 @@
 """Phrase collocations by SON partitioning: shards mined whole at lowered support, their candidates counted exactly.
 
 A phrase that occurs ``support`` times in a language occurs in some shard at least as often as the shard's share of
-the language asks for. So each shard, a stretch of rows with up to ``SHARD_WORDS`` words that one task holds, is mined
+the language asks for. So each shard, a stretch of rows of about ``SHARD_BYTES`` that one task holds, is mined
 whole, level by level, at a local support of ``support`` times its share, rounded up. The shards' phrases are united with
 their counts. A shard that does not list a phrase holds it at most its local support less one times, which bounds the whole
 count from above; phrases whose bound stays below ``support`` are dropped before anything is counted again. What is left is
@@ -43,8 +43,10 @@ from matchlens.session import work_folder
 DELIMITERS = b".,;:!?\x0a\x0b\x0c\x0d"
 #: A byte that no UTF-8 text has stands for a delimiter.
 BORDER = b"\xff"
-#: Words that a task holds at a time, and bytes of text for which a task is planned.
-SHARD_WORDS, SHARD_BYTES = 4_000_000, 24_000_000
+#: Bytes of text of a shard; with its last texts it has up to half as many more.
+SHARD_BYTES = 24_000_000
+#: Rows that are handed on at a time.
+STEP = 1 << 16
 #: Tasks that a table is given at least, if it has as many partitions.
 LEAST_TASKS = 8
 #: The bitmap has a bit for every hash of so many bits: 8 MB.
@@ -118,57 +120,74 @@ def mine(shard: Shard, longest: int, keep: Keep) -> Iterator[tuple[int, list[str
         keys = classes[starts].astype(np.int64) * len(spelled) + words[starts + length] if len(starts) else np.empty(0, dtype=np.int64)
 
 
-def _shards(batches: Iterable[pa.RecordBatch]) -> Iterator[dict[str, Shard]]:
-    """Texts (lang, whole, text) as shards of bounded size, one for each language met."""
+def _shards(shard_bytes: int, batches: Iterable[pa.RecordBatch]) -> Iterator[dict[str, Shard]]:
+    """Texts (lang, whole, text) as shards of bounded size, one for each language met.
+
+    What is left at the end of a task goes to the shard before, unless it is half a shard: a small
+    shard would have a small share, and list phrases that are rare.
+    """
     held: dict[str, Shard] = {}
+    waiting: dict[tuple[str, int], list[bytes]] = {}
+    sizes = [0, 0]  # of what is held and of what waits
+
+    def add() -> None:
+        for (lang, whole), texts in waiting.items():
+            if lang not in held:
+                held[lang] = Shard(whole)
+            held[lang].add(texts)
+        waiting.clear()
+        sizes[:] = [sum(sizes), 0]
+
     for batch in batches:
         for at in range(0, batch.num_rows, 256):
             part = batch.slice(at, 256).to_pydict()
-            texts: dict[str, list[bytes]] = {}
             for lang, whole, text in zip(part["lang"], part["whole"], part["text"]):
-                if lang not in held:
-                    held[lang] = Shard(whole)
-                texts.setdefault(lang, []).append(text)
-            for lang, some in texts.items():
-                held[lang].add(some)
-            if sum(s.n for s in held.values()) >= SHARD_WORDS:
+                waiting.setdefault((lang, whole), []).append(text)
+                sizes[1] += len(text)
+            if sizes[0] < shard_bytes:
+                add()
+            elif sizes[1] >= shard_bytes // 2:
                 yield held
-                held = {}
+                held, sizes[0] = {}, 0
+                add()
+    add()
     if held:
         yield held
 
 
-def _rows(lang: str, length: int, phrases: list[str], counts: np.ndarray, more: dict[str, pa.Array]) -> pa.RecordBatch:
-    n = len(phrases)
-    columns = {"lang": pa.array([lang] * n, pa.string()), "phrase": pa.array(phrases, pa.string()), "size": pa.array(np.full(n, length, np.int32)), "n": pa.array(counts.astype(np.int64)), **more}
-    return pa.RecordBatch.from_arrays(list(columns.values()), names=list(columns))
+def _rows(lang: str, length: int, phrases: list[str], counts: np.ndarray, more: dict[str, np.ndarray]) -> Iterator[pa.RecordBatch]:
+    for at in range(0, len(phrases), STEP):
+        some = phrases[at : at + STEP]
+        columns = {"lang": pa.array([lang] * len(some), pa.string()), "phrase": pa.array(some, pa.string()), "size": pa.array(np.full(len(some), length, np.int32))}
+        columns |= {name: pa.array(values[at : at + STEP]) for name, values in {"n": counts.astype(np.int64), **more}.items()}
+        yield pa.RecordBatch.from_arrays(list(columns.values()), names=list(columns))
 
 
-def _local_rows(support: int, longest: int, batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _local_rows(support: int, longest: int, shard_bytes: int, batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Locally frequent phrases with what their shard asks for less one; a null phrase has the shard's words."""
-    for shards in _shards(batches):
+    for shards in _shards(shard_bytes, batches):
         for lang, shard in shards.items():
             least = shard.local_support(support)
 
-            def more(n: int, hashes: np.ndarray) -> dict[str, pa.Array]:
-                return {"less": pa.array(np.full(n, least - 1)), "hash": pa.array(hashes.view(np.int64))}
+            def more(hashes: np.ndarray) -> dict[str, np.ndarray]:
+                return {"less": np.full(len(hashes), least - 1), "hash": hashes.view(np.int64)}
 
-            yield _rows(lang, 0, [None], np.array([shard.n]), more(1, np.zeros(1, dtype=np.uint64)))
+            yield from _rows(lang, 0, [None], np.array([shard.n]), more(np.zeros(1, dtype=np.uint64)))
             for length, phrases, counts, hashes in mine(shard, longest, lambda n, _: n >= least):
-                yield _rows(lang, length, phrases, counts, more(len(phrases), hashes))
+                yield from _rows(lang, length, phrases, counts, more(hashes))
 
 
-def _counted_rows(bitmap: bytes, longest: int, batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _counted_rows(bitmap: bytes, longest: int, shard_bytes: int, batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     bits = np.frombuffer(bitmap, np.uint8)
 
     def marked(_: np.ndarray, hashes: np.ndarray) -> np.ndarray:
         at = hashes >> np.uint64(64 - HASH_BITS)
         return (bits[at >> np.uint64(3)] >> (at & np.uint64(7)).astype(np.uint8) & 1).astype(bool)
 
-    for shards in _shards(batches):
+    for shards in _shards(shard_bytes, batches):
         for lang, shard in shards.items():
             for length, phrases, counts, _ in mine(shard, longest, marked):
-                yield _rows(lang, length, phrases, counts, {})
+                yield from _rows(lang, length, phrases, counts, {})
 
 
 def _bitmap(candidates: DataFrame) -> bytes:
@@ -183,7 +202,7 @@ def _bitmap(candidates: DataFrame) -> bytes:
     return bytes(out)
 
 
-def frequent_phrases(df: DataFrame, text: str = "text", lang: str = "lang", support: int = 100, longest: int = 5, unknown: str = "und") -> tuple[DataFrame, DataFrame]:
+def frequent_phrases(df: DataFrame, text: str = "text", lang: str = "lang", support: int = 100, longest: int = 5, unknown: str = "und", shard_bytes: int = SHARD_BYTES) -> tuple[DataFrame, DataFrame]:
     """Written tables: phrases of 1 to ``longest`` words (lang, phrase, size, n) with their exact counts, and languages (lang, n)."""
     spark = df.sparkSession
     folder = f"{work_folder(spark)}/phrases-{uuid4().hex}"
@@ -197,14 +216,14 @@ def frequent_phrases(df: DataFrame, text: str = "text", lang: str = "lang", supp
     sizes = kept(texts.groupBy("lang").agg(F.sum(F.octet_length("text").cast("long")).alias("whole")), "sizes")
     total = sizes.agg(F.coalesce(F.sum("whole"), F.lit(0)).alias("bytes")).first()["bytes"]
     # Tasks of small parts are put together, so that shares, and with them local supports, are not smaller than need be.
-    whole = texts.coalesce(max(LEAST_TASKS, -(-total // SHARD_BYTES))).join(sizes, "lang").select("lang", "whole", F.col("text").cast("binary").alias("text"))
+    whole = texts.coalesce(max(LEAST_TASKS, -(-total // shard_bytes))).join(sizes, "lang").select("lang", "whole", F.col("text").cast("binary").alias("text"))
 
-    local = kept(whole.mapInArrow(partial(_local_rows, support, longest), "lang string, phrase string, size int, n long, less long, hash long"), "local")
+    local = kept(whole.mapInArrow(partial(_local_rows, support, longest, shard_bytes), "lang string, phrase string, size int, n long, less long, hash long"), "local")
     shards = kept(local.where("phrase is null").groupBy("lang").agg(F.sum("n").alias("n"), F.sum("less").alias("all_less")), "languages")
     united = local.where("phrase is not null").groupBy("lang", "phrase").agg(F.sum("n").alias("listed"), F.sum("less").alias("less"), F.min("hash").alias("hash"))
     possible = united.join(shards.select("lang", "all_less"), "lang").where(F.col("listed") + F.col("all_less") - F.col("less") >= support)
     bitmap = _bitmap(possible.select("hash"))
-    counted = whole.mapInArrow(partial(_counted_rows, bitmap, longest), "lang string, phrase string, size int, n long")
+    counted = whole.mapInArrow(partial(_counted_rows, bitmap, longest, shard_bytes), "lang string, phrase string, size int, n long")
     exact = counted.groupBy("lang", "phrase", "size").agg(F.sum("n").alias("n")).where(F.col("n") >= support)
     return kept(exact, "frequent"), shards.select("lang", "n")
 
@@ -235,10 +254,18 @@ def not_absorbed(candidates: DataFrame, frequent: DataFrame, absorb: int = 100)
 
 
 def collocations(
-    df: DataFrame, text: str = "text", lang: str = "lang", support: int = 100, longest: int = 5, absorb: int = 100, top: int = 2000, unknown: str = "und"
+    df: DataFrame,
+    text: str = "text",
+    lang: str = "lang",
+    support: int = 100,
+    longest: int = 5,
+    absorb: int = 100,
+    top: int = 2000,
+    unknown: str = "und",
+    shard_bytes: int = SHARD_BYTES,
 ) -> DataFrame:
     """The best ``top`` phrases of every language: ``lang``, ``rank``, ``phrase``, ``a``, ``l``, ``r``, ``n``, ``score``."""
-    frequent, languages = frequent_phrases(df, text, lang, support, longest, unknown)
+    frequent, languages = frequent_phrases(df, text, lang, support, longest, unknown, shard_bytes)
     kept = not_absorbed(scored(frequent, languages), frequent, absorb)
     order = Window.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"), "phrase")
     ranked = kept.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= top)

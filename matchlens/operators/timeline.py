@@ -1,14 +1,14 @@
 """Event logs of matches folded into skill and item sequences.
 
-A match's log is one row, and undo, skills and sequences are expressions on that
-row. What the catalogue knows of an item comes by an equi-join on its id, for
+Events are dealt by match once; undos are matched to entries by windows, in time that
+follows the number of events, and a match's sequences are gathered into one row. What the catalogue knows of an item comes by an equi-join on its id, for
 catalogues of any size: the purchases that are left are exploded, looked up and
 gathered by match again, a bounded number for each match.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from matchlens.functions import item_flags
@@ -25,7 +25,7 @@ SKILL_UP = "SKILL_LEVEL_UP"
 
 ITEM_FLAGS = ("is_completed", "is_mythic", "is_boots")
 
-LOG = "struct<valid:boolean,entries:array<struct<itemId:string,bought:boolean>>>"
+ROWS = "array<struct<order:int,participantId:bigint,type:string,itemId:string,skillSlot:bigint>>"
 
 
 def classify_items(items: DataFrame) -> DataFrame:
@@ -64,63 +64,79 @@ def framed_events() -> Column:
     )
 
 
-def match_events() -> Column:
-    """All events of a match in order."""
-    return F.flatten(F.transform("frames", lambda frame: frame["events"]))
+def slot_events(timelines: DataFrame) -> DataFrame:
+    """One row per skill, purchase, sale and undo of the ten slots, dealt by match.
 
-
-def per_slot(build) -> Column:
-    """``build(slot, own events)`` for every slot, also for one without events."""
-
-    def one(slot: Column) -> Column:
-        own = F.filter(F.col("events"), lambda e: e["participantId"] == slot)
-        return build(slot.cast("bigint"), own)
-
-    return F.transform(F.sequence(F.lit(1), F.lit(SLOTS)), one)
-
-
-def skill_tree(own: Column) -> Column:
-    return F.transform(
-        F.filter(own, lambda e: e["type"] == SKILL_UP), lambda e: e["skillSlot"]
+    Each slot has one row more, without a type, so that it stays where it has no events.
+    """
+    kept = F.filter(
+        F.transform(F.flatten(F.transform("frames", lambda frame: frame["events"])), lambda e, i: F.struct(i.alias("order"), e.alias("event"))),
+        lambda e: e["event"]["type"].isin(SKILL_UP, PURCHASED, SOLD, UNDO),
+    )
+    rows = F.transform(
+        kept,
+        lambda e: F.struct(
+            e["order"].alias("order"),
+            e["event"]["participantId"].cast("bigint").alias("participantId"),
+            e["event"]["type"].alias("type"),
+            e["event"]["itemId"].cast("string").alias("itemId"),
+            e["event"]["skillSlot"].cast("bigint").alias("skillSlot"),
+        ),
     )
+    slots = F.transform(
+        F.sequence(F.lit(1), F.lit(SLOTS)),
+        lambda slot: F.struct(
+            F.lit(-1).alias("order"),
+            slot.cast("bigint").alias("participantId"),
+            F.lit(None).cast("string").alias("type"),
+            F.lit(None).cast("string").alias("itemId"),
+            F.lit(None).cast("bigint").alias("skillSlot"),
+        ),
+    )
+    events = timelines.select("matchId", F.inline(F.concat(slots, F.coalesce(rows, F.array().cast(ROWS)))))
+    return events.where(F.col("participantId").between(1, SLOTS)).repartition("matchId")
 
 
-def undone_log(own: Column) -> Column:
-    """Purchases and sales left after each undo took back the entry before it.
+def with_undone(events: DataFrame) -> DataFrame:
+    """Events with ``undone``, whether an undo takes an entry back, and ``valid``, whether all undos of the slot find one.
 
-    An undo with nothing to take back makes the log invalid.
+    Entries and undos raise and lower a running depth. An undo takes back the last entry left, which is the one
+    that raised the depth to where the undo finds it; at one depth, entries and their undos take turns, so an entry
+    is undone if the next event of its depth is an undo. An undo that finds nothing lowers what counts as the ground.
+    Each step is a sort of the slot's events, so time follows their number.
     """
-    moves = F.filter(own, lambda e: e["type"].isin(PURCHASED, SOLD, UNDO))
-    nothing = F.array().cast("array<struct<itemId:string,bought:boolean>>")
-    start = F.struct(F.lit(True).alias("valid"), nothing.alias("entries")).cast(LOG)
-
-    def step(log: Column, e: Column) -> Column:
-        entries = log["entries"]
-        undo = e["type"] == UNDO
-        entry = F.struct(
-            e["itemId"].cast("string").alias("itemId"), (e["type"] == PURCHASED).alias("bought")
-        )
-        shorter = F.slice(entries, F.lit(1), F.greatest(F.size(entries) - 1, F.lit(0)))
-        return F.struct(
-            (log["valid"] & ~(undo & (F.size(entries) == 0))).alias("valid"),
-            F.when(undo, shorter).otherwise(F.array_append(entries, entry)).alias("entries"),
-        ).cast(LOG)
-
-    return F.aggregate(moves, start, step)
+    entry = F.col("type").isin(PURCHASED, SOLD)
+    undo = F.col("type") == UNDO
+    slot = Window.partitionBy("matchId", "participantId").orderBy("order")
+    step = F.when(entry, 1).when(undo, -1).otherwise(0)
+    summed = events.withColumn("sum", F.sum(step).over(slot))
+    ground = F.least(F.lit(0), F.coalesce(F.min("sum").over(slot.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
+    height = F.col("sum") - ground
+    levelled = summed.withColumn("level", F.when(entry, height).when(undo, height + 1))
+    turns = Window.partitionBy("matchId", "participantId", "level").orderBy("order")
+    undone = entry & F.coalesce(F.lead("type").over(turns) == UNDO, F.lit(False))
+    return levelled.withColumn("undone", F.coalesce(undone, F.lit(False)))
 
 
 def slot_logs(timelines: DataFrame) -> DataFrame:
-    """Per match: skills and undone purchase log of all slots."""
-    return timelines.select("matchId", match_events().alias("events")).select(
-        "matchId",
-        per_slot(
-            lambda slot, own: F.struct(
-                slot.alias("participantId"),
-                skill_tree(own).alias("skillTree"),
-                undone_log(own).alias("log"),
-            )
-        ).alias("slots"),
+    """Per match: skills, and purchases and sales that no undo took back, of all slots.
+
+    A slot's log is invalid if an undo has nothing to take back. Events move once, by match.
+    """
+    events = with_undone(slot_events(timelines))
+    is_skill, is_entry = F.col("type") == SKILL_UP, F.col("type").isin(PURCHASED, SOLD) & ~F.col("undone")
+    skill = F.struct("order", "skillSlot")
+    entry = F.struct("order", "itemId", (F.col("type") == PURCHASED).alias("bought"))
+    slots = events.groupBy("matchId", "participantId").agg(
+        F.transform(F.sort_array(F.collect_list(F.when(is_skill, skill))), lambda e: e["skillSlot"]).alias("skillTree"),
+        F.struct(
+            (F.min("sum") >= 0).alias("valid"),
+            F.transform(
+                F.sort_array(F.collect_list(F.when(is_entry, entry))), lambda e: F.struct(e["itemId"].alias("itemId"), e["bought"].alias("bought"))
+            ).alias("entries"),
+        ).alias("log"),
     )
+    return slots.groupBy("matchId").agg(F.sort_array(F.collect_list(F.struct("participantId", "skillTree", "log"))).alias("slots"))
 
 
 def start_length(bought: Column, gold: int) -> Column:

@@ -62,10 +62,9 @@ def frame(spark, rows):
     return made.withColumns({name: F.lit(name) for name in CLASHING}).cache()
 
 
-@pytest.mark.parametrize("support,words,absorb,top", [(10, 4_000_000, 100, 2000), (10, 300, 100, 2000), (60, 2000, 80, 5), (3, 50, 100, 2000)])
-def test_collocations(frame, rows, monkeypatch, support, words, absorb, top):
-    monkeypatch.setattr(phrases, "SHARD_WORDS", words)
-    found = phrases.collocations(frame, support=support, absorb=absorb, top=top)
+@pytest.mark.parametrize("support,size,absorb,top", [(10, 24_000_000, 100, 2000), (10, 1500, 100, 2000), (60, 10_000, 80, 5), (3, 250, 100, 2000)])
+def test_collocations(frame, rows, support, size, absorb, top):
+    found = phrases.collocations(frame, support=support, absorb=absorb, top=top, shard_bytes=size)
     assert found.columns == ["lang", "rank", "phrase", "a", "l", "r", "n", "score"]
     expected = brute(rows, support, absorb=absorb, top=top)
     assert expected and sorted(tuple(r) for r in found.collect()) == expected

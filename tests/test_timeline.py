@@ -1,3 +1,6 @@
+import random
+import time
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -6,6 +9,7 @@ from matchlens.operators.timeline import (
     fold_timelines,
     merge_slots,
     ordered_events,
+    slot_logs,
     slot_rows,
 )
 from matchlens.schema import ITEM_MAP, RAW_MATCH, TIMELINE
@@ -156,3 +160,55 @@ def test_one_fold_moves_the_log_once(spark, items):
     rows = spark.createDataFrame([{"matchId": "m", "frames": []}], TIMELINE)
     plan = fold_timelines(rows, items)._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("Join") == 1 and "Limit" not in plan
+
+
+def folded_log(events):
+    """The plain fold: an undo takes back the entry before it."""
+    valid, entries = True, []
+    for e in events:
+        if e["type"] == "ITEM_UNDO":
+            valid &= bool(entries)
+            entries = entries[:-1]
+        elif e["type"] in ("ITEM_PURCHASED", "ITEM_SOLD"):
+            entries.append((str(e["itemId"]), e["type"] == "ITEM_PURCHASED"))
+    return valid, entries
+
+
+def test_undo_equals_the_fold(spark):
+    rng = random.Random(8)
+    logs = {}
+    for m in range(60):
+        share = rng.choice((0.1, 0.4, 0.5, 0.6))
+        logs[f"m{m}"] = [
+            undo(rng.randint(1, 3)) if rng.random() < share else rng.choice((buy, sell))(rng.randint(1, 5), rng.randint(1, 3)) for _ in range(rng.randint(0, 60))
+        ]
+    rows = [{"matchId": m, "frames": [{"events": events[:7]}, {"events": events[7:]}]} for m, events in logs.items()]
+    found = {}
+    for r in slot_logs(spark.createDataFrame(rows, TIMELINE)).collect():
+        assert [s.participantId for s in r.slots] == list(range(1, 11))
+        found[r.matchId] = [(s.log.valid, [tuple(e) for e in s.log.entries]) for s in r.slots[:3]]
+    assert found == {m: [folded_log([e for e in events if e["participantId"] == who]) for who in (1, 2, 3)] for m, events in logs.items()}
+
+
+def test_time_of_long_logs_follows_their_length(spark):
+    def seconds(n):
+        rng = random.Random(9)
+        events = [undo() if rng.random() < 0.45 else buy(i % 7) for i in range(n)]
+        frame = spark.createDataFrame([{"matchId": "m", "frames": [{"events": events}]}], TIMELINE).cache()
+        frame.count()
+        start = time.perf_counter()
+        (row,) = slot_logs(frame).collect()
+        took = time.perf_counter() - start
+        valid, entries = folded_log(events)
+        assert (row.slots[0].log.valid, [tuple(e) for e in row.slots[0].log.entries]) == (valid, entries)
+        return took
+
+    seconds(1000)  # compiled
+    assert seconds(100_000) < 10 * max(seconds(20_000), 0.5)
+
+
+def test_logs_without_events_keep_their_slots(spark):
+    rows = [{"matchId": "empty", "frames": []}, {"matchId": "none", "frames": None}, {"matchId": "other", "frames": [{"events": [{"type": "WARD_PLACED", "participantId": 1}]}]}]
+    found = slot_logs(spark.createDataFrame(rows, TIMELINE)).collect()
+    assert {r.matchId for r in found} == {"empty", "none", "other"}
+    assert all(len(r.slots) == 10 and all(s.log.valid and not s.log.entries and not s.skillTree for s in r.slots) for r in found)
