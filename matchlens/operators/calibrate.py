@@ -50,6 +50,22 @@ def parse_records(texts: DataFrame, text: str = "value", by: list[str] | None =
     return cut.select(*by, F.inline(F.transform(starts, record)))
 
 
+def records_of_lines(lines: DataFrame) -> DataFrame:
+    """As :func:`parse_records`, of files whose lines are numbered: a row for each ten lines of a ``file``.
+
+    A record may lie in two splits of its file; its lines meet by their number, ten in a group.
+    """
+    placed = lines.select("file", F.expr(f"line div {RECORD_LINES}").alias("record"), (F.col("line") % RECORD_LINES).alias("place"), "value")
+
+    def field(name: str, line: int) -> Column:
+        value = F.max(F.when(F.col("place") == line, F.col("value")))
+        return (value if name == "name" else F.rtrim(value, F.lit("%")).try_cast("double")).alias(name)
+
+    found = placed.groupBy("file", "record").agg(*[field(*f) for f in FIELD_LINES.items()], F.count("*").alias("lines"))
+    complete = found.where(F.col("lines") == RECORD_LINES)
+    return complete.select("file", (F.col("record") + 1).alias("ordinal"), *FIELD_LINES)
+
+
 def features(records: DataFrame, by: list[str], version: int = 1) -> DataFrame:
     """``x1``, the win rate above even, and ``x2``, the presence above an even share."""
     sizes = records.groupBy(*by).agg(F.count("name").alias("n"))

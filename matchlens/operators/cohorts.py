@@ -155,3 +155,24 @@ def match_totals(facts: DataFrame, cohorts: Cohorts = ALL) -> DataFrame:
     matches = rows.groupBy("matchId").agg(F.max(RANK).alias(RANK))
     totals = matches.agg(*cohorts.measures({"total_cnt": F.lit(1)}))
     return cohorts.rows(totals, ["total_cnt"], "total_cnt")
+
+
+def daily_match_sketches(facts: DataFrame, bits: int = 12) -> DataFrame:
+    """A mergeable sketch of the different matches of each day and tier, ``2 ** bits`` registers.
+
+    A day's sketch is stored once; any number of days or tiers are merged without reading facts again.
+    """
+    return facts.groupBy("date", "tier").agg(F.hll_sketch_agg("matchId", bits).alias("sketch"))
+
+
+def merged_match_totals(sketches: DataFrame, cohorts: Cohorts) -> DataFrame:
+    """Estimated number of different matches per cohort, out of daily sketches.
+
+    The standard error is about ``1.04 / sqrt(2 ** bits)``: 1.6 per cent with 12 bits.
+    """
+    ranked = cohorts.member_rows(sketches)
+    parts = [F.hll_union_agg(cohorts.within(level, F.col("sketch"))).alias(f"sketch_{level}") for level in range(len(cohorts.names))]
+    rows = [
+        F.struct(F.lit(name).alias(COHORT), F.hll_sketch_estimate(f"sketch_{level}").alias("total_cnt")) for level, name in enumerate(cohorts.names)
+    ]
+    return ranked.agg(*parts).select(F.inline(F.array(*rows))).where(F.col("total_cnt") > 0)

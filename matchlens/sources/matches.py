@@ -16,6 +16,7 @@ from matchlens.operators.timeline import fold_timelines, merge_slots
 from matchlens.schema import FETCHED_MATCH, MATCH_STATE, RAW_MATCH
 from matchlens.session import work_folder
 from matchlens.sources.committed import PARTS, Batch
+from matchlens.sources.text_files import json_texts, numbered_lines
 
 RUN_DATE = "run_date"
 
@@ -145,3 +146,9 @@ def read_json_values(spark: SparkSession, path: str, schema: T.StructType | None
     """Rows from a file of JSON values, one per line."""
     reader = spark.read.schema(schema) if schema else spark.read
     return reader.json(path)
+
+
+def read_json_run(spark: SparkSession, path: str, schema: T.StructType, split_bytes: int | None = None) -> DataFrame:
+    """Rows from files of JSON values run together: several on a line, or one over many lines."""
+    texts = json_texts(numbered_lines(spark, path, split_bytes))
+    return texts.select(F.from_json("json", schema).alias("value")).select("value.*")

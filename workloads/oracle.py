@@ -416,6 +416,23 @@ folded AS (SELECT "matchId", who, coalesce({as_text("tree")}, '') AS skills,
   FROM seats LEFT JOIN skills USING ("matchId", who) LEFT JOIN starts USING ("matchId", who)
   LEFT JOIN builds USING ("matchId", who))"""
 
+PART_SLOTS = (
+    SLOTS.replace(
+        f"CAST(1000 + CAST(floor(value) AS BIGINT) % {CATALOGUE_SIZE} AS VARCHAR) AS item FROM events",
+        "CAST(97 * (1 + event_id % (SELECT count(*) FROM part)) AS VARCHAR) AS item FROM events",
+    )
+    .replace(f"item_sizes AS (SELECT p_partkey % {CATALOGUE_SIZE} AS k, sum(p_size) AS s FROM part GROUP BY ALL),\n", "")
+    .replace(SLOTS[SLOTS.index("catalogue AS (") : SLOTS.index("bought AS (")], """catalogue AS (SELECT CAST(p_partkey * 97 AS VARCHAR) AS item,
+  CAST(floor(p_retailprice) AS BIGINT) AS price, length(CAST(p_partkey * 97 AS VARCHAR)) < 6 AND p_size % 6 = 0 AS boots,
+  length(CAST(p_partkey * 97 AS VARCHAR)) < 6 AND p_size % 6 <> 0 AND (p_size % 5 = 0 OR (p_partkey % 2 = 0 AND p_partkey % 3 <> 0
+  AND p_partkey * 97 NOT IN (4403, 2033, 7000, 2019))) OR p_partkey * 97 = 6693 AS completed,
+  length(CAST(p_partkey * 97 AS VARCHAR)) < 6 AND p_size % 6 <> 0 AND p_size % 5 = 0 AS mythic FROM part),
+""")
+    .replace("spent <= 500", "spent <= 3000")
+    .replace("spent) > 500", "spent) > 3000")
+    .replace("spent > 500", "spent > 3000")
+)
+
 SLOT_KEYS = '"matchId", who AS "participantId"'
 
 # --- users, matches, rankings ---------------------------------------------------------------
@@ -765,4 +782,15 @@ SELECT id AS "itemId", boots AS is_boots, (usual AND (p_size % 5 = 0 OR (p_partk
     ),
     "document_sinks": f"""SELECT cohort, row_number() OVER (PARTITION BY cohort ORDER BY score DESC NULLS LAST) AS place, score
   FROM ({documents(FACTS, lane=True)})""",
+    "masked_first": """SELECT o_orderkey, o_totalprice, o_orderstatus FROM orders WHERE o_orderstatus = 'F'
+  ORDER BY o_totalprice DESC, o_orderkey LIMIT 5""",
+    "record_files": query(
+        RECORDS, "SELECT * EXCLUDE (position, ordinal), p AS ordinal FROM (SELECT *, row_number() OVER (ORDER BY position_number, ordinal) AS p FROM records)"
+    ).replace("SELECT 'POS_' ||", f"SELECT p_partkey // {PARTS_PER_POSITION} AS position_number, 'POS_' ||").replace("(position, ordinal)", "(position, ordinal, position_number, p)"),
+    "json_run": """SELECT event_id, '}{ "' || ' [' || event_type AS note, CAST(user_id AS VARCHAR) AS first,
+  CAST(json_extract(props, '$.k') AS VARCHAR) AS k FROM events""",
+    "match_sketches": stats(FACTS, LADDER_ROWS, 'counted AS (SELECT cohort, count(DISTINCT "matchId") AS total_cnt FROM recent GROUP BY cohort)', "SELECT *, TRUE AS close FROM counted"),
+    "part_item_builds": query(
+        PART_SLOTS, f'SELECT {SLOT_KEYS}, start_items AS "itemStart", build AS "itemRarity", boots AS "itemBoots", mythic AS "itemMyth" FROM folded'
+    ),
 }

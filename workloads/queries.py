@@ -31,7 +31,8 @@ from matchlens.sources.catalogues import champions_of, items_of
 from matchlens.sources.committed import Batch, Committed
 from matchlens.sources.documents import write_documents, write_table_json
 from matchlens.sources.fact_tables import bucketed_facts
-from matchlens.sources.matches import DOCUMENT_COLUMNS, land_batch, read_json_values, read_raw, read_recent, stored_facts, write_facts, write_raw
+from matchlens.sources.matches import DOCUMENT_COLUMNS, land_batch, read_json_run, read_json_values, read_raw, read_recent, stored_facts, write_facts, write_raw
+from matchlens.sources.text_files import numbered_lines
 from matchlens.sources.warehouse import append_facts, create_recent_view, drop_expired, full_refresh, read_dates
 from matchlens.streaming import KeyedState, decode_messages, land_messages, write_keyed_files
 from workloads import views
@@ -74,6 +75,15 @@ def match_count(spark, folder):
     return cohorts.match_totals(finished(spark, folder), LADDER_COHORTS)
 
 
+def match_sketches(spark, folder):
+    """Different matches of the last days by merged daily sketches, and whether they are within 5 per cent of the exact count."""
+    recent = cohorts.recent_days(finished(spark, folder), AS_OF, ALL_DAYS)
+    exact = cohorts.match_totals(recent, LADDER_COHORTS)
+    merged = cohorts.merged_match_totals(cohorts.daily_match_sketches(recent), LADDER_COHORTS)
+    close = F.abs(F.col("estimate") - F.col("total_cnt")) <= 0.05 * F.col("total_cnt")
+    return exact.join(merged.withColumnRenamed("total_cnt", "estimate"), COHORT).select(COHORT, "total_cnt", close.alias("close"))
+
+
 def tier_cohorts(spark, folder):
     return picks.picks(finished(spark, folder), cohorts=LADDER_COHORTS)
 
@@ -420,6 +430,14 @@ def merged_matches(spark, folder):
     )
 
 
+def part_item_builds(spark, folder):
+    """Timelines folded with a catalogue that has an item for every part."""
+    parts = views.table(spark, folder, "part").count()
+    found = views.timelines(spark, folder, f"97 * (1 + event_id % {parts})")
+    folded = timeline.fold_timelines(found, views.part_items(spark, folder), gold=3000)
+    return with_text(timeline.slot_rows(folded).drop("skillTree"))
+
+
 def item_classes(spark, folder):
     return timeline.classify_items(views.part_items(spark, folder)).select(
         "itemId", "is_boots", "is_completed", "is_mythic", "price"
@@ -655,6 +673,13 @@ def mask_rows(spark, folder):
     return rows.mask_rows(orders, F.col("o_orderstatus") == "F")
 
 
+def masked_first(spark, folder):
+    """First rows by price after a mask: masked rows have no price and come last."""
+    orders = views.table(spark, folder, "orders").select("o_orderkey", "o_totalprice", "o_orderstatus")
+    masked = rows.mask_rows(orders, F.col("o_orderstatus") == "F", keep=("o_orderkey",))
+    return rows.top_rows(masked, "o_totalprice", 5, ("o_orderkey",))
+
+
 def rank_first(spark, folder):
     lines = views.table(spark, folder, "orders").select("o_orderkey", "o_orderpriority", "o_totalprice")
     return rows.rank_first(lines, "o_totalprice", "o_orderkey", "place", ["o_orderpriority"])
@@ -683,6 +708,23 @@ def record_reshape(spark, folder):
     return _records(spark, folder)
 
 
+def record_files(spark, folder):
+    """Records of one large text file, read in splits that cut lines and records."""
+    path = f"{work_folder(spark)}/records-{uuid.uuid4().hex}"
+    views.ranking_lines(spark, folder).coalesce(1).write.text(path)
+    lines = numbered_lines(spark, path, split_bytes=65_536)
+    return calibrate.records_of_lines(lines).drop("file")
+
+
+def json_run(spark, folder):
+    """Values of JSON files in which they follow each other without line ends."""
+    path = f"{work_folder(spark)}/json-run-{uuid.uuid4().hex}"
+    views.json_run(spark, folder).write.text(path)
+    schema = T.StructType().add("event_id", "long").add("note", "string").add("tags", T.ArrayType(T.StringType()))
+    found = read_json_run(spark, path, schema, split_bytes=65_536)
+    return found.select("event_id", "note", F.get("tags", F.lit(0)).alias("first"), F.get_json_object(F.get("tags", F.lit(1)), "$.k.k").alias("k"))
+
+
 def _features(version: int) -> Query:
     def run(spark, folder):
         made = calibrate.features(_records(spark, folder), ["position"], version)
@@ -863,4 +905,9 @@ QUERIES: dict[str, Query] = {
     "landed_batches": landed_batches,
     "daily_facts_with_gaps": daily_facts_with_gaps,
     "document_sinks": document_sinks,
+    "part_item_builds": part_item_builds,
+    "masked_first": masked_first,
+    "record_files": record_files,
+    "json_run": json_run,
+    "match_sketches": match_sketches,
 }

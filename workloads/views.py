@@ -180,8 +180,8 @@ EVENT_TYPE = """
 """
 
 
-def timelines(spark: SparkSession, folder: str) -> DataFrame:
-    """Event logs: every block of 200 event ids is a match, every 20 events a frame."""
+def timelines(spark: SparkSession, folder: str, item: str = f"1000 + cast(floor(value) as bigint) % {CATALOGUE_SIZE}") -> DataFrame:
+    """Event logs: every block of 200 event ids is a match, every 20 events a frame; ``item`` gives an event's item id."""
     events = table(spark, folder, "events").select(
         F.expr(f"event_id div {EVENTS_PER_MATCH}").alias("block"),
         F.struct(
@@ -191,7 +191,7 @@ def timelines(spark: SparkSession, folder: str) -> DataFrame:
                 F.expr(EVENT_TYPE).alias("type"),
                 F.expr("event_id % 9 + 1").alias("participantId"),
                 F.expr("1 + cast(floor(value) as bigint) % 4").alias("skillSlot"),
-                F.expr(f"1000 + cast(floor(value) as bigint) % {CATALOGUE_SIZE}").alias("itemId"),
+                F.expr(item).alias("itemId"),
             ).alias("event"),
         ).alias("entry"),
     )
@@ -275,23 +275,41 @@ def match_batch(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-def rankings(spark: SparkSession, folder: str) -> DataFrame:
-    """Ranking texts: every block of parts is a position, ten lines per part.
-
-    The number of parts of a position is fixed, so is the length of a text.
-    """
-    parts = table(spark, folder, "part")
-    lines = F.expr(
-        """concat_ws('\n', p_partkey, p_size, p_name, p_type,
+RANKING = """concat_ws('\n', p_partkey, p_size, p_name, p_type,
         cast(40 + (p_partkey * 37) % 200 / 10 as string), cast(p_size + 0.5D as string),
         concat(cast(44 + (p_partkey * 13) % 120 / 10 as string), '%'),
         concat(cast(0.5D + (p_partkey * 29) % 150 / 10 as string), '%'),
         concat(cast((p_partkey * 17) % 300 / 10 as string), '%'),
         concat(p_size, ',', p_partkey), '')"""
+
+
+def ranking_lines(spark: SparkSession, folder: str) -> DataFrame:
+    """Ten lines for every part, in the order of the parts."""
+    parts = table(spark, folder, "part").select("p_partkey", F.split(F.expr(RANKING), "\n").alias("lines"))
+    rows = parts.select("p_partkey", F.posexplode(F.slice("lines", 1, 10)).alias("place", "value"))
+    return rows.orderBy("p_partkey", "place").select("value")
+
+
+def json_run(spark: SparkSession, folder: str) -> DataFrame:
+    """Events as JSON values run together, fifty in a row of text; some spread over lines, and strings hold brackets."""
+    value = F.expr(
+        """concat('{"event_id": ', event_id, if(event_id % 3 = 0, ',\n  ', ', '), '"note": "}{ \\\\\" [', event_type, '", "tags": [',
+        user_id, ',', if(event_id % 7 = 0, '\n\n', ' '), '{"k": ', props, '}]}', if(event_id % 5 = 0, ' ', ''))"""
     )
+    events = table(spark, folder, "events").select(F.expr("event_id div 50").alias("block"), F.struct("event_id", value.alias("text")).alias("entry"))
+    texts = events.groupBy("block").agg(F.sort_array(F.collect_list("entry")).alias("entries"))
+    return texts.select(F.array_join("entries.text", "").alias("value"))
+
+
+def rankings(spark: SparkSession, folder: str) -> DataFrame:
+    """Ranking texts: every block of parts is a position, ten lines per part.
+
+    The number of parts of a position is fixed, so is the length of a text.
+    """
+    parts = table(spark, folder, "part")
     entries = parts.select(
         F.expr(f"concat('POS_', p_partkey div {PARTS_PER_POSITION})").alias("position"),
-        F.struct("p_partkey", lines.alias("lines")).alias("entry"),
+        F.struct("p_partkey", F.expr(RANKING).alias("lines")).alias("entry"),
     )
     texts = entries.groupBy("position").agg(F.sort_array(F.collect_list("entry")).alias("entries"))
     return texts.select("position", F.array_join(F.col("entries.lines"), "").alias("value"))
