@@ -9,7 +9,10 @@ further kinds are reported from a score of ``MIN_SCORE`` on:
 * ``iban``: country, two check digits and 11 to 30 letters or digits, also in
   groups of four; mod-97 must give 1. Words after a grouped account look like
   groups, so the end at the length of its country is tried before the whole;
-* ``ssn``: ``ddd-dd-dddd``, which has no checksum, so only near a context word.
+* ``ssn``: ``ddd-dd-dddd``, which has no checksum, so only near a context word;
+* ``secret``: the value of an assignment (``=``, ``:``, ``=>``, with or without
+  quotes) of 16 to 512 characters; in place of a checksum its characters must be as
+  mixed as random ones, and it is reported only near a context word, as digests look alike.
 
 Defined cases: a null or empty text has no spans; rows are independent, so
 repeated ids and rows give repeated results; a null id stays null; an empty
@@ -22,6 +25,7 @@ from __future__ import annotations
 import re
 from collections.abc import Callable, Iterator
 from functools import partial
+from math import log2
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -31,14 +35,14 @@ from pyspark.sql.types import ArrayType, DoubleType, IntegerType, StringType, St
 from matchlens.llm.rowwise import map_texts
 
 BASE_KINDS = ("email", "ip", "card", "phone")
-KINDS = (*BASE_KINDS, "iban", "ssn")
+KINDS = (*BASE_KINDS, "iban", "ssn", "secret")
 MIN_SCORE = 0.7
 #: Code points on each side in which a context word counts.
 CONTEXT = 48
 
 #: A pattern's own score, what a passed checksum adds, what a context word adds.
-PATTERN_SCORE = {"email": 0.8, "ip": 0.5, "card": 0.3, "phone": 0.5, "iban": 0.3, "ssn": 0.4}
-CHECKSUM_SCORE = {"card": 0.4, "iban": 0.4}
+PATTERN_SCORE = {"email": 0.8, "ip": 0.5, "card": 0.3, "phone": 0.5, "iban": 0.3, "ssn": 0.4, "secret": 0.2}
+CHECKSUM_SCORE = {"card": 0.4, "iban": 0.4, "secret": 0.3}
 CONTEXT_SCORE = 0.3
 
 #: Words that make a kind likelier.
@@ -49,6 +53,7 @@ CONTEXT_WORDS = {
     "phone": ("phone", "tel", "call", "mobile", "fax", "contact"),
     "iban": ("iban", "account", "bank", "konto", "compte", "cuenta"),
     "ssn": ("ssn", "social security", "security number"),
+    "secret": ("token", "secret", "key", "api", "password", "passwd", "pwd", "auth", "credential", "bearer", "jeton", "mot de passe", "clave", "contraseña", "passwort", "kennwort", "schlüssel"),
 }
 
 #: Characters of an account by country.
@@ -70,6 +75,9 @@ _CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 _IBAN = re.compile(r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:[A-Z0-9]{11,30}|(?: [A-Z0-9]{4}){2,7}(?: [A-Z0-9]{1,3})?)(?![A-Za-z0-9])")
 _SSN = re.compile(r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])")
+_ASSIGNED = re.compile(r"""[=:]>?[ \t]{0,3}["'`]?([A-Za-z0-9+/_-]{16,512})={0,2}(?![A-Za-z0-9+/_-])""")
+#: Bits of information a character that random values have at least.
+MIXED = 3.0
 _NOT_DIGIT = re.compile(r"[^0-9]+")
 
 SPANS = ArrayType(
@@ -138,6 +146,16 @@ def _accounts(text: str) -> Iterator[tuple[int, int]]:
             yield found.start(), at
 
 
+def _mixed(value: str) -> bool:
+    """Whether a value has letters and digits, in shares as even as those of random characters."""
+    shares = [value.count(c) / len(value) for c in set(value)]
+    return any(map(str.isdigit, value)) and any(map(str.isalpha, value)) and -sum(p * log2(p) for p in shares) >= MIXED
+
+
+def _secrets(text: str) -> Iterator[tuple[int, int]]:
+    return (found.span(1) for found in _ASSIGNED.finditer(text) if _mixed(found[1]))
+
+
 def score_of(kind: str, text: str, start: int, end: int) -> float:
     """Pattern and checksum score, and more if a word of the kind's context is near."""
     near = f"{text[max(0, start - CONTEXT) : start]} {text[end : end + CONTEXT]}".lower()
@@ -156,6 +174,7 @@ def spans_of(text: str | None) -> list[tuple[str, int, int, float]]:
         "phone": _digits(_PHONE, text, 10, 15, None),
         "iban": _accounts(text),
         "ssn": (m.span() for m in _SSN.finditer(text)),
+        "secret": _secrets(text),
     }
     scored = [(kind, start, end, score_of(kind, text, start, end)) for kind, at in found.items() for start, end in at]
     kept = [s for s in scored if s[0] in BASE_KINDS or s[3] >= MIN_SCORE]
