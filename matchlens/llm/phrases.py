@@ -2,8 +2,8 @@
 
 A phrase that occurs ``support`` times in a language occurs in some shard at least as often as the shard's share of
 the language asks for. So each shard, a stretch of rows of about ``SHARD_BYTES`` that one task holds, is mined
-whole, level by level, at a local support of ``support`` times its share, rounded up. The shards' phrases are united with
-their counts. A shard that does not list a phrase holds it at most its local support less one times, which bounds the whole
+whole, level by level, at a local support of ``support`` times its share, rounded up. The shards' phrases are united as hashes of
+64 bits with their counts. A shard that does not list a phrase holds it at most its local support less one times, which bounds the whole
 count from above; phrases whose bound stays below ``support`` are dropped before anything is counted again. What is left is
 counted in every shard exactly, and kept at ``support``.
 
@@ -85,8 +85,8 @@ def _mixed(state: np.ndarray) -> np.ndarray:
     return out ^ (out >> np.uint64(29))
 
 
-def mine(shard: Shard, longest: int, keep: Keep) -> Iterator[tuple[int, list[str], np.ndarray, np.ndarray]]:
-    """Per length: the phrases that ``keep`` (counts, hashes) takes, their counts and hashes.
+def mine(shard: Shard, longest: int, keep: Keep) -> Iterator[tuple[int, Callable[[], list[str]], np.ndarray, np.ndarray]]:
+    """Per length: the phrases that ``keep`` (counts, hashes) takes, spelled when asked for, their counts and hashes.
 
     A phrase is looked at if what it begins and ends with, a word less, was taken.
     """
@@ -111,7 +111,10 @@ def mine(shard: Shard, longest: int, keep: Keep) -> Iterator[tuple[int, list[str
         which = np.full(len(begins), -1, dtype=np.int32)
         which[taken] = np.arange(np.count_nonzero(taken), dtype=np.int32)
         states, hashes, counts, ends = states[taken], hashes[taken], counts[taken], ends[taken]
-        phrases = [b" ".join([spelled[w] for w in words[e - length + 1 : e + 1].tolist()]).decode() for e in ends.tolist()]
+
+        def phrases(length: int = length, ends: np.ndarray = ends) -> list[str]:
+            return [b" ".join([spelled[w] for w in words[e - length + 1 : e + 1].tolist()]).decode() for e in ends.tolist()]
+
         yield length, phrases, counts, hashes
         classes = np.full(len(words) + 1, -1, dtype=np.int32)
         classes[starts[order]] = np.repeat(which, np.diff(np.append(begins, len(ordered))))
@@ -155,26 +158,24 @@ def _shards(shard_bytes: int, batches: Iterable[pa.RecordBatch]) -> Iterator[dic
         yield held
 
 
-def _rows(lang: str, length: int, phrases: list[str], counts: np.ndarray, more: dict[str, np.ndarray]) -> Iterator[pa.RecordBatch]:
-    for at in range(0, len(phrases), STEP):
-        some = phrases[at : at + STEP]
-        columns = {"lang": pa.array([lang] * len(some), pa.string()), "phrase": pa.array(some, pa.string()), "size": pa.array(np.full(len(some), length, np.int32))}
-        columns |= {name: pa.array(values[at : at + STEP]) for name, values in {"n": counts.astype(np.int64), **more}.items()}
-        yield pa.RecordBatch.from_arrays(list(columns.values()), names=list(columns))
+def _steps(columns: dict[str, pa.Array]) -> Iterator[pa.RecordBatch]:
+    batch = pa.RecordBatch.from_arrays(list(columns.values()), names=list(columns))
+    for at in range(0, batch.num_rows, STEP):
+        yield batch.slice(at, STEP)
 
 
 def _local_rows(support: int, longest: int, shard_bytes: int, batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Locally frequent phrases with what their shard asks for less one; a null phrase has the shard's words."""
+    """Hashes of locally frequent phrases, with how far their counts are above the shard's local support less one.
+
+    A row with a language and no hash has the words of the shard, and in place of a count the local support less one.
+    """
     for shards in _shards(shard_bytes, batches):
         for lang, shard in shards.items():
             least = shard.local_support(support)
-
-            def more(hashes: np.ndarray) -> dict[str, np.ndarray]:
-                return {"less": np.full(len(hashes), least - 1), "hash": hashes.view(np.int64)}
-
-            yield from _rows(lang, 0, [None], np.array([shard.n]), more(np.zeros(1, dtype=np.uint64)))
-            for length, phrases, counts, hashes in mine(shard, longest, lambda n, _: n >= least):
-                yield from _rows(lang, length, phrases, counts, more(hashes))
+            yield from _steps({"lang": pa.array([lang]), "hash": pa.array([None], pa.int64()), "above": pa.array([least - 1]), "words": pa.array([shard.n])})
+            for _, _, counts, hashes in mine(shard, longest, lambda n, _: n >= least):
+                n = len(counts)
+                yield from _steps({"lang": pa.nulls(n, pa.string()), "hash": pa.array(hashes.view(np.int64)), "above": pa.array(counts.astype(np.int64) - (least - 1)), "words": pa.nulls(n, pa.int64())})
 
 
 def _counted_rows(bitmap: bytes, longest: int, shard_bytes: int, batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -187,7 +188,8 @@ def _counted_rows(bitmap: bytes, longest: int, shard_bytes: int, batches: Iterab
     for shards in _shards(shard_bytes, batches):
         for lang, shard in shards.items():
             for length, phrases, counts, _ in mine(shard, longest, marked):
-                yield from _rows(lang, length, phrases, counts, {})
+                n = len(counts)
+                yield from _steps({"lang": pa.array([lang] * n, pa.string()), "phrase": pa.array(phrases(), pa.string()), "size": pa.array(np.full(n, length, np.int32)), "n": pa.array(counts.astype(np.int64))})
 
 
 def _bitmap(candidates: DataFrame) -> bytes:
@@ -218,14 +220,16 @@ def frequent_phrases(df: DataFrame, text: str = "text", lang: str = "lang", supp
     # Tasks of small parts are put together, so that shares, and with them local supports, are not smaller than need be.
     whole = texts.coalesce(max(LEAST_TASKS, -(-total // shard_bytes))).join(sizes, "lang").select("lang", "whole", F.col("text").cast("binary").alias("text"))
 
-    local = kept(whole.mapInArrow(partial(_local_rows, support, longest, shard_bytes), "lang string, phrase string, size int, n long, less long, hash long"), "local")
-    shards = kept(local.where("phrase is null").groupBy("lang").agg(F.sum("n").alias("n"), F.sum("less").alias("all_less")), "languages")
-    united = local.where("phrase is not null").groupBy("lang", "phrase").agg(F.sum("n").alias("listed"), F.sum("less").alias("less"), F.min("hash").alias("hash"))
-    possible = united.join(shards.select("lang", "all_less"), "lang").where(F.col("listed") + F.col("all_less") - F.col("less") >= support)
-    bitmap = _bitmap(possible.select("hash"))
+    local = kept(whole.mapInArrow(partial(_local_rows, support, longest, shard_bytes), "lang string, hash long, above long, words long"), "local")
+    languages = kept(local.where("hash is null").groupBy("lang").agg(F.sum("words").alias("n"), F.sum("above").alias("all_less")), "languages")
+    # A shard that lists a phrase adds its count, another one at most its local support less one: all of these, and what is above them.
+    # Languages share the greatest such sum, and phrases of one hash their counts; both raise the bound only.
+    all_less = languages.agg(F.coalesce(F.max("all_less"), F.lit(0))).scalar()
+    united = local.where("hash is not null").groupBy("hash").agg(F.sum("above").alias("above"))
+    bitmap = _bitmap(united.where(F.col("above") + all_less >= support).select("hash"))
     counted = whole.mapInArrow(partial(_counted_rows, bitmap, longest, shard_bytes), "lang string, phrase string, size int, n long")
     exact = counted.groupBy("lang", "phrase", "size").agg(F.sum("n").alias("n")).where(F.col("n") >= support)
-    return kept(exact, "frequent"), shards.select("lang", "n")
+    return kept(exact, "frequent"), languages.select("lang", "n")
 
 
 def scored(frequent: DataFrame, languages: DataFrame) -> DataFrame:
