@@ -46,6 +46,10 @@ PARTS = re.compile(r" (?=\S)")
 AGREED = re.compile("[^\x00-՗ՙ-֊֍-ࢎ࢐-౛ౝ-೛ೝ-₎ₐ-ₜ₠-ꟍ]")
 #: Entries, and characters and bytes of ids in them, that each of a worker's memories may hold before it starts anew.
 REMEMBERED, REMEMBERED_SIZE = 500_000, 32_000_000
+#: Bytes at the end of a text that tell which lengths its last token can have.
+TAIL = 3
+#: Tokens whose ends are kept at hand.
+SPINES = 4096
 #: Parts and pieces of more characters are not remembered: a text without spaces is one part.
 SHORT = 64
 #: Texts that are encoded together: more of them share more prefixes.
@@ -139,17 +143,12 @@ class Trie:
         for token, (rank, a, b) in sorted(known.parts.items(), key=lambda x: x[1][0]):
             if a in whole and b in whole and self._undisturbed(a, b, rank):
                 whole.add(token)
-        # A trie of the spellings read from their ends: child of (node, byte), and the token whose spelling ends at a node.
-        self.children: dict[int, int] = {}
-        self.token_at = [-1]
-        for token in whole:
-            node = 0
-            for byte in reversed(known.spelled[token]):
-                child = self.children.setdefault(node << 8 | byte, len(self.token_at))
-                if child == len(self.token_at):
-                    self.token_at.append(-1)
-                node = child
-            self.token_at[node] = token
+        self.by_spelling = {known.spelled[t]: t for t in whole}
+        # By the last bytes of a spelling, the lengths that spellings with that end have, the longest first.
+        lengths: dict[bytes, set[int]] = {}
+        for spelling in self.by_spelling:
+            lengths.setdefault(spelling[-TAIL:], set()).add(len(spelling))
+        self.lengths = {tail: tuple(sorted(some, reverse=True)) for tail, some in lengths.items()}
 
     def _spine(self, token: int, side: int) -> list[tuple[int, float]]:
         """The tokens at one end of a token, outermost first, each with the rank of the merge that takes it up."""
@@ -159,6 +158,8 @@ class Trie:
             while (made := self.known.parts.get(inner)) is not None:
                 inner = made[side]
                 known.append((inner, made[0]))
+            if len(self.spines[side - 1]) >= SPINES:
+                self.spines[side - 1].clear()
             self.spines[side - 1][token] = known
         return known
 
@@ -194,7 +195,7 @@ class Trie:
             while depth < most and raw[depth] == path[depth]:
                 depth += 1
             del lasts[depth:]
-            for end in range(depth, len(raw)):
+            for end in range(depth + 1, len(raw) + 1):
                 lasts.append(self._last(raw, end, lasts))
             path = raw
             tokens, end = [], len(raw)
@@ -204,21 +205,24 @@ class Trie:
             out[piece] = tokens[::-1]
         return out
 
+    def candidates(self, raw: bytes, end: int) -> Iterator[int]:
+        """Lengths that the last token of ``raw[:end]`` can have, the longest first: only ends that the text has are looked at."""
+        for size in range(min(TAIL, end), 0, -1):
+            for length in self.lengths.get(raw[end - size : end], ()):
+                if length <= end and (length == size or size == TAIL):
+                    yield length
+
     def _last(self, raw: bytes, end: int, lasts: list[int]) -> int:
-        """The token that ends at byte ``end``; only spellings that end like the text are looked at, the longest first."""
-        child, token_at, fits = self.children.get, self.token_at, self.fits
-        node, found = 0, []
-        for start in range(end, -1, -1):
-            node = child(node << 8 | raw[start])
-            if node is None:
-                break
-            if token_at[node] >= 0:
-                found.append((start, token_at[node]))
-        for start, token in reversed(found):
-            if not start:
+        """The token that ends before byte ``end``."""
+        spelling, fits = self.by_spelling.get, self.fits.get
+        for length in self.candidates(raw, end):
+            token = spelling(raw[end - length : end])
+            if token is None:
+                continue
+            if length == end:
                 return token
-            before = lasts[start - 1]
-            answer = fits.get((before, token))
+            before = lasts[end - length - 1]
+            answer = fits((before, token))
             if answer or answer is None and self.may_follow(before, token):
                 return token
         raise ValueError("the vocabulary lacks a byte")

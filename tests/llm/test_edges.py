@@ -182,17 +182,10 @@ def test_unbroken_texts_equal_the_library_in_like_time():
     for text in unbroken.values():
         ids = library.encode(text, add_special_tokens=False).ids
         assert np.frombuffer(own.encode([text])[0], "<u4").tolist() == ids and count.count(text) == len(ids)
-    looked = own.trie.children
-    steps = 0
-    for raw in (unbroken["letters"].encode(), unbroken["cjk"].encode()):
-        for end in range(2000):
-            node = 0
-            for start in range(end, -1, -1):
-                node = looked.get(node << 8 | raw[start])
-                steps += 1
-                if node is None:
-                    break
-    assert steps / 4000 < 8  # bytes looked at for each byte of the text
+    for name in ("letters", "cjk"):
+        raw = unbroken[name].encode()
+        looked = sum(len(list(own.trie.candidates(raw, end))) for end in range(1, 2000))
+        assert looked / 2000 < 12  # lengths tried for each byte of the text, of up to 128
 
 
 def test_memories_are_bounded_by_size(monkeypatch):
