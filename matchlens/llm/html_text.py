@@ -5,16 +5,21 @@ Boilerplate (menus, headers, footers, sidebars, notices, adverts, forms,
 comments, scripts and the like, told by tag, role, class and id) gives no
 lines. A form, class or id is only a hint: an element that holds most of the
 text outside links, or the only article with as much text as the rest of the page, is no boilerplate,
-and readers' comments are not counted as text for that. A
-line weighs its text outside links. The weights of ``WINDOW``
-lines from each line on are summed: the text starts where the sum surges to
-``SURGE`` and ends where it dives to nothing. Headings and paragraphs of links
+and readers' comments are not counted as text for that. Words such as "ad" mark an element only if the
+rest of their class says no more than where it stands ("ad-slot", not "ad-free-zone").
+
+Every line weighs its text outside links. Tags that name the page's article are a prior for that: if
+its articles hold a fair share of the page's text, their lines with any text outside links weigh ``SURGE`` more
+and lines outside are left out, but for headings in ``main``; else ``main`` is tried likewise. Articles with a small
+share are teasers, as those that are mostly links beside a larger one, and are left out.
+The weights of ``WINDOW`` lines from each line on are summed: the text starts where the sum surges to
+``SURGE`` and ends where it dives to nothing, so that lists of links drop out inside an article too.
+Headings and paragraphs of links
 next to the text belong to it, and so do all headings, paragraphs and lines with
 weight in the elements that hold the text's lines, however short and far from it.
-Where a page names its article
-(``article`` or ``main``), only lines inside it weigh, and all of them do, so
-the surge is at its first line and the dive after its last. Boilerplate is
-never part of the result; nothing else between surge and dive is left out.
+Boilerplate is
+never part of the result; nothing else between surge and dive is left out. An article of
+links alone is taken whole.
 
 Defined cases: a null or empty page has the empty text, as a page of nothing
 but boilerplate has; unclosed and stray tags are taken as browsers take them,
@@ -39,6 +44,8 @@ from matchlens.llm.rowwise import map_texts
 #: Lines in a block, and the characters in one at which text starts.
 WINDOW = 3
 SURGE = 80
+#: Articles with less than one part in so many of what is around them announce other pages; hinted text counts that much less again.
+SHARE = 4
 
 _TAG = re.compile(
     r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(?P<close>/?)(?P<name>[A-Za-z][A-Za-z0-9:-]*)(?P<rest>(?:[^>\"']+|\"[^\"]*\"|'[^']*')*+[^>]*)(?:>|\Z)",
@@ -62,11 +69,17 @@ ROLES = frozenset("navigation banner contentinfo complementary search form dialo
 
 #: Words in a class or id that mark boilerplate, and those that mark readers' comments.
 HINTS = frozenset(
-    "ad ads adbox adslot adsense advert adverts advertisement advertising banner breadcrumb breadcrumbs consent cookie cookies footer gdpr login masthead menu modal nav navbar "
-    "navigation newsletter notice notices pager pagination popup promo promoted promotion recommended related search share sharing sidebar signup social sponsor sponsored "
-    "subscribe subscription toolbar topbar widget".split()
+    "adbox adslot adsense advert adverts advertisement advertising breadcrumb breadcrumbs cookie cookies footer gdpr login masthead modal nav navbar "
+    "navigation newsletter pager pagination popup promoted recommended sidebar signup sponsor sponsored subscribe subscription toolbar topbar".split()
 )
-COMMENTS = frozenset("comment comments commentlist commentary disqus respond reply replies".split())
+COMMENTS = frozenset("comment comments commentlist disqus respond reply replies".split())
+#: Words that mark boilerplate only among words that say where an element stands, those words, and those that say the opposite.
+PARTIAL = frozenset("ad ads banner consent menu notice notices promo promotion related search share sharing social widget".split())
+PLACES = frozenset(
+    "area articles aside bar block body bottom box button buttons center container content end fixed floating footer form group head header holder icons inline inner item items label "
+    "left links list main media middle mobile more news panel post posts right row section side site slot small stories sticky text title tools top unit wrap wrapper".split()
+)
+CONTRARY = frozenset("has with without no free enabled disabled".split())
 _OPEN_ALWAYS = frozenset(("html", "body", "main"))
 
 
@@ -74,6 +87,14 @@ _OPEN_ALWAYS = frozenset(("html", "body", "main"))
 NONE, HINT, COMMENT, CERTAIN = range(4)
 
 
+def _hinted(token: str) -> bool:
+    """Whether one class or id marks boilerplate."""
+    words = {w.lower() for w in _WORD.findall(token) if len(w) > 1}
+    if words & CONTRARY:
+        return False
+    return bool(words & HINTS) or bool(words & PARTIAL and words <= PARTIAL | PLACES) or ("header" in words and words <= {"header", "site", "page", "top", "head"})
+
+
 def _marked(name: str, rest: str) -> int:
     """How a tag or its attributes mark it as boilerplate."""
     if name in BOILERPLATE or name == "header":
@@ -88,10 +109,9 @@ def _marked(name: str, rest: str) -> int:
         if key == "hidden" or (key == "style" and "display:none" in value.replace(" ", "").lower()) or (key == "aria-hidden" and value.lower() == "true"):
             return CERTAIN
         if key in ("class", "id"):
-            words = {w.lower() for w in _WORD.findall(value)}
-            if words & COMMENTS:
+            if any(w.lower() in COMMENTS for w in _WORD.findall(value)):
                 found = COMMENT
-            elif name not in ARTICLE and (words & HINTS or (words and words <= {"header", "site", "page", "top", "head"} and "header" in words)):
+            elif name not in ARTICLE and any(map(_hinted, value.split())):
                 found = max(found, HINT)
     return found
 
@@ -108,11 +128,22 @@ class _Hinted:
     dropped: bool = True
 
 
+@dataclass(eq=False)
+class _Named:
+    """An article that no other article holds, or a ``main`` that nothing named holds."""
+
+    name: str
+    in_main: bool
+    hint: "_Hinted | None"
+    plain: int = 0  # characters outside links, hints and comments left out
+    linked: int = 0  # those in links
+
+
 @dataclass
 class _Line:
     parts: list[tuple[str, int, "_Hinted | None"]]  # text, characters outside links, the innermost hint
-    inside: bool  # an article
-    joins: bool  # a heading or paragraph
+    inside: "_Named | None"
+    joins: str  # the tag of a heading or paragraph
     container: int
 
 
@@ -121,13 +152,15 @@ class _Page:
 
     def __init__(self) -> None:
         self.lines: list[_Line] = []
-        self.open: list[tuple[str, bool, _Hinted | None, int]] = []  # names, whether they are boilerplate, the hint before, numbers
+        # Names, whether they are boilerplate, the hint and the named element before, numbers.
+        self.open: list[tuple[str, bool, _Hinted | None, _Named | None, int]] = []
         self.counts: dict[str, int] = {}
         self.blocks: list[int] = []  # where in ``open`` the block-level ones are
-        self.hidden = self.articles = self.links = self.made = 0
+        self.hidden = self.links = self.made = 0
+        self.named: _Named | None = None
         self.hint: _Hinted | None = None
         self.hints: list[_Hinted] = []  # outer ones first
-        self.article_hints: list[_Hinted | None] = []  # of each article that is not certainly hidden
+        self.all_named: list[_Named] = []  # those that are not certainly hidden
         self.parts: list[tuple[str, int, _Hinted | None]] = []
 
     def text(self, raw: str) -> None:
@@ -138,15 +171,15 @@ class _Page:
 
     def _headed(self) -> bool:
         """A heading in an article's own header belongs to the article."""
-        return self.articles > 0 and self.hidden == 1 and self.counts.get("header", 0) == 1 and any(self.counts.get(h) for h in HEADING)
+        return self.named is not None and self.hidden == 1 and self.counts.get("header", 0) == 1 and any(self.counts.get(h) for h in HEADING)
 
     def line(self) -> None:
         if any(not part.isspace() for part, _, _ in self.parts):
-            name, _, _, number = self.open[self.blocks[-1]] if self.blocks else ("", False, None, 0)
-            joins = name == "p" or name in HEADING
+            name, number = (self.open[self.blocks[-1]][0], self.open[self.blocks[-1]][-1]) if self.blocks else ("", 0)
+            joins = name if name == "p" or name in HEADING else ""
             if joins:
-                number = self.open[self.blocks[-2]][3] if len(self.blocks) > 1 else 0
-            self.lines.append(_Line(self.parts, self.articles > 0, joins, number))
+                number = self.open[self.blocks[-2]][-1] if len(self.blocks) > 1 else 0
+            self.lines.append(_Line(self.parts, self.named, joins, number))
         self.parts = []
 
     def start(self, name: str, rest: str) -> None:
@@ -160,17 +193,16 @@ class _Page:
         if name not in INLINE:
             self.blocks.append(len(self.open))
         self.made += 1
-        self.open.append((name, mark == CERTAIN, self.hint, self.made))
+        self.open.append((name, mark == CERTAIN, self.hint, self.named, self.made))
         self.counts[name] = self.counts.get(name, 0) + 1
         self.hidden += mark == CERTAIN
         if mark in (HINT, COMMENT):
             self.hint = _Hinted(self.hint, mark == COMMENT or (self.hint is not None and self.hint.comment))
             self.hints.append(self.hint)
         self.links += name == "a"
-        if name in ARTICLE:
-            self.articles += 1
-            if not self.hidden:
-                self.article_hints.append(self.hint)
+        if name in ARTICLE and not self.hidden and (self.named is None or (name, self.named.name) == ("article", "main")):
+            self.named = _Named(name, self.named is not None, self.hint)
+            self.all_named.append(self.named)
 
     def end(self, name: str) -> None:
         if name not in INLINE:
@@ -184,31 +216,68 @@ class _Page:
             self._cut(at)
 
     def _cut(self, at: int) -> None:
-        self.hint = self.open[at][2]
-        for name, marked, _, _ in self.open[at:]:
+        _, _, self.hint, self.named, _ = self.open[at]
+        for name, marked, _, _, _ in self.open[at:]:
             self.counts[name] -= 1
             self.hidden -= marked
             self.links -= name == "a"
-            self.articles -= name in ARTICLE
         del self.open[at:]
         while self.blocks and self.blocks[-1] >= at:
             self.blocks.pop()
 
 
-def _decide(page: _Page) -> bool:
-    """Say which hinted elements are boilerplate, and whether the page names its article."""
-    named = any(hint is None for hint in page.article_hints)
+def _level(page: _Page) -> tuple[str, ...]:
+    """The tags that name the page's article: by the share of its text, hinted parts of which count little."""
+    known: dict[str, int] = {"article": 0, "main": 0, "rest": 0, "hinted": 0}
+    for line in page.lines:
+        own, within = line.inside, line.inside.hint if line.inside else None
+        for part, plain, hint in line.parts:
+            if hint is not None and hint.comment:
+                continue
+            if hint is not within:
+                known["hinted"] += plain if own is None else 0
+                continue
+            known[own.name if own else "rest"] += plain
+            if own:
+                own.plain += plain
+                own.linked += len(part.strip()) - plain
+    has = {named.name for named in page.all_named if named.hint is None or not named.hint.comment}
+    around = SHARE**2 * known["rest"] + known["hinted"]
+    if "article" in has and (not (known["main"] or known["rest"]) or (known["article"] >= known["main"] and SHARE**3 * known["article"] >= around)):
+        return ("article",)
+    if "main" in has and (not known["rest"] or SHARE**3 * (known["main"] + known["article"]) >= around):
+        return ("article", "main")
+    return ()
+
+
+def _teasers(page: _Page, tags: tuple[str, ...]) -> set[_Named]:
+    """Articles that only announce others: a small share of the text, or mostly links beside a larger one."""
+    articles = [named for named in page.all_named if named.name == "article"]
+    if tags == ("article",):
+        most = max(named.plain for named in articles)
+        return {named for named in articles if named.plain < most and named.linked > named.plain}
+    most = sum(named.plain for named in page.all_named if named.name == "main") if tags else 0
+    return {named for named in articles if not tags or not named.in_main or SHARE * named.plain < most}
+
+
+def _decide(page: _Page) -> tuple[tuple[str, ...], set[_Named]]:
+    """Say which hinted elements are boilerplate, which tags name the page's article, and which articles are teasers."""
+    tags = _level(page)
+    teasers = _teasers(page, tags)
+    own = [named for named in page.all_named if named.name in tags and named not in teasers]
+    free = any(named.hint is None for named in own)
     total = 0
     for line in page.lines:
-        for _, plain, hint in line.parts if line.inside or not named else ():
+        inside = line.inside is not None and line.inside.name in tags
+        for _, plain, hint in line.parts if inside or not free else ():
             if hint is None or not hint.comment:
                 total += plain
                 if hint is not None:
                     hint.plain += plain
-                    hint.article += plain if line.inside else 0
-    for hint in page.article_hints:
-        if hint is not None:
-            hint.holds_article = not named
+                    hint.article += plain if inside else 0
+    for named in own:
+        if named.hint is not None:
+            named.hint.holds_article = not free
     for hint in reversed(page.hints):
         if hint.outer is not None:
             hint.outer.plain += hint.plain
@@ -217,11 +286,11 @@ def _decide(page: _Page) -> bool:
     for hint in page.hints:
         main = 2 * hint.plain > total or (hint.holds_article and hint.article and hint.article >= total - hint.plain)
         hint.dropped = hint.comment or not main or (hint.outer is not None and hint.outer.dropped)
-    return any(hint is None or not hint.dropped for hint in page.article_hints)
+    return (tags if any(named.hint is None or not named.hint.dropped for named in own) else ()), teasers
 
 
-def lines_of(html: str) -> tuple[list[tuple[str, int, bool, bool, int]], bool]:
-    """Lines of a page (text, characters outside links, inside an article, joins, container), and whether it names its article."""
+def lines_of(html: str) -> list[tuple[str, int, bool, int]]:
+    """Lines of a page that may be text: the text, its weight, whether it joins text beside it, its container."""
     page, at, lower = _Page(), 0, None
     while found := _TAG.search(html, at):
         page.text(html[at : found.start()])
@@ -241,13 +310,23 @@ def lines_of(html: str) -> tuple[list[tuple[str, int, bool, bool, int]], bool]:
                 break
     page.text(html[at:])
     page.line()
-    article = _decide(page)
+    tags, teasers = _decide(page)
     lines = []
     for line in page.lines:
+        own, title = line.inside, False
+        if own in teasers:
+            continue
+        if tags and (own is None or own.name not in tags):
+            title = own is not None and line.joins in HEADING  # in ``main``, around the article
+            if not title:
+                continue
         parts = [(part, plain) for part, plain, hint in line.parts if hint is None or not hint.dropped]
         if joined := " ".join("".join(part for part, _ in parts).split()):
-            lines.append((joined, sum(plain for _, plain in parts), line.inside, line.joins, line.container))
-    return lines, article
+            weight = 0 if title else sum(plain for _, plain in parts)
+            lines.append((joined, weight + SURGE * bool(tags and weight), bool(line.joins), line.container))
+    if tags and not any(weight for _, weight, _, _ in lines):
+        lines = [(text, SURGE, joins, container) for text, _, joins, container in lines]
+    return lines
 
 
 def between_surge_and_dive(weights: list[int], surge: int) -> list[tuple[int, int]]:
@@ -276,20 +355,18 @@ def between_surge_and_dive(weights: list[int], surge: int) -> list[tuple[int, in
 
 def main_text(html: str | None) -> str:
     """The lines between surge and dive, joined by one space."""
-    lines, article = lines_of(html or "")
-    if article:
-        return " ".join(text for text, _, inside, _, _ in lines if inside)
-    weights = [plain for _, plain, _, _, _ in lines]
+    lines = lines_of(html or "")
+    weights = [weight for _, weight, _, _ in lines]
     most = max((sum(weights[i : i + WINDOW]) for i in range(len(weights))), default=0)
     chosen = [False] * len(lines)
     for a, b in between_surge_and_dive(weights, max(1, min(SURGE, most))):
-        while a and lines[a - 1][3]:
+        while a and lines[a - 1][2] and not chosen[a - 1]:
             a -= 1
-        while b < len(lines) and lines[b][3] and not chosen[b]:
+        while b < len(lines) and lines[b][2] and not chosen[b]:
             b += 1
         chosen[a:b] = [True] * (b - a)
-    homes = {line[4] for line, own in zip(lines, chosen) if own and line[1]}
-    return " ".join(line[0] for line, own in zip(lines, chosen) if own or (line[4] in homes and (line[1] or line[3])))
+    homes = {container for (_, weight, _, container), own in zip(lines, chosen) if own and weight}
+    return " ".join(text for (text, weight, joins, container), own in zip(lines, chosen) if own or (container in homes and (weight or joins)))
 
 
 FIELDS = StructType([StructField("text", StringType()), StructField("n_chars", LongType())])
