@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, IntegerType, LongType, StringType, StructField, StructType
 
-from matchlens.llm.rowwise import STEP
+from matchlens.llm.rowwise import STEP, bound_batches
 
 assert sys.byteorder == "little" and array("I").itemsize == 4
 
@@ -52,8 +52,8 @@ TAIL = 3
 SPINES = 4096
 #: Parts and pieces of more characters are not remembered: a text without spaces is one part.
 SHORT = 64
-#: Texts that are encoded together: more of them share more prefixes.
-TOGETHER = 1024
+#: Texts that are encoded together: more of them share more prefixes, and take more memory.
+TOGETHER = 128
 
 
 def default_path() -> str:
@@ -302,6 +302,7 @@ def _encode_rows(path: str, batches: Iterable[pa.RecordBatch]) -> Iterator[pa.Re
 
 def encode(df: DataFrame, key: str = "doc_id", text: str = "text", path: str | None = None) -> DataFrame:
     """``key`` and ``ids`` (array of int) for every row."""
+    bound_batches(df.sparkSession)
     source = df.select(F.col(f"`{key}`").alias("key"), F.col(f"`{text}`").cast("string").alias("text"))
     schema = StructType([StructField("key", df.schema[key].dataType), StructField("ids", ArrayType(IntegerType()))])
     return source.mapInArrow(partial(_encode_rows, path or default_path()), schema).withColumnRenamed("key", key)
@@ -318,6 +319,7 @@ def _decode_rows(path: str, batches: Iterable[pa.RecordBatch]) -> Iterator[pa.Re
 
 def decode(df: DataFrame, key: str = "doc_id", ids: str = "ids", path: str | None = None) -> DataFrame:
     """``key`` and ``text`` for every row; null ids decode to the empty text."""
+    bound_batches(df.sparkSession)
     source = df.select(F.col(f"`{key}`").alias("key"), F.col(f"`{ids}`").cast("array<int>").alias("ids"))
     schema = StructType([StructField("key", df.schema[key].dataType), StructField("text", StringType())])
     return source.mapInArrow(partial(_decode_rows, path or default_path()), schema).withColumnRenamed("key", key)
@@ -353,6 +355,7 @@ def round_trip(df: DataFrame, key: str = "doc_id", text: str = "text", path: str
 
     Encoding and decoding happen in one pass, so that ids need not be moved.
     """
+    bound_batches(df.sparkSession)
     source = df.select(F.col(f"`{key}`").alias("key"), F.col(f"`{text}`").cast("string").alias("text"))
     more = [StructField("ids", ArrayType(IntegerType()))] if with_ids else []
     schema = StructType([StructField("key", df.schema[key].dataType), *ROUND_TRIP.fields, *more])

@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 from pyspark.sql.types import BooleanType, DoubleType, LongType, StructField, StructType
 
-from matchlens.llm.rowwise import STEP
+from matchlens.llm.rowwise import STEP, bound_batches
 from matchlens.session import work_folder
 
 MIN_WORDS = 10
@@ -222,6 +222,7 @@ def references(df: DataFrame, text: str = "text", lang: str = "lang", source: st
     Every task adds up its rows; what reaches the driver is some thousand
     counts for each listed language, however large the table.
     """
+    bound_batches(df.sparkSession)
     origin = F.col(f"`{source}`").cast("string") if source in df.columns else F.lit(None).cast("string")
     rows = df.select(F.col(f"`{text}`").cast("string").alias("text"), F.col(f"`{lang}`").cast("string").alias("lang"), origin.alias("source"))
     binned = _by_language(rows, _class_bins, dict.fromkeys(WIDTH, len(CLASSES) * BINS))

@@ -11,13 +11,23 @@ from collections.abc import Callable, Iterable, Iterator
 from functools import partial
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 from pyspark.sql.types import StructField, StructType
 
 #: Rows that are Python objects at a time.
 STEP = 256
+#: Bytes of rows that go to a worker at a time: by rows alone, a batch grows with its texts.
+BATCH = 8 << 20
+_LIMIT = "spark.sql.execution.arrow.maxBytesPerBatch"
+
+
+def bound_batches(spark: SparkSession) -> None:
+    """Have the session send batches of at most ``BATCH`` bytes, or one row, unless its limit is lower or has been set in units."""
+    now = spark.conf.get(_LIMIT).removesuffix("b")
+    if now.lstrip("-").isdigit() and not 0 < int(now) <= BATCH:
+        spark.conf.set(_LIMIT, str(BATCH))
 
 
 def map_texts(df: DataFrame, key: str, text: str, fields: StructType, maker: Callable[[], Callable]) -> DataFrame:
