@@ -2,30 +2,36 @@
 
 A node with ``k`` shards is cut at the weighted quantile of its ``k // 2``
 along the dimension in which its rows spread widest, relative to all rows,
-until every leaf is one shard. The shards hold like rows, and equal bytes up to
-the last row or two.
-
-The quantile is exact to the bit of a row's key. A key is the coordinate in the
-node's dimension, then bits of the text's checksum, then bits of the id, so
-rows of one value, such as a source with a third of all rows, are cut like any
-others, and equal texts stay together unless a cut falls among them. It is
-found by counting bytes in ``2 ** BIN_BITS`` bins, and again in the bin where the
-quantile falls. Such a histogram is combined before its shuffle and has at
-most shards times as many rows; what reaches the driver is one row per node.
-
-Slots are numbered in parts: rows are dealt by id to parts of about
+until every leaf is one shard.
+
+The tree is grown over cells, not rows. A cell is what agrees in all coordinates and in
+as many leading bits of a tail as its weight asks for, so that a cell holds about
+``1 / FINE`` of a shard, or one row. The tail is made of bits of the text's checksum, then of a hash of
+the row, so rows of one value, such as a source with a third of all rows, are
+cut like any others, and equal texts stay together unless a cut falls among them. Cells are
+at most as many as rows, and some ``FINE`` for each shard where rows are many
+and their coordinates few. A cut is exact to a cell.
+
+Everything about a level stays in written tables: the histograms of all open
+nodes in all dimensions, taken in one pass over the cells; the tails of the cells at the
+crossing coordinates; the cuts, a row for each node. A cell carries its node as the first shard and the number
+of shards. Windows run over one digit of a key in one node, which is
+at most ``2 ** COORDINATE_BITS`` rows. Nothing grows in the plan with the number of shards,
+and the driver sees the total, the spans of the dimensions and the rows of the largest shard only.
+
+Slots are numbered in parts: rows are dealt by a hash to parts of about
 ``PART_ROWS``, numbered inside a part, and moved by the counts before it.
 
 Defined cases: a null text has no bytes and checksum 0; null metadata counts as
 0 or the empty text; rows that agree in id, size, checksum and metadata are
-counted first and given out last, so a repeated row is no hot key; with fewer rows than
-shards some shards stay empty; an empty table gives an empty one; other columns
-are not read, and those of the result cannot clash with them.
+counted for each part of the input, in bunches of at most a cell, and given out last, so a repeated row is no hot key and
+cuts fall among its copies; with fewer rows than shards some shards stay empty; an empty table gives an
+empty one; other columns are not read, and those of the result cannot clash
+with them.
 """
 
 from __future__ import annotations
 
-from dataclasses import dataclass
 from uuid import uuid4
 
 from pyspark.sql import Column, DataFrame, Window
@@ -34,101 +40,133 @@ from pyspark.sql import functions as F
 from matchlens.session import work_folder
 
 OVERHEAD = 16
-COORDINATE_BITS, CHECKSUM_BITS, ID_BITS = 18, 18, 18
-BIN_BITS = 15
+COORDINATE_BITS, DIGIT_BITS = 18, 16
+#: Steps of a number for each time it doubles.
+STEPS = 16
+#: Cells that a shard is made of, at least, where rows allow it.
+FINE = 1024
 PART_ROWS = 20_000
 
 
-@dataclass
-class Node:
-    """A set of rows, the shards it becomes, and how it is cut."""
-
-    first: int
-    shards: int
-    dimension: int = 0
-    cut: int | None = None
-    low: "Node | None" = None
-    high: "Node | None" = None
-
-
 def _coordinate(df: DataFrame, name: str) -> Column:
     """A metadata column as a number of ``COORDINATE_BITS``: numbers on a log scale, texts by hash."""
-    size = 1 << COORDINATE_BITS
     if df.schema[name].dataType.typeName() in ("byte", "short", "integer", "long", "float", "double", "decimal"):
-        magnitude = F.log2(1 + F.abs(F.coalesce(F.col(f"`{name}`").cast("double"), F.lit(0.0)))) * (size // 64)
-        return F.least(magnitude.cast("long"), F.lit(size - 1))
-    return F.pmod(F.xxhash64(F.coalesce(F.col(f"`{name}`").cast("string"), F.lit(""))), F.lit(size)).cast("long")
-
-
-def _keys(dimensions: int) -> Column:
-    """The key of a row in each dimension."""
-    checksum = F.shiftright(F.col("text_crc32"), 32 - CHECKSUM_BITS)
-    row = F.pmod(F.xxhash64("row_id", "text_crc32"), F.lit(1 << ID_BITS)).cast("long")
-    tail = checksum * (1 << ID_BITS) + row
-    return F.array(*(F.col(f"c{d}") * (1 << (CHECKSUM_BITS + ID_BITS)) + tail for d in range(dimensions)))
-
-
-def _leaf_of(node: Node) -> Column:
-    """The first shard of the deepest node of the tree so far that holds a row."""
-    if node.low is None:
-        return F.lit(node.first)
-    key = F.get("keys", F.lit(node.dimension))
-    return F.when(key < node.cut, _leaf_of(node.low)).otherwise(_leaf_of(node.high))
-
-
-def _of_node(values: dict[int, int]) -> Column:
-    """A number given for each node, by the node's first shard."""
-    pairs = [F.lit(x) for node, value in values.items() for x in (node, value)]
-    return F.create_map(*pairs)[F.col("node")]
-
-
-def _cuts(rows: DataFrame, nodes: list[Node], totals: dict[int, int]) -> None:
-    """Set the cut of every node: the least key with its low shards' part of the bytes before it."""
-    here = {n.first: n for n in nodes}
-    low, before = dict.fromkeys(here, 0), dict.fromkeys(here, 0)
-    target = {n.first: totals[n.first] * (n.shards // 2) // n.shards for n in nodes}
-    keyed = rows.filter(F.col("node").isin(list(here))).withColumn("key", F.get("keys", _of_node({n.first: n.dimension for n in nodes})))
-    bits = COORDINATE_BITS + CHECKSUM_BITS + ID_BITS
-    while bits:
-        shift = max(0, bits - BIN_BITS)
-        offset = F.col("key") - _of_node(low)
-        bins = keyed.filter((offset >= 0) & (offset < (1 << bits))).withColumn("bin", F.shiftright(offset, shift))
-        sums = bins.groupBy("node", "bin").agg(F.sum("bytes").alias("bytes"))
-        so_far = F.sum("bytes").over(Window.partitionBy("node").orderBy("bin"))
-        crossed = sums.withColumn("so_far", so_far + _of_node(before)).filter(F.col("so_far") >= _of_node(target))
-        for found in crossed.groupBy("node").agg(F.min(F.struct("bin", "so_far", "bytes")).alias("hit")).collect():
-            n, hit = found["node"], found["hit"]
-            low[n] += hit["bin"] << shift
-            before[n] = hit["so_far"] - hit["bytes"]
-        bits = shift
-    for n, node in here.items():
-        node.cut = low[n] + 1  # the row that reaches the target still belongs to the low side
-
-
-def plan(rows: DataFrame, shards: int, dimensions: int) -> Node:
-    """The tree over rows with ``keys``, ``c0``.. and ``bytes``."""
-    root = Node(0, shards)
-    leaves, widest = [root], None
-    while open_nodes := [n for n in leaves if n.shards > 1]:
-        placed = rows.withColumn("node", _leaf_of(root))
-        spans = [F.max(f"c{d}") - F.min(f"c{d}") for d in range(dimensions)]
-        measured = placed.groupBy("node").agg(F.sum("bytes").alias("bytes"), F.array(*spans).alias("spans")).collect()
-        totals = {m["node"]: m["bytes"] for m in measured}
-        spread = {m["node"]: m["spans"] for m in measured}
-        widest = widest or [max(1, s) for s in spread.get(0, [1] * dimensions)]
-        for node in open_nodes:
-            own = spread.get(node.first, [0] * dimensions)
-            node.dimension = max(range(dimensions), key=lambda d: own[d] / widest[d])
-        filled = [n for n in open_nodes if totals.get(n.first)]
-        if filled:
-            _cuts(placed, filled, totals)
-        leaves = [n for n in leaves if n.shards == 1]
-        for node in open_nodes:
-            node.cut = 0 if node.cut is None else node.cut
-            half = node.shards // 2
-            node.low, node.high = Node(node.first, half), Node(node.first + half, node.shards - half)
-            leaves += [node.low, node.high]
-    return root
+        magnitude = F.log2(1 + F.abs(F.coalesce(F.col(f"`{name}`").cast("double"), F.lit(0.0)))) * STEPS
+        return F.least(magnitude.cast("long"), F.lit((1 << COORDINATE_BITS) - 1))
+    return F.pmod(F.xxhash64(F.coalesce(F.col(f"`{name}`").cast("string"), F.lit(""))), F.lit(1 << COORDINATE_BITS)).cast("long")
+
+
+class _Tables:
+    """Tables of one run in the shared folder."""
+
+    def __init__(self, df: DataFrame):
+        self.spark = df.sparkSession
+        self.folder = f"{work_folder(self.spark)}/shards-{uuid4().hex}"
+
+    def written(self, df: DataFrame, name: str) -> DataFrame:
+        df.write.parquet(f"{self.folder}/{name}")
+        return self.spark.read.schema(df.schema).parquet(f"{self.folder}/{name}")
+
+
+def _bits(weight: Column, grain: int, most: int) -> Column:
+    """Bits that deal a weight to cells of ``grain``."""
+    return F.least(F.lit(most), F.greatest(F.lit(0), F.ceil(F.log2(weight / F.lit(float(grain)))))).cast("int")
+
+
+def _leading(number: Column, size: int, bits: Column) -> Column:
+    """A number of ``size`` bits without all but its first ``bits``."""
+    unit = F.pow(F.lit(2.0), F.lit(size) - bits).cast("long")
+    return number - number % unit
+
+
+def _cells(rows: DataFrame, tables: _Tables, places: list[str], grain: int) -> DataFrame:
+    """Rows in bunches of at most a cell's weight, with the ``tail`` of their cell."""
+    bunch = F.greatest(F.lit(1).cast("long"), F.floor(F.lit(grain) / F.col("size")))
+    dealt = (
+        rows.withColumn("bunch", bunch)
+        .withColumn("at", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("copies") - 1) / F.col("bunch")))))
+        .withColumn("copies", F.least(F.col("bunch"), F.col("copies") - F.col("at") * F.col("bunch")))
+        .withColumn("bytes", F.col("size") * F.col("copies"))
+        .withColumn("checksum", F.shiftright(F.col("text_crc32"), 32 - DIGIT_BITS))
+        .withColumn("row", F.pmod(F.xxhash64("row_id", "text_crc32", "part", "at"), F.lit(1 << (2 * DIGIT_BITS))))
+    )
+    sums = tables.written(dealt.groupBy(*places, "checksum").agg(F.sum("bytes").alias("bytes")), "sums")
+    weights = sums.groupBy(places).agg(F.sum("bytes").alias("weight"))
+    bits = weights.select(*places, _bits(F.col("weight"), grain, DIGIT_BITS).alias("bits"))
+    led = sums.join(bits, places).withColumn("led", _leading(F.col("checksum"), DIGIT_BITS, F.col("bits")))
+    # What some bits of the checksum leave heavy, such as one text of many rows, is dealt by the row's hash.
+    finer = led.groupBy(*places, "led").agg(_bits(F.sum("bytes"), grain, 2 * DIGIT_BITS).alias("finer"))
+    dealing = tables.written(led.join(finer, [*places, "led"]).select(*places, "checksum", "led", "finer"), "dealing")
+    tail = F.col("led") * (1 << (2 * DIGIT_BITS)) + _leading(F.col("row"), 2 * DIGIT_BITS, F.col("finer"))
+    kept = ["row_id", "size", "text_crc32", "part", "at", "copies", "bytes", *places]
+    return tables.written(dealt.join(dealing, [*places, "checksum"]).select(*kept, tail.alias("tail")), "rows")
+
+
+def _crossing(sums: DataFrame, digit: str) -> DataFrame:
+    """For every node, the least ``digit`` by which ``need`` bytes are reached, and what is needed within it."""
+    so_far = F.sum("bytes").over(Window.partitionBy("first").orderBy(digit))
+    reached = sums.withColumn("so_far", so_far).filter(F.col("so_far") >= F.col("need"))
+    hit = reached.groupBy("first").agg(F.min(F.struct(digit, (F.col("need") - F.col("so_far") + F.col("bytes")).alias("need"))).alias("hit"))
+    return hit.select("first", "hit.*")
+
+
+def _crossed_coordinates(sums: DataFrame, widest: list[int]) -> DataFrame:
+    """Every node's widest dimension, the coordinate at which its low shards' part of the bytes ends, and the bytes needed there."""
+    spans = sums.groupBy("first", "shards", "dimension").agg((F.max("coordinate") - F.min("coordinate")).alias("span"), F.sum("bytes").alias("total"))
+    share = F.col("span") / F.get(F.array(*(F.lit(float(w)) for w in widest)), F.col("dimension"))
+    nodes = spans.groupBy("first", "shards").agg(F.max(F.struct(share.alias("share"), (-F.col("dimension")).alias("rank"))).alias("best"), F.max("total").alias("total"))
+    half, rest = F.floor(F.col("shards") / 2), F.col("total") % F.col("shards")
+    need = (F.col("total") - rest) / F.col("shards") * half + rest * half / F.col("shards")
+    chosen = nodes.select("first", "shards", (-F.col("best")["rank"]).alias("dimension"), F.floor(need).alias("need"))
+    found = _crossing(sums.join(chosen, ["first", "shards", "dimension"]), "coordinate")
+    return chosen.drop("need").join(found, "first")
+
+
+def _crossed_tails(tails: DataFrame, nodes: DataFrame) -> DataFrame:
+    """The tail of the last cell on the low side of every node, digit by digit."""
+    found = nodes.select("first", "need")
+    digits = ["d0", "d1", "d2"]
+    for n, digit in enumerate(digits):
+        here = tails.join(found, ["first", *digits[:n]])
+        hit = _crossing(here.groupBy("first", digit, "need").agg(F.sum("bytes").alias("bytes")), digit)
+        found = hit if n == 0 else found.drop("need").join(hit, "first")
+    size = 1 << DIGIT_BITS
+    return found.select("first", ((F.col("d0") * size + F.col("d1")) * size + F.col("d2")).alias("cut_tail"))
+
+
+def grow(cells: DataFrame, tables: _Tables, places: list[str], shards: int) -> DataFrame:
+    """``first``, the shard, of every cell of ``places``, ``tail`` and ``bytes``."""
+    cells = cells.withColumns({"first": F.lit(0), "shards": F.lit(shards)})
+    own = F.get(F.array(*places), F.col("dimension"))
+    widest = None
+    for level in range((shards - 1).bit_length()):
+        still = cells.filter(F.col("shards") > 1)
+        in_each = still.select("first", "shards", "bytes", F.posexplode(F.array(*places)).alias("dimension", "coordinate"))
+        sums = in_each.groupBy("first", "shards", "dimension", "coordinate").agg(F.sum("bytes").alias("bytes"))
+        sums = tables.written(sums, f"{level}-sums")
+        if widest is None:
+            spans = sums.groupBy("dimension").agg((F.max("coordinate") - F.min("coordinate")).alias("span")).collect()
+            widest = [max([1, *(s["span"] for s in spans if s["dimension"] == d)]) for d in range(len(places))]
+        nodes = tables.written(_crossed_coordinates(sums, widest), f"{level}-nodes")
+
+        size = 1 << DIGIT_BITS
+        digits = [F.shiftright(F.col("tail"), DIGIT_BITS * (2 - n)) % size for n in range(3)]
+        at_cut = still.join(nodes.drop("shards"), "first").filter(own == F.col("coordinate"))
+        tails = at_cut.select("first", "bytes", *(d.alias(f"d{n}") for n, d in enumerate(digits))).groupBy("first", "d0", "d1", "d2")
+        tails = tables.written(tails.agg(F.sum("bytes").alias("bytes")), f"{level}-tails")
+        cuts = tables.written(nodes.drop("shards", "need").join(_crossed_tails(tails, nodes), "first"), f"{level}-cuts")
+
+        half = F.floor(F.col("shards") / 2).cast("int")
+        high = (own > F.col("coordinate")) | ((own == F.col("coordinate")) & (F.col("tail") > F.col("cut_tail")))
+        moved = cells.join(cuts, "first", "left").withColumn("high", F.coalesce((F.col("shards") > 1) & high, F.lit(False)))
+        low = F.greatest(F.lit(1), half)
+        cells = moved.select(
+            F.when(F.col("high"), F.col("first") + half).otherwise(F.col("first")).alias("first"),
+            F.when(F.col("high"), F.col("shards") - half).otherwise(low).alias("shards"),
+            *places, "tail", "bytes",
+        )
+        cells = tables.written(cells, f"{level}-cells")
+    return cells.select(*places, "tail", F.col("first").alias("shard"))
 
 
 def shard(
@@ -139,32 +177,36 @@ def shard(
     Give the number of shards, or the bytes that one should have.
     """
     source = F.col(f"`{text}`").cast("string")
+    places = [f"c{d}" for d in range(len(metadata))]
     plain = df.select(
         F.col(f"`{key}`").alias("row_id"),
         (F.coalesce(F.octet_length(source), F.lit(0)) + OVERHEAD).cast("long").alias("size"),
         F.coalesce(F.crc32(source), F.lit(0)).cast("long").alias("text_crc32"),
-        *(_coordinate(df, name).alias(f"c{d}") for d, name in enumerate(metadata)),
+        *(_coordinate(df, name).alias(place) for place, name in zip(places, metadata)),
+        F.spark_partition_id().alias("part"),
     )
-    folder = f"{work_folder(df.sparkSession)}/shards-{uuid4().hex}"
-    plain.groupBy(plain.columns).agg(F.count("*").alias("copies")).write.parquet(folder)
-    rows = df.sparkSession.read.parquet(folder).withColumn("keys", _keys(len(metadata))).withColumn("bytes", F.col("size") * F.col("copies"))
+    tables = _Tables(df)
+    folded = tables.written(plain.groupBy(plain.columns).agg(F.count("*").alias("copies")), "folded")
+    total = folded.agg(F.sum(F.col("size") * F.col("copies"))).first()[0] or 0
     if shards is None:
-        total = rows.agg(F.sum("bytes")).first()[0] or 0
         shards = max(1, -(-total // target_bytes))
 
-    placed = rows.withColumn("shard", _leaf_of(plan(rows, shards, len(metadata))).cast("int"))
+    rows = _cells(folded, tables, places, max(1, total // shards // FINE))
+    cells = tables.written(rows.groupBy(*places, "tail").agg(F.sum("bytes").alias("bytes")), "cells")
+    placed = tables.written(rows.join(grow(cells, tables, places, shards), [*places, "tail"]).drop(*places, "tail", "bytes"), "placed")
     return _with_slots(placed).select(F.col("row_id").alias(key), "size", "text_crc32", "shard", "slot")
 
 
 def _with_slots(placed: DataFrame) -> DataFrame:
     """Number the rows of each shard from 0, without a task that holds a whole shard."""
     most = placed.groupBy("shard").agg(F.sum("copies").alias("n")).agg(F.max("n")).first()[0] or 0
-    parts = -(-most // PART_ROWS) or 1
-    dealt = placed.withColumn("part", F.pmod(F.xxhash64("row_id", "text_crc32", "size"), F.lit(parts)).cast("long"))
-    counts = dealt.groupBy("shard", "part").agg(F.sum("copies").alias("n"))
-    before = F.sum("n").over(Window.partitionBy("shard").orderBy("part")) - F.col("n")
-    starts = counts.select("shard", "part", before.alias("start"))
-    inside = Window.partitionBy("shard", "part").orderBy("row_id", "text_crc32", "size", "keys")
-    numbered = dealt.withColumn("at", F.sum("copies").over(inside.rowsBetween(Window.unboundedPreceding, 0)) - F.col("copies"))
+    deals = -(-most // PART_ROWS) or 1
+    dealt = placed.withColumn("deal", F.pmod(F.xxhash64("row_id", "text_crc32", "size", "part", "at"), F.lit(deals)).cast("long"))
+    counts = dealt.groupBy("shard", "deal").agg(F.sum("copies").alias("n"))
+    before = F.sum("n").over(Window.partitionBy("shard").orderBy("deal")) - F.col("n")
+    starts = counts.select("shard", "deal", before.alias("start"))
+    # Rows equal in all of these differ in their metadata alone and show the same result, whatever their order.
+    inside = Window.partitionBy("shard", "deal").orderBy("row_id", "text_crc32", "size", "part", "at")
+    numbered = dealt.withColumn("behind", F.sum("copies").over(inside.rowsBetween(Window.unboundedPreceding, 0)) - F.col("copies"))
     copy = F.explode(F.sequence(F.lit(0).cast("long"), F.col("copies") - 1))
-    return numbered.join(starts, ["shard", "part"]).withColumn("copy", copy).withColumn("slot", F.col("start") + F.col("at") + F.col("copy"))
+    return numbered.join(starts, ["shard", "deal"]).withColumn("copy", copy).withColumn("slot", F.col("start") + F.col("behind") + F.col("copy"))

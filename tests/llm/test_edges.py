@@ -210,6 +210,51 @@ def test_shards_of_one_source_and_of_copies(spark):
     assert all(r.text_crc32 == zlib.crc32(rows[r.doc_id][1].encode()) for r in made)
 
 
+def test_shards_of_identical_rows(spark):
+    rows = [(1, "same text", "en", "hot", 9)] * 1000 + [(i, "t" * (i % 50), "en", f"s{i % 9}", i % 50) for i in range(2, 2000)]
+    made = sharding.shard(spark.createDataFrame(rows, DOCS), shards=24).collect()
+    sizes, slots = dict.fromkeys(range(24), 0), {}
+    for r in made:
+        sizes[r.shard] += r["size"]
+        slots.setdefault(r.shard, []).append(r.slot)
+    assert len(made) == len(rows) and all(abs(s - sum(sizes.values()) / 24) < 200 for s in sizes.values())
+    assert all(sorted(s) == list(range(len(s))) for s in slots.values())
+    assert sum(1 for s in range(24) if any(r.shard == s and r.doc_id == 1 for r in made)) >= 5
+
+
+def plain_tree(cells, shards, first, widest, out):
+    """Shard of every cell (coordinates, tail, bytes) by cutting sorted lists."""
+    if shards == 1 or not cells:
+        out.update({(c[0], c[1]): first for c in cells})
+        return
+    spans = [max(c[0][d] for c in cells) - min(c[0][d] for c in cells) for d in range(len(widest))]
+    d = max(range(len(widest)), key=lambda d: (spans[d] / widest[d], -d))
+    half, so_far, low = shards // 2, 0, 0
+    cells = sorted(cells, key=lambda c: (c[0][d], c[1]))
+    target = sum(c[2] for c in cells) * half // shards
+    while low < len(cells):
+        end = low  # cells of one coordinate and one tail are cut together
+        while end < len(cells) and (cells[end][0][d], cells[end][1]) == (cells[low][0][d], cells[low][1]):
+            so_far += cells[end][2]
+            end += 1
+        low = end
+        if so_far >= target:
+            break
+    plain_tree(cells[:low], half, first, widest, out)
+    plain_tree(cells[low:], shards - half, first + half, widest, out)
+
+
+@pytest.mark.parametrize("shards", [1, 2, 7, 40])
+def test_cells_are_cut_as_a_plain_tree_cuts_them(spark, shards):
+    rng = random.Random(shards)
+    cells = {((rng.choice([5, 5, 5, 90, 4000]), rng.randrange(12)), rng.randrange(1 << 48) if n % 3 else n << 32): rng.randrange(1, 400) for n in range(900)}
+    expected, plain = {}, [(c, tail, size) for (c, tail), size in cells.items()]
+    plain_tree(plain, shards, 0, [max(c[0][d] for c in plain) - min(c[0][d] for c in plain) for d in (0, 1)], expected)
+    frame = spark.createDataFrame([(*c, tail, size) for c, tail, size in plain], "c0 long, c1 long, tail long, bytes long")
+    found = sharding.grow(frame, sharding._Tables(frame), ["c0", "c1"], shards).collect()
+    assert {((r.c0, r.c1), r.tail): r.shard for r in found} == expected and len(found) == len(cells)
+
+
 def test_pages_without_an_article():
     page = (
         "<html><body class='has-sidebar'><div id=top class=header><a href=/>Home</a></div><ul class=menu><li>One<li>Two</ul><div class=content><h1>Title &amp; more</h1>"
