@@ -15,8 +15,8 @@ and their coordinates few. A cut is exact to a cell.
 Everything about a level stays in written tables: the histograms of all open
 nodes in all dimensions, taken in one pass over the cells; the tails of the cells at the
 crossing coordinates; the cuts, a row for each node. A cell carries its node as the first shard and the number
-of shards. Windows run over one digit of a key in one node, which is
-at most ``2 ** COORDINATE_BITS`` rows. Nothing grows in the plan with the number of shards,
+of shards. Windows run over the coordinates of a node, at most ``2 ** COORDINATE_BITS``, or over
+half of the bits of a tail. Nothing grows in the plan with the number of shards,
 and the driver sees the total, the spans of the dimensions and the rows of the largest shard only.
 
 Slots are numbered in parts: rows are dealt by a hash to parts of about
@@ -40,7 +40,8 @@ from pyspark.sql import functions as F
 from matchlens.session import work_folder
 
 OVERHEAD = 16
-COORDINATE_BITS, DIGIT_BITS = 18, 16
+COORDINATE_BITS, CHECKSUM_BITS, ROW_BITS = 18, 16, 32
+TAIL_BITS = CHECKSUM_BITS + ROW_BITS
 #: Steps of a number for each time it doubles.
 STEPS = 16
 #: Cells that a shard is made of, at least, where rows allow it.
@@ -87,51 +88,50 @@ def _cells(rows: DataFrame, tables: _Tables, places: list[str], grain: int) -> D
         .withColumn("at", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("copies") - 1) / F.col("bunch")))))
         .withColumn("copies", F.least(F.col("bunch"), F.col("copies") - F.col("at") * F.col("bunch")))
         .withColumn("bytes", F.col("size") * F.col("copies"))
-        .withColumn("checksum", F.shiftright(F.col("text_crc32"), 32 - DIGIT_BITS))
-        .withColumn("row", F.pmod(F.xxhash64("row_id", "text_crc32", "part", "at"), F.lit(1 << (2 * DIGIT_BITS))))
+        .withColumn("checksum", F.shiftright(F.col("text_crc32"), 32 - CHECKSUM_BITS))
+        .withColumn("row", F.pmod(F.xxhash64("row_id", "text_crc32", "part", "at"), F.lit(1 << ROW_BITS)))
     )
     sums = tables.written(dealt.groupBy(*places, "checksum").agg(F.sum("bytes").alias("bytes")), "sums")
     weights = sums.groupBy(places).agg(F.sum("bytes").alias("weight"))
-    bits = weights.select(*places, _bits(F.col("weight"), grain, DIGIT_BITS).alias("bits"))
-    led = sums.join(bits, places).withColumn("led", _leading(F.col("checksum"), DIGIT_BITS, F.col("bits")))
+    bits = weights.select(*places, _bits(F.col("weight"), grain, CHECKSUM_BITS).alias("bits"))
+    led = sums.join(bits, places).withColumn("led", _leading(F.col("checksum"), CHECKSUM_BITS, F.col("bits")))
     # What some bits of the checksum leave heavy, such as one text of many rows, is dealt by the row's hash.
-    finer = led.groupBy(*places, "led").agg(_bits(F.sum("bytes"), grain, 2 * DIGIT_BITS).alias("finer"))
+    finer = led.groupBy(*places, "led").agg(_bits(F.sum("bytes"), grain, ROW_BITS).alias("finer"))
     dealing = tables.written(led.join(finer, [*places, "led"]).select(*places, "checksum", "led", "finer"), "dealing")
-    tail = F.col("led") * (1 << (2 * DIGIT_BITS)) + _leading(F.col("row"), 2 * DIGIT_BITS, F.col("finer"))
+    tail = F.col("led") * (1 << ROW_BITS) + _leading(F.col("row"), ROW_BITS, F.col("finer"))
     kept = ["row_id", "size", "text_crc32", "part", "at", "copies", "bytes", *places]
     return tables.written(dealt.join(dealing, [*places, "checksum"]).select(*kept, tail.alias("tail")), "rows")
 
 
-def _crossing(sums: DataFrame, digit: str) -> DataFrame:
-    """For every node, the least ``digit`` by which ``need`` bytes are reached, and what is needed within it."""
-    so_far = F.sum("bytes").over(Window.partitionBy("first").orderBy(digit))
-    reached = sums.withColumn("so_far", so_far).filter(F.col("so_far") >= F.col("need"))
-    hit = reached.groupBy("first").agg(F.min(F.struct(digit, (F.col("need") - F.col("so_far") + F.col("bytes")).alias("need"))).alias("hit"))
-    return hit.select("first", "hit.*")
+def _crossing(sums: DataFrame, group: list[str], digit: str, need: Column) -> DataFrame:
+    """The one row of every group by whose ``digit`` ``need`` bytes are reached, and as ``need`` what is needed within it."""
+    so_far = F.sum("bytes").over(Window.partitionBy(group).orderBy(digit))
+    summed = sums.withColumn("need", need).withColumn("so_far", so_far)
+    is_first, before = F.col("so_far") == F.col("bytes"), F.col("so_far") - F.col("bytes")
+    hit = summed.filter((F.col("so_far") >= F.col("need")) & (is_first | (before < F.col("need"))))
+    return hit.withColumn("need", F.col("need") - before).drop("so_far", "bytes")
 
 
 def _crossed_coordinates(sums: DataFrame, widest: list[int]) -> DataFrame:
     """Every node's widest dimension, the coordinate at which its low shards' part of the bytes ends, and the bytes needed there."""
-    spans = sums.groupBy("first", "shards", "dimension").agg((F.max("coordinate") - F.min("coordinate")).alias("span"), F.sum("bytes").alias("total"))
-    share = F.col("span") / F.get(F.array(*(F.lit(float(w)) for w in widest)), F.col("dimension"))
-    nodes = spans.groupBy("first", "shards").agg(F.max(F.struct(share.alias("share"), (-F.col("dimension")).alias("rank"))).alias("best"), F.max("total").alias("total"))
+    group = ["first", "shards", "dimension"]
+    every = Window.partitionBy(group)
+    spread = sums.withColumns({"span": F.max("coordinate").over(every) - F.min("coordinate").over(every), "total": F.sum("bytes").over(every)})
     half, rest = F.floor(F.col("shards") / 2), F.col("total") % F.col("shards")
     need = (F.col("total") - rest) / F.col("shards") * half + rest * half / F.col("shards")
-    chosen = nodes.select("first", "shards", (-F.col("best")["rank"]).alias("dimension"), F.floor(need).alias("need"))
-    found = _crossing(sums.join(chosen, ["first", "shards", "dimension"]), "coordinate")
-    return chosen.drop("need").join(found, "first")
+    share = F.col("span") / F.get(F.array(*(F.lit(float(w)) for w in widest)), F.col("dimension"))
+    found = _crossing(spread, group, "coordinate", F.floor(need)).select("first", share.alias("share"), (-F.col("dimension")).alias("rank"), "coordinate", "need")
+    best = found.groupBy("first").agg(F.max(F.struct("share", "rank", "coordinate", "need")).alias("best"))
+    return best.select("first", (-F.col("best.rank")).alias("dimension"), "best.coordinate", "best.need")
 
 
-def _crossed_tails(tails: DataFrame, nodes: DataFrame) -> DataFrame:
+def _crossed_tails(tails: DataFrame) -> DataFrame:
     """The tail of the last cell on the low side of every node, digit by digit."""
-    found = nodes.select("first", "need")
-    digits = ["d0", "d1", "d2"]
-    for n, digit in enumerate(digits):
-        here = tails.join(found, ["first", *digits[:n]])
-        hit = _crossing(here.groupBy("first", digit, "need").agg(F.sum("bytes").alias("bytes")), digit)
-        found = hit if n == 0 else found.drop("need").join(hit, "first")
-    size = 1 << DIGIT_BITS
-    return found.select("first", ((F.col("d0") * size + F.col("d1")) * size + F.col("d2")).alias("cut_tail"))
+    node = ["first", "dimension", "coordinate"]
+    leading = tails.groupBy(*node, "need", "d0").agg(F.sum("bytes").alias("bytes"))
+    found = _crossing(leading, ["first"], "d0", F.col("need"))
+    last = _crossing(tails.drop("need").join(found, [*node, "d0"]), ["first"], "d1", F.col("need"))
+    return last.select(*node, (F.col("d0") * (1 << TAIL_BITS // 2) + F.col("d1")).alias("cut_tail"))
 
 
 def grow(cells: DataFrame, tables: _Tables, places: list[str], shards: int) -> DataFrame:
@@ -149,12 +149,11 @@ def grow(cells: DataFrame, tables: _Tables, places: list[str], shards: int) -> D
             widest = [max([1, *(s["span"] for s in spans if s["dimension"] == d)]) for d in range(len(places))]
         nodes = tables.written(_crossed_coordinates(sums, widest), f"{level}-nodes")
 
-        size = 1 << DIGIT_BITS
-        digits = [F.shiftright(F.col("tail"), DIGIT_BITS * (2 - n)) % size for n in range(3)]
-        at_cut = still.join(nodes.drop("shards"), "first").filter(own == F.col("coordinate"))
-        tails = at_cut.select("first", "bytes", *(d.alias(f"d{n}") for n, d in enumerate(digits))).groupBy("first", "d0", "d1", "d2")
-        tails = tables.written(tails.agg(F.sum("bytes").alias("bytes")), f"{level}-tails")
-        cuts = tables.written(nodes.drop("shards", "need").join(_crossed_tails(tails, nodes), "first"), f"{level}-cuts")
+        size = 1 << TAIL_BITS // 2
+        digits = [F.shiftright(F.col("tail"), TAIL_BITS // 2).alias("d0"), (F.col("tail") % size).alias("d1")]
+        at_cut = still.join(nodes, "first").filter(own == F.col("coordinate"))
+        tails = at_cut.select(*nodes.columns, *digits, "bytes").groupBy(*nodes.columns, "d0", "d1").agg(F.sum("bytes").alias("bytes"))
+        cuts = tables.written(_crossed_tails(tables.written(tails, f"{level}-tails")), f"{level}-cuts")
 
         half = F.floor(F.col("shards") / 2).cast("int")
         high = (own > F.col("coordinate")) | ((own == F.col("coordinate")) & (F.col("tail") > F.col("cut_tail")))
