@@ -6,6 +6,8 @@ from matchlens.functions import game_day
 from matchlens.operators.flatten import canonical_matches, flatten_matches
 from matchlens.operators.picks import bans
 from matchlens.schema import FETCHED_MATCH, RAW_MATCH
+from workloads import views
+from workloads.queries import text
 
 
 def rune_tree(sub=True):
@@ -135,3 +137,20 @@ def test_fetched_documents_become_canonical(spark):
 def test_flatten_does_not_shuffle(spark):
     plan = flat(spark)._jdf.queryExecution().executedPlan().toString()
     assert "Exchange" not in plan and "Join" not in plan
+
+
+def test_customers_of_one_row_group_are_many_tasks(spark, tmp_path, monkeypatch):
+    customers = spark.range(1000).selectExpr("if(id % 2 = 0, 7L, id) AS c_custkey", "id % 25 AS c_nationkey", "cast(id AS double) AS c_acctbal", "'BUILDING' AS c_mktsegment")
+    customers.coalesce(1).write.parquet(str(tmp_path / "customer.parquet"))
+    whole = views.raw_matches(spark, str(tmp_path))
+    monkeypatch.setattr(views, "MATCHES_PER_TASK", 100)
+    dealt = views.raw_matches(spark, str(tmp_path))
+    sizes = [r["n"] for r in dealt.groupBy(F.spark_partition_id()).agg(F.count("*").alias("n")).collect()]
+    assert len(sizes) == 10 and max(sizes) < 200
+    assert dealt.exceptAll(whole).count() == 0 and dealt.count() == 1000
+
+
+def test_arrays_are_shown_without_a_lambda(spark):
+    rows = spark.sql("SELECT * FROM VALUES (array(1L, null, 3L)), (array()), (null) AS t(a)").withColumn("shown", text("a"))
+    assert [r["shown"] for r in rows.collect()] == ["1,3", "", None]
+    assert "lambda" not in rows._jdf.queryExecution().toString()

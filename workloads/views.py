@@ -14,6 +14,8 @@ EVENTS_PER_MATCH = 200
 EVENTS_PER_FRAME = 20
 PARTS_PER_POSITION = 150
 CATALOGUE_SIZE = 40
+# A customer is some 60 bytes of a file and a document of many kilobytes, so file splits make tasks too large.
+MATCHES_PER_TASK = 5_000
 
 POSITIONS = "array('TOP','JUNGLE','MIDDLE','BOTTOM','UTILITY')"
 
@@ -144,8 +146,14 @@ def participant(i: int) -> str:
 
 
 def raw_matches(spark: SparkSession, folder: str) -> DataFrame:
-    """Nested matches: every customer is a match of ten participants, without a shuffle."""
-    customers = table(spark, folder, "customer")
+    """Nested matches: every customer is a match of ten participants.
+
+    Customers are dealt out before their documents are made, evenly however often a key is repeated.
+    """
+    customers = table(spark, folder, "customer").select("c_custkey", "c_nationkey", "c_acctbal", "c_mktsegment")
+    tasks = -(-customers.count() // MATCHES_PER_TASK)
+    if tasks > customers.rdd.getNumPartitions():
+        customers = customers.repartition(tasks)
     ban = "named_struct('championId', (c_nationkey + {shift}) % 21 - 1, 'pickTurn', {turn}L)"
     bans = [ban.format(shift=turn * 3, turn=turn) for turn in range(1, 11)]
     team = "named_struct('teamId', {team}L, 'win', c_nationkey % 2 = {parity}, 'bans', {bans})"
