@@ -18,6 +18,8 @@ from matchlens.session import work_folder
 LINE = "file string, split long, id long, value string"
 # Lines of a stretch.
 STRETCH = 1024
+# Bytes that a task reads at least, in as many splits as that takes, unless the text is too short to keep all tasks busy.
+TASK_BYTES = 8 << 20
 
 # Parts of JSON text outside white space: a string, a bracket, or anything else up to those. A string holds no line break.
 TOKEN = r'"[^"\\]*+(?:\\.[^"\\]*+)*+"?|[{}\[\]]|[^"{}\[\]\s]+'
@@ -35,6 +37,10 @@ def numbered_lines(spark: SparkSession, path: str, split_bytes: int | None = Non
         if split_bytes:
             spark.conf.set(setting, str(split_bytes))
         read = spark.read.option("lineSep", "\n").text(path)
+        if split_bytes and split_bytes < TASK_BYTES:
+            # Small splits would be a task and a file each.
+            splits = read.rdd.getNumPartitions()
+            read = read.coalesce(max(spark.sparkContext.defaultParallelism, -(-splits * split_bytes // TASK_BYTES)))
         place = F.monotonically_increasing_id().alias("id")
         read.select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("split"), place, "value").write.parquet(folder)
     finally:
@@ -63,6 +69,11 @@ def step_of(token: Column) -> Column:
     return F.when(token.isin("{", "["), 1).when(token.isin("}", "]"), -1).otherwise(0)
 
 
+def occurrences(array: str, value: str) -> Column:
+    """How often a value stands in an array; compiled, other than an aggregate by a lambda."""
+    return F.size(array) - F.size(F.array_remove(array, value))
+
+
 def json_texts(lines: DataFrame) -> DataFrame:
     """``file``, ``number`` (from 0) and ``json``, for every JSON value of numbered lines.
 
@@ -72,7 +83,7 @@ def json_texts(lines: DataFrame) -> DataFrame:
     """
     tokens = F.regexp_extract_all("value", F.lit(TOKEN), F.lit(0))
     cut = lines.select("file", "line", tokens.alias("tokens")).where(F.size("tokens") > 0)
-    delta = F.aggregate("tokens", F.lit(0), lambda depth, t: depth + step_of(t))
+    delta = occurrences("tokens", "{") + occurrences("tokens", "[") - occurrences("tokens", "}") - occurrences("tokens", "]")
     deep = with_total_before(cut.withColumn("delta", delta.cast("long")), "delta", "depth")
 
     start = F.struct(F.col("depth"), F.lit(0).cast("long").alias("ends"))

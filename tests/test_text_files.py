@@ -4,13 +4,14 @@ import json
 import random
 
 import pytest
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from matchlens.operators.calibrate import parse_records, records_of_lines
 from matchlens.operators.cohorts import LADDER_COHORTS, daily_match_sketches, match_totals, merged_match_totals
 from matchlens.sources import text_files
 from matchlens.sources.matches import read_json_run
-from matchlens.sources.text_files import json_texts, numbered_lines
+from matchlens.sources.text_files import json_texts, numbered_lines, occurrences
 
 
 def test_lines_of_many_splits(spark, tmp_path):
@@ -110,3 +111,17 @@ def test_sketches_of_days_are_merged(spark):
     merged = {r.cohort: r.total_cnt for r in merged_match_totals(daily_match_sketches(facts), LADDER_COHORTS).collect()}
     assert exact.keys() == merged.keys() and all(abs(merged[c] - exact[c]) <= 0.05 * exact[c] for c in exact)
     assert daily_match_sketches(facts).count() <= 14 * 4
+
+
+def test_small_splits_share_tasks(spark, tmp_path):
+    path = tmp_path / "text"
+    path.mkdir()
+    (path / "a.txt").write_text("".join(f"line {i}\n" for i in range(20_000)))
+    lines = numbered_lines(spark, str(path), split_bytes=512)
+    assert lines.where(F.concat(F.lit("line "), "line") != F.col("value")).count() == 0 and lines.count() == 20_000
+    assert lines.inputFiles() and len([f for f in lines.inputFiles() if "/lines-" in f]) <= spark.sparkContext.defaultParallelism
+
+
+def test_occurrences(spark):
+    rows = spark.sql("SELECT array('{', '[', '{', 'a') AS t UNION ALL SELECT array()").select(occurrences("t", "{").alias("n"))
+    assert sorted(r["n"] for r in rows.collect()) == [0, 2]
