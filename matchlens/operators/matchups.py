@@ -99,8 +99,8 @@ def pair_counts(
     member = F.struct(*keys, "apart", "p_win", RANK, "n")
     groups = counted.groupBy(*within).agg(F.collect_list(member).alias("members"))
     firsts = groups.select(F.explode("members").alias("a"), "members")
-    others = F.filter("members", lambda b: b["apart"] != F.col("a.apart"))
-    met = firsts.select("a", F.explode(others).alias("b")).select(
+    # A second explode and a filter are compiled, a lambda over the members is not.
+    met = firsts.select("a", F.explode("members").alias("b")).where(F.col("a.apart") != F.col("b.apart")).select(
         *[F.col(f"a.{key}").alias(key) for key in keys],
         *[F.col(f"b.{key}").alias(name) for name, key in partner.items()],
         F.least(f"a.{RANK}", f"b.{RANK}").alias(RANK),
