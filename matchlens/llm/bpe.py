@@ -29,6 +29,7 @@ from functools import lru_cache, partial
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -52,8 +53,8 @@ TAIL = 3
 SPINES = 4096
 #: Parts and pieces of more characters are not remembered: a text without spaces is one part.
 SHORT = 64
-#: Texts that are encoded together: more of them share more prefixes, and take more memory.
-TOGETHER = 128
+#: Texts that are encoded together, and bytes of them: more of them share more prefixes, and take more memory.
+TOGETHER, TOGETHER_SIZE = 1024, 1 << 20
 
 
 def default_path() -> str:
@@ -94,6 +95,9 @@ class Vocabulary:
 
     def pieces(self, text: str) -> list[str]:
         """The pieces of a text without added tokens."""
+        if text.isascii():
+            # A word of letters after at most one space is one piece.
+            return [text] if (text[1:] if text[0] == " " else text).isalpha() else PIECES.findall(text)
         if AGREED.search(text):
             return [text[a:b] for _, (a, b) in self.exact().pre_tokenize_str(text)]
         return PIECES.findall(text)
@@ -144,11 +148,15 @@ class Trie:
             if a in whole and b in whole and self._undisturbed(a, b, rank):
                 whole.add(token)
         self.by_spelling = {known.spelled[t]: t for t in whole}
-        # By the last bytes of a spelling, the lengths that spellings with that end have, the longest first.
+        # By the last bytes of a spelling, the lengths that spellings with that end have, or that are that end's own ends, the longest first.
         lengths: dict[bytes, set[int]] = {}
         for spelling in self.by_spelling:
             lengths.setdefault(spelling[-TAIL:], set()).add(len(spelling))
-        self.lengths = {tail: tuple(sorted(some, reverse=True)) for tail, some in lengths.items()}
+        shared: dict[tuple[int, ...], tuple[int, ...]] = {}
+        self.lengths = {}
+        for tail in lengths:
+            some = tuple(sorted(set().union(*(lengths.get(tail[at:], ()) for at in range(len(tail)))), reverse=True))
+            self.lengths[tail] = shared.setdefault(some, some)
 
     def _spine(self, token: int, side: int) -> list[tuple[int, float]]:
         """The tokens at one end of a token, outermost first, each with the rank of the merge that takes it up."""
@@ -189,14 +197,30 @@ class Trie:
     def encode_all(self, pieces: set[str]) -> dict[str, list[int]]:
         """The encoding of each distinct piece."""
         out = {}
+        spelling, fits, known = self.by_spelling.get, self.fits.get, self.lengths.get
         path, lasts = b"", []  # lasts[i]: the last token of path[: i + 1]
         for raw, piece in sorted((p.encode(), p) for p in pieces):
+            token = spelling(raw)
+            if token is not None:
+                out[piece] = [token]
+                continue
             depth, most = 0, min(len(raw), len(path))
             while depth < most and raw[depth] == path[depth]:
                 depth += 1
             del lasts[depth:]
             for end in range(depth + 1, len(raw) + 1):
-                lasts.append(self._last(raw, end, lasts))
+                for length in known(raw[end - TAIL if end > TAIL else 0 : end]) or self.candidates(raw, end):
+                    if length > end or (token := spelling(raw[end - length : end])) is None:
+                        continue
+                    if length == end:
+                        break
+                    before = lasts[end - length - 1]
+                    answer = fits((before, token))
+                    if answer or answer is None and self.may_follow(before, token):
+                        break
+                else:
+                    raise ValueError("the vocabulary lacks a byte")
+                lasts.append(token)
             path = raw
             tokens, end = [], len(raw)
             while end:
@@ -205,27 +229,13 @@ class Trie:
             out[piece] = tokens[::-1]
         return out
 
-    def candidates(self, raw: bytes, end: int) -> Iterator[int]:
+    def candidates(self, raw: bytes, end: int) -> tuple[int, ...]:
         """Lengths that the last token of ``raw[:end]`` can have, the longest first: only ends that the text has are looked at."""
-        for size in range(min(TAIL, end), 0, -1):
-            for length in self.lengths.get(raw[end - size : end], ()):
-                if length <= end and (length == size or size == TAIL):
-                    yield length
-
-    def _last(self, raw: bytes, end: int, lasts: list[int]) -> int:
-        """The token that ends before byte ``end``."""
-        spelling, fits = self.by_spelling.get, self.fits.get
-        for length in self.candidates(raw, end):
-            token = spelling(raw[end - length : end])
-            if token is None:
-                continue
-            if length == end:
-                return token
-            before = lasts[end - length - 1]
-            answer = fits((before, token))
-            if answer or answer is None and self.may_follow(before, token):
-                return token
-        raise ValueError("the vocabulary lacks a byte")
+        known = self.lengths.get
+        tail = raw[end - TAIL if end > TAIL else 0 : end]
+        while (found := known(tail)) is None and tail:
+            tail = tail[1:]
+        return found or ()
 
 
 @lru_cache(maxsize=4)
@@ -257,11 +267,16 @@ class Encoder:
                 self.sizes[which] = 0
         cut = [[(special, [s] if special else parts_of(s)) for special, s in self.known.split(text or "")] for text in texts]
         new = {p for stretches in cut for special, parts in stretches if not special for p in parts} - memory.keys()
-        pieces = {part: self.known.pieces(part) for part in new}
-        unknown = {p for some in pieces.values() for p in some} - known_pieces.keys()
-        for piece, ids in self.trie.encode_all(unknown).items():
-            known_pieces[piece] = array("I", ids).tobytes()
-        for part, some in pieces.items():
+        cuts = {part: some for part in new if len(some := self.known.pieces(part)) != 1}
+        unknown = {p for some in cuts.values() for p in some} - known_pieces.keys()
+        # A part that is one piece is remembered once, as a part.
+        for piece, ids in self.trie.encode_all(unknown | (new - cuts.keys())).items():
+            packed = array("I", ids).tobytes()
+            if piece in unknown:
+                known_pieces[piece] = packed
+            if piece in new and piece not in cuts:
+                memory[piece] = packed
+        for part, some in cuts.items():
             memory[part] = b"".join(map(known_pieces.__getitem__, some))
         out = []
         for stretches in cut:
@@ -289,11 +304,22 @@ def encoder(path: str) -> Encoder:
     return Encoder(path)
 
 
+def together(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """Slices of rows (key, text) that are encoded together: at most ``TOGETHER`` rows, and of several no more than ``TOGETHER_SIZE`` bytes."""
+    at = size = 0
+    for end, n in enumerate(pc.fill_null(pc.binary_length(batch.column(1)), 0).to_pylist()):
+        if end > at and (end - at >= TOGETHER or size + n > TOGETHER_SIZE):
+            yield batch.slice(at, end - at)
+            at, size = end, 0
+        size += n
+    if at < batch.num_rows:
+        yield batch.slice(at)
+
+
 def _encode_rows(path: str, batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     own = encoder(path)
     for batch in batches:
-        for at in range(0, batch.num_rows, TOGETHER):
-            part = batch.slice(at, TOGETHER)
+        for part in together(batch):
             raw = own.encode(part.column(1).to_pylist())
             offsets = np.cumsum([0, *(len(r) // 4 for r in raw)])
             values = pa.array(np.frombuffer(b"".join(raw), "<u4").astype(np.int32))
@@ -333,8 +359,7 @@ ROUND_TRIP = StructType(
 def _round_trip_rows(path: str, with_ids: bool, batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     own = encoder(path)
     for batch in batches:
-        for at in range(0, batch.num_rows, TOGETHER):
-            part = batch.slice(at, TOGETHER)
+        for part in together(batch):
             raw = own.encode(part.column(1).to_pylist())
             arrays = [np.frombuffer(r, "<u4") for r in raw]
             columns = [

@@ -4,6 +4,7 @@ import random
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
@@ -325,3 +326,21 @@ def test_pipeline_stages_keep_columns(spark, docs, tmp_path):
     last = corpus_pipeline.STAGES[-1][1](spark, frame, str(tmp_path))
     assert last.count() == frame.count()
     assert all(stage(spark, docs.limit(0), str(tmp_path)).count() == 0 for _, stage in corpus_pipeline.STAGES)
+
+
+def test_texts_are_encoded_together_by_their_bytes(monkeypatch):
+    monkeypatch.setattr(bpe, "TOGETHER_SIZE", 10)
+    monkeypatch.setattr(bpe, "TOGETHER", 3)
+    texts = ["a" * 4, "b" * 6, None, "c", "d" * 30, "e", "", None, "f"]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(len(texts))), pa.array(texts, pa.string())], names=["key", "text"])
+    parts = [p.column(1).to_pylist() for p in bpe.together(batch)]
+    assert parts == [["aaaa", "bbbbbb", None], ["c"], ["d" * 30], ["e", "", None], ["f"]]
+
+
+def test_a_part_of_one_piece_is_remembered_once():
+    library = Tokenizer.from_file(bpe.default_path())
+    own = bpe.Encoder(bpe.default_path())
+    texts = ["stone stonework don't Don't 12ab xé é stone", " stone", "stone's stone", "a  b\n c"]
+    for _ in range(2):
+        assert [np.frombuffer(r, "<u4").tolist() for r in own.encode(texts)] == [library.encode(t, add_special_tokens=False).ids for t in texts]
+    assert " stonework" in own.memory and " stonework" not in own.pieces
