@@ -1,11 +1,12 @@
 """Byte-level byte-pair encoding: encoding and decoding by a prefix-sharing trie.
 
 A text is cut into pieces that are encoded on their own. The distinct pieces
-of a batch form a trie, walked depth first: for each prefix the walk keeps the
-last token of that prefix's encoding. The last token of a longer prefix is the
-one token that ends it and may follow the last token of what precedes it, so a
-prefix that many pieces share is encoded once. Following the last tokens back
-from the end gives a piece's encoding.
+of a batch form a trie, walked depth first: for each prefix that is asked for
+the walk keeps the last token of that prefix's encoding. The last token of a
+longer prefix is the one token that ends it and may follow the last token of
+what precedes it, so only prefixes at which a token may begin are asked for, and
+one that many pieces share is encoded once. Following the last tokens back from
+the end gives a piece's encoding.
 
 The files are those of the public ``tokenizers`` library: merges in order, a
 byte alphabet, and added tokens that are found in the text before everything
@@ -24,8 +25,9 @@ import json
 import re
 import sys
 from array import array
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from functools import lru_cache, partial
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -41,14 +43,24 @@ assert sys.byteorder == "little" and array("I").itemsize == 4
 
 #: Fixed value: how the byte-level files cut text into pieces.
 PIECES = regex.compile(r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+""")
+#: The same cuts of text that is ASCII only.
+ASCII_PIECES = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?[A-Za-z]+| ?[0-9]+| ?[^\sA-Za-z0-9]+|\s+(?!\S)|\s+", re.ASCII)
 #: A space before other text always starts a piece, so these parts can be cut on their own.
 PARTS = re.compile(r" (?=\S)")
+#: Without these, every space of a text starts a part.
+UNEVEN = re.compile(r"\A\s|\A\Z| \s| \Z")
 #: Up to here the library and this module's pattern agree on what is a letter or a number.
 AGREED = re.compile("[^\x00-՗ՙ-֊֍-ࢎ࢐-౛ౝ-೛ೝ-₎ₐ-ₜ₠-ꟍ]")
 #: Entries, and characters and bytes of ids in them, that each of a worker's memories may hold before it starts anew.
 REMEMBERED, REMEMBERED_SIZE = 500_000, 32_000_000
-#: Bytes at the end of a text that tell which lengths its last token can have.
-TAIL = 3
+#: Pairs of tokens that a worker knows to fit, or not to.
+PAIRS = 500_000
+#: Prefixes of longer pieces are all encoded, from the shortest on; those of others when they are asked for.
+DEEP = 256
+#: Bytes at the end of a text that tell which tokens up to that length end it, and which lengths longer ones can have.
+TAIL = 4
+#: Ends whose tokens are kept at hand.
+ENDS = 50_000
 #: Tokens whose ends are kept at hand.
 SPINES = 4096
 #: Parts and pieces of more characters are not remembered: a text without spaces is one part.
@@ -97,7 +109,7 @@ class Vocabulary:
         """The pieces of a text without added tokens."""
         if text.isascii():
             # A word of letters after at most one space is one piece.
-            return [text] if (text[1:] if text[0] == " " else text).isalpha() else PIECES.findall(text)
+            return [text] if (text[1:] if text[0] == " " else text).isalpha() else ASCII_PIECES.findall(text)
         if AGREED.search(text):
             return [text[a:b] for _, (a, b) in self.exact().pre_tokenize_str(text)]
         return PIECES.findall(text)
@@ -129,11 +141,11 @@ def vocabulary(path: str) -> Vocabulary:
 
 def parts_of(text: str) -> list[str]:
     """Parts of a stretch that are cut into pieces on their own."""
-    parts = text.split(" ")
-    if "" in parts or any(p[0].isspace() for p in parts):
+    if UNEVEN.search(text):
         starts = [0, *(m.start() for m in PARTS.finditer(text))]
         return [text[a:b] for a, b in zip(starts, [*starts[1:], len(text)]) if b > a]
-    return [parts[0], *(" " + p for p in parts[1:])]
+    first, *rest = text.split(" ")
+    return [first, *[" " + p for p in rest]]
 
 
 class Trie:
@@ -141,22 +153,20 @@ class Trie:
 
     def __init__(self, known: Vocabulary) -> None:
         self.known = known
-        self.fits: dict[tuple[int, int], bool] = {}
+        self.fits: dict[int, bool] = {}  # by a << 32 | b
         self.spines: tuple[dict[int, list], dict[int, list]] = {}, {}  # by side, as far as asked for
         whole: set[int] = set(known.byte_ids)
         for token, (rank, a, b) in sorted(known.parts.items(), key=lambda x: x[1][0]):
             if a in whole and b in whole and self._undisturbed(a, b, rank):
                 whole.add(token)
         self.by_spelling = {known.spelled[t]: t for t in whole}
-        # By the last bytes of a spelling, the lengths that spellings with that end have, or that are that end's own ends, the longest first.
+        # By the last bytes of longer spellings, the lengths that spellings with that end have, the longest first.
         lengths: dict[bytes, set[int]] = {}
         for spelling in self.by_spelling:
-            lengths.setdefault(spelling[-TAIL:], set()).add(len(spelling))
-        shared: dict[tuple[int, ...], tuple[int, ...]] = {}
-        self.lengths = {}
-        for tail in lengths:
-            some = tuple(sorted(set().union(*(lengths.get(tail[at:], ()) for at in range(len(tail)))), reverse=True))
-            self.lengths[tail] = shared.setdefault(some, some)
+            if len(spelling) > TAIL:
+                lengths.setdefault(spelling[-TAIL:], set()).add(len(spelling))
+        self.lengths = {tail: sorted(some, reverse=True) for tail, some in lengths.items()}
+        self.ends: dict[bytes, tuple[tuple[int, int | None], ...]] = {}
 
     def _spine(self, token: int, side: int) -> list[tuple[int, float]]:
         """The tokens at one end of a token, outermost first, each with the rank of the merge that takes it up."""
@@ -187,55 +197,73 @@ class Trie:
 
     def may_follow(self, a: int, b: int) -> bool:
         """Whether ``b`` can stand after ``a`` in an encoding."""
-        answer = self.fits.get((a, b))
+        answer = self.fits.get(a << 32 | b)
         if answer is None:
-            if len(self.fits) >= REMEMBERED:
+            if len(self.fits) >= PAIRS:
                 self.fits.clear()
-            answer = self.fits[a, b] = self._undisturbed(a, b, float("inf"))
+            answer = self.fits[a << 32 | b] = self._undisturbed(a, b, float("inf"))
         return answer
 
-    def encode_all(self, pieces: set[str]) -> dict[str, list[int]]:
-        """The encoding of each distinct piece."""
+    def encode_all(self, pieces: set[str]) -> dict[str, bytes]:
+        """The encoding of each distinct piece, as little-endian unsigned 32-bit integers."""
         out = {}
-        spelling, fits, known = self.by_spelling.get, self.fits.get, self.lengths.get
-        path, lasts = b"", []  # lasts[i]: the last token of path[: i + 1]
-        for raw, piece in sorted((p.encode(), p) for p in pieces):
+        spelling, fits, known, spelled = self.by_spelling.get, self.fits.get, self.ends.get, self.known.spelled
+        path, lasts = b"", [None]  # lasts[i]: the last token of path[:i], if it was asked for
+
+        def last(end: int) -> int:
+            for length, token in known(raw[end - TAIL if end > TAIL else 0 : end]) or self.candidates(raw, end):
+                if token is None and (length > end or (token := spelling(raw[end - length : end])) is None):
+                    continue
+                if length == end:
+                    break
+                before = lasts[end - length]
+                if before is None:
+                    before = last(end - length)
+                answer = fits(before << 32 | token)
+                if answer or answer is None and self.may_follow(before, token):
+                    break
+            else:
+                raise ValueError("the vocabulary lacks a byte")
+            lasts[end] = token
+            return token
+
+        # The order of texts is that of their UTF-8.
+        for piece in sorted(pieces):
+            raw = piece.encode()
             token = spelling(raw)
             if token is not None:
-                out[piece] = [token]
+                out[piece] = token.to_bytes(4, "little")
                 continue
-            depth, most = 0, min(len(raw), len(path))
+            depth, end = 0, len(raw)
+            most = min(end, len(path))
             while depth < most and raw[depth] == path[depth]:
                 depth += 1
-            del lasts[depth:]
-            for end in range(depth + 1, len(raw) + 1):
-                for length in known(raw[end - TAIL if end > TAIL else 0 : end]) or self.candidates(raw, end):
-                    if length > end or (token := spelling(raw[end - length : end])) is None:
-                        continue
-                    if length == end:
-                        break
-                    before = lasts[end - length - 1]
-                    answer = fits((before, token))
-                    if answer or answer is None and self.may_follow(before, token):
-                        break
-                else:
-                    raise ValueError("the vocabulary lacks a byte")
-                lasts.append(token)
+            lasts[depth + 1 :] = [None] * (end - depth)
+            if end > DEEP:
+                for at in range(1, end):
+                    if lasts[at] is None:
+                        last(at)
             path = raw
-            tokens, end = [], len(raw)
+            tokens = []
             while end:
-                tokens.append(lasts[end - 1])
-                end -= len(self.known.spelled[tokens[-1]])
-            out[piece] = tokens[::-1]
+                token = lasts[end]
+                if token is None:
+                    token = last(end)
+                tokens.append(token)
+                end -= len(spelled[token])
+            out[piece] = array("I", tokens[::-1]).tobytes()
         return out
 
-    def candidates(self, raw: bytes, end: int) -> tuple[int, ...]:
-        """Lengths that the last token of ``raw[:end]`` can have, the longest first: only ends that the text has are looked at."""
-        known = self.lengths.get
+    def candidates(self, raw: bytes, end: int) -> tuple[tuple[int, int | None], ...]:
+        """Lengths that the last token of ``raw[:end]`` can have, the longest first, with the token where ``TAIL`` bytes tell it."""
         tail = raw[end - TAIL if end > TAIL else 0 : end]
-        while (found := known(tail)) is None and tail:
-            tail = tail[1:]
-        return found or ()
+        found = self.ends.get(tail)
+        if found is None:
+            if len(self.ends) >= ENDS:
+                self.ends.clear()
+            short = [(len(tail) - at, token) for at in range(len(tail)) if (token := self.by_spelling.get(tail[at:])) is not None]
+            found = self.ends[tail] = (*((length, None) for length in self.lengths.get(tail, ())), *short)
+        return found
 
 
 @lru_cache(maxsize=4)
@@ -258,30 +286,36 @@ class Encoder:
         self.starts = np.concatenate([[0], np.cumsum(self.lengths)[:-1]])
         self.letters = np.frombuffer(b"".join(spelled), dtype=np.uint8)
 
+    def _forget(self, which: int, asked: Callable[[], set[str]]) -> None:
+        """Keep of a memory that is full only what is asked for now, so that frequent words stay."""
+        kept = (self.memory, self.pieces)[which]
+        if len(kept) >= REMEMBERED or self.sizes[which] >= REMEMBERED_SIZE:
+            stay = {key: kept[key] for key in asked() if key in kept}
+            kept.clear()
+            kept.update(stay)
+            self.sizes[which] = sum(len(key) + len(ids) for key, ids in kept.items())
+
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """Ids of each text as little-endian unsigned 32-bit integers."""
         memory, known_pieces, added = self.memory, self.pieces, self.known.added
-        for which, kept in enumerate((memory, known_pieces)):
-            if len(kept) >= REMEMBERED or self.sizes[which] >= REMEMBERED_SIZE:
-                kept.clear()
-                self.sizes[which] = 0
         cut = [[(special, [s] if special else parts_of(s)) for special, s in self.known.split(text or "")] for text in texts]
-        new = {p for stretches in cut for special, parts in stretches if not special for p in parts} - memory.keys()
+        self._forget(0, lambda: {p for stretches in cut for special, parts in stretches if not special for p in parts})
+        # Per stretch the ids of its parts, None where they are not known yet.
+        ids = [[[int(added[parts[0]]).to_bytes(4, "little")] if special else list(map(memory.get, parts)) for special, parts in stretches] for stretches in cut]
+        new = {p for stretches, found in zip(cut, ids) for (_, parts), some in zip(stretches, found) if None in some for p, known in zip(parts, some) if known is None}
         cuts = {part: some for part in new if len(some := self.known.pieces(part)) != 1}
-        unknown = {p for some in cuts.values() for p in some} - known_pieces.keys()
-        # A part that is one piece is remembered once, as a part.
-        for piece, ids in self.trie.encode_all(unknown | (new - cuts.keys())).items():
-            packed = array("I", ids).tobytes()
-            if piece in unknown:
-                known_pieces[piece] = packed
-            if piece in new and piece not in cuts:
-                memory[piece] = packed
+        asked = set(chain.from_iterable(cuts.values()))
+        self._forget(1, lambda: asked)
+        unknown = asked.difference(known_pieces, memory, new - cuts.keys())
+        # A piece that is a part is remembered once, as a part.
+        for piece, packed in self.trie.encode_all(unknown | (new - cuts.keys())).items():
+            (known_pieces if piece in unknown else memory)[piece] = packed
         for part, some in cuts.items():
-            memory[part] = b"".join(map(known_pieces.__getitem__, some))
+            memory[part] = b"".join([known_pieces[p] if p in known_pieces else memory[p] for p in some])
         out = []
-        for stretches in cut:
-            ids = [int(added[parts[0]]).to_bytes(4, "little") if special else b"".join(map(memory.__getitem__, parts)) for special, parts in stretches]
-            out.append(b"".join(ids))
+        for stretches, found in zip(cut, ids):
+            raw = [b"".join(map(memory.__getitem__, parts) if None in some else some) for (_, parts), some in zip(stretches, found)]
+            out.append(b"".join(raw))
         for which, (kept, keys) in enumerate(((memory, new), (known_pieces, unknown))):
             for key in keys:
                 if len(key) > SHORT:

@@ -344,3 +344,49 @@ def test_a_part_of_one_piece_is_remembered_once():
     for _ in range(2):
         assert [np.frombuffer(r, "<u4").tolist() for r in own.encode(texts)] == [library.encode(t, add_special_tokens=False).ids for t in texts]
     assert " stonework" in own.memory and " stonework" not in own.pieces
+
+
+def test_only_prefixes_that_a_token_may_follow_are_encoded():
+    library = Tokenizer.from_file(bpe.default_path())
+    rng = random.Random(11)
+    word = "".join(rng.choice("thenaorsi") for _ in range(1200))
+    words = [word[:n] for n in (40, 41, 90, 200, 256, 257, 300, 700, 1200)] + ["".join(rng.choice("thenaorsi") for _ in range(12)) for _ in range(500)]
+    own = bpe.Encoder(bpe.default_path())
+    assert [np.frombuffer(r, "<u4").tolist() for r in own.encode(words)] == [library.encode(w, add_special_tokens=False).ids for w in words]
+    looked = 0
+
+    class Ends(dict):
+        def get(self, tail, default=None):
+            nonlocal looked
+            looked += 1
+            return super().get(tail, default)
+
+    own.trie.ends = Ends(own.trie.ends)
+    try:
+        short = set(words[-500:])
+        own.trie.encode_all(short)
+    finally:
+        own.trie.ends = dict(own.trie.ends)
+    assert 0 < looked < 0.6 * sum(map(len, short))
+
+
+def test_a_full_memory_keeps_what_is_asked_for(monkeypatch):
+    monkeypatch.setattr(bpe, "REMEMBERED", 5)
+    own = bpe.Encoder(bpe.default_path())
+    own.encode(["stone river water house forest garden"])
+    asked, walk = [], own.trie.encode_all
+    monkeypatch.setattr(own.trie, "encode_all", lambda pieces: asked.extend(pieces) or walk(pieces))
+    own.encode(["a river lake"])
+    assert sorted(asked) == [" lake", "a"] and set(own.memory) == {"a", " river", " lake"}
+    assert own.sizes[0] == sum(len(k) + len(v) for k, v in own.memory.items())
+
+
+def test_a_piece_that_is_a_known_part_is_not_encoded_again(monkeypatch):
+    library = Tokenizer.from_file(bpe.default_path())
+    own = bpe.Encoder(bpe.default_path())
+    own.encode(["stone river forest"])
+    asked, walk = [], own.trie.encode_all
+    monkeypatch.setattr(own.trie, "encode_all", lambda pieces: asked.extend(pieces) or walk(pieces))
+    texts = ["a forest, a river\nstone."]
+    assert [np.frombuffer(r, "<u4").tolist() for r in own.encode(texts)] == [library.encode(t, add_special_tokens=False).ids for t in texts]
+    assert not {" forest", " river", "stone"} & {*asked, *own.pieces}
