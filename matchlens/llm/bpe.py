@@ -52,9 +52,9 @@ UNEVEN = re.compile(r"\A\s|\A\Z| \s| \Z")
 #: Up to here the library and this module's pattern agree on what is a letter or a number.
 AGREED = re.compile("[^\x00-՗ՙ-֊֍-ࢎ࢐-౛ౝ-೛ೝ-₎ₐ-ₜ₠-ꟍ]")
 #: Entries, and characters and bytes of ids in them, that each of a worker's memories may hold before it starts anew.
-REMEMBERED, REMEMBERED_SIZE = 500_000, 32_000_000
+REMEMBERED, REMEMBERED_SIZE = 250_000, 16_000_000
 #: Pairs of tokens that a worker knows to fit, or not to.
-PAIRS = 500_000
+PAIRS = 300_000
 #: Prefixes of longer pieces are all encoded, from the shortest on; those of others when they are asked for.
 DEEP = 256
 #: Bytes at the end of a text that tell which tokens up to that length end it, and which lengths longer ones can have.
