@@ -1,17 +1,17 @@
-"""Phrase collocations by SON partitioning: shards mined whole at lowered support, their candidates counted exactly.
+"""Phrase collocations by SON partitioning: shards mined whole at a local support of one, longer candidates counted exactly.
 
-A phrase that occurs ``support`` times in a language occurs in some shard at least as often as the shard's share of
-the language asks for. So each shard, a stretch of rows of about ``SHARD_BYTES`` that one task holds, is mined
-whole, level by level, at a local support of ``support`` times its share, rounded up. The shards' phrases are united as hashes of
-64 bits with their counts. A shard that does not list a phrase holds it at most its local support less one times, which bounds the whole
-count from above; phrases whose bound stays below ``support`` are dropped before anything is counted again. What is left is
-counted in every shard exactly, and kept at ``support``.
+A phrase that occurs ``support`` times occurs in some shard, a stretch of rows of about ``SHARD_BYTES`` that one task holds. A local
+support that follows a shard's share of the table falls as shards get more, and lists grow with the square of the
+table until it is one. So it is one from the start, at any size, and what a shard lists depends on the shard alone; the lists are kept short by what they are about:
 
-Shards get smaller shares as a table grows, until the local support is 1; the bound then is the exact count, and the second
-pass counts frequent phrases only. So local support needs no switch, and no phrase is lost at any size.
+* first each shard is mined for its words and pairs. Their counts, united, are exact, and those at ``support`` are kept;
+* then each shard is mined, level by level, for longer phrases, whose words and pairs were all kept: a phrase is no more frequent
+  than a pair in it. These candidates are counted in every shard exactly, and kept at ``support``.
 
-In the second pass a task knows the candidates by a bitmap of hashes, of a fixed size whatever their number. A phrase that is no
-candidate and shares a bit is counted too, exactly, and falls at ``support``. Counts are combined in each shard, so a very
+So nothing is counted twice, and a frequent phrase needs no second list of its counts in all shards.
+
+In the second pass a task knows what was kept by a bitmap of hashes, of a fixed size whatever their number. A word or pair that was not
+kept and shares a bit leads to candidates that are counted too, exactly, and fall at ``support``. Counts are combined in each shard, so a very
 frequent phrase is one row of each shard and no hot key.
 
 Scores are whole numbers: a phrase is cut in two at every place, and the cut with the lowest ``1000 * a * n / (l * r)``,
@@ -33,6 +33,7 @@ from uuid import uuid4
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -55,28 +56,33 @@ HASH_BITS = 26
 PLAIN = bytes.maketrans(ascii_uppercase.encode() + DELIMITERS, ascii_lowercase.encode() + BORDER * len(DELIMITERS))
 MULTIPLIER, MIXER = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xFF51AFD7ED558CCD)
 
-Keep = Callable[[np.ndarray, np.ndarray], np.ndarray]
+Keep = Callable[[int, np.ndarray], np.ndarray]
 
 
 class Shard:
     """Word numbers of the texts of one language, and their vocabulary; number 0 is a border."""
 
-    def __init__(self, whole: int) -> None:
-        self.whole, self.size, self.n = whole, 0, 0
+    def __init__(self) -> None:
+        self.n = 0
         self.numbers: defaultdict[bytes, int] = defaultdict(count(1).__next__)
         self.numbers[BORDER] = 0
         self.parts: list[np.ndarray] = []
 
     def add(self, texts: list[bytes]) -> None:
-        self.size += sum(map(len, texts))
         words = BORDER.join(texts).translate(PLAIN).replace(BORDER, b" " + BORDER + b" ").split()
         words.append(BORDER)
         found = np.fromiter(map(self.numbers.__getitem__, words), np.int32, len(words))
         self.n += int(np.count_nonzero(found))
         self.parts.append(found)
 
-    def local_support(self, support: int) -> int:
-        return max(1, -(-support * self.size // self.whole))
+
+def _codes(words: Iterable[bytes]) -> np.ndarray:
+    return np.array([xxhash.xxh64_intdigest(w) for w in words], dtype=np.uint64)
+
+
+def _longer(states: np.ndarray, codes: np.ndarray) -> np.ndarray:
+    """Rolling states of phrases with another word."""
+    return states * MULTIPLIER + codes + np.uint64(1)
 
 
 def _mixed(state: np.ndarray) -> np.ndarray:
@@ -85,14 +91,14 @@ def _mixed(state: np.ndarray) -> np.ndarray:
     return out ^ (out >> np.uint64(29))
 
 
-def mine(shard: Shard, longest: int, keep: Keep) -> Iterator[tuple[int, Callable[[], list[str]], np.ndarray, np.ndarray]]:
-    """Per length: the phrases that ``keep`` (counts, hashes) takes, spelled when asked for, their counts and hashes.
+def mine(shard: Shard, longest: int, keep: Keep) -> Iterator[tuple[int, Callable[[slice], pa.Array], np.ndarray]]:
+    """Per length: the phrases that ``keep`` (length, hashes) takes, a stretch of them spelled when asked for, and their counts.
 
     A phrase is looked at if what it begins and ends with, a word less, was taken.
     """
     words = np.concatenate(shard.parts)
-    spelled = list(shard.numbers)
-    codes = np.array([xxhash.xxh64_intdigest(w) for w in spelled], dtype=np.uint64)
+    codes = _codes(shard.numbers)
+    spelled = pa.array([b"", *list(shard.numbers)[1:]], pa.binary()).cast(pa.string())
     starts = np.flatnonzero(words).astype(np.int32)
     keys = words[starts].astype(np.int64)
     states = None
@@ -104,39 +110,40 @@ def mine(shard: Shard, longest: int, keep: Keep) -> Iterator[tuple[int, Callable
         begins = np.flatnonzero(np.concatenate([[True], ordered[1:] != ordered[:-1]]))
         counts = np.diff(np.append(begins, len(ordered)))
         ends = starts[order[begins]] + (length - 1)  # a place where each phrase ends
-        before = states[ordered[begins] // len(spelled)] if length > 1 else np.zeros(len(begins), dtype=np.uint64)
-        states = before * MULTIPLIER + codes[words[ends]] + np.uint64(1)
-        hashes = _mixed(states)
-        taken = keep(counts, hashes)
+        before = states[ordered[begins] // len(codes)] if length > 1 else np.zeros(len(begins), dtype=np.uint64)
+        states = _longer(before, codes[words[ends]])
+        taken = keep(length, _mixed(states))
         which = np.full(len(begins), -1, dtype=np.int32)
         which[taken] = np.arange(np.count_nonzero(taken), dtype=np.int32)
-        states, hashes, counts, ends = states[taken], hashes[taken], counts[taken], ends[taken]
+        states, ends = states[taken], ends[taken]
 
-        def phrases(length: int = length, ends: np.ndarray = ends) -> list[str]:
-            return [b" ".join([spelled[w] for w in words[e - length + 1 : e + 1].tolist()]).decode() for e in ends.tolist()]
+        def phrases(part: slice, length: int = length, ends: np.ndarray = ends) -> pa.Array:
+            return pc.binary_join_element_wise(*(spelled.take(pa.array(words[ends[part] - back])) for back in range(length - 1, -1, -1)), " ")
 
-        yield length, phrases, counts, hashes
+        yield length, phrases, counts[taken]
+        if length == longest:
+            return
         classes = np.full(len(words) + 1, -1, dtype=np.int32)
-        classes[starts[order]] = np.repeat(which, np.diff(np.append(begins, len(ordered))))
+        classes[starts[order]] = np.repeat(which, counts)
         starts = np.flatnonzero((classes[:-1] >= 0) & (classes[1:] >= 0)).astype(np.int32)
         # The next word is not 0: what begins one place on was taken.
-        keys = classes[starts].astype(np.int64) * len(spelled) + words[starts + length] if len(starts) else np.empty(0, dtype=np.int64)
+        keys = classes[starts].astype(np.int64) * len(codes) + words[starts + length] if len(starts) else np.empty(0, dtype=np.int64)
 
 
 def _shards(shard_bytes: int, batches: Iterable[pa.RecordBatch]) -> Iterator[dict[str, Shard]]:
-    """Texts (lang, whole, text) as shards of bounded size, one for each language met.
+    """Texts (lang, text) as shards of bounded size, one for each language met.
 
-    What is left at the end of a task goes to the shard before, unless it is half a shard: a small
-    shard would have a small share, and list phrases that are rare.
+    What is left at the end of a task goes to the shard before, unless it is half a shard: small
+    shards would list the same phrases over again.
     """
     held: dict[str, Shard] = {}
-    waiting: dict[tuple[str, int], list[bytes]] = {}
+    waiting: dict[str, list[bytes]] = {}
     sizes = [0, 0]  # of what is held and of what waits
 
     def add() -> None:
-        for (lang, whole), texts in waiting.items():
+        for lang, texts in waiting.items():
             if lang not in held:
-                held[lang] = Shard(whole)
+                held[lang] = Shard()
             held[lang].add(texts)
         waiting.clear()
         sizes[:] = [sum(sizes), 0]
@@ -144,8 +151,8 @@ def _shards(shard_bytes: int, batches: Iterable[pa.RecordBatch]) -> Iterator[dic
     for batch in batches:
         for at in range(0, batch.num_rows, 256):
             part = batch.slice(at, 256).to_pydict()
-            for lang, whole, text in zip(part["lang"], part["whole"], part["text"]):
-                waiting.setdefault((lang, whole), []).append(text)
+            for lang, text in zip(part["lang"], part["text"]):
+                waiting.setdefault(lang, []).append(text)
                 sizes[1] += len(text)
             if sizes[0] < shard_bytes:
                 add()
@@ -158,38 +165,43 @@ def _shards(shard_bytes: int, batches: Iterable[pa.RecordBatch]) -> Iterator[dic
         yield held
 
 
-def _steps(columns: dict[str, pa.Array]) -> Iterator[pa.RecordBatch]:
-    batch = pa.RecordBatch.from_arrays(list(columns.values()), names=list(columns))
-    for at in range(0, batch.num_rows, STEP):
-        yield batch.slice(at, STEP)
-
+def _listed_rows(bitmap: bytes | None, shortest: int, longest: int, shard_bytes: int, batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Every phrase of ``shortest`` to ``longest`` words of a shard with its count; words and pairs in it are in the bitmap, if there is one.
 
-def _local_rows(support: int, longest: int, shard_bytes: int, batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Hashes of locally frequent phrases, with how far their counts are above the shard's local support less one.
-
-    A row with a language and no hash has the words of the shard, and in place of a count the local support less one.
+    A row with no phrase and size 0 has the number of words of the shard.
     """
-    for shards in _shards(shard_bytes, batches):
-        for lang, shard in shards.items():
-            least = shard.local_support(support)
-            yield from _steps({"lang": pa.array([lang]), "hash": pa.array([None], pa.int64()), "above": pa.array([least - 1]), "words": pa.array([shard.n])})
-            for _, _, counts, hashes in mine(shard, longest, lambda n, _: n >= least):
-                n = len(counts)
-                yield from _steps({"lang": pa.nulls(n, pa.string()), "hash": pa.array(hashes.view(np.int64)), "above": pa.array(counts.astype(np.int64) - (least - 1)), "words": pa.nulls(n, pa.int64())})
-
+    bits = None if bitmap is None else np.frombuffer(bitmap, np.uint8)
 
-def _counted_rows(bitmap: bytes, longest: int, shard_bytes: int, batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    bits = np.frombuffer(bitmap, np.uint8)
-
-    def marked(_: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+    def marked(length: int, hashes: np.ndarray) -> np.ndarray:
+        if bits is None or length > 2:
+            return np.ones(len(hashes), dtype=bool)
         at = hashes >> np.uint64(64 - HASH_BITS)
         return (bits[at >> np.uint64(3)] >> (at & np.uint64(7)).astype(np.uint8) & 1).astype(bool)
 
+    def rows(lang: str, size: int, phrases: pa.Array, counts: np.ndarray) -> pa.RecordBatch:
+        n = len(counts)
+        columns = [pa.array([lang] * n, pa.string()), phrases, pa.array(np.full(n, size, np.int32)), pa.array(counts.astype(np.int64))]
+        return pa.RecordBatch.from_arrays(columns, names=["lang", "phrase", "size", "n"])
+
     for shards in _shards(shard_bytes, batches):
         for lang, shard in shards.items():
-            for length, phrases, counts, _ in mine(shard, longest, marked):
-                n = len(counts)
-                yield from _steps({"lang": pa.array([lang] * n, pa.string()), "phrase": pa.array(phrases(), pa.string()), "size": pa.array(np.full(n, length, np.int32)), "n": pa.array(counts.astype(np.int64))})
+            if shortest == 1:
+                yield rows(lang, 0, pa.nulls(1, pa.string()), np.array([shard.n]))
+            for length, phrases, counts in mine(shard, longest, marked):
+                for at in range(0, len(counts) if length >= shortest else 0, STEP):
+                    part = slice(at, at + STEP)
+                    yield rows(lang, length, phrases(part), counts[part])
+
+
+def _hashed_rows(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Hashes of phrases, as in ``mine``."""
+    for batch in batches:
+        hashes = np.zeros(batch.num_rows, dtype=np.uint64)
+        words = [phrase.encode().split(b" ") for phrase in batch.column("phrase").to_pylist()]
+        for at in range(max(map(len, words), default=0)):
+            has = np.array([len(w) > at for w in words])
+            hashes[has] = _longer(hashes[has], _codes(w[at] for w in words if len(w) > at))
+        yield pa.RecordBatch.from_arrays([pa.array(_mixed(hashes).view(np.int64))], names=["hash"])
 
 
 def _bitmap(candidates: DataFrame) -> bytes:
@@ -213,23 +225,25 @@ def frequent_phrases(df: DataFrame, text: str = "text", lang: str = "lang", supp
         made.write.parquet(f"{folder}/{name}")
         return spark.read.schema(made.schema).parquet(f"{folder}/{name}")
 
-    texts = df.select(F.coalesce(F.col(f"`{lang}`").cast("string"), F.lit(unknown)).alias("lang"), F.col(f"`{text}`").cast("string").alias("text"))
+    texts = df.select(F.coalesce(F.col(f"`{lang}`").cast("string"), F.lit(unknown)).alias("lang"), F.col(f"`{text}`").cast("string").cast("binary").alias("text"))
     texts = texts.where(F.octet_length("text") > 0)
-    sizes = kept(texts.groupBy("lang").agg(F.sum(F.octet_length("text").cast("long")).alias("whole")), "sizes")
-    total = sizes.agg(F.coalesce(F.sum("whole"), F.lit(0)).alias("bytes")).first()["bytes"]
-    # Tasks of small parts are put together, so that shares, and with them local supports, are not smaller than need be.
-    whole = texts.coalesce(max(LEAST_TASKS, -(-total // shard_bytes))).join(sizes, "lang").select("lang", "whole", F.col("text").cast("binary").alias("text"))
-
-    local = kept(whole.mapInArrow(partial(_local_rows, support, longest, shard_bytes), "lang string, hash long, above long, words long"), "local")
-    languages = kept(local.where("hash is null").groupBy("lang").agg(F.sum("words").alias("n"), F.sum("above").alias("all_less")), "languages")
-    # A shard that lists a phrase adds its count, another one at most its local support less one: all of these, and what is above them.
-    # Languages share the greatest such sum, and phrases of one hash their counts; both raise the bound only.
-    all_less = languages.agg(F.coalesce(F.max("all_less"), F.lit(0))).scalar()
-    united = local.where("hash is not null").groupBy("hash").agg(F.sum("above").alias("above"))
-    bitmap = _bitmap(united.where(F.col("above") + all_less >= support).select("hash"))
-    counted = whole.mapInArrow(partial(_counted_rows, bitmap, longest, shard_bytes), "lang string, phrase string, size int, n long")
-    exact = counted.groupBy("lang", "phrase", "size").agg(F.sum("n").alias("n")).where(F.col("n") >= support)
-    return kept(exact, "frequent"), languages.select("lang", "n")
+    total = texts.agg(F.coalesce(F.sum(F.octet_length("text").cast("long")), F.lit(0)).alias("bytes")).first()["bytes"]
+    # Tasks of small parts are put together, so that shards are full and list a phrase once where they can.
+    tasks = max(LEAST_TASKS, -(-total // shard_bytes))
+    whole = texts.coalesce(tasks)
+
+    def listed(bitmap: bytes | None, first: int, last: int, name: str) -> DataFrame:
+        rows = whole.mapInArrow(partial(_listed_rows, bitmap, first, last, shard_bytes), "lang string, phrase string, size int, n long")
+        # A shard has listed a phrase once: nothing is gained by summing before the shuffle. Partitions grow in number, not in size.
+        counted = rows.repartition(2 * tasks, "lang", "phrase").groupBy("lang", "phrase", "size").agg(F.sum("n").alias("n"))
+        return kept(counted.where((F.col("n") >= support) | (F.col("size") == 0)), name)
+
+    short = listed(None, 1, min(2, longest), "short")
+    languages, frequent = short.where("size = 0").select("lang", "n"), short.where("size > 0")
+    if longest > 2:
+        bitmap = _bitmap(frequent.select("phrase").mapInArrow(_hashed_rows, "hash long"))
+        frequent = frequent.unionByName(listed(bitmap, 3, longest, "longer"))
+    return frequent, languages
 
 
 def scored(frequent: DataFrame, languages: DataFrame) -> DataFrame:

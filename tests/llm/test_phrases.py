@@ -88,3 +88,29 @@ def test_empty_tables(spark, frame):
     found = phrases.collocations(frame.limit(0))
     assert found.columns == ["lang", "rank", "phrase", "a", "l", "r", "n", "score"] and found.count() == 0
     assert phrases.collocations(spark.createDataFrame([(None, None)], "text string, lang string")).count() == 0
+
+
+def test_rows_listed_grow_with_the_table(spark, monkeypatch):
+    words = [f"w{i}" for i in range(300)]
+
+    def texts(n):
+        rng = random.Random(7)
+        return [(" ".join(rng.choices(words, [1 / (i + 1) for i in range(300)], k=60)), "en") for _ in range(20 * n)]
+
+    made, frame_type = [], type(spark.range(0))
+    original = frame_type.mapInArrow
+
+    def counting(self, *args, **kwargs):
+        out = original(self, *args, **kwargs)
+        made.append(out.count())
+        return out
+
+    monkeypatch.setattr(frame_type, "mapInArrow", counting)
+    listed = {}
+    for shards in (8, 40):
+        rows, made[:] = texts(shards), []
+        table = spark.createDataFrame(rows, "text string, lang string").repartition(shards)
+        size = sum(len(text) for text, _ in rows) // shards + 1
+        assert sorted(tuple(r) for r in phrases.collocations(table, shard_bytes=size).collect()) == brute(rows, 100)
+        listed[shards] = sum(made)
+    assert listed[40] <= 1.5 * (40 / 8) * listed[8]
