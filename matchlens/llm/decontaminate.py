@@ -7,9 +7,10 @@ one of the item's fingerprints. A hit is extended to the document's windows of
 ``SPAN`` words around it, and these are compared as text. An item of fewer
 words is one window of its length, and its own fingerprint.
 
-Plan: fingerprints are computed inside the row, without exploding words. A
+Plan: the places of a text are gone through by ``explode`` and hashed in
+compiled code, and only those that are left are ever written. A
 bitmap of the benchmark's fingerprint hashes, of ``MOST_BITS`` bits at the
-most, drops those that the benchmark cannot have before anything is exploded;
+most, drops those that the benchmark cannot have before least hashes are looked for;
 with more fingerprints than it has bits it drops fewer, and nothing else
 changes. What is left carries the words of its windows, is joined with the
 distinct fingerprints, and its windows with the distinct windows of the
@@ -41,51 +42,63 @@ SPAN = 10
 GRAM = 5
 WINDOW = SPAN - GRAM + 1
 #: Bits of the bitmap for each fingerprint of the benchmark, and in all (8 MB).
-BITS_EACH, MOST_BITS = 16, 1 << 26
+BITS_EACH, MOST_BITS = 64, 1 << 26
 
 _BREAK = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
-_WORD_ANY_CASE = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
+_BREAK_ANY_CASE = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 
 
 def words_of(text: Column) -> Column:
     """Words of a text, null for a null text."""
-    return F.filter(F.split(lower_ascii(text), _BREAK), lambda w: w != "")
+    return F.array_remove(F.split(lower_ascii(text), _BREAK), "")
 
 
-def _grams(hashes: str, n: int) -> Column:
-    """Hashes of each ``n`` successive word hashes."""
-    h = F.col(hashes)
-    whole = F.transform(h, lambda x, i: F.xxhash64(x, *(F.get(h, i + k) for k in range(1, n))))
-    return F.slice(whole, 1, F.greatest(F.size(h) - (n - 1), F.lit(0)))
+def _hash(words: Column, at: Column, n: int) -> Column:
+    """Hash of the ``n`` words from ``at`` on, null where there are fewer."""
+    return F.when(at + n <= F.size(words), F.xxhash64(F.slice(words, at + 1, n)))
 
 
 def _fingerprints(texts: DataFrame, lengths: list[int], maybe: Callable[[Column], Column] | None = None) -> DataFrame:
-    """Adds ``found``: structs of a hash, its length of window, the windows (from, until) that it stands for, and their words.
+    """Rows with ``found``: at most one struct of a hash, its length of window, the windows (from, until) that it stands for, and their words.
 
-    ``texts`` has ``words``; only hashes that ``maybe`` holds for are kept.
-    Every function below refers to its array twice or more, which keeps the
-    optimizer from computing the array inside the loop; for the same reason
-    callers explode with ``explode_outer``, for which no filter on the whole
+    ``texts`` has ``words``; only hashes that ``maybe`` holds for are kept. Every
+    place in a text is hashed and tested in compiled code, so lambdas, which are
+    not compiled, see only the words around a place that is left. A window
+    belongs to its first place of the least hash.
+    Callers explode with ``explode_outer``, for which no filter on the whole
     expression is derived and pushed down.
     """
-    hashed = texts.withColumn("hashes", F.transform("words", lambda w: F.xxhash64(w))).withColumn("grams", _grams("hashes", GRAM))
-    g = F.col("grams")
-    least = F.transform(g, lambda x, i: F.array_min(F.slice(g, i + 1, WINDOW)))
-    kept = hashed.withColumn("least", F.slice(least, 1, F.greatest(F.size(g) - (WINDOW - 1), F.lit(0))))
-    m = F.col("least")
-    # Runs of windows with one least hash.
-    starts = F.filter(F.transform(m, lambda x, i: F.when((i == 0) | (x != F.get(m, i - 1)), i)), lambda i: i.isNotNull())
-    kept = kept.withColumn("starts", starts)
-    s = F.col("starts")
-    runs = F.transform(s, lambda a, i: F.struct(F.get(m, a).alias("h"), F.lit(SPAN).alias("n"), a.alias("a"), F.coalesce(F.get(s, i + 1), F.size(m)).alias("b")))
-    every = F.concat(runs, *map(_short, lengths)) if lengths else runs
-    words = F.col("words")
+    words, at = F.col("words"), F.col("at")
+    places = texts.withColumn("at", F.explode_outer(F.when(F.size(words) > 0, F.sequence(F.lit(0), F.size(words) - 1))))
+    hashes = [F.struct(F.lit(n).alias("n"), _hash(words, at, GRAM if n == SPAN else n).alias("h")) for n in (SPAN, *lengths)]
+    # Exploded even if it is one, so that the filter does not hash once more for each of its references.
+    hashed = places.withColumn("print", F.explode_outer(F.array(*hashes))).filter("print.h is not null")
+    if maybe:
+        hashed = hashed.filter(maybe(F.col("print.h")))
+    first = F.when(F.col("print.n") == SPAN, F.greatest(at - (WINDOW - 1), F.lit(0))).otherwise(at)
+    near = hashed.withColumn("first", first).withColumn("around", F.slice(words, first + 1, at - first + F.col("print.n"))).drop("words")
 
-    def with_words(r: Column) -> Column:
-        around = F.when(F.size(words) > 0, F.slice(words, r["a"] + 1, r["b"] - r["a"] + r["n"] - 1))
-        return F.struct(r["h"].alias("h"), r["n"].alias("n"), r["a"].alias("a"), r["b"].alias("b"), around.alias("around"))
+    around = F.col("around")
+    grams = F.array(*(_hash(around, F.lit(i), GRAM) for i in range(2 * WINDOW - 1)))
+    near = near.withColumn("grams", F.when((F.col("print.n") == SPAN) & (F.size(around) >= SPAN), F.slice(grams, 1, F.size(around) - GRAM + 1)))
+    g = F.col("grams")
 
-    return kept.withColumn("found", F.transform(F.filter(every, lambda r: maybe(r["h"])) if maybe else every, with_words))
+    def owned(i: Column) -> Column:
+        window = F.slice(g, i + 1, WINDOW)
+        return i + F.array_position(window, F.array_min(window)) - 1 == at - F.col("first")
+
+    mine = F.filter(F.sequence(F.lit(0), F.size(g) - WINDOW), owned)
+    near = near.withColumn("mine", F.when(g.isNotNull(), mine).when(F.col("print.n") < SPAN, F.array(F.lit(0))))
+    m, n = F.col("mine"), F.col("print.n")
+    a, size = F.get(m, F.lit(0)), F.size(m)
+    found = F.struct(
+        F.col("print.h").alias("h"),
+        n.alias("n"),
+        (F.col("first") + a).alias("a"),
+        (F.col("first") + a + size).alias("b"),
+        F.slice(around, a + 1, size - 1 + n).alias("around"),
+    )
+    return near.withColumn("found", F.when(size > 0, F.array(found)))
 
 
 def _bitmap(hashes: DataFrame) -> Callable[[Column], Column]:
@@ -107,10 +120,6 @@ def _bitmap(hashes: DataFrame) -> Callable[[Column], Column]:
     return lambda h: F.getbit(F.get(table, F.shiftright(place(h), 6).cast("int")), place(h).bitwiseAND(F.lit(63)).cast("int")) == 1
 
 
-def _short(n: int) -> Column:
-    return F.transform(_grams("hashes", n), lambda x, i: F.struct(x.alias("h"), F.lit(n).alias("n"), i.alias("a"), (i + 1).alias("b")))
-
-
 def _window(words: Column, at: Column, n: Column) -> Column:
     return F.array_join(F.slice(words, at + 1, n), " ")
 
@@ -161,7 +170,8 @@ def find_leaks(docs: DataFrame, items: DataFrame, key: str = "doc_id", text: str
     """``key``, n_words, n_hit, n_items, item_ids and contaminated for every document."""
     results = leaks_by_text(docs, items, text, item_key, item_text)
     source = F.col(f"`{text}`").cast("string")
-    words = F.coalesce(F.regexp_count(source, F.lit(_WORD_ANY_CASE)), F.lit(0)).cast("long")
+    # Split, as a regexp_count makes a result of its own for every match, at ten times the CPU time.
+    words = F.greatest(F.size(F.array_remove(F.split(source, _BREAK_ANY_CASE), "")), F.lit(0)).cast("long")
     counted = docs.select(F.col(f"`{key}`").alias("key"), F.md5(source).alias("digest"), words.alias("n_words"))
     return counted.join(results, "digest", "left").select(
         F.col("key").alias(key),

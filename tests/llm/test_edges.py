@@ -139,6 +139,34 @@ def test_short_and_repeated_items(spark, items):
     assert {r.doc_id for r in decontaminate.clean(frame.withColumn("digest", F.lit(1)), items).collect()} == {3, 5}
 
 
+def test_places_are_hashed_and_words_counted_in_compiled_code(spark, items):
+    frame = spark.createDataFrame([(1, prose(7))], "doc_id long, text string")
+    plan = decontaminate.find_leaks(frame, items)._jdf.queryExecution().optimizedPlan().toString()
+    assert "regexp" not in plan
+    texts = frame.select("doc_id", decontaminate.words_of(F.col("text")).alias("words"))
+    found = decontaminate._fingerprints(texts, [2], lambda h: h % 2 == 0).select("found")
+    lambdas = [line for line in found._jdf.queryExecution().optimizedPlan().toString().splitlines() if "lambdafunction" in line]
+    assert lambdas and not any("words#" in line for line in lambdas)
+
+
+def test_windows_of_few_words_equal_brute_force(spark):
+    rng = random.Random(2)
+    texts = {i: [rng.choice("abc"[: rng.randint(1, 3)]) for _ in range(rng.choice([0, 4, 9, 10, 11, 15, 40]))] for i in range(60)}
+    listed = [(i % 7, texts[i][rng.randint(0, 3) :][: rng.choice([4, 9, 10, 12])]) for i in range(0, 60, 4)]
+    docs = spark.createDataFrame([(i, " ".join(w)) for i, w in texts.items()], "doc_id long, text string")
+    items = spark.createDataFrame([(i, ", ".join(w)) for i, w in listed], "item_id long, text string")
+    found = {r.doc_id: r for r in decontaminate.find_leaks(docs, items).collect()}
+    for i, words in texts.items():
+        hit, ids = set(), set()
+        for item, own in listed:
+            n = min(len(own), 10)
+            for window in [own[k : k + n] for k in range(len(own) - n + 1)] if n else []:
+                at = [k for k in range(len(words) - n + 1) if words[k : k + n] == window]
+                hit |= {k + j for k in at for j in range(n)}
+                ids |= {str(item)} if at else set()
+        assert (found[i].n_words, found[i].n_hit, found[i].item_ids) == (len(words), len(hit), sorted(ids))
+
+
 def test_added_spans_need_checksum_and_context():
     good, bad = "IBAN GB82 WEST 1234 5698 7654 32 please", "IBAN GB83 WEST 1234 5698 7654 32 please"
     assert [s[:3] for s in pii.spans_of(good) if s[0] == "iban"] == [("iban", 5, 32)]
