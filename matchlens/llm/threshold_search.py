@@ -12,8 +12,10 @@ score, and the candidates by that score are the group's list; a total is the sum
 
 Vectors are written once, in blocks of rows with one matrix each. Queries, a stated share of all rows, are packed into
 blocks as well, and each of them meets each block of candidates in an equi-join on a group number: the blocks of
-queries are repeated for every group, candidates are not. A pair of blocks gives at most ``k`` rows for a query, so
-what is shuffled for the ranks is small, and ranks are cut in each task before they are cut as a whole.
+queries are repeated for every group, candidates are not. Groups are so few that the repeats are no more than the
+candidates, unless that leaves cores idle. Both sides are shuffled, so no vector passes through the driver. A pair of
+blocks gives at most ``k`` rows for a query, so what is shuffled for the ranks is small, and ranks are cut in each task
+before they are cut as a whole.
 
 Defined cases: vectors that are null or hold null or non-finite components take no part; of vectors of different lengths
 the shorter one counts as ended by zeros, and an empty one scores zero; a null key is no query, and a candidate that
@@ -42,6 +44,8 @@ LISTS = 4
 ROWS, QUERIES = 4096, 256
 #: Blocks of candidates for which the queries are repeated once.
 TOGETHER = 16
+#: Groups for every core, where queries are many.
+GROUPS_A_CORE = 4
 #: Below every total that 64 bits hold exactly as a double.
 NONE = -(1 << 62)
 
@@ -187,19 +191,23 @@ def search(
     made = whole.select(F.col("key").cast("long"), "x", "asks").mapInArrow(partial(_block_rows, block_rows), BLOCK)
     made.withColumn("block", F.monotonically_increasing_id()).write.parquet(f"{folder}/blocks")
     blocks = spark.read.schema(f"{BLOCK}, block long").parquet(f"{folder}/blocks")
-    sizes = blocks.agg(F.count("*").alias("blocks"), F.coalesce(F.sum(F.size(F.filter("asks", lambda a: a))), F.lit(0)).alias("queries")).first()
+    counts = {"rows": F.size("ids"), "queries": F.size(F.filter("asks", lambda a: a))}
+    sizes = blocks.agg(F.count("*").alias("blocks"), *[F.coalesce(F.sum(n), F.lit(0)).alias(name) for name, n in counts.items()]).first()
     asking = blocks.where(F.exists("asks", lambda a: a)).mapInArrow(_query_rows, "block long, place long, id long, x array<int>")
     packed = asking.repartition(max(1, -(-sizes["queries"] // pack_rows))).mapInArrow(partial(_packed_rows, pack_rows), "q_blocks array<long>, q_places array<long>, q_ids array<long>, q_width int, q_m binary")
     packed.withColumn("pack", F.monotonically_increasing_id()).write.parquet(f"{folder}/queries")
     packs = spark.read.schema("q_blocks array<long>, q_places array<long>, q_ids array<long>, q_width int, q_m binary, pack long").parquet(f"{folder}/queries")
 
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    groups = max(1, min(sizes["blocks"], max(parts, sizes["blocks"] // TOGETHER)))
+    busy = GROUPS_A_CORE * spark.sparkContext.defaultParallelism
+    repeats = max(busy, sizes["rows"] // max(1, sizes["queries"]))  # so often, queries are as many as candidates
+    groups = max(1, min(sizes["blocks"], repeats, max(parts, sizes["blocks"] // TOGETHER)))
     grouped = blocks.drop("asks").withColumn("group", F.pmod(F.xxhash64("block"), F.lit(groups)).cast("int"))
 
     def pairs(asked: DataFrame) -> DataFrame:
         spread = asked.withColumn("group", F.explode(F.sequence(F.lit(0), F.lit(groups - 1))))
-        return grouped.join(spread, "group").drop("group")
+        # Spark's estimate is that of the queries before they are repeated; by it the driver would gather all repeats for a broadcast.
+        return grouped.join(spread.hint("merge"), "group").drop("group")
 
     own = Window.partitionBy("pack", "number")
     gathered = pairs(packs).mapInArrow(partial(_gathered_rows, k), "pack long, number int, total long")

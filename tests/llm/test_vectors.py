@@ -123,6 +123,23 @@ def test_fewer_candidates_than_k_and_none(spark, frame):
     assert threshold_search.search(few, F.lit(False)).count() == 0
 
 
+def test_no_vector_passes_through_the_driver(frame, rows, monkeypatch):
+    joined = []
+    kind, plain = type(frame), type(frame).mapInArrow
+
+    def seen(self, *args, **more):
+        if {"m", "q_m"} <= set(self.columns):
+            joined.append(self._jdf.queryExecution().executedPlan().toString())
+        return plain(self, *args, **more)
+
+    monkeypatch.setattr(kind, "mapInArrow", seen)
+    found = threshold_search.search(frame, F.col("vec_id") % 100 == 0, block_rows=7, pack_rows=2)
+    assert sorted((tuple(r) for r in found.collect()), key=str) == brute_top(rows)
+    ran = found._jdf.queryExecution().executedPlan().toString()  # as adaptive execution has left it
+    assert len(joined) == 2 and all("SortMergeJoin [group" in plan for plan in [*joined, ran])
+    assert not any(f"{join} [group" in plan for plan in [*joined, ran] for join in ("BroadcastHashJoin", "ShuffledHashJoin"))
+
+
 def test_threshold_loses_no_total():
     rng = np.random.default_rng(5)
     for lists in (1, 2, 4, 7):
